@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import line_windows, mixing, slots, stream_dedup
+from loam.llm import covering, line_windows, mixcoder, mixing, packing, slots, stream_dedup
 from loam.llm.shared import table
 
 
+#: Vocabularies are read where they are installed; their paths are parameters of the operators.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 over all documents: sequences of at most 2048 ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 def op4_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over all documents."""
     found = stream_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -28,12 +39,23 @@ def op5_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_mix_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over all documents: written, then read back from the segments."""
+    return mixcoder.read_ids(mixcoder.write_ids(table(spark, sf_dir, "documents"), WORD_BPE))
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 8 over all documents: 40 shards of near equal bytes."""
     rows, _ = slots.shard(table(spark, sf_dir, "documents"), 40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over all documents: links at 4 or fewer differing bits."""
+    found = covering.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", covering.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10 over all documents; the remaining text as its MD5 and length."""
     return line_windows.line_dedup(table(spark, sf_dir, "documents")).select(
@@ -57,5 +79,5 @@ SELECT d.doc_id, CAST(len(lines) AS INTEGER) AS n_lines, CAST(coalesce(n, 0) AS
 FROM d LEFT JOIN rest USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op4_stateful_dedup, op5_pivotal_mixing, op8_virtual_slots, op10_line_windows)}
+QUERIES = {f.__name__: f for f in (op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows)}
 ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL}
