@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import covering, line_windows, mixcoder, mixing, packing, slots, stream_dedup
+from loam.llm import covering, line_windows, mixcoder, mixing, packing, slots, stream_dedup, toxic_crf
 from loam.llm.shared import table
 
 
@@ -15,6 +15,13 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over all documents, learned from the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxic_crf.learn(docs, table(spark, sf_dir, "labels"))
+    return toxic_crf.score_documents(docs, model).select("doc_id", "held_out", "score", "predicted", F.size("starts").alias("n_spans"))
+
+
 def op3_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3 over all documents: sequences of at most 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -79,5 +86,5 @@ SELECT d.doc_id, CAST(len(lines) AS INTEGER) AS n_lines, CAST(coalesce(n, 0) AS
 FROM d LEFT JOIN rest USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows)}
+QUERIES = {f.__name__: f for f in (op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows)}
 ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL}
