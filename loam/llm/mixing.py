@@ -20,6 +20,8 @@ SEED = 20
 #: Documents of one bucket: bounds what one task holds.
 BUCKET = 20_000
 FAN = 64
+#: Roundings drawn for a small bucket (that many documents in all); the one nearest to the words due is kept.
+DRAWS, DRAWN = 64, 100_000
 CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 _EPS = 1e-9
@@ -81,13 +83,18 @@ def _level(final: bool, seed: int, depth: int):
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "doc_id", "locator"], kind="stable", na_position="last").reset_index(drop=True)
-        rng = np.random.default_rng([seed, depth, int(key[0]), int(key[1])])
         whole = np.floor(pdf["p"].to_numpy() + _EPS)
-        frac = pivot(np.clip(pdf["p"].to_numpy() - whole, 0, 1), rng)
-        open_ = (frac > _EPS) & (frac < 1 - _EPS)
-        if final and open_.any():
-            frac = np.where(open_, (rng.random() < frac).astype(float), frac)
-            open_[:] = False
+        due, size = np.clip(pdf["p"].to_numpy() - whole, 0, 1), pdf["size"].to_numpy(float)
+        frac, open_, least = due, np.zeros(len(due), bool), np.inf
+        for draw in range(int(np.clip(DRAWN // max(len(due), 1), 1, DRAWS))):
+            rng = np.random.default_rng([seed, depth, int(key[0]), int(key[1]), draw])
+            new = pivot(due, rng)
+            left = (new > _EPS) & (new < 1 - _EPS)
+            if final:
+                new = np.where(left, (rng.random() < new).astype(float), new)
+                left = np.zeros(len(due), bool)
+            if (off := abs(float(((new - due) * size).sum()))) < least:
+                frac, open_, least = new, left, off
         pdf["p"] = whole + frac
         pdf["copies"] = pd.Series(np.rint(whole + frac), dtype="Int32").mask(open_)
         pdf["bucket"] = pdf["bucket"] // FAN
