@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import covering, line_windows, mixcoder, mixing, packing, slots, stream_dedup, toxic_crf
+from loam.llm import additive, covering, html_text, line_windows, mixcoder, mixing, packing, slots, stream_dedup, toxic_crf
 from loam.llm.shared import table
 
 
@@ -15,6 +15,12 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1: rows whose vec_id is divisible by 20 against all rows."""
+    index, books = additive.build(table(spark, sf_dir, "embeddings"))
+    return additive.search(index, books, F.col("vec_id") % 20 == 0)
+
+
 def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2 over all documents, learned from the rows that aren't held out."""
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +52,11 @@ def op5_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6 over all pages."""
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_mix_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7 over all documents: written, then read back from the segments."""
     return mixcoder.read_ids(mixcoder.write_ids(table(spark, sf_dir, "documents"), WORD_BPE))
@@ -86,5 +97,5 @@ SELECT d.doc_id, CAST(len(lines) AS INTEGER) AS n_lines, CAST(coalesce(n, 0) AS
 FROM d LEFT JOIN rest USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows)}
+QUERIES = {f.__name__: f for f in (op1_additive_ann, op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op6_html_text, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows)}
 ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL}
