@@ -123,7 +123,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK, seed: i
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """locator, doc_id, fp, component_id: one row per row of ``docs``.
+    """locator, doc_id, fp, root, component_id: one row per row of ``docs``; root names the component.
 
     component_id is the smallest doc_id that links of at most ``radius`` differing bits
     reach, the row's own included; rows without doc_id are linked like others and have a
@@ -139,10 +139,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
         nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")), "rooted"
     )
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
     return prints.join(named, "fp")
 
 
+def representatives(found: DataFrame) -> DataFrame:
+    """One row of each component: the smallest doc_id; of rows that share it, and in components without any, the first locator.
+
+    ``min`` over a struct is aggregated before the shuffle, so a huge component is no hot spot.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "locator")).alias("first")
+    return found.groupBy("root").agg(first).select("first.doc_id", "first.locator")
+
+
 def hex_fingerprint(fp: str = "fp"):
     """16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

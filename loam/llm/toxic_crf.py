@@ -294,3 +294,18 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
         scored = stage(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, starts array<long>, ends array<long>"), "scored")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "starts", "ends")
+
+
+def without_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Rows of ``docs``, whole and in all columns, whose score stays below ``THRESHOLD``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries = _Entries(model)
+        at = names.index("text")
+        for batch in batches:
+            keep = [tag(model, t, entries)[0] < THRESHOLD for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    names = docs.columns
+    with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
+        return stage(docs.mapInArrow(run, docs.schema), "without_toxic")
