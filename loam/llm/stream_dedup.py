@@ -54,6 +54,8 @@ def update_state(spark: SparkSession, log_path: str, log: DataFrame, state_dir:
         "spark__sql__streaming__stateStore__providerClass": ROCKSDB,
         "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
         "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "256",
+        # A committed store is closed: its local files go, the checkpoint keeps the state.
+        "spark__sql__streaming__stateStore__unloadOnCommit": "true",
     }
     with settings(spark, **conf):
         stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(log_path)
