@@ -19,3 +19,8 @@ def query(sql: str | None = None) -> Callable:
         return fn
 
     return keep
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from loam.plans import q_gold, q_relational, q_text  # noqa: F401
