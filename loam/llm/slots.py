@@ -51,10 +51,10 @@ def assign(loads: dict[int, int], shards: int) -> dict[int, int]:
 
 
 def rebalance(loads: dict[int, int], before: dict[int, int], shards: int) -> dict[int, int]:
-    """Edited map for ``shards`` shards: as few slots as bring each within reach of the mean move.
+    """Edited map for ``shards`` shards; hardly more bytes move than must.
 
-    Slots of shards that are gone, and slots beyond the mean of a full shard (lightest
-    slots last in), go to the lightest shards; all other slots stay where they are.
+    Slots of shards that are gone, and the lightest slots of shards above the new mean, go
+    to the emptiest shards; all other slots stay where they are.
     """
     mean = sum(loads.values()) / shards
     held, homeless = defaultdict(list), []
