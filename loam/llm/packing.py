@@ -26,6 +26,8 @@ END_ID = 0
 #: Pieces of one group: bounds what one task holds.
 GROUP = 50_000
 FAN = 64
+#: Most exchanges of a group, and how many bins in turn may fail before the search ends.
+EXCHANGES, SOURCES = 2000, 8
 #: Bins filled less than this go on to the next level.
 UNDERFULL = 0.98
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -135,22 +137,25 @@ class _Search:
         return True
 
     def run(self) -> list[list[int]]:
+        """Exchange out of the emptiest bin that still can, until no bin less could do or none can.
+
+        Every exchange raises the sum of squared fills, so the search ends; ``EXCHANGES``
+        bounds how long a group takes.
+        """
         least = -(-int(self.size.sum()) // self.capacity)
-        used = int((self.fill > 0).sum())
+        used, left = int((self.fill > 0).sum()), EXCHANGES
         stuck: set[int] = set()
-        while used > least:
-            left = [b for b in np.flatnonzero((self.fill > 0) & (self.fill < self.capacity)) if b not in stuck]
-            if not left:
+        while used > least and left > 0 and len(stuck) < SOURCES:
+            able = [b for b in np.flatnonzero((self.fill > 0) & (self.fill < self.capacity)).tolist() if b not in stuck]
+            if not able:
                 break
-            source = int(min(left, key=lambda b: (self.fill[b], b)))
-            while self.fill[source] and self._exchange(source):
-                pass
-            if self.fill[source]:
+            source = min(able, key=lambda b: (self.fill[b], b))
+            left -= 1
+            if not self._exchange(source):
                 stuck.add(source)
-                if len(stuck) >= 4:  # the emptiest bins can't be emptied; fuller ones even less
-                    break
-            else:
-                used -= 1
+                continue
+            stuck.clear()  # what is fuller now may take what it couldn't before
+            used -= not self.fill[source]
         return [sorted(b) for b in self.bins if b]
 
 
