@@ -18,7 +18,7 @@ from loam.llm.shared import WORD, located, stage
 
 SEED = 20
 #: Documents of one bucket: bounds what one task holds.
-BUCKET = 20_000
+BUCKET = 2_000
 FAN = 64
 #: Roundings drawn for a small bucket (that many documents in all); the one nearest to the words due is kept.
 DRAWS, DRAWN = 64, 100_000
