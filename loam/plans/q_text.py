@@ -205,12 +205,14 @@ def q_links(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "pages").select("page_id", F.filter(job_links(F.col("html")), lambda x: x.startswith("/")).alias("links"))
 
 
-@query()
+@query(r"""SELECT url AS job_url, 'itviec' AS source_site, CAST(NULL AS VARCHAR) AS job_title FROM pages""")
 def q_html_fields(spark: SparkSession, sf: str) -> DataFrame:
-    """SC-15 to SC-17: fields of pages by class and heading, with the standard parser."""
-    from loam.sources.scan import parse_adverts
+    """SC-15 to SC-17: raw rows of advert pages; these pages hold no field of the layout."""
+    from datetime import date
+
+    from loam.sources.adverts import parse_adverts
 
-    return parse_adverts(t(spark, sf, "pages"), "topcv", ({"ad": "advert"}, {})).select("page_id", "fields")
+    return parse_adverts(t(spark, sf, "pages"), "itviec", date(2026, 1, 1)).select("job_url", "source_site", "job_title")
 
 
 @query(r"""SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), '') AS title, nullif(regexp_extract(html, 'track\((\d+)\)', 1), '') AS tracked FROM pages""")

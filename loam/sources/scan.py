@@ -1,14 +1,11 @@
-"""Scans: landing files, partitioned layers, seeds, inventory, calendar, HTML."""
+"""Scans: landing files, partitioned layers, seeds, inventory, calendar, links."""
 
 from __future__ import annotations
 
 import csv
 import io
-import json
 from functools import lru_cache
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,68 +135,6 @@ def job_links(html):
     return F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))
 
 
-class _Fields(HTMLParser):
-    """Text by CSS class, and labelled sections, of a small advert page."""
-
-    def __init__(self, classes: dict[str, str], labels: dict[str, str]) -> None:
-        super().__init__(convert_charrefs=True)
-        self.classes, self.labels = classes, labels
-        self.open: list[tuple[str, str | None]] = []
-        self.found: dict[str, list[str]] = {}
-        self.section: str | None = None
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        own = set((dict(attrs).get("class") or "").split())
-        field = next((f for c, f in self.classes.items() if c in own), None)
-        if tag not in ("br", "img", "input", "meta", "link", "hr"):
-            self.open.append((tag, field or (self.open[-1][1] if self.open else None)))
-
-    def handle_endtag(self, tag: str) -> None:
-        while self.open:
-            if self.open.pop()[0] == tag:
-                break
-
-    def handle_data(self, data: str) -> None:
-        text = " ".join(data.split())
-        if not text or (self.open and self.open[-1][0] in ("script", "style")):
-            return
-        heading = next((f for label, f in self.labels.items() if text.lower().startswith(label.lower())), None)
-        if heading and self.open and self.open[-1][0] in ("h2", "h3", "strong", "label"):
-            self.section = heading
-            return
-        field = (self.open[-1][1] if self.open else None) or self.section
-        if field:
-            self.found.setdefault(field, []).append(text)
-
-
-#: Which class or heading names a field, by site; a site's own layout is a parameter.
-LAYOUTS = {
-    "topcv": ({"job-detail__info--title": "job_title", "company-name-label": "company_name", "job-detail__info--salary": "salary"}, {"Mô tả công việc": "job_description", "Yêu cầu": "requirements", "Quyền lợi": "benefits"}),
-    "itviec": ({"job-name": "job_title", "employer-name": "company_name", "salary": "salary", "location": "location"}, {"Job description": "job_description", "Your skills": "requirements", "Why you": "benefits"}),
-    "vietnamworks": ({"job-title": "job_title", "company-name": "company_name", "salary": "salary"}, {"Mô tả công việc": "job_description", "Yêu cầu": "requirements", "phúc lợi": "benefits"}),
-}
-
-
-def parse_adverts(pages: DataFrame, site: str, layout: tuple[dict, dict] | None = None, html: str = "html") -> DataFrame:
-    """SC-15 to SC-17: advert fields of each page as a JSON object in ``fields``; {} if none.
-
-    The parser is the standard library's, run over Arrow batches.
-    """
-    classes, labels = layout or LAYOUTS[site]
-
-    @F.pandas_udf("string")
-    def parse(s: pd.Series) -> pd.Series:
-        def one(text: str | None) -> str:
-            p = _Fields(classes, labels)
-            p.feed(text or "")
-            p.close()
-            return json.dumps({k: " ".join(v) for k, v in sorted(p.found.items())}, ensure_ascii=False)
-
-        return s.map(one)
-
-    return pages.withColumn("fields", parse(html))
-
-
 def source_sites(inventory_df: DataFrame) -> DataFrame:
     """SC-11: the sites that have objects."""
     return inventory_df.select("source_site").distinct()

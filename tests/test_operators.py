@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loam.functions import fixed
 from loam.operators import gold, quality, relational, resolve, sites, vectors
-from loam.sources import scan, schemas, sinks
+from loam.sources import adverts, scan, schemas, sinks
 from loam.streaming import microbatch
 
 
@@ -140,6 +140,21 @@ def test_stream_rewrites_days(spark, tmp_path, raw):
 
 
 def test_advert_fields(spark):
-    page = '<h1 class="job-detail__info--title">Dev &amp; Ops</h1><h3>Yêu cầu</h3><div>Python<br>SQL</div><script>x</script>'
-    got = scan.parse_adverts(spark.createDataFrame([(page,), (None,)], "html string"), "topcv").collect()
-    assert json.loads(got[0].fields) == {"job_title": "Dev & Ops", "requirements": "Python SQL"} and got[1].fields == "{}"
+    today = dt.date(2026, 1, 1)
+    topcv = (
+        '<h1 class="box-header-job__title">Dev &amp; Ops</h1><script>window.qgTracking = {"salary_range": "10 \\u2013 20 tri\\u1ec7u"}</script>'
+        '<div class="box-job-information-detail-item__title"><h2>Yêu cầu ứng viên</h2></div><div class="box-job-information-detail-item__text">Python<br>SQL</div>'
+        '<div class="box-job-information-general-info-list__item--content-title">Cấp bậc</div><div class="box-job-information-general-info-list__item--content-desc">Nhân viên</div>'
+    )
+    itviec = '<h2 class="x text-it-black text-hover-red">Dev</h2><small class="normal-text text-it-black col">Product</small><small class="normal-text text-it-black col">51-150</small><section class="job-experiences"><p>A</p><p>B</p></section>'
+    works = '<h1 name="title">Dev</h1><span>Hết hạn trong 5 ngày</span><div><label>LĨNH VỰC</label><p>IT</p></div><div><label>SỐ NĂM KINH NGHIỆM TỐI THIỂU</label><p>2</p></div>'
+    rows = lambda html, url="https://x/1": spark.createDataFrame([(url, html), ("u", None)], "url string, html string")
+    a = adverts.parse_adverts(rows(topcv), "topcv", today).collect()
+    assert (a[0].job_title, a[0].salary, a[0].requirements, a[0].job_position) == ("Dev & Ops", "10 – 20 triệu", "Python SQL", "Nhân viên")
+    assert a[1].job_title is None and a[1].job_url == "u" and a[0].source_site == "topcv"
+    b = adverts.parse_adverts(rows(itviec), "itviec", today).first()
+    assert (b.job_title, b.company_size, b.requirements) == ("Dev", "51-150", "A B")
+    c = adverts.parse_adverts(rows(works), "vietnamworks", today).first()
+    assert (c.job_title, c.job_deadline, c.job_industry, c.experience_level) == ("Dev", "2026-01-06", "IT", "2 năm")
+    d = adverts.parse_adverts(rows("<h2 class='job-title'>T</h2><p>Quy mô</p><b>50</b>", "https://x/brand/1"), "topcv", today).first()
+    assert (d.job_title, d.company_size) == ("T", "50")
