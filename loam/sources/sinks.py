@@ -56,17 +56,25 @@ def full_refresh(spark: SparkSession, tables: list[tuple[str, DataFrame]], datab
     return {name: spark.table(f"{database}.{name}").count() for name, _ in tables}
 
 
+def _fs(spark: SparkSession, path: str) -> tuple:
+    """(file system, path object) of Hadoop, so that any store works."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def swap_table(df: DataFrame, path: str) -> None:
+    """Write beside ``path``, then take its place; ``df`` may read the old version."""
+    new = f"{path.rstrip('/')}__new"
+    df.write.mode("overwrite").parquet(new)
+    fs, at = _fs(df.sparkSession, path)
+    fs.delete(at, True)
+    fs.rename(_fs(df.sparkSession, new)[1], at)
+
+
 def upsert_table(new: DataFrame, path: str, key: str) -> None:
     """SK-06, SK-08: keyed overwrite of a Parquet table; readers see the old or the new version."""
-    spark = new.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(path).getFileSystem(conf)
-    old = spark.read.parquet(path) if fs.exists(at(path)) else None
-    merged = upsert(old, new, key) if old is not None else new
-    merged.write.mode("overwrite").parquet(f"{path}__new")
-    fs.delete(at(path), True)
-    fs.rename(at(f"{path}__new"), at(path))
+    fs, at = _fs(new.sparkSession, path)
+    swap_table(upsert(new.sparkSession.read.parquet(path), new, key) if fs.exists(at) else new, path)
 
 
 def upsert_external(df: DataFrame, send: Callable[[list[tuple]], None], batch: int = 100) -> None:
