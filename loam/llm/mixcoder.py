@@ -3,7 +3,7 @@
 Ids are coded in blocks. Each block starts from a fresh model: an order-2 and an order-1
 table predict the next id from the last two, an order-0 histogram covers the rest. Their
 predictions are mixed with adaptive weights, chosen by how often each table was right
-lately, and drive a 64-bit range coder. Blocks are independent and checksummed, so that
+lately, and drive a 64-bit range coder with carries. Blocks are independent and checksummed, so that
 many are coded side by side as lanes of NumPy arrays; a damaged block is found and the
 others can still be read.
 
@@ -29,74 +29,94 @@ from loam.llm.tokens import encoder, gathered
 MAGIC, VERSION = b"LMIX", 1
 END_ID = 1
 #: Ids of a block, and blocks coded side by side (and so ids of a segment).
-BLOCK, LANES = 4096, 1024
+BLOCK, LANES = 2048, 4096
 _HEAD = struct.Struct("<4sHHIIIQ")  # magic, version, flags, documents, blocks, block size, local start
-_SLOTS, _BINS = 1024, 256
-_TOTAL = 15  # bits of the order-0 histogram
+_SLOTS, _BINS = 512, 256
+_TOTAL = 12  # bits of the order-0 histogram
+_CELL = _TOTAL - 8  # a cell of its inverse covers so many bits
 _REFRESH = 128
+_SEEN = 1 << 16  # mark of a table entry that was right when last asked
+_LEAST, _MOST = 2048, 63488  # bounds of a mixing weight, of 65536
 U = np.uint64
+_WORD, _HALF = U(32), U(16)
+_FULL = U(1 << 32)
 
 
 class _Model:
     """The adaptive state of all lanes; coder and decoder step it alike."""
 
     def __init__(self, lanes: int) -> None:
-        self.base = np.arange(lanes, dtype=np.int64) * _SLOTS
-        self.cells = np.arange(lanes, dtype=np.int64) * 16
-        self.bins = np.arange(lanes, dtype=np.int64) * _BINS
-        self.cums = np.arange(lanes, dtype=np.int64) * (_BINS + 1)
+        lane = np.arange(lanes, dtype=np.int64)
+        self.base, self.cells = lane * _SLOTS, lane * 4
+        self.bins, self.cums = lane * _BINS, lane * (_BINS + 1)
         self.t1 = np.zeros(lanes * _SLOTS, np.int32)
         self.t2 = np.zeros(lanes * _SLOTS, np.int32)
-        self.q1 = np.full(lanes * 16, 1 << 13, np.int32)
-        self.q2 = np.full(lanes * 16, 1 << 13, np.int32)
+        self.q1 = np.full(lanes * 4, 1 << 13, np.int32)
+        self.q2 = np.full(lanes * 4, 1 << 13, np.int32)
         self.count = np.ones(lanes * _BINS, np.int32)
         self.a = np.zeros(lanes, np.int64)
         self.b = np.zeros(lanes, np.int64)
         self.step = 0
-
-    def predict(self) -> None:
+        self.inverse: np.ndarray | None = None
+
+    def _refresh(self, inverse: bool) -> None:
+        counts = self.count.reshape(-1, _BINS)
+        share = (((1 << _TOTAL) - _BINS) / counts.sum(1, keepdims=True)).astype(np.float32)
+        cum = np.zeros((len(counts), _BINS + 1), np.int32)
+        np.cumsum((counts * share).astype(np.int32) + 1, axis=1, out=cum[:, 1:])
+        cum[:, -1] = 1 << _TOTAL
+        self.cum = cum.ravel()
+        if inverse:  # per cell the bin that holds its first value
+            cells = 1 << (_TOTAL - _CELL)
+            first = np.zeros((len(counts), cells + 1), np.int32)
+            rows = np.arange(len(counts))[:, None]
+            first[rows, (cum[:, :-1] + (1 << _CELL) - 1) >> _CELL] = np.arange(_BINS, dtype=np.int32)
+            np.maximum.accumulate(first, axis=1, out=first)
+            self.inverse = first.ravel()
+            self.firsts = np.arange(len(counts), dtype=np.int64) * (cells + 1)
+
+    def predict(self, inverse: bool = False) -> None:
         if self.step % _REFRESH == 0:
-            counts = self.count.reshape(-1, _BINS)
-            free = (1 << _TOTAL) - _BINS
-            freq = 1 + counts * free // counts.sum(1, keepdims=True, dtype=np.int32)
-            cum = np.zeros((len(counts), _BINS + 1), np.int32)
-            np.cumsum(freq, axis=1, out=cum[:, 1:])
-            cum[:, -1] = 1 << _TOTAL
-            self.cum = cum.ravel()
+            self._refresh(inverse)
         self.step += 1
         h = self.a * 40503
-        self.i1 = self.base + ((h >> 4) & (_SLOTS - 1))
-        self.i2 = self.base + (((h * 31 + self.b * 60493) >> 6) & (_SLOTS - 1))
-        self.e1, self.e2 = self.t1[self.i1], self.t2[self.i2]
+        self.i1 = ((h >> 4) & (_SLOTS - 1)) + self.base
+        self.i2 = (((h * 31 + self.b * 60493) >> 6) & (_SLOTS - 1)) + self.base
+        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.p1, self.p2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        self.cell = self.cells + ((self.e2 >> 16) << 2) + (self.e1 >> 16)
-        self.w1, self.w2 = self.q1[self.cell], self.q2[self.cell]
-
-    def update(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        e2, e1, c = self.e2, self.e1, 1 << 16
-        self.t2[self.i2] = np.where(hit2, np.minimum(e2 + c, 3 * c + self.p2), np.where(e2 >= c, e2 - c, s))
-        right = s == self.p1
-        self.t1[self.i1] = np.where(right, np.minimum(e1 + c, 3 * c + self.p1), np.where(e1 >= c, e1 - c, s))
-        self.q2[self.cell] = np.clip(self.w2 + (((hit2 * 65536) - self.w2) >> 5), 64, 65472)
-        moved = np.clip(self.w1 + (((hit1 * 65536) - self.w1) >> 5), 64, 65472)
-        self.q1[self.cell] = np.where(hit2, self.w1, moved)
-        rest = np.flatnonzero(~(hit2 | hit1))
+        self.cell = ((self.e2 >> 16) * 2 + (self.e1 >> 16)) + self.cells
+        self.w1, self.w2 = self.q1.take(self.cell), self.q2.take(self.cell)
+
+    def update(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rest: np.ndarray) -> None:
+        """``rest``: the lanes whose id came from the order-0 histogram."""
+        e2, e1 = self.e2, self.e1
+        # A wrong entry loses its mark first and is replaced if it had none.
+        self.t2[self.i2] = np.where(hit2, e2 | _SEEN, np.where(e2 >= _SEEN, self.p2, s))
+        self.t1[self.i1] = np.where(s == self.p1, e1 | _SEEN, np.where(e1 >= _SEEN, self.p1, s))
+        span = _MOST - _LEAST
+        self.q2[self.cell] = self.w2 + ((hit2 * span + _LEAST - self.w2) >> 5)
+        self.q1[self.cell] = np.where(hit2, self.w1, self.w1 + ((hit1 * span + _LEAST - self.w1) >> 5))
         self.count[self.bins[rest] + (s[rest] >> 8)] += 24
         self.b, self.a = self.a, s.astype(np.int64)
 
 
 def _split(model: _Model, width: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Widths of the order-2 and order-1 intervals, and the unit of the order-0 one."""
-    x2 = (width >> U(16)) * model.w2.astype(U)
-    x1 = ((width - x2) >> U(16)) * model.w1.astype(U)
-    return x2, x1, (width - x2 - x1) >> U(_TOTAL + 8)
+    """Widths of the order-2 and order-1 intervals, and what is left for order 0.
+
+    Widths are at least 2^32 here and each weight leaves at least 1/32, so the unit of the
+    order-0 interval (2^20 of them) is never zero.
+    """
+    x2 = (width >> _HALF) * model.w2.astype(U)
+    left = width - x2
+    x1 = (left >> _HALF) * model.w1.astype(U)
+    return x2, x1, left - x1
 
 
 def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
-    """Words (uint16) of each row of ``ids`` (blocks x block size, below 65536)."""
+    """Words (uint32) of each row of ``ids`` (blocks x block size, below 65536)."""
     lanes, size = ids.shape
     model, rows = _Model(lanes), np.arange(lanes)
-    words = np.zeros((lanes, 2 * size + 12), np.uint16)
+    words = np.zeros((lanes, size + 8), np.uint32)  # at most one word per id, and the last two
     pos = np.ones(lanes, np.int64)  # word 0 takes a carry out of the first
     low, width = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
     columns = np.ascontiguousarray(ids.T.astype(np.int32))
@@ -104,36 +124,38 @@ def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
         model.predict()
         hit2 = s == model.p2
         hit1 = (s == model.p1) & ~hit2
-        x2, x1, unit = _split(model, width)
-        at = model.cums + (s >> 8)
-        start = model.cum[at].astype(np.int64)
+        x2, x1, left = _split(model, width)
+        off, new = np.where(hit2, U(0), x2), np.where(hit2, x2, x1)
+        rest = np.flatnonzero(~(hit2 | hit1))
+        mine = s[rest]
+        at = model.cums[rest] + (mine >> 8)
+        start = model.cum[at]
         freq = model.cum[at + 1] - start
-        place = (start * 256 + (s & 255) * freq).astype(U)
-        off = np.where(hit2, U(0), np.where(hit1, x2, x2 + x1 + unit * place))
-        width = np.where(hit2, x2, np.where(hit1, x1, unit * freq.astype(U)))
+        unit = left[rest] >> U(_TOTAL + 8)
+        off[rest] += x1[rest] + unit * (start * 256 + (mine & 255) * freq).astype(U)
+        new[rest] = unit * freq.astype(U)
         moved = low + off
         over = np.flatnonzero(moved < low)
-        low = moved
+        low, width = moved, new
         if len(over):
             _carry(words, over, pos[over] - 1)
-        while True:
-            small = np.flatnonzero(width < U(1 << 48))
-            if not len(small):
-                break
-            words[small, pos[small]] = low[small] >> U(48)
-            pos[small] += 1
-            low[small] <<= U(16)
-            width[small] <<= U(16)
-        model.update(s, hit2, hit1)
-    for shift in (48, 32, 16, 0):
-        words[rows, pos] = (low >> U(shift)) & U(0xFFFF)
+        small = np.flatnonzero(width < _FULL)
+        out = low[small]
+        where = pos[small]
+        words[small, where] = out >> _WORD
+        pos[small] = where + 1
+        low[small] = out << _WORD
+        width[small] <<= _WORD
+        model.update(s, hit2, hit1, rest)
+    for shift in (32, 0):
+        words[rows, pos] = (low >> U(shift)) & U(0xFFFFFFFF)
         pos += 1
     return [words[k, : pos[k]] for k in rows]
 
 
 def _carry(words: np.ndarray, lanes: np.ndarray, at: np.ndarray) -> None:
     while len(lanes):
-        words[lanes, at] += np.uint16(1)
+        words[lanes, at] += np.uint32(1)
         more = words[lanes, at] == 0
         lanes, at = lanes[more], at[more] - 1
 
@@ -142,43 +164,46 @@ def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
     """The rows that ``encode_blocks`` was given."""
     lanes = len(words)
     model = _Model(lanes)
-    longest = max(len(w) for w in words) + 8
-    held = np.zeros((lanes, longest), np.uint16)
+    longest = max(len(w) for w in words) + 4
+    held = np.zeros((lanes, longest), np.uint32)
     for k, w in enumerate(words):
         held[k, : len(w)] = w
-    flat, pos = held.ravel(), np.arange(lanes, dtype=np.int64) * longest + 1
-    code = np.zeros(lanes, U)
-    for _ in range(4):
-        code = (code << U(16)) | flat[pos].astype(U)
-        pos += 1
+    flat, pos = held.ravel(), np.arange(lanes, dtype=np.int64) * longest + 3
+    code = (flat[pos - 2].astype(U) << _WORD) | flat[pos - 1].astype(U)
     width = np.full(lanes, (1 << 64) - 1, U)
     out = np.empty((size, lanes), np.int32)
     for t in range(size):
-        model.predict()
-        x2, x1, unit = _split(model, width)
+        model.predict(True)
+        x2, x1, left = _split(model, width)
         hit2 = code < x2
-        rest = code - x2
-        hit1 = ~hit2 & (rest < x1)
-        value = np.minimum((rest - x1) // unit, U((1 << (_TOTAL + 8)) - 1)).astype(np.int64)
-        top = np.where(hit2 | hit1, 0, value >> 8).astype(np.int32)
-        bin_ = np.zeros(lanes, np.int64)
-        for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-            bin_ += np.where(model.cum[model.cums + bin_ + bit] <= top, bit, 0)
-        start = model.cum[model.cums + bin_].astype(np.int64)
-        freq = model.cum[model.cums + bin_ + 1] - start
-        small_id = np.minimum((value - start * 256) // freq, 255)
-        s = np.where(hit2, model.p2, np.where(hit1, model.p1, (bin_ * 256 + small_id))).astype(np.int32)
-        place = (start * 256 + small_id * freq).astype(U)
-        code = np.where(hit2, code, np.where(hit1, rest, rest - x1 - unit * place))
-        width = np.where(hit2, x2, np.where(hit1, x1, unit * freq.astype(U)))
-        while True:
-            small = np.flatnonzero(width < U(1 << 48))
-            if not len(small):
-                break
-            code[small] = (code[small] << U(16)) | flat[pos[small]].astype(U)
-            pos[small] += 1
-            width[small] <<= U(16)
-        model.update(s, hit2, hit1)
+        after = code - x2
+        hit1 = ~hit2 & (after < x1)
+        code, width = np.where(hit2, code, after), np.where(hit2, x2, x1)
+        s = np.where(hit2, model.p2, model.p1)
+        rest = np.flatnonzero(~(hit2 | hit1))
+        unit = left[rest] >> U(_TOTAL + 8)
+        mine = code[rest] - x1[rest]
+        value = np.minimum(mine // unit, U((1 << (_TOTAL + 8)) - 1)).astype(np.int64)
+        top = value >> 8
+        cums = model.cums[rest]
+        bin_ = model.inverse[model.firsts[rest] + (top >> _CELL)].astype(np.int64)
+        ahead = np.flatnonzero(model.cum[cums + bin_ + 1] <= top)
+        while len(ahead):
+            bin_[ahead] += 1
+            ahead = ahead[model.cum[cums[ahead] + bin_[ahead] + 1] <= top[ahead]]
+        at = cums + bin_
+        start = model.cum[at]
+        freq = model.cum[at + 1] - start
+        low_bits = ((value - start * 256).astype(np.int32) // freq)
+        s[rest] = (bin_ * 256 + low_bits).astype(np.int32)
+        code[rest] = mine - unit * (start * 256 + low_bits * freq).astype(U)
+        width[rest] = unit * freq.astype(U)
+        small = np.flatnonzero(width < _FULL)
+        where = pos[small]
+        code[small] = (code[small] << _WORD) | flat[where]
+        pos[small] = where + 1
+        width[small] <<= _WORD
+        model.update(s, hit2, hit1, rest)
         out[t] = s
     return out.T
 
@@ -195,11 +220,11 @@ def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray,
     known = np.array([d is not None for d in doc_ids], np.uint8)
     names = np.array([d or 0 for d in doc_ids], "<i8")
     directory = np.array(
-        [(len(w), zlib.crc32(w.astype("<u2").tobytes()), zlib.crc32(ids[k * block : (k + 1) * block].astype("<u4").tobytes())) for k, w in enumerate(words)], "<u4"
+        [(len(w), zlib.crc32(w.astype("<u4").tobytes()), zlib.crc32(ids[k * block : (k + 1) * block].astype("<u4").tobytes())) for k, w in enumerate(words)], "<u4"
     ).reshape(count, 3)
     body = b"".join((names.tobytes(), known.tobytes(), np.array(lengths, "<u8").tobytes(), directory.tobytes()))
     head = _HEAD.pack(MAGIC, VERSION, 0, len(doc_ids), count, block, local_start)
-    return b"".join((head, struct.pack("<I", zlib.crc32(head + body)), body, *(w.astype("<u2").tobytes() for w in words)))
+    return b"".join((head, struct.pack("<I", zlib.crc32(head + body)), body, *(w.astype("<u4").tobytes() for w in words)))
 
 
 def read_segment(data: bytes, lanes: int = LANES) -> tuple[list[int | None], np.ndarray, np.ndarray, int]:
@@ -216,8 +241,8 @@ def read_segment(data: bytes, lanes: int = LANES) -> tuple[list[int | None], np.
     directory = np.frombuffer(data, "<u4", count * 3, at + docs * 17).reshape(count, 3)
     at, total, words = at + size, int(lengths.sum()), []
     for k, (n, check, _) in enumerate(directory.tolist()):
-        words.append(np.frombuffer(data, "<u2", n, at))
-        at += 2 * n
+        words.append(np.frombuffer(data, "<u4", n, at))
+        at += 4 * n
         if zlib.crc32(words[-1].tobytes()) != check:
             raise ValueError(f"damaged block {k}")
     parts = [decode_blocks(words[k : k + lanes], block).ravel() for k in range(0, count, lanes)]

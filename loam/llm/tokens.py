@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Entries of a worker's cache of pieces; bounds its memory, not what is encoded.
-CACHE = 250_000
+CACHE = 500_000
 #: Text handled at once, in bytes.
 CHUNK = 8 << 20
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -70,7 +70,7 @@ class Encoder:
             shown |= dict(zip(text.encode().decode("latin-1"), level.pre_tokenize_str(text)[0][0], strict=True))
         self.shown = str.maketrans(shown)
         self.cap = cache
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
         self.tokens: dict[str, bytes] = {}
 
     def _token(self, token: str) -> bytes:
@@ -87,12 +87,18 @@ class Encoder:
             return b"".join(map(self._token, self.split.findall(piece if self.spaced else piece.lower())))
         return np.array(self.lib.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = self._encode(piece)
-            if len(self.pieces) < self.cap and len(piece) < 64:
-                self.pieces[piece] = found
+    def _pieces(self, array: pa.Array) -> list[bytes]:
+        """Ids of each piece of a large_string array, with the space that comes before it."""
+        offsets = np.frombuffer(array.buffers()[1], np.int64, len(array) + 1, array.offset * 8).tolist()
+        raw = (array.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        keys = [raw[i:j] for i, j in zip(offsets, offsets[1:])]  # noqa: B905 - one shorter by intent
+        found = list(map(self.pieces.get, keys))
+        lead = " " if self.spaced else ""
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = ids = self._encode(lead + keys[k].decode())
+                if len(self.pieces) < self.cap and len(keys[k]) < 64:
+                    self.pieces[keys[k]] = ids
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +123,7 @@ class Encoder:
         if self.spaced:
             flags = pc.match_substring_regex(texts, _INNER)
             for k in np.flatnonzero(flags.to_numpy(zero_copy_only=False)):
-                odd[int(k)] = b"".join(map(self._piece, _RUNS.findall(texts[int(k)].as_py())))
+                odd[int(k)] = b"".join(map(self._encode, _RUNS.findall(texts[int(k)].as_py())))
             if odd:
                 texts = pc.if_else(flags, "", texts)
         lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
@@ -125,12 +131,11 @@ class Encoder:
         coded = pc.dictionary_encode(lists.flatten())
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         starts = starts - starts[0]
-        lead = " " if self.spaced else ""
-        table = [self._piece(lead + p) for p in coded.dictionary.to_pylist()]
+        table = self._pieces(coded.dictionary)
         n = len(table)
         if self.spaced:
             firsts = lists.flatten().take(pa.array(starts[:-1])).to_pylist()
-            table += [odd[k] if k in odd else self._piece(p) for k, p in enumerate(firsts)]
+            table += [odd[k] if k in odd else self._encode(p) for k, p in enumerate(firsts)]
             codes[starts[:-1]] = n + np.arange(len(firsts))
         taken = pa.array(table, pa.large_binary()).take(pa.array(codes))
         ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8)
