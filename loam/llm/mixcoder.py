@@ -34,7 +34,7 @@ _HEAD = struct.Struct("<4sHHIIIQ")  # magic, version, flags, documents, blocks,
 _SLOTS, _BINS = 512, 256
 _TOTAL = 12  # bits of the order-0 histogram
 _CELL = _TOTAL - 8  # a cell of its inverse covers so many bits
-_REFRESH = 128
+_REFRESH = 256
 _SEEN = 1 << 16  # mark of a table entry that was right when last asked
 _LEAST, _MOST = 2048, 63488  # bounds of a mixing weight, of 65536
 U = np.uint64
@@ -119,8 +119,9 @@ def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
     words = np.zeros((lanes, size + 8), np.uint32)  # at most one word per id, and the last two
     pos = np.ones(lanes, np.int64)  # word 0 takes a carry out of the first
     low, width = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
-    columns = np.ascontiguousarray(ids.T.astype(np.int32))
-    for s in columns:
+    columns = np.ascontiguousarray(ids.T)
+    for column in columns:
+        s = column.astype(np.int32)
         model.predict()
         hit2 = s == model.p2
         hit1 = (s == model.p1) & ~hit2
@@ -171,7 +172,7 @@ def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
     flat, pos = held.ravel(), np.arange(lanes, dtype=np.int64) * longest + 3
     code = (flat[pos - 2].astype(U) << _WORD) | flat[pos - 1].astype(U)
     width = np.full(lanes, (1 << 64) - 1, U)
-    out = np.empty((size, lanes), np.int32)
+    out = np.empty((size, lanes), np.uint16)
     for t in range(size):
         model.predict(True)
         x2, x1, left = _split(model, width)
@@ -213,7 +214,7 @@ def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray,
     if len(ids) and int(ids.max()) > 0xFFFF:
         raise ValueError("ids must be below 65536")
     count = -(-len(ids) // block)
-    padded = np.zeros(count * block, np.int32)
+    padded = np.zeros(count * block, np.uint16)
     padded[: len(ids)] = ids
     blocks = padded.reshape(count, block)
     words = [w for k in range(0, count, lanes) for w in encode_blocks(blocks[k : k + lanes])]
@@ -268,7 +269,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLO
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, start, names, counts, streams, held
-            ids = np.concatenate(streams)
+            ids, streams = np.concatenate(streams), []
             data = pack_segment(names, counts, ids, start, block, lanes)
             out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([held], pa.int64()), pa.array([data], pa.binary())], names=["part", "seq", "n_ids", "payload"])
             seq, start, names, counts, streams, held = seq + 1, start + held, [], [], [], 0
