@@ -1,7 +1,7 @@
 """A training-data pipeline over ``documents``: each stage applies one operator to all rows.
 
-Stages: toxicity (toxic rows go), exact deduplication, SimHash near-deduplication (one row
-of each component stays), mixing (rows repeat as often as the mix takes them) and packing.
+Stages: toxicity (toxic rows go), exact deduplication, near-deduplication (one row of each
+component of texts with Jaccard similarity 0.8 or more stays), mixing (rows repeat as often as the mix takes them) and packing.
 Every stage but the last returns the columns of its input; results are written as Parquet
 to the shared folder and read again for the next stage.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import covering, mixing, packing, stream_dedup, toxic_crf
+from loam.llm import covering, jaccard, mixing, packing, stream_dedup, toxic_crf
 from loam.llm.queries import BYTE_BPE
 from loam.llm.shared import located, stage, table
 
@@ -42,8 +42,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates (operator 9) the smallest doc_id stays."""
-    return _only(docs, covering.representatives(covering.near_duplicates(docs)).select("locator"))
+    """Of each component of texts with similarity 0.8 or more over five-word shingles the smallest doc_id stays.
+
+    The radius of operator 9's query (4 bits) links almost none of them; see ``loam.llm.jaccard``.
+    """
+    return _only(docs, covering.representatives(jaccard.near_duplicates(docs)).select("locator"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
