@@ -46,7 +46,7 @@ def q_strip_accents(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def q_titlecase(spark: SparkSession, sf: str) -> DataFrame:
     """F-09, F-10, F-11: titlecase of composed text; tested against a plain Python version."""
-    return t(spark, sf, "documents").select("doc_id", text.titlecase(text.nfc(F.substring("text", 1, 200))).alias("title"))
+    return t(spark, sf, "documents").select("doc_id", text.titlecase(text.nfc(F.col("text"))).alias("title"))
 
 
 @query(f"""WITH d AS (SELECT doc_id, source, lang, {_case(_PLAIN, [(text_p, v) for text_p, v in [("idiot|moron|clown", "insult"), ("schl|keit|lich", "german"), ("cion|mente", "spanish"), ("the|ing", "english"), ("eau|eux", "french")]], "'Others'")} AS topic FROM documents),
