@@ -144,6 +144,13 @@ def q_components(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.clusters(e)
 
 
+@query()
+def q_components_all(spark: SparkSession, sf: str) -> DataFrame:
+    """ER-05, ER-06 over all orders; tested against union-find. ``q_components`` keeps to its oracle's part of the orders."""
+    e = t(spark, sf, "orders").select(F.col("o_custkey").alias("a"), (F.col("o_custkey") + 7 * (1 + F.col("o_custkey") % 3)).alias("b")).distinct()
+    return resolve.clusters(e)
+
+
 @query("""SELECT s_suppkey, 'VIETTEL ' || CAST(s_suppkey AS VARCHAR) AS key FROM supplier""")
 def q_matching_key(spark: SparkSession, sf: str) -> DataFrame:
     """ER-02, ER-03."""
