@@ -1,19 +1,27 @@
 """Operator 7: token ids in a compressed binary format.
 
-Ids are coded in blocks. Each block starts from a fresh model: an order-2 and an order-1
-table predict the next id from the last two, an order-0 histogram covers the rest. Their
-predictions are mixed with adaptive weights, chosen by how often each table was right
-lately, and drive a 64-bit range coder with carries. Blocks are independent and checksummed, so that
-many are coded side by side as lanes of NumPy arrays; a damaged block is found and the
-others can still be read.
-
-A segment (one binary value) is: header, documents (id, flag, count), blocks' directory,
-words of all blocks. Segments hold whole documents, in the order written.
+Ids are coded in blocks. Each block starts from a fresh model and holds nothing of any
+other: the decoder numbers the block's ids by first appearance, and three orders predict
+the next number. Order 2 (a checked hash table by the last two numbers) and order 1 (a table
+by the last one) each propose a candidate with an adaptive confidence; the probability that
+a candidate comes next is a logistic mix, with weights learned online, of both confidences
+and of the candidate's order-0 frequency. If neither comes, order 0 codes the number from
+adaptive counts of the whole block so far, with a share for ids not seen yet by the rule of
+Good and Turing; a new id is written by adaptive bit length and its remaining bits. All of
+it drives one 64-bit range coder with carries. The arithmetic is integer arithmetic and
+exact float products, so that machines agree.
+
+Blocks are coded side by side as lanes of NumPy arrays. Each is checksummed: a damaged block
+is found and the others can still be read. A segment is: header, documents (id, flag,
+count), directory of blocks, words of all blocks. A file (``*.lmix``) holds the segments of
+one partition one after the other; the table of segments names file, offset and length, so
+that files of lost attempts are never read.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,189 +31,342 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.shared import settings, stage
+from loam.llm.shared import located, settings, shared_dir, stage
 from loam.llm.tokens import encoder, gathered
 
-MAGIC, VERSION = b"LMIX", 1
+MAGIC, VERSION = b"LMIX", 2
 END_ID = 1
-#: Ids of a block, and blocks coded side by side (and so ids of a segment).
-BLOCK, LANES = 2048, 4096
+#: Ids of a block (16,383 at most), and blocks coded side by side (and so ids of a segment).
+BLOCK, LANES = 4096, 3072
 _HEAD = struct.Struct("<4sHHIIIQ")  # magic, version, flags, documents, blocks, block size, local start
-_SLOTS, _BINS = 512, 256
-_TOTAL = 12  # bits of the order-0 histogram
-_CELL = _TOTAL - 8  # a cell of its inverse covers so many bits
-_REFRESH = 256
-_SEEN = 1 << 16  # mark of a table entry that was right when last asked
-_LEAST, _MOST = 2048, 63488  # bounds of a mixing weight, of 65536
+_NUMBER = 0x3FFF  # a table entry: check (7 bits), confidence (10), candidate number (14; 0: none)
+_CHECK = 0x7F000000
+_SLOTS2, _SLOTS1 = 4096, 1024  # of the tables of order 2 and order 1
+_BITS = 16  # of the order-0 total
+_LEAST_NEW = 640  # share of unseen ids: enough for all steps between two refreshes to be new ids
+_FRESH, _WEAK = 320, 160  # confidence of a new entry; below this it is replaced
+_RATE = 13
+_MOST = 1 << 17  # of a weight
 U = np.uint64
 _WORD, _HALF = U(32), U(16)
 _FULL = U(1 << 32)
+_STEP = 32  # numbers between two marks of the decoder's coarse search
+
+
+def _tables() -> tuple[np.ndarray, ...]:
+    """Integer logit of a confidence, probability of a mix (12 bits), 256 ln n, and the next confidence after a miss or a hit."""
+    conf = np.arange(1024)
+    share = (conf + 0.5) / 1024
+    logit = np.clip(np.rint(256 * np.log(share / (1 - share))), -2047, 2047).astype(np.int32)
+    squash = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 24, 3840).astype(np.int32)
+    missed = conf - (conf >> 1)
+    after = np.concatenate((np.where(missed >= _WEAK, missed, 0), conf + ((1023 - conf) >> 2))).astype(np.int32)
+    return logit, squash, np.rint(256 * np.log(np.maximum(np.arange(1 << 14), 0.5))).astype(np.int32), after << 14
+
+
+_LOGIT, _SQUASH, _LOG, _AFTER = _tables()
+#: Weights at the start (unit 2^14): confidence of order 2, of order 1 in the same candidate, order 0, bias.
+_START = (15000, 8000, 2500, 0)
+
+
+def _due(size: int) -> set[int]:
+    """Steps in front of which order 0 takes in the counts so far: every step at first, at most 128 apart."""
+    out, at = set(), 0
+    while at < size:
+        out.add(at)
+        at += min(max(1, at >> 3), 128)
+    return out
 
 
 class _Model:
-    """The adaptive state of all lanes; coder and decoder step it alike."""
+    """The adaptive state of all lanes; coder and decoder step it alike, lane by lane."""
 
-    def __init__(self, lanes: int) -> None:
+    def __init__(self, lanes: int, size: int, inverse: bool) -> None:
         lane = np.arange(lanes, dtype=np.int64)
-        self.base, self.cells = lane * _SLOTS, lane * 4
-        self.bins, self.cums = lane * _BINS, lane * (_BINS + 1)
-        self.t1 = np.zeros(lanes * _SLOTS, np.int32)
-        self.t2 = np.zeros(lanes * _SLOTS, np.int32)
-        self.q1 = np.full(lanes * 4, 1 << 13, np.int32)
-        self.q2 = np.full(lanes * 4, 1 << 13, np.int32)
-        self.count = np.ones(lanes * _BINS, np.int32)
-        self.a = np.zeros(lanes, np.int64)
-        self.b = np.zeros(lanes, np.int64)
+        self.lanes, self.lane, self.inverse, self.due = lanes, lane, inverse, _due(size)
+        self.table = np.zeros(lanes * (_SLOTS2 + _SLOTS1), np.int32)  # order 2, then order 1
+        self.base2, self.base1 = lane * _SLOTS2, lane * _SLOTS1 + lanes * _SLOTS2
+        self.count, self.cum = np.zeros((lanes, 1), np.int32), np.zeros((lanes, 2), np.int32)
+        self._grow(256)
+        self.coarse = np.zeros((1, lanes), np.int32)
+        self.known = np.zeros(lanes, np.int64)  # numbers given so far
+        self.weights = [np.full(lanes, w, np.int32) for w in _START]
+        self.lengths = np.repeat(np.arange(18, dtype=np.int32)[:, None], lanes, axis=1)  # cumulative counts of bit lengths
+        self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.index = np.empty((2, lanes), np.int64)
         self.step = 0
-        self.inverse: np.ndarray | None = None
-
-    def _refresh(self, inverse: bool) -> None:
-        counts = self.count.reshape(-1, _BINS)
-        share = (((1 << _TOTAL) - _BINS) / counts.sum(1, keepdims=True)).astype(np.float32)
-        cum = np.zeros((len(counts), _BINS + 1), np.int32)
-        np.cumsum((counts * share).astype(np.int32) + 1, axis=1, out=cum[:, 1:])
-        cum[:, -1] = 1 << _TOTAL
-        self.cum = cum.ravel()
-        if inverse:  # per cell the bin that holds its first value
-            cells = 1 << (_TOTAL - _CELL)
-            first = np.zeros((len(counts), cells + 1), np.int32)
-            rows = np.arange(len(counts))[:, None]
-            first[rows, (cum[:, :-1] + (1 << _CELL) - 1) >> _CELL] = np.arange(_BINS, dtype=np.int32)
-            np.maximum.accumulate(first, axis=1, out=first)
-            self.inverse = first.ravel()
-            self.firsts = np.arange(len(counts), dtype=np.int64) * (cells + 1)
-
-    def predict(self, inverse: bool = False) -> None:
-        if self.step % _REFRESH == 0:
-            self._refresh(inverse)
+
+    def _grow(self, cap: int) -> None:
+        """Room for ``cap`` numbers. Number n has the interval [cum[n], cum[n + 1]); the one after the last stands for unseen ids."""
+        count, cum = np.zeros((self.lanes, cap + 4), np.int32), np.full((self.lanes, cap + 4), 1 << _BITS, np.int32)
+        count[:, : self.count.shape[1]] = self.count
+        cum[:, : self.cum.shape[1]] = self.cum
+        self.count, self.cum, self.cap = count, cum, cap
+        self.flat_count, self.flat_cum = count.ravel(), cum.ravel()
+        self.row = self.lane * (cap + 4)
+
+    def _refresh(self) -> None:
+        """Order-0 intervals from the counts; weights back into their bounds."""
+        for w in self.weights:
+            np.clip(w, -_MOST, _MOST, out=w)
+        most = int(self.known.max())
+        if not most:
+            return
+        counts = self.count[:, 1 : most + 1]
+        new = np.clip(((counts == 1).sum(1, dtype=np.int32) << _BITS) // self.step, _LEAST_NEW, 1 << (_BITS - 1))
+        known = self.known.astype(np.int32)
+        width = counts * (((((1 << _BITS) - new - known) << 12) // self.step)[:, None])  # a count is at most the steps: no overflow
+        width >>= 12
+        width += counts > 0
+        np.cumsum(width, axis=1, out=self.cum[:, 2 : most + 2])
+        np.putmask(self.cum[:, : most + 2], np.arange(most + 2, dtype=np.int32) > (known + 1)[:, None], 1 << _BITS)
+        if self.inverse:
+            self.coarse = np.ascontiguousarray(self.cum[:, 1 : most + 2 : _STEP].T)
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The number whose interval holds the value; one above the last known for an unseen id."""
+        found = (self.coarse <= value).sum(0, dtype=np.int16).astype(np.int64)
+        found -= 1
+        found *= _STEP
+        found += 1 + self.row
+        step = _STEP >> 1
+        while step:
+            found += step * (self.flat_cum.take(found + step, mode="clip") <= value)
+            step >>= 1
+        last = self.row + self.known + 1
+        found = np.where(self.flat_cum.take(last) <= value, last, found)
+        more = (self.flat_cum.take(found + 1) <= value).nonzero()[0]
+        while len(more):  # numbers given since the marks were set
+            found[more] += 1
+            more = more[self.flat_cum[found[more] + 1] <= value[more]]
+        return found - self.row
+
+    def predict(self) -> None:
+        """A candidate per lane and its probability (12 bits; 16 bits in ``wide``, 0 without a candidate)."""
+        if self.step in self.due:
+            self._refresh()
+        h = self.a * 0x9E3779B1
+        h += self.b * 0x85EBCA77
+        np.add((h >> 9) & (_SLOTS2 - 1), self.base2, out=self.index[0])
+        np.add(self.a & (_SLOTS1 - 1), self.base1, out=self.index[1])
+        self.check = (h & _CHECK).astype(np.int32)
+        entry = self.table.take(self.index)
+        entry[0] ^= self.check
+        entry[0] *= entry[0] <= 0xFFFFFF
+        self.cands = cands = entry & _NUMBER
+        self.conf = conf = entry >> 14
+        use2 = cands[0] > 0
+        self.cand = cand = np.where(use2, cands[0], cands[1])
+        self.has = cand > 0
+        logit = _LOGIT.take(conf)
+        self.x2 = logit[0] * use2
+        self.x1 = logit[1] * (cands[1] == cand)
+        self.x0 = _LOG.take(self.flat_count.take(self.row + cand))
+        self.x0 -= _LOG[min(self.step, len(_LOG) - 1)]
+        w2, w1, w0, bias = self.weights
+        z = w2 * self.x2
+        z += w1 * self.x1
+        z += w0 * self.x0
+        z >>= 14
+        z += bias
+        z += 2048
+        self.p = _SQUASH.take(z, mode="clip")
+        self.wide = ((self.p << 4) * self.has).astype(U)
+
+    def literal(self, new: np.ndarray, width: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit of the bit lengths' interval, where ``length`` starts in it, and the width of one id of that length."""
+        start, stop = self.lengths[length, new].astype(U), self.lengths[length + 1, new].astype(U)
+        unit = width // self.lengths[17, new].astype(U)
+        return unit, start, (unit * (stop - start)) >> np.maximum(length - 1, 0).astype(U)
+
+    def met(self, new: np.ndarray, length: np.ndarray) -> None:
+        self.lengths[:, new] += (np.arange(18)[:, None] > length) * np.int32(2)
+
+    def update(self, s: np.ndarray, hit: np.ndarray, new: np.ndarray) -> None:
+        """Take in the numbers ``s``; ``new`` are the lanes where they are new."""
+        err = (hit.astype(np.int32) << 12) - self.p
+        err *= self.has
+        w2, w1, w0, bias = self.weights
+        w2 += (self.x2 * err) >> _RATE
+        w1 += (self.x1 * err) >> _RATE
+        w0 += (self.x0 * err) >> _RATE
+        bias += err >> 9
+        s32 = s.astype(np.int32)
+        after = _AFTER.take(self.conf + ((self.cands == s32) * np.int32(1024)))
+        entry = np.where(after > 0, after + self.cands, s32 + np.int32(_FRESH << 14))
+        entry[0] ^= self.check
+        self.table[self.index] = entry
+        if len(new):
+            known = self.known[new] + 1
+            self.known[new] = known
+            if int(known.max()) >= self.cap:
+                self._grow(self.cap * 2)
+            at = self.row[new] + known
+            start = self.flat_cum[at]
+            left = (1 << _BITS) - start
+            self.flat_cum[at + 1] = start + np.where(left >= 64, left >> 5, 1)
+        self.flat_count[self.row + s] += 1
+        self.b, self.a = self.a, s
         self.step += 1
-        h = self.a * 40503
-        self.i1 = ((h >> 4) & (_SLOTS - 1)) + self.base
-        self.i2 = (((h * 31 + self.b * 60493) >> 6) & (_SLOTS - 1)) + self.base
-        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        self.p1, self.p2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        self.cell = ((self.e2 >> 16) * 2 + (self.e1 >> 16)) + self.cells
-        self.w1, self.w2 = self.q1.take(self.cell), self.q2.take(self.cell)
-
-    def update(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rest: np.ndarray) -> None:
-        """``rest``: the lanes whose id came from the order-0 histogram."""
-        e2, e1 = self.e2, self.e1
-        # A wrong entry loses its mark first and is replaced if it had none.
-        self.t2[self.i2] = np.where(hit2, e2 | _SEEN, np.where(e2 >= _SEEN, self.p2, s))
-        self.t1[self.i1] = np.where(s == self.p1, e1 | _SEEN, np.where(e1 >= _SEEN, self.p1, s))
-        span = _MOST - _LEAST
-        self.q2[self.cell] = self.w2 + ((hit2 * span + _LEAST - self.w2) >> 5)
-        self.q1[self.cell] = np.where(hit2, self.w1, self.w1 + ((hit1 * span + _LEAST - self.w1) >> 5))
-        self.count[self.bins[rest] + (s[rest] >> 8)] += 24
-        self.b, self.a = self.a, s.astype(np.int64)
-
-
-def _split(model: _Model, width: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Widths of the order-2 and order-1 intervals, and what is left for order 0.
-
-    Widths are at least 2^32 here and each weight leaves at least 1/32, so the unit of the
-    order-0 interval (2^20 of them) is never zero.
-    """
-    x2 = (width >> _HALF) * model.w2.astype(U)
-    left = width - x2
-    x1 = (left >> _HALF) * model.w1.astype(U)
-    return x2, x1, left - x1
 
 
-def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
-    """Words (uint32) of each row of ``ids`` (blocks x block size, below 65536)."""
-    lanes, size = ids.shape
-    model, rows = _Model(lanes), np.arange(lanes)
-    words = np.zeros((lanes, size + 8), np.uint32)  # at most one word per id, and the last two
-    pos = np.ones(lanes, np.int64)  # word 0 takes a carry out of the first
-    low, width = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
-    columns = np.ascontiguousarray(ids.T)
-    for column in columns:
-        s = column.astype(np.int32)
-        model.predict()
-        hit2 = s == model.p2
-        hit1 = (s == model.p1) & ~hit2
-        x2, x1, left = _split(model, width)
-        off, new = np.where(hit2, U(0), x2), np.where(hit2, x2, x1)
-        rest = np.flatnonzero(~(hit2 | hit1))
-        mine = s[rest]
-        at = model.cums[rest] + (mine >> 8)
-        start = model.cum[at]
-        freq = model.cum[at + 1] - start
-        unit = left[rest] >> U(_TOTAL + 8)
-        off[rest] += x1[rest] + unit * (start * 256 + (mine & 255) * freq).astype(U)
-        new[rest] = unit * freq.astype(U)
-        moved = low + off
-        over = np.flatnonzero(moved < low)
-        low, width = moved, new
+def _numbers(blocks: np.ndarray) -> np.ndarray:
+    """Per block each id's number, from 1, by first appearance."""
+    out, place = np.empty(blocks.shape, np.uint16), np.arange(blocks.shape[1])
+    first = np.empty(1 << 16, np.int64)
+    for ids, row in zip(blocks, out, strict=True):
+        first[ids[::-1]] = place[::-1]
+        at = first[ids]
+        row[:] = np.cumsum(at == place).take(at)
+    return out
+
+
+class _Writer:
+    """Range coders of all lanes."""
+
+    def __init__(self, lanes: int, size: int) -> None:
+        self.stride = size // 2 + 600
+        self.words = np.zeros(lanes * self.stride, np.uint32)
+        self.start = np.arange(lanes, dtype=np.int64) * self.stride
+        self.pos = self.start + 1  # a first word takes a carry out of the second
+        self.low, self.width = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
+
+    def room(self) -> None:
+        """Room for 128 more ids, which take two words each at most, and for the last words."""
+        if int((self.pos - self.start).max()) + 300 > self.stride:
+            lanes = len(self.pos)
+            words = np.zeros((lanes, 2 * self.stride), np.uint32)
+            words[:, : self.stride] = self.words.reshape(lanes, -1)
+            start = np.arange(lanes, dtype=np.int64) * 2 * self.stride
+            self.pos += start - self.start
+            self.words, self.start, self.stride = words.ravel(), start, 2 * self.stride
+
+    def _carry(self, at: np.ndarray) -> None:
+        while len(at):
+            self.words[at] += np.uint32(1)
+            at = at[self.words[at] == 0] - 1
+
+    def put(self, moved: np.ndarray, width: np.ndarray) -> None:
+        """Narrow every lane to ``[low + moved, + width)``."""
+        low = self.low + moved
+        over = (low < moved).nonzero()[0]
         if len(over):
-            _carry(words, over, pos[over] - 1)
-        small = np.flatnonzero(width < _FULL)
-        out = low[small]
-        where = pos[small]
-        words[small, where] = out >> _WORD
-        pos[small] = where + 1
+            self._carry(self.pos[over] - 1)
+        small = (width < _FULL).nonzero()[0]
+        out, where = low[small], self.pos[small]
+        self.words[where] = out >> _WORD
+        self.pos[small] = where + 1
         low[small] = out << _WORD
         width[small] <<= _WORD
-        model.update(s, hit2, hit1, rest)
-    for shift in (32, 0):
-        words[rows, pos] = (low >> U(shift)) & U(0xFFFFFFFF)
-        pos += 1
-    return [words[k, : pos[k]] for k in rows]
+        self.low, self.width = low, width
+
+    def put_some(self, lanes: np.ndarray, moved: np.ndarray, width: np.ndarray) -> None:
+        """The same in some lanes."""
+        low = self.low[lanes] + moved
+        self._carry(self.pos[lanes[low < moved]] - 1)
+        small = (width < _FULL).nonzero()[0]
+        where = self.pos[lanes[small]]
+        self.words[where] = low[small] >> _WORD
+        self.pos[lanes[small]] = where + 1
+        low[small] <<= _WORD
+        width[small] <<= _WORD
+        self.low[lanes], self.width[lanes] = low, width
+
+    def done(self) -> list[np.ndarray]:
+        for shift in (32, 0):
+            self.words[self.pos] = (self.low >> U(shift)) & U(0xFFFFFFFF)
+            self.pos += 1
+        return [self.words[a:b] for a, b in zip(self.start.tolist(), self.pos.tolist(), strict=True)]
 
 
-def _carry(words: np.ndarray, lanes: np.ndarray, at: np.ndarray) -> None:
-    while len(lanes):
-        words[lanes, at] += np.uint32(1)
-        more = words[lanes, at] == 0
-        lanes, at = lanes[more], at[more] - 1
+def _bit_length(ids: np.ndarray) -> np.ndarray:
+    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)
+
+
+def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
+    """Words (uint32) of each row of ``ids`` (blocks x block size, below 65536)."""
+    lanes, size = ids.shape
+    model, out = _Model(lanes, size, False), _Writer(lanes, size)
+    columns, values = np.ascontiguousarray(_numbers(ids).T), np.ascontiguousarray(ids.T)
+    for t, column in enumerate(columns):
+        if t % 128 == 0:
+            out.room()
+        s = column.astype(np.int64)
+        model.predict()
+        hit = s == model.cand
+        x = (out.width >> _HALF) * model.wide
+        unit = (out.width - x) >> U(_BITS)
+        at = model.row + s
+        start = model.flat_cum.take(at)
+        freq = model.flat_cum.take(at + 1) - start
+        out.put(np.where(hit, U(0), x + unit * start.astype(U)), np.where(hit, x, unit * freq.astype(U)))
+        new = (s > model.known).nonzero()[0]
+        if len(new):
+            literal = values[t, new].astype(np.int64)
+            length = _bit_length(literal)
+            unit, start, fine = model.literal(new, out.width[new], length)
+            out.put_some(new, unit * start + fine * (literal - ((1 << length) >> 1)).astype(U), fine)
+            model.met(new, length)
+        model.update(s, hit, new)
+    return out.done()
 
 
 def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
     """The rows that ``encode_blocks`` was given."""
     lanes = len(words)
-    model = _Model(lanes)
-    longest = max(len(w) for w in words) + 4
+    model = _Model(lanes, size, True)
+    longest = max(len(w) for w in words) + 8
     held = np.zeros((lanes, longest), np.uint32)
     for k, w in enumerate(words):
         held[k, : len(w)] = w
-    flat, pos = held.ravel(), np.arange(lanes, dtype=np.int64) * longest + 3
-    code = (flat[pos - 2].astype(U) << _WORD) | flat[pos - 1].astype(U)
+    flat, pos = held.ravel().astype(U), np.arange(lanes, dtype=np.int64) * longest + 3
+    last = np.arange(1, lanes + 1, dtype=np.int64) * longest - 1  # damaged words can't lead out of their lane
+    code = (flat[pos - 2] << _WORD) | flat[pos - 1]
     width = np.full(lanes, (1 << 64) - 1, U)
+    names = np.zeros((lanes, 512), np.uint16)
+    flat_names, name_row = names.ravel(), model.lane * names.shape[1]
     out = np.empty((size, lanes), np.uint16)
-    for t in range(size):
-        model.predict(True)
-        x2, x1, left = _split(model, width)
-        hit2 = code < x2
-        after = code - x2
-        hit1 = ~hit2 & (after < x1)
-        code, width = np.where(hit2, code, after), np.where(hit2, x2, x1)
-        s = np.where(hit2, model.p2, model.p1)
-        rest = np.flatnonzero(~(hit2 | hit1))
-        unit = left[rest] >> U(_TOTAL + 8)
-        mine = code[rest] - x1[rest]
-        value = np.minimum(mine // unit, U((1 << (_TOTAL + 8)) - 1)).astype(np.int64)
-        top = value >> 8
-        cums = model.cums[rest]
-        bin_ = model.inverse[model.firsts[rest] + (top >> _CELL)].astype(np.int64)
-        ahead = np.flatnonzero(model.cum[cums + bin_ + 1] <= top)
-        while len(ahead):
-            bin_[ahead] += 1
-            ahead = ahead[model.cum[cums[ahead] + bin_[ahead] + 1] <= top[ahead]]
-        at = cums + bin_
-        start = model.cum[at]
-        freq = model.cum[at + 1] - start
-        low_bits = ((value - start * 256).astype(np.int32) // freq)
-        s[rest] = (bin_ * 256 + low_bits).astype(np.int32)
-        code[rest] = mine - unit * (start * 256 + low_bits * freq).astype(U)
-        width[rest] = unit * freq.astype(U)
-        small = np.flatnonzero(width < _FULL)
+
+    def refill(small: np.ndarray) -> None:
         where = pos[small]
         code[small] = (code[small] << _WORD) | flat[where]
-        pos[small] = where + 1
+        pos[small] = np.minimum(where + 1, last[small])
         width[small] <<= _WORD
-        model.update(s, hit2, hit1, rest)
-        out[t] = s
+
+    for t in range(size):
+        model.predict()
+        x = (width >> _HALF) * model.wide
+        hit = code < x
+        unit = (width - x) >> U(_BITS)
+        after = code - x
+        value = np.minimum(after // unit, U((1 << _BITS) - 1)).astype(np.int32)
+        value[hit] = 0
+        found = model.find(value)
+        at = model.row + found
+        start = model.flat_cum.take(at)
+        freq = model.flat_cum.take(at + 1) - start
+        s = np.where(hit, model.cand, found)
+        code = np.where(hit, code, after - unit * start.astype(U))
+        width = np.where(hit, x, unit * freq.astype(U))
+        refill((width < _FULL).nonzero()[0])
+        new = (s > model.known).nonzero()[0]
+        if len(new):
+            total = model.lengths[17, new].astype(U)
+            value = np.minimum(code[new] // (width[new] // total), total - U(1)).astype(np.int32)
+            length = (model.lengths[1:17].take(new, axis=1) <= value).sum(0)
+            unit, start, fine = model.literal(new, width[new], length)
+            mine = code[new] - unit * start
+            low = np.minimum(mine // fine, (U(1) << np.maximum(length - 1, 0).astype(U)) - U(1))
+            code[new], width[new] = mine - fine * low, fine
+            refill(new[fine < _FULL])
+            model.met(new, length)
+            at = model.known[new] + 1
+            if int(at.max()) >= names.shape[1]:
+                names = np.concatenate((names, np.zeros_like(names)), axis=1)
+                flat_names, name_row = names.ravel(), model.lane * names.shape[1]
+            flat_names[name_row[new] + at] = low.astype(np.int64) + ((1 << length) >> 1)
+        model.update(s, hit, new)
+        flat_names.take(name_row + s, out=out[t], mode="clip")
     return out.T
 
 
@@ -244,7 +405,7 @@ def read_segment(data: bytes, lanes: int = LANES) -> tuple[list[int | None], np.
     for k, (n, check, _) in enumerate(directory.tolist()):
         words.append(np.frombuffer(data, "<u4", n, at))
         at += 4 * n
-        if zlib.crc32(words[-1].tobytes()) != check:
+        if len(words[-1]) != n or zlib.crc32(words[-1].tobytes()) != check:
             raise ValueError(f"damaged block {k}")
     parts = [decode_blocks(words[k : k + lanes], block).ravel() for k in range(0, count, lanes)]
     ids = (np.concatenate(parts) if parts else np.zeros(0)).astype("<u4")[:total]
@@ -254,71 +415,102 @@ def read_segment(data: bytes, lanes: int = LANES) -> tuple[list[int | None], np.
     return [int(n) if ok else None for n, ok in zip(names, known, strict=True)], lengths, ids, local_start
 
 
-SEGMENTS = "part int, seq int, n_ids long, payload binary"
+SEGMENTS = "part int, seq int, n_ids long, path string, at long, bytes long"
+#: Input bytes of one task: enough ids to fill the lanes, if there are so many.
+TASK, LEAST_TASK = 20 << 20, 4 << 20
+
 
+def _tasks(docs: DataFrame) -> int:
+    """Tasks to write with, from the size Spark estimates; never more than shuffles have."""
+    spark = docs.sparkSession
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = min(spark.sparkContext.defaultParallelism, size // LEAST_TASK)
+    return max(1, min(max(size // TASK, cores), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
-def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLOCK, lanes: int = LANES) -> DataFrame:
-    """Segments of all rows in ascending doc_id order (ties by text, null last), in the shared folder.
 
-    ``part`` and ``seq`` give the order; a segment holds about ``block * lanes`` ids.
+def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLOCK, lanes: int = LANES, folder: str | None = None) -> DataFrame:
+    """Files of all rows in ascending doc_id order below ``folder`` (default: in the shared folder); their table of segments.
+
+    Ties go by the first 100 characters of the text, then by file and row, so that a doc_id
+    that many rows share is spread over tasks; rows without doc_id come last. ``part`` and
+    ``seq`` give the order; a segment holds about ``block * lanes`` ids, or one longer
+    document. Null texts count as empty. An empty table gives no segments; other columns
+    are ignored. ``folder`` must be in a store that pyarrow can write to.
     """
+    spark = docs.sparkSession
+    folder = folder or f"{shared_dir(spark)}/ids"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         enc, part = encoder(path), TaskContext.get().partitionId()
-        seq, start, names, counts, streams, held = 0, 0, [], [], [], 0
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root)
+        name = f"{root}/part-{part:05d}-{uuid.uuid4().hex}.lmix"
+        seq, start, names, counts, streams, held, at, file = 0, 0, [], [], [], 0, 0, None
 
         def flush() -> pa.RecordBatch:
-            nonlocal seq, start, names, counts, streams, held
+            nonlocal seq, start, names, counts, streams, held, at, file
             ids, streams = np.concatenate(streams), []
             data = pack_segment(names, counts, ids, start, block, lanes)
-            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([held], pa.int64()), pa.array([data], pa.binary())], names=["part", "seq", "n_ids", "payload"])
-            seq, start, names, counts, streams, held = seq + 1, start + held, [], [], [], 0
-            return out
+            file = file or store.open_output_stream(name)
+            file.write(data)
+            row = {"part": part, "seq": seq, "n_ids": held, "path": name, "at": at, "bytes": len(data)}
+            seq, start, names, counts, streams, held, at = seq + 1, start + held, [], [], [], 0, at + len(data)
+            return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_ids", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("bytes", pa.int64())]))
 
         for table in gathered(batches):
             ids, offsets = enc.encode(table["text"])
             stream = np.insert(ids, offsets[1:], np.uint32(end_id)).astype("<u4")
-            ends = offsets[1:] + np.arange(1, len(offsets))
-            sizes = np.diff(ends, prepend=0)
-            own, at = table["doc_id"].to_pylist(), 0
+            sizes = np.diff(offsets) + 1
+            own, done = table["doc_id"].to_pylist(), 0
             for k, n in enumerate(sizes.tolist()):
                 names.append(own[k])
                 counts.append(n)
-                streams.append(stream[at : at + n])
-                at, held = at + n, held + n
+                streams.append(stream[done : done + n])
+                done, held = done + n, held + n
                 if held >= block * lanes:
                     yield flush()
         if names:
             yield flush()
+        if file:
+            file.close()
 
-    order = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
-    with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
-        return stage(order.mapInArrow(run, SEGMENTS), "segments")
+    keys = [F.col("doc_id").asc_nulls_last(), F.left("text", F.lit(100)).asc_nulls_first(), F.col("locator").asc()]
+    order = located(docs, "doc_id", "text").repartitionByRange(_tasks(docs), *keys).sortWithinPartitions(*keys)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
+        written = stage(order.select("doc_id", "text").mapInArrow(run, SEGMENTS), "segments")
+    return written.withColumn("folder", F.lit(folder))
 
 
 def read_ids(segments: DataFrame, lanes: int = LANES) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the segments."""
+    """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for batch in batches:
-            for part, data in zip(batch["part"].to_pylist(), batch["payload"], strict=True):
-                names, lengths, ids, start = read_segment(data.as_py(), lanes)
+            for row in batch.to_pylist():
+                store, _ = fs.FileSystem.from_uri(row["folder"])
+                with store.open_input_file(row["path"]) as file:
+                    file.seek(row["at"])
+                    names, lengths, ids, start = read_segment(file.read(row["bytes"]), lanes)
                 ends = np.cumsum(lengths)
                 crc = [zlib.crc32(ids[e - n : e].data) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(names), pa.int32()), pa.array(names, pa.int64()), pa.array(ends - lengths + start), pa.array(lengths), pa.array(crc, pa.int64())],
+                    [pa.array([row["part"]] * len(names), pa.int32()), pa.array(names, pa.int64()), pa.array(ends - lengths + start), pa.array(lengths), pa.array(crc, pa.int64())],
                     names=["part", "doc_id", "local", "n_tokens", "ids_crc32"],
                 )
 
     spark = segments.sparkSession
     # One row per written partition reaches the driver.
-    totals = sorted(tuple(r) for r in segments.groupBy("part").agg(F.sum("n_ids")).collect())
+    totals = sorted(tuple(r) for r in segments.groupBy("part").agg(F.sum("n_ids"), F.count(F.lit(1))).collect())
     before, base = [], 0
-    for part, n in totals:
+    for part, n, _ in totals:
         before.append((part, base))
         base += n
-    # A read task holds a few segments; their sizes are bounded by ``block * lanes``.
-    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="4"):
-        read = stage(segments.select("part", "payload").mapInArrow(run, "part int, doc_id long, local long, n_tokens long, ids_crc32 long"), "read")
+    # A row is a few numbers, its segment is read in its task: one segment at a time.
+    spread = segments.repartitionByRange(max(1, min(sum(k for _, _, k in totals), 10_000)), "part", "seq")
+    read = stage(spread.mapInArrow(run, "part int, doc_id long, local long, n_tokens long, ids_crc32 long"), "read")
     starts = F.broadcast(spark.createDataFrame(before, "part int, base long"))
     return read.join(starts, "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")

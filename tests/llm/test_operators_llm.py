@@ -240,6 +240,44 @@ def test_coder_compresses_and_finds_damage():
         mixcoder.pack_segment([1], [1], np.array([70000], "<u4"), 0)
 
 
+def adaptive_order0_bits(block):
+    """Cost of an adaptive order-0 coder that starts afresh: counts so far, an escape by distinct ids, 16 bits for a new id."""
+    seen, bits = Counter(), 0.0
+    for n, x in enumerate(block.tolist()):
+        total = n + len(seen)
+        bits += math.log2(total / seen[x]) if seen[x] else (math.log2(total / len(seen)) if seen else 0) + 16
+        seen[x] += 1
+    return bits
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_coder_beats_simpler_coders_on_the_same_blocks():
+    import pyarrow.parquet as pq
+
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet").sort_by("doc_id")
+    ids = Encoder(queries.WORD_BPE).encode(docs["text"])[0].astype(np.uint16)
+    blocks = ids[: len(ids) // mixcoder.BLOCK * mixcoder.BLOCK].reshape(-1, mixcoder.BLOCK)
+    own = sum(32 * len(w) for w in mixcoder.encode_blocks(blocks))
+    assert own < sum(8 * len(zlib.compress(b.tobytes(), 9)) for b in blocks)
+    assert own < sum(map(adaptive_order0_bits, blocks))
+
+
+def test_blocks_are_independent():
+    rng = np.random.default_rng(12)
+    blocks = np.minimum(rng.geometric(0.01, (6, 900)), 65535).astype(np.uint16)
+    blocks[3] = np.arange(900) * 70
+    together = mixcoder.encode_blocks(blocks)
+    for k, words in enumerate(together):
+        assert np.array_equal(mixcoder.encode_blocks(blocks[k : k + 1])[0], words)
+        assert np.array_equal(mixcoder.decode_blocks([words], 900)[0], blocks[k])
+
+
+def test_files_hold_the_segments(spark, edge, tmp_path):
+    table = mixcoder.write_ids(edge, queries.WORD_BPE, block=64, lanes=4, folder=f"file://{tmp_path}/ids").collect()
+    files = {p: p.stat().st_size for p in (tmp_path / "ids").iterdir()}
+    assert files and {str(p) for p in files} == {r.path for r in table} and sum(files.values()) == sum(r.bytes for r in table)
+
+
 def test_write_and_read_ids(spark, edge, empty):
     got = mixcoder.read_ids(mixcoder.write_ids(edge, queries.WORD_BPE, block=64, lanes=4)).collect()
     enc = Encoder(queries.WORD_BPE).lib
