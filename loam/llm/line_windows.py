@@ -1,25 +1,19 @@
 """Operator 10: repeated passages as overlapping three-line windows.
 
-Each run of three consecutive lines is hashed (128 bits). A window's first occurrence,
-by doc_id and position, stays; the lines of later occurrences go, overlapping windows
-being merged. Built-in functions only: two narrow shuffles by window and one by document.
+Each run of three consecutive lines is hashed (128 bits). A window's first occurrence, by
+doc_id, row and position, stays; the lines of later occurrences go, overlapping windows
+being merged. Built-in functions only: windows that occur once end after one narrow
+aggregate, the others meet by window, then by document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loam.llm.shared import located, stage
 
 WIDTH = 3
-#: Room for positions when (doc_id, position) is packed into one number to be minimised.
-POSITIONS = 1 << 32
-
-
-def _place(doc_id: Column, at: Column) -> Column:
-    """(doc_id, position) as one decimal in the same order; null without doc_id."""
-    return (doc_id.cast("decimal(20,0)") * F.lit(POSITIONS).cast("decimal(10,0)") + at.cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def windows(lined: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -41,19 +35,20 @@ def line_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, locator, text, n_lines, n_removed: one row per row of ``docs``.
 
     Lines are split at ``\\n`` and compared as they are. A text of fewer lines than
-    ``width`` stays whole; null counts as empty. Windows of blank lines only don't
-    count. Without doc_id a row comes after all that have one: it loses windows that
-    they hold and keeps the rest. Rows that share a doc_id and hold a window at the same
-    line are one occurrence. Empty tables give no rows; other columns are ignored.
+    ``width`` stays whole; null counts as empty. Windows of blank lines only don't count.
+    Occurrences are ordered by doc_id (rows without one come last), file and row, and
+    position; of rows that repeat, also with one doc_id or none, the first keeps its lines.
+    Empty tables give no rows; other columns are ignored.
     """
     base = located(docs, "doc_id", "text")
     lined = base.select("locator", "doc_id", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
     held = stage(windows(lined, width), "windows")
-    place = _place(F.col("doc_id"), F.col("at"))
-    repeated = (
-        held.groupBy("win").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL").select("win", "first")
-    )
-    later = held.join(repeated, "win").where(F.coalesce(place > F.col("first"), F.lit(True)))
+    # A count needs no order and is combined before the shuffle; only repeated windows go on.
+    repeated = held.groupBy("win").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("win")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "locator", "at")
+    met = stage(held.join(repeated, "win").select("win", "locator", "at", place.alias("place")), "repeated")
+    first = met.groupBy("win").agg(F.min("place").alias("first"))
+    later = met.join(first, "win").where(F.col("place") > F.col("first"))
     covered = later.groupBy("locator").agg(F.collect_set("at").alias("starts"))
     whole = lined.join(covered, "locator", "left")
     # Positions covered by any window; hash-based set functions, linear in the lines.

@@ -3,8 +3,10 @@
 Each document of a source is to be taken target / source_size times on average. Whole
 copies are certain; the fractions are rounded dependently: two fractional probabilities
 meet, mass moves at random from one to the other until one is 0 or 1, the other goes on.
-Documents meet in order of size, so the words taken hardly drift. Every bucket leaves at
-most one fraction; the fractions of a source are combined level by level, FAN to one.
+There is one draw, so every document is taken with exactly its probability. Only documents
+of nearly one size meet (buckets hold one class of sizes, in order of size), so mass moves
+between alike numbers of words and the total hardly drifts. Every bucket leaves at most one
+fraction; the fractions of a source are combined level by level, neighbours in size first.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loam.llm.shared import WORD, located, stage
 
@@ -20,36 +23,45 @@ SEED = 20
 #: Documents of one bucket: bounds what one task holds.
 BUCKET = 2_000
 FAN = 64
-#: Roundings drawn for a small bucket (that many documents in all); the one nearest to the words due is kept.
-DRAWS, DRAWN = 64, 100_000
+#: Size classes per doubling of the size.
+CLASSES = 4
 CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 _EPS = 1e-9
-_ROW = "locator string, doc_id long, source string, size long, rank int, p double, bucket long, copies int"
+_ROW = "locator string, doc_id long, source string, size long, source_size long, target double, rank long, key long, p double, bucket long, copies int"
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple = WEIGHTS, cap: float = CAP) -> dict[str | None, float]:
-    """Words due to each source: shares by weight, none above ``cap`` times its size.
+def targets(sources: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """``sources`` (source, source_size; one row each) plus rank and target, the words due to each.
 
-    Sources by code point, null last, take the weights in turn. What a capped source
-    can't take is shared among the others by weight until none is above its cap.
+    Sources by code point, null last, take the weights in turn and share all words by weight,
+    none above ``cap`` times its size; what a capped source can't take is shared among the
+    others until none is above its cap. All of it is distributed: ranks come from a range
+    sort and one offset per partition, and each round of sharing is one aggregate.
     """
-    order = sorted(sizes, key=lambda x: (x[0] is None, x[0] or ""))
-    weight = {s: weights[k % len(weights)] for k, (s, _) in enumerate(order)}
-    size, total = dict(order), float(sum(n for _, n in order))
-    out, open_ = {}, set(size)
-    left = total
-    while open_:
-        w = sum(weight[s] for s in open_)
-        over = [s for s in open_ if left * weight[s] / w > cap * size[s]]
-        if not over:
-            out |= {s: left * weight[s] / w for s in open_}
+    spark = sources.sparkSession
+    order = F.col("source").asc_nulls_last()
+    placed = stage(sources.repartitionByRange(order).sortWithinPartitions(order).withColumn("at", F.monotonically_increasing_id()), "ordered")
+    part, row = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    before, base = [], 0
+    for k, n in sorted(map(tuple, placed.groupBy(part.alias("part")).count().collect())):  # a row per partition
+        before.append((k, base))
+        base += n
+    offsets = F.broadcast(spark.createDataFrame(before, "part long, base long"))
+    ranked = placed.withColumn("part", part).join(offsets, "part").withColumn("rank", F.col("base") + row)
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod("rank", F.lit(len(weights))) + 1).cast("int"))
+    ranked = stage(ranked.select("source", "source_size", "rank", weight.alias("weight")), "ranked")
+    total, whole = ranked.agg(F.sum("source_size").cast("double"), F.sum("weight")).first()
+    level, held = (total / whole if whole else 0.0), -1
+    most = F.col("source_size") * float(cap)
+    while True:
+        over = F.col("weight") * F.lit(level) > most
+        full, open_, count = ranked.agg(F.sum(F.when(over, most)), F.sum(F.when(~over, F.col("weight"))), F.count_if(over)).first()
+        if count == held or not open_:
             break
-        for s in sorted(over, key=lambda x: (x is None, x or "")):
-            out[s] = cap * size[s]
-            open_.discard(s)
-        left = total - sum(out.values())
-    return out
+        # The level only rises, so a full source stays full and the rounds end.
+        level, held = max(level, (total - (full or 0.0)) / open_), count
+    return ranked.withColumn("target", F.least(F.col("weight") * F.lit(level), most)).drop("weight")
 
 
 def pivot(p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -82,19 +94,14 @@ def _level(final: bool, seed: int, depth: int):
     """Round one bucket; what stays fractional keeps ``copies`` null, or is drawn at the end."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id", "locator"], kind="stable", na_position="last").reset_index(drop=True)
+        pdf = pdf.sort_values(["size", "doc_id", "key", "locator"], kind="stable", na_position="last").reset_index(drop=True)
         whole = np.floor(pdf["p"].to_numpy() + _EPS)
-        due, size = np.clip(pdf["p"].to_numpy() - whole, 0, 1), pdf["size"].to_numpy(float)
-        frac, open_, least = due, np.zeros(len(due), bool), np.inf
-        for draw in range(int(np.clip(DRAWN // max(len(due), 1), 1, DRAWS))):
-            rng = np.random.default_rng([seed, depth, int(key[0]), int(key[1]), draw])
-            new = pivot(due, rng)
-            left = (new > _EPS) & (new < 1 - _EPS)
-            if final:
-                new = np.where(left, (rng.random() < new).astype(float), new)
-                left = np.zeros(len(due), bool)
-            if (off := abs(float(((new - due) * size).sum()))) < least:
-                frac, open_, least = new, left, off
+        rng = np.random.default_rng([seed, depth, int(key[0]), int(key[1])])
+        frac = pivot(np.clip(pdf["p"].to_numpy() - whole, 0, 1), rng)
+        open_ = (frac > _EPS) & (frac < 1 - _EPS)
+        if final:
+            frac = np.where(open_, (rng.random() < frac).astype(float), frac)
+            open_ = np.zeros(len(frac), bool)
         pdf["p"] = whole + frac
         pdf["copies"] = pd.Series(np.rint(whole + frac), dtype="Int32").mask(open_)
         pdf["bucket"] = pdf["bucket"] // FAN
@@ -103,28 +110,47 @@ def _level(final: bool, seed: int, depth: int):
     return run
 
 
+def _buckets(sized: DataFrame, bucket: int) -> DataFrame:
+    """``sized`` plus bucket: documents of one source and size class, about ``bucket`` each, numbered by size.
+
+    Which bucket a row falls in depends on its doc_id and text alone, so that the mix doesn't
+    depend on files. Only rows repeated more than ``bucket`` times are dealt by their locator.
+    """
+    cls = F.when(F.col("size") > 0, 1 + F.floor(F.log2("size") * CLASSES)).otherwise(0).cast("int")
+    sized = sized.withColumn("cls", cls)
+    per = sized.groupBy("source", "cls").agg(F.ceil(F.count(F.lit(1)) / F.lit(bucket)).alias("of"))
+    # A source has few classes (CLASSES for each doubling), however many rows.
+    first = F.coalesce(F.sum("of").over(Window.partitionBy("source").orderBy("cls").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    per = per.select(F.col("source").alias("s"), F.col("cls").alias("c"), "of", first.alias("first"))
+    hot = sized.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket).select(F.col("key").alias("k"), F.lit(True).alias("hot"))
+    dealt = F.when(F.col("hot"), F.xxhash64("key", "locator")).otherwise(F.col("key"))
+    return (
+        sized.join(per, F.col("source").eqNullSafe(F.col("s")) & (F.col("cls") == F.col("c")))
+        .join(hot, F.col("key") == F.col("k"), "left")
+        .withColumn("bucket", F.col("first") + F.pmod(dealt, "of"))
+        .drop("s", "c", "k", "hot", "cls", "first", "of")
+    )
+
+
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
     """locator, doc_id, source, size, source_size, target, copies, taken: one row per row.
 
     Size is the number of words. Null texts and texts without words have size 0 and are
-    taken 0 words, whatever their copies. Rows that repeat are separate rows. The result depends on the
-    rows and the seed alone. The table of sources (a row each) is brought to the driver.
+    taken 0 words, whatever their copies. Rows that repeat are separate rows. The result
+    depends on the rows and the seed alone (rows repeated more than ``bucket`` times: on
+    their files too). Empty tables give no rows; other columns are ignored.
     """
     base = located(docs, "doc_id", "source", "text")
-    sized = stage(base.select("locator", "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sized")
-    spark = docs.sparkSession
-    by = [tuple(r) for r in sized.groupBy("source").agg(F.sum("size"), F.count(F.lit(1))).collect()]
-    due = targets([(s, n) for s, n, _ in by], weights, cap)
-    ranks = sorted(due, key=lambda x: (x is None, x or ""))
-    info = {s: (n, c) for s, n, c in by}
-    rows = [(s, k, info[s][0], due[s], (due[s] / info[s][0] if info[s][0] else 0.0), -(-info[s][1] // bucket)) for k, s in enumerate(ranks)]
-    plan = spark.createDataFrame(rows, "source string, rank int, source_size long, target double, p double, buckets long")
-    joined = sized.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-    todo = joined.select(
-        "locator", "doc_id", "source", "size", "rank", F.least("p", F.lit(cap)).alias("p"),
-        F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), "buckets").alias("bucket"), F.lit(None).cast("int").alias("copies"),
-    )
-    most, depth, parts = max([r[5] for r in rows], default=1), 0, []
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    key = F.xxhash64("doc_id", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")), F.lit(seed))
+    sized = stage(base.select("locator", "doc_id", "source", size.alias("size"), key.alias("key")), "sized")
+    due = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).withColumnRenamed("source", "s")
+    dealt = _buckets(sized, bucket).join(due, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    p = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(0.0)
+    names = [c.split()[0] for c in _ROW.split(", ")]
+    todo = stage(dealt.withColumn("p", p).withColumn("copies", F.lit(None).cast("int")).select(*names), "dealt")
+    most = (todo.agg(F.max("bucket")).first()[0] or 0) + 1
+    depth, parts = 0, []
     while True:
         final = most <= 1
         level = stage(todo.groupBy("rank", "bucket").applyInPandas(_level(final, seed, depth), _ROW), f"level{depth}")
@@ -135,5 +161,4 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, seed: int =
     rounded = parts[0]
     for part in parts[1:]:
         rounded = rounded.unionByName(part)
-    out = rounded.select("locator", "doc_id", "source", "size", "rank", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-    return out.join(plan.select("rank", "source_size", "target"), "rank").drop("rank")
+    return rounded.select("locator", "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))

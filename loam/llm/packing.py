@@ -2,9 +2,10 @@
 
 Documents are tokenised once and cut into pieces. Pieces are dealt into groups of bounded
 size; in each group a best-fit start is improved by exchanges between underfull bins:
-a piece moves, one is swapped for one, or two for one, always out of the emptiest bin and
-into a fuller one, so the sum of squared fills rises until that bin is empty. What stays
-underfull in a group meets that of other groups, level by level.
+a piece moves, one is swapped for one, or two for one, always out of an emptier bin and
+into a fuller one, so the sum of squared fills rises until bins empty. The search ends when
+no underfull bin has an improving exchange, or a lower bound on the bins is met. The
+emptiest bins of a group, a bounded number of pieces, meet those of others level by level.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,15 +25,14 @@ from loam.llm.tokens import encoder, gathered
 
 CAPACITY = 2048
 END_ID = 0
-#: Pieces of one group: bounds what one task holds.
-GROUP = 50_000
+#: Pieces of one group on average, and groups whose residues meet in one group of the next level.
+GROUP = 16_384
 FAN = 64
-#: Most exchanges of a group, and how many bins in turn may fail before the search ends.
-EXCHANGES, SOURCES = 2000, 8
-#: Bins filled less than this go on to the next level.
-UNDERFULL = 0.98
+#: Pieces that a group may always send on.
+RESIDUE = 8
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_OUT = PIECES + ", bucket long, sequence_id long, offset long, open boolean"
+_DEALT = PIECES + ", part int, row long"
+_OUT = _DEALT + ", bucket long, sequence_id long, offset long, open boolean"
 
 
 def cut(total: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -42,10 +43,10 @@ def cut(total: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def tokenised(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """``PIECES`` of every row: ids of the whole text, the end id, cut to ``capacity``."""
+    """``PIECES`` of every row: ids of the whole text, the end id, cut to ``capacity``; with task and number in it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc, task, count = encoder(path), TaskContext.get().partitionId(), 0
         for part in gathered(batches):
             ids, offsets = enc.encode(part["text"])
             rows = []
@@ -54,10 +55,12 @@ def tokenised(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
                 rows += [(doc_id, k, s, n, zlib.crc32(own[s : s + n].data)) for k, (s, n) in enumerate(cut(len(own), capacity))]
             cols = list(zip(*rows, strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            place = [pa.array([task] * len(rows), pa.int32()), pa.array(range(count, count + len(rows)), pa.int64())]
+            count += len(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)] + place, names=[c.split()[0] for c in _DEALT.split(", ")])
 
     with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
-        return stage(docs.select("doc_id", "text").mapInArrow(run, PIECES), "pieces")
+        return stage(docs.select("doc_id", "text").mapInArrow(run, _DEALT), "pieces")
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -85,6 +88,21 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def lower_bound(sizes: np.ndarray, capacity: int) -> int:
+    """Bins that any packing needs: by total size, and by pieces too large to share (Martello and Toth)."""
+    count = np.bincount(sizes, minlength=capacity + 1)
+    many, total = np.cumsum(count), np.cumsum(count * np.arange(capacity + 1))
+    half = capacity // 2
+    k = np.arange(1, half + 1)
+    large = len(sizes) - many[half]  # more than half a bin each: two never share
+    # Pieces from k to half a bin fit only beside large ones of at most capacity - k.
+    beside = many[capacity - k] - many[half]
+    room = beside * capacity - (total[capacity - k] - total[half])
+    rest = total[half] - total[k - 1] - room
+    more = np.maximum(-(-rest // capacity), 0)
+    return int(max(-(-int(sizes.sum()) // capacity), large + more.max(initial=0)))
+
+
 class _Search:
     """Local search over the underfull bins of one group."""
 
@@ -95,8 +113,7 @@ class _Search:
         for b, items in enumerate(bins):
             self.bin_of[items] = b
         self.fill = np.array([sizes[b].sum() if b else 0 for b in bins], np.int64)
-        under = [i for b, items in enumerate(bins) if self.fill[b] < capacity for i in items]
-        self.items = np.array(under, np.int64)
+        self.items = np.array([i for b, items in enumerate(bins) if self.fill[b] < capacity for i in items], np.int64)
 
     def _move(self, item: int, to: int) -> None:
         old = self.bin_of[item]
@@ -107,55 +124,69 @@ class _Search:
         self.fill[to] += self.size[item]
 
     def _exchange(self, source: int) -> bool:
-        """One improving move or exchange out of ``source``; the largest gain first."""
-        slack = self.capacity - self.fill
-        slack[source] = -1
-        slack[self.fill < self.fill[source]] = -1  # only fuller bins gain, so squares rise
+        """The best move, one-for-one or two-for-one exchange out of ``source`` into a fuller bin, if there is one.
+
+        What a bin gets back has size t (0: a plain move), and the bin can then hold up to
+        t + slack instead. For each size g given, the least t with t + slack >= g gains most.
+        """
+        capacity = self.capacity
+        fuller = (self.fill >= self.fill[source]) & (self.fill < capacity) & (self.fill > 0)
+        fuller[source] = False
+        targets = np.flatnonzero(fuller)
+        if not len(targets):
+            return False
+        home = self.bin_of[self.items]
+        theirs = self.items[fuller[home]]
+        back = np.concatenate((np.zeros(len(targets), np.int64), self.size[theirs]))
+        reach = np.concatenate((capacity - self.fill[targets], capacity - self.fill[self.bin_of[theirs]] + self.size[theirs]))
+        least = np.full(capacity + 2, capacity + 1)
+        np.minimum.at(least, reach, back)
+        least = np.minimum.accumulate(least[::-1])[::-1]  # by the size given
         own = sorted(self.bins[source], key=lambda i: (-self.size[i], i))
-        for i in own:  # a move
-            fits = np.flatnonzero(slack >= self.size[i])
-            if len(fits):
-                self._move(i, int(fits[np.argmin(slack[fits])]))
-                return True
-        others = self.items[self.bin_of[self.items] != source]
-        room, theirs = slack[self.bin_of[others]], self.size[others]
-        pairs = [(i, j) for k, i in enumerate(own[:24]) for j in own[k + 1 : 24]]
-        best, gain = None, 0
-        for give in [(i,) for i in own] + pairs:  # one for one, then two for one
-            diff = sum(int(self.size[i]) for i in give) - theirs
-            ok = np.where((diff > gain) & (diff <= room), diff, 0)
-            if len(ok) and ok.max() > gain:
-                k = int(ok.argmax())
-                best, gain = (give, int(others[k])), int(ok[k])
-        if best is None:
+        by_size: dict[int, list[int]] = {}
+        for i in own:
+            by_size.setdefault(int(self.size[i]), []).append(i)
+        kinds = list(by_size)  # different sizes add up to a bin at most: there are few
+        gives = [(n, (by_size[n][0],)) for n in kinds]
+        for k, n in enumerate(kinds):
+            if len(by_size[n]) > 1:
+                gives.append((2 * n, tuple(by_size[n][:2])))
+            gives += [(n + m, (by_size[n][0], by_size[m][0])) for m in kinds[k + 1 :]]
+        given = np.array([n for n, _ in gives])
+        gain = given - least[given]
+        best = int(gain.argmax())
+        if gain[best] <= 0:
             return False
-        give, back = best
-        to = int(self.bin_of[back])
+        size, give = gives[best]
+        fits = np.flatnonzero((back == least[size]) & (reach >= size))
+        chosen = int(fits[np.argmin(reach[fits])])  # the tightest of them
+        to = int(targets[chosen]) if chosen < len(targets) else int(self.bin_of[theirs[chosen - len(targets)]])
         for i in give:
             self._move(i, to)
-        self._move(back, source)
+        if chosen >= len(targets):
+            self._move(int(theirs[chosen - len(targets)]), source)
         return True
 
     def run(self) -> list[list[int]]:
-        """Exchange out of the emptiest bin that still can, until no bin less could do or none can.
+        """Rounds over the underfull bins, the emptiest first, until none has an exchange or no bin less could do.
 
-        Every exchange raises the sum of squared fills, so the search ends; ``EXCHANGES``
-        bounds how long a group takes.
+        Every exchange raises the sum of squared fills, so the search ends.
         """
-        least = -(-int(self.size.sum()) // self.capacity)
-        used, left = int((self.fill > 0).sum()), EXCHANGES
-        stuck: set[int] = set()
-        while used > least and left > 0 and len(stuck) < SOURCES:
-            able = [b for b in np.flatnonzero((self.fill > 0) & (self.fill < self.capacity)).tolist() if b not in stuck]
-            if not able:
-                break
-            source = min(able, key=lambda b: (self.fill[b], b))
-            left -= 1
-            if not self._exchange(source):
-                stuck.add(source)
-                continue
-            stuck.clear()  # what is fuller now may take what it couldn't before
-            used -= not self.fill[source]
+        least = lower_bound(self.size, self.capacity)
+        used, improved = int((self.fill > 0).sum()), True
+        while improved and used > least:
+            improved = False
+            tried = np.zeros(len(self.fill), bool)
+            while used > least:
+                able = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity) & ~tried)
+                if not len(able):
+                    break
+                source = int(able[np.argmin(self.fill[able])])
+                if self._exchange(source):
+                    improved = True
+                    used -= not self.fill[source]
+                else:
+                    tried[source] = True
         return [sorted(b) for b in self.bins if b]
 
 
@@ -164,17 +195,22 @@ def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     return _Search(sizes, best_fit(sizes.tolist(), capacity), capacity).run()
 
 
-def _level(depth: int, final: bool, capacity: int) -> Callable:
+def _level(depth: int, final: bool, capacity: int, residue: int) -> Callable:
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable", na_position="last").reset_index(drop=True)
+        pdf = pdf.sort_values(["length", "part", "row"], kind="stable").reset_index(drop=True)
         sizes = pdf["length"].to_numpy(np.int64)
         bins = pack(sizes, capacity)
         seq, off, op = (np.zeros(len(sizes), np.int64) for _ in range(3))
-        first = ((depth << 40) + int(key[0])) << 20 if depth else int(key[0]) << 20
+        first = ((depth << 40) + int(key[0])) << 20
         for k, items in enumerate(bins):
             at = np.cumsum(sizes[items])
             seq[items], off[items] = first + k, at - sizes[items]
-            op[items] = not final and at[-1] < UNDERFULL * capacity
+        left = 0 if final else residue
+        for items in sorted(bins, key=lambda b: int(sizes[b].sum())):  # the emptiest, with a bounded number of pieces
+            left -= len(items)
+            if left < 0 or int(sizes[items].sum()) == capacity:
+                break
+            op[items] = 1
         return pdf.assign(bucket=pdf["bucket"] // FAN, sequence_id=seq, offset=off, open=op.astype(bool))[[c.split()[0] for c in _OUT.split(", ")]]
 
     return run
@@ -185,16 +221,17 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
 
     Null texts count as empty and still hold the end id. Rows that repeat are packed each
     on its own; rows without doc_id too. An empty table gives no rows. Other columns are
-    ignored. Sequence ids are unique, offsets gapless from 0.
+    ignored. Sequence ids are unique, offsets gapless from 0. Pieces are dealt by their place
+    in the table, so that no key is hot; a group of any level holds about ``group`` pieces.
     """
     pieces = tokenised(docs, path, capacity, end_id)
     groups = max(1, -(-pieces.count() // group))
-    todo = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.lit(groups)))
+    todo = pieces.withColumn("bucket", F.pmod(F.xxhash64("part", "row"), F.lit(groups)))
     depth, parts = 0, []
     while True:
         final = groups == 1
-        level = stage(todo.groupBy("bucket").applyInPandas(_level(depth, final, capacity), _OUT), f"level{depth}")
-        parts.append(level.where("NOT open").drop("bucket", "open"))
+        level = stage(todo.groupBy("bucket").applyInPandas(_level(depth, final, capacity, max(group // FAN, RESIDUE)), _OUT), f"level{depth}")
+        parts.append(level.where("NOT open").drop("bucket", "open", "part", "row"))
         if final:
             break
         todo = level.where("open").drop("sequence_id", "offset", "open")

@@ -1,14 +1,18 @@
 """Operator 4: exact deduplication with stateful streaming.
 
-A narrow log (digest, identifier, content locator) is streamed through a keyed
-aggregation whose state sits in RocksDB without expiry: for each digest it keeps the
-smallest identifier, the locator of that row's content and the number of rows seen.
-Every hit is then compared byte for byte with the content its locator names, so two
-texts that only share a digest are told apart. Texts move only for the hits.
+A narrow log (digest, identifier, content locator) is streamed through a keyed aggregation
+whose state sits in RocksDB without expiry: for each digest it keeps the smallest identifier,
+the locator of that row's content and the number of rows seen. Every hit is then compared
+byte for byte with content that a locator names, also content of earlier calls on a kept
+state, so two texts that only share a digest are told apart. Texts move only for the hits.
+
+A kept state folder holds the log and the content of all calls, the stream's checkpoint, the
+changes of its state, and the digests found to stand for different texts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,7 +47,7 @@ def _rank(doc_id: Column, locator: Column) -> Column:
 def update_state(spark: SparkSession, log_path: str, log: DataFrame, state_dir: str) -> DataFrame:
     """Run the log's new files through the keyed state; the latest state of each digest.
 
-    ``state_dir`` may be kept: a later call with more files goes on from there.
+    ``state_dir`` may be kept: a later call on the same log folder with more files goes on from there.
     """
     out = f"{state_dir}/changes"
 
@@ -67,20 +71,34 @@ def update_state(spark: SparkSession, log_path: str, log: DataFrame, state_dir:
             .option("checkpointLocation", f"{state_dir}/checkpoint").trigger(availableNow=True).start()
         )
         run.awaitTermination()
-    schema = "digest string, keeper struct<no_id: boolean, doc_id: bigint, locator: string>, group_size long, batch long"
-    changes = spark.read.schema(schema).parquet(out) if _written(spark, out) else spark.createDataFrame([], schema)
+    return latest(spark, state_dir, dict(log.dtypes)["digest"])
+
+
+def latest(spark: SparkSession, state_dir: str, kind: str = "binary") -> DataFrame:
+    """digest, keep_id, keep_locator, group_size: the newest state of every digest."""
+    schema = f"digest {kind}, keeper struct<no_id: boolean, doc_id: bigint, locator: string>, group_size long, batch long"
+    changes = _read(spark, f"{state_dir}/changes", schema)
     if changes.agg(F.countDistinct("batch")).first()[0] > 1:
         newest = F.max_by(F.struct("keeper", "group_size"), "batch").alias("s")
         changes = changes.groupBy("digest").agg(newest).select("digest", "s.keeper", "s.group_size")
     return changes.select("digest", F.col("keeper.doc_id").alias("keep_id"), F.col("keeper.locator").alias("keep_locator"), "group_size")
 
 
-def _written(spark: SparkSession, path: str) -> bool:
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet folder, or no rows where there is none yet."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
 
+#: A join with few rows on one side: a Bloom filter of their keys keeps the other side's texts from the shuffle.
+_BLOOM = {
+    "spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold": "1b",
+    "spark__sql__optimizer__runtime__bloomFilter__creationSideThreshold": "1g",
+}
 
-def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, state_dir: str | None = None) -> DataFrame:
+
+def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] | None = None, state_dir: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, locator, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if identical after ``normalised``. Of equal texts the row with the
@@ -88,46 +106,73 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, st
     Rows without doc_id stay only if no equal text has one. Null texts count as empty.
     An empty table gives no rows. Other columns are ignored. ``digest`` may be weak: the
     full comparison then splits the rows that collide.
+
+    With ``state_dir`` the state is kept: ``docs`` are then new rows, and keepers and group
+    sizes count the rows of all calls so far. A new row with a smaller doc_id than an earlier
+    keeper takes its place. The same ``digest`` must be used in all calls.
     """
     spark = docs.sparkSession
+    folder, call = state_dir or shared_dir(spark), uuid.uuid4().hex
+    if state_dir:
+        # Later calls compare with these texts, whatever becomes of the input.
+        docs.select("doc_id", "text").write.parquet(f"{folder}/content/call={call}")
+        docs = spark.read.schema("doc_id long, text string").parquet(f"{folder}/content/call={call}")
+        before = stage(latest(spark, folder).select("digest", F.col("keep_locator").alias("old_locator")), "before")
     base = located(docs, "doc_id", "text")
     text = normalised(F.col("text"))
-    folder = shared_dir(spark)
     # With the default digest a second copy of it in the log would only cost bytes.
-    other = F.lit(None).cast("string") if digest is sha256 else sha256(text)
-    narrow = base.select("doc_id", digest(text).alias("digest"), other.alias("text_sha256"), "locator")
-    narrow.write.parquet(f"{folder}/log")
+    key = digest(text).cast("binary") if digest else F.unhex(sha256(text))
+    other = sha256(text) if digest else F.lit(None).cast("string")
+    narrow = base.select("doc_id", key.alias("digest"), other.alias("text_sha256"), "locator", F.lit(call).alias("call"))
+    narrow.write.mode("append").parquet(f"{folder}/log")
     log = spark.read.schema(narrow.schema).parquet(f"{folder}/log")
-    state = update_state(spark, f"{folder}/log", log, state_dir or f"{folder}/state")
-    seen = stage(log.join(state, "digest"), "seen")
-
-    # Full bytes of every row whose digest was hit, and of the row that its locator names.
-    hit = seen.where("group_size > 1").select("digest", "locator", "keep_locator", "doc_id")
-    bloom = {
-        "spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold": "1b",
-        "spark__sql__optimizer__runtime__bloomFilter__creationSideThreshold": "1g",
-    }
-    with settings(spark, **bloom):
+    state = update_state(spark, f"{folder}/log", log, folder)
+    own = log.where(F.col("call") == call).drop("call") if state_dir else log.drop("call")
+    seen = own.join(state, "digest")
+    # Rows are compared with the keeper that stood before this call, if there was one.
+    against = F.col("keep_locator")
+    if state_dir:
+        seen, against = seen.join(before, "digest", "left"), F.coalesce("old_locator", "keep_locator")
+    seen = stage(seen.withColumn("against", against), "seen")
+
+    hit = seen.where("group_size > 1").select("digest", "locator", "against")
+    with settings(spark, **_BLOOM):
         full = stage(base.select("locator", text.alias("body")).join(hit, "locator"), "hits")
-    kept = full.where("locator = keep_locator").select(F.col("locator").alias("keep_locator"), F.col("body").alias("kept_body"))
-    odd = stage(
-        full.where("locator <> keep_locator").join(kept, "keep_locator").where("body <> kept_body").select("digest", "body", "doc_id", "locator"),
-        "collisions",
-    )
-    own = F.coalesce("text_sha256", F.col("digest")).alias("text_sha256")
+    kept = full.where("locator = against").select("against", F.col("body").alias("kept_body"))
+    if state_dir:
+        old = hit.join(before, "digest").select("against").distinct()
+        kept = kept.unionByName(_bodies(spark, folder, old.withColumnRenamed("against", "locator")).select(F.col("locator").alias("against"), F.col("body").alias("kept_body")))
+    odd = full.where("locator <> against").join(kept, "against").where("body <> kept_body").select("digest")
+    if state_dir:
+        odd = odd.unionByName(_read(spark, f"{folder}/collided", "digest binary"))
+    odd = stage(odd.distinct(), "collisions")
+    sha = F.coalesce("text_sha256", F.lower(F.hex("digest"))).alias("text_sha256")
     if odd.isEmpty():
-        return seen.select("doc_id", "locator", "keep_id", "group_size", (F.col("locator") == F.col("keep_locator")).alias("kept"), own)
-    groups = odd.groupBy("digest", "body").agg(F.min(_rank(F.col("doc_id"), F.col("locator"))).alias("k"), F.count(F.lit(1)).alias("odd_size"))
-    apart = odd.join(groups, ["digest", "body"]).select("locator", F.col("k.doc_id").alias("odd_id"), F.col("k.locator").alias("odd_locator"), "odd_size")
-    lost = odd.groupBy("digest").agg(F.count(F.lit(1)).alias("lost"))
-    whole = seen.join(apart, "locator", "left").join(lost, "digest", "left")
+        return seen.select("doc_id", "locator", "keep_id", "group_size", (F.col("locator") == F.col("keep_locator")).alias("kept"), sha)
+    # Digests that stand for different texts: their rows of all calls are grouped by their bytes.
+    rows = log.join(odd, "digest").select("digest", "doc_id", "locator")
+    if state_dir:
+        odd.write.mode("append").parquet(f"{folder}/collided")
+        bodies = _bodies(spark, folder, rows.select("locator"))
+    else:
+        bodies = base.select("locator", text.alias("body")).join(rows.select("locator"), "locator")
+    rows = stage(rows.join(bodies, "locator"), "collided")
+    groups = rows.groupBy("digest", "body").agg(F.min(_rank(F.col("doc_id"), F.col("locator"))).alias("k"), F.count(F.lit(1)).alias("odd_size"))
+    apart = rows.join(groups, ["digest", "body"]).select("locator", F.col("k.doc_id").alias("odd_id"), F.col("k.locator").alias("odd_locator"), "odd_size")
+    whole = seen.join(apart, "locator", "left")
     is_odd = F.col("odd_size").isNotNull()
-    keep_locator = F.when(is_odd, F.col("odd_locator")).otherwise(F.col("keep_locator"))
     return whole.select(
         "doc_id",
         "locator",
         F.when(is_odd, F.col("odd_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.when(is_odd, F.col("odd_size")).otherwise(F.col("group_size") - F.coalesce("lost", F.lit(0))).alias("group_size"),
-        (F.col("locator") == keep_locator).alias("kept"),
-        own,
+        F.when(is_odd, F.col("odd_size")).otherwise(F.col("group_size")).alias("group_size"),
+        (F.col("locator") == F.when(is_odd, F.col("odd_locator")).otherwise(F.col("keep_locator"))).alias("kept"),
+        sha,
     )
+
+
+def _bodies(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """locator, body of the rows of any call that ``wanted`` names."""
+    content = spark.read.schema("doc_id long, text string").parquet(f"{folder}/content")
+    with settings(spark, **_BLOOM):
+        return stage(located(content, "text").select("locator", normalised(F.col("text")).alias("body")).join(wanted, "locator"), "bodies")
