@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter, defaultdict
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,17 +53,34 @@ def slotted(docs: DataFrame, slots: int = SLOTS, hot: int = HOT) -> DataFrame:
     return marked.select("doc_id", "size", "text_crc32", "locator", F.pmod(key, F.lit(slots)).cast("int").alias("vslot"))
 
 
-def assign(loads: dict[int, int], shards: int) -> dict[int, int]:
-    """First map: heaviest slot first, each to the lightest shard so far (ties: fewer slots, lower numbers)."""
-    heap = [(0, 0, s) for s in range(shards)]
-    chosen = {}
-    for slot in sorted(loads, key=lambda v: (-loads[v], v)):
-        load, held, shard = heapq.heappop(heap)
+def _fill(slots: Iterable[int], loads: dict[int, int], chosen: dict[int, int], shards: int) -> dict[int, int]:
+    """``chosen`` plus ``slots``: heaviest first, each to the lightest shard so far; then empty ones to shards with fewest slots."""
+    filled, count = Counter(), Counter(chosen.values())
+    for slot, shard in chosen.items():
+        filled[shard] += loads.get(slot, 0)
+    order = sorted(slots, key=lambda v: (-loads.get(v, 0), v))
+    heap = [(filled[s], count[s], s) for s in range(shards)]
+    heapq.heapify(heap)
+    while order and loads.get(order[0], 0):
+        slot = order.pop(0)
+        load, own, shard = heapq.heappop(heap)
+        chosen[slot] = shard
+        heapq.heappush(heap, (load + loads[slot], own + 1, shard))
+    # What such slots will hold can't be known: they are spread evenly.
+    heap = [(own, s) for _, own, s in heap]
+    heapq.heapify(heap)
+    for slot in order:
+        own, shard = heapq.heappop(heap)
         chosen[slot] = shard
-        heapq.heappush(heap, (load + loads[slot], held + 1, shard))
+        heapq.heappush(heap, (own + 1, shard))
     return chosen
 
 
+def assign(loads: dict[int, int], shards: int) -> dict[int, int]:
+    """First map (ties: fewer slots, lower numbers)."""
+    return _fill(loads, loads, {}, shards)
+
+
 def rebalance(loads: dict[int, int], before: dict[int, int], shards: int) -> dict[int, int]:
     """Edited map for ``shards`` shards; hardly more bytes move than must.
 
@@ -80,14 +98,7 @@ def rebalance(loads: dict[int, int], before: dict[int, int], shards: int) -> dic
                 homeless.append(slot)
             else:
                 after[slot], filled[shard] = shard, filled[shard] + loads.get(slot, 0)
-    count = Counter(after.values())
-    heap = [(load, count[s], s) for s, load in filled.items()]
-    heapq.heapify(heap)
-    for slot in sorted(homeless, key=lambda v: (-loads.get(v, 0), v)):
-        load, own, shard = heapq.heappop(heap)
-        after[slot] = shard
-        heapq.heappush(heap, (load + loads.get(slot, 0), own + 1, shard))
-    return after
+    return _fill(homeless, loads, after, shards)
 
 
 def slot_map(spark: SparkSession, stats: list, chosen: dict[int, int], version: int = 1) -> DataFrame:
