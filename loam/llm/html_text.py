@@ -1,17 +1,20 @@
 """Operator 6: main text of web pages from parser events and text-to-tag ratios.
 
-The standard library's parser streams events; block-level tags cut the page into lines.
-Each line has a ratio of text to tags, smoothed over its neighbours with a Gaussian; lines
-are clustered at a threshold. Elements that say what they are (menus, footers, adverts,
-forms ...) have ratio 0. A page's marked article, if it has one, is the region with the
-largest sum of smoothed ratios and is kept whole; else the lines above the threshold are,
-with what lies between them.
+The standard library's parser streams events; block-level tags cut the page into lines. Each
+line has a ratio of text outside links to tags, smoothed over its neighbours with a Gaussian;
+two-means clustering of the smoothed ratios gives a threshold, and the lines above it choose
+the content regions. A region is the element that holds chosen lines: an article or main
+element, else the innermost section; its other lines, headings and short ones, come along.
+Elements that say what they are (menus, footers, adverts, forms ...) have ratio 0 and are no
+content. If a page has article elements, lines outside them need far higher ratios.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -26,73 +29,144 @@ BLOCKS = frozenset(
     "header hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that never hold the article's text.
-SILENT = frozenset("head title script style noscript template svg math iframe object canvas audio video select button textarea nav footer aside form dialog menu".split())
-#: Words of class, id or role that mark boilerplate.
+#: Elements whose text isn't shown, and elements that never hold the article's text.
+UNREAD = frozenset("head title script style noscript template svg math iframe object canvas audio video select button textarea".split())
+SILENT = UNREAD | frozenset("nav footer aside form dialog menu".split())
+#: Words of class, id or role that mark boilerplate, if all other words of the name are in ``PLAIN``.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs "
-    "footer masthead contentinfo complementary cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
-    "signup login share sharing social related recommended comment comments disqus respond reply replies pagination pager widget search".split()
+    "footer masthead contentinfo complementary cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription "
+    "signup login comment comments disqus respond reply replies pagination pager".split()
+)
+#: Words that may mark boilerplate or a part of the text: here the ratio of each line decides.
+SOFT = frozenset("alert share sharing social related recommended widget search".split())
+PLAIN = frozenset(
+    "area bar block body bottom box container content footer form group header inner item items left link links list main outer page post posts right row section "
+    "site slot text thread title top unit wrap wrapper on".split()
 )
 HEADS = frozenset(("header", "topbar", "toolbar"))
 CONTENT = frozenset(("article", "main"))
-_MARK = re.compile(r"[A-Za-z0-9]+")
+SECTIONS = frozenset("article main section div td body html center dd details".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: How much less a line outside article elements weighs, if the page has any.
+OUTSIDE = 16
+#: Least share of a section's text that lies in chosen lines, for the section to be a region.
+SHARE = 0.3
+#: So many lines of links only, one after the other, are a menu.
+MENU = 3
+_MARK = re.compile(r"[A-Za-z]+|[0-9]+")
+
+
+def _marks(attrs: list) -> tuple[bool, bool, bool]:
+    """(marked as boilerplate, perhaps boilerplate, a page header) by class, id and role."""
+    hard = soft = head = False
+    for k, v in attrs:
+        if k not in ("class", "id", "role") or not v:
+            continue
+        for name in v.lower().split():
+            words = set(_MARK.findall(name))
+            rest = {w for w in words - MARKS - SOFT - PLAIN if not w.isdigit()}
+            if not rest:
+                hard |= bool(words & MARKS)
+                soft |= bool(words & SOFT)
+            head |= bool(words & HEADS) and not rest - HEADS
+    return hard, soft, head
+
+
+@dataclass
+class _Line:
+    text: str
+    tags: int
+    linked: int  # characters inside links
+    silent: bool
+    soft: bool
+    article: int  # number of the outermost article element, 0: none
+    section: int  # number of the innermost section
+    heading: bool
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: text, tags, and the number of the marked article they lie in (0: none)."""
+    """Lines of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # element, silent here, article here
-        self.lines: list[tuple[str, int, int]] = []
+        # Open elements: name, silent here, soft here, article here, section here.
+        self.open: list[tuple[str, bool, bool, int, int]] = []
+        self.names: Counter = Counter()
+        self.lines: list[_Line] = []
         self.text: list[str] = []
-        self.tags, self.articles = 0, 0
+        self.tags = self.linked = self.articles = self.sections = 0
+        self.heading = False
 
-    def _now(self) -> tuple[bool, int]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+    def _now(self) -> tuple[bool, bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, False, 0, 0)
 
     def cut(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self._now()[1]))
+            silent, soft, article, section = self._now()
+            self.lines.append(_Line(text, self.tags, self.linked, silent, soft, article, section, self.heading))
         self.text.clear()
-        self.tags = 0
+        self.tags = self.linked = 0
+        self.heading = False
+
+    def _pop(self, at: int) -> None:
+        for element in self.open[at:]:
+            self.names[element[0]] -= 1
+        del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in BLOCKS:
+        silent, soft, article, section = self._now()
+        hard, maybe, head = _marks(attrs)
+        content = tag in CONTENT and not hard and not article
+        hush = not content and (tag in SILENT or hard or ((tag in HEADS or head) and not article))
+        if tag in BLOCKS or hush != silent and (hush or maybe):
             self.cut()
         elif tag in ("br", "td", "th"):
             self.text.append(" ")
         self.tags += 1
         if tag in VOID:
             return
-        silent, article = self._now()
-        said = {w for k, v in attrs if k in ("class", "id", "role") and v for w in _MARK.findall(v.lower())}
-        marked = bool(said & MARKS)
-        if tag in CONTENT and not marked and not article:
+        if tag in ("p", "li") and self.open and self.open[-1][0] == tag:
+            self._pop(len(self.open) - 1)
+            silent, soft, article, section = self._now()
+        if content:
             # A marked article is never inside boilerplate that someone forgot to close.
             self.articles += 1
-            silent, article = False, self.articles
-        elif tag in SILENT or marked or ((tag in HEADS or said & HEADS) and not article):
-            silent = True
-        if tag in ("p", "li") and self.open and self.open[-1][0] == tag:
-            self.open.pop()
-            silent = silent if marked else self._now()[0]
-        self.open.append((tag, silent, article))
+            silent, soft, article = False, False, self.articles
+        if tag in SECTIONS:
+            self.sections += 1
+            section = self.sections
+        if tag in HEADINGS:
+            self.heading = True
+        self.open.append((tag, silent or hush, soft or maybe, article, section))
+        self.names[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS:
-            self.cut()
-        self.tags += 1
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                break
+        at = len(self.open) - 1
+        if self.names[tag] > 0:
+            while self.open[at][0] != tag:
+                at -= 1
+            outer = self.open[at - 1][1:3] if at else (False, False)
+            if tag in BLOCKS or self._now()[:2] != outer:
+                self.cut()
+            self.tags += 1
+            self._pop(at)
+        else:
+            if tag in BLOCKS:
+                self.cut()
+            self.tags += 1
 
     def handle_data(self, data: str) -> None:
-        if not self._now()[0]:
-            self.text.append(data)
+        if self._now()[0] and self.open[-1][0] in UNREAD:
+            return
+        self.text.append(data)
+        if self.names["a"] > 0:
+            self.linked += len(data.strip())
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...>`` of any kind is a comment up to the next ``>``."""
+        return self.rawdata.find(">", i) + 1 or -1
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA, reach: int = REACH) -> np.ndarray:
@@ -115,6 +189,21 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _menus(lines: list[_Line], chosen: np.ndarray) -> np.ndarray:
+    """True for lines in runs of at least ``MENU`` lines that hold hardly anything but links."""
+    out, run = np.zeros(len(lines), bool), []
+    for k, line in enumerate(lines):
+        if line.linked >= 0.8 * len(line.text) and not chosen[k] and not line.heading:
+            run.append(k)
+            continue
+        if len(run) >= MENU:
+            out[run] = True
+        run = []
+    if len(run) >= MENU:
+        out[run] = True
+    return out
+
+
 def extract(html: str | None) -> list[str]:
     """Blocks of the main text, in page order."""
     parser = _Lines()
@@ -122,16 +211,30 @@ def extract(html: str | None) -> list[str]:
     parser.close()
     parser.cut()
     lines = parser.lines
-    if not lines:
+    silent = np.array([x.silent for x in lines], bool)
+    if silent.all():
         return []
-    level = smoothed(np.array([len(t) / max(1, n) for t, n, _ in lines]))
-    own = np.array([a for _, _, a in lines])
-    if own.any():
-        sums = np.bincount(own, level)
-        sums[0] = -1
-        return [t for (t, _, a) in lines if a == int(sums.argmax())]
-    chosen = np.flatnonzero(level >= threshold(level)) if level.max() > level.min() else np.arange(len(lines))
-    return [t for t, _, _ in lines[chosen[0] : chosen[-1] + 1]]
+    article, section = np.array([x.article for x in lines]), np.array([x.section for x in lines])
+    ratio = np.array([max(len(x.text) - x.linked, 0) / max(1, x.tags) for x in lines]) * ~silent
+    level = smoothed(ratio) * ~silent
+    if (article[~silent] > 0).any():
+        level = np.where(article > 0, level, level / OUTSIDE)
+    # Ratios of paragraphs differ by their lengths: clusters are found in the roots.
+    level = np.sqrt(level)
+    heard = level[~silent]
+    border = threshold(heard) if heard.max() > heard.min() else heard.max()
+    chosen = (level >= border) & ~silent & (ratio > 0)
+    # Regions: article elements with chosen lines, and sections with a fair share of their text in such lines.
+    region, size = np.where(article > 0, -article, section), np.array([len(x.text) for x in lines])
+    _, at = np.unique(region, return_inverse=True)
+    share = np.bincount(at, size * chosen) / np.maximum(np.bincount(at, size * ~silent), 1)
+    keep = (share[at] >= np.where(article > 0, 1e-9, SHARE)) & ~silent
+    soft = np.array([x.soft for x in lines], bool)
+    keep &= (chosen | ~soft) & ~_menus(lines, chosen)
+    for k in range(len(lines) - 2, -1, -1):  # headings right in front of a region
+        if not keep[k] and lines[k].heading and not silent[k] and not soft[k] and keep[k + 1]:
+            keep[k] = (article[k] > 0) == (article[k + 1] > 0)
+    return [x.text for k, x in enumerate(lines) if keep[k]]
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

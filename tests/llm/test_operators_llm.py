@@ -610,6 +610,51 @@ def test_html():
     assert html_text.extract("<p>a &lt;b&gt; <unclosed") == ["a <b>"] or html_text.extract("<p>a &lt;b&gt; <unclosed")[0].startswith("a <b>")
 
 
+def sentences(n, seed=0):
+    rng = np.random.default_rng(seed)
+    return [" ".join("word" + "x" * int(k) for k in rng.integers(0, 6, int(m))) + "." for m in rng.integers(18, 50, n)]
+
+
+def test_html_without_article_elements():
+    """Ratios, smoothing and clusters find the post between unmarked boxes."""
+    post = sentences(6)
+    links = "".join(f"<li><a href=/{k}>Page {k}</a></li>" for k in range(12))
+    readers = "".join(f"<li><a href=/u{k}><img src=a.png></a> <b>User {k}</b> <i>today</i> <span>nice <em>one</em></span> <a href=#>Reply</a></li>" for k in range(15))
+    body = f"<h1>Title</h1><p>{post[0]}</p><p>{post[1]}</p><h2>Part</h2><p>{post[2]}<br>{post[3]}</p><p>Short.</p><p>{post[4]}</p><p>{post[5]}</p>"
+    want = ["Title", post[0], post[1], "Part", f"{post[2]} {post[3]}", "Short.", post[4], post[5]]
+    for shape in (
+        f"<body><ul>{links}</ul><div><div class=x>{body}</div><ul>{readers}</ul></div><div>Imprint <a href=/>x</a></div>",
+        f"<div><div>{links}</div><div id=content>{body}</div></div><div>{readers}</div><p>&copy; 2020</p>",
+        f"<table><tr><td>{links}</td><td>{body}</td></tr></table>",
+        f"<body><div class='sidebar left'>{sentences(3, 5)[0]}</div><div class='post related-work'>{body}</div><div class=ad>{post[0]}</div>",
+    ):
+        assert html_text.extract(shape) == want, shape[:60]
+
+
+def test_html_with_article_elements():
+    one, two, other, reader = sentences(4, 1)
+    assert html_text.extract(f"<article><p>{one}</p></article><p>{other}</p><article><p>{two}</p><p>ok</p></article>") == [one, two, "ok"]
+    assert html_text.extract(f"<div><p>{other}</p></div><main><h1>H</h1><section class='related-work'><h2>Related work</h2><p>{one}</p></section><div class='search results'><p>{two}</p></div></main>") == ["H", "Related work", one, two]
+    menu = "".join(f"<li><a href=/{k}>More {k}</a></li>" for k in range(5))
+    assert html_text.extract(f"<article><p>{one}</p><ul>{menu}</ul><p>See <a href=x>this</a>.</p><div class=comments><p>{reader}</p></div></article>") == [one, "See this."]
+    assert html_text.extract(f"<article><p>{one}</p><div class='cookie-notice'>{two}</div><span class=ad>{two}</span> end</article>") == [one, "end"]
+
+
+def test_html_of_any_kind_does_not_crash():
+    for odd in ("<![foo[x]]>text", "<![ 5", "<![if !IE]><p>a</p><![endif]>", "<!", "<!-", "<!--x", "<?php", "</", "<a <b", "<![CDATA[<p>x</p>]]>", "&#xffffffff; &#0; \ud800".encode("utf-8", "replace").decode()):
+        for page in (odd, f"<article><p>{odd}</p></article>", f"<p>{odd}"):
+            assert isinstance(html_text.extract(page), list)
+    assert html_text.extract("<article><p>a<![foo[x]]>b</p></article>")
+
+    @given(st.lists(st.sampled_from(["<", ">", "!", "[", "]", "-", "/", "p", "article", "<p>", "</div>", "<div class='ad'>", "<![", "&#x", "&amp", ";", "x y", '"', "=", "<script>", "</script>", "<li>", "\n", "\x00", "<a href=", "<!--", "-->", "?"]), max_size=30))
+    @settings(max_examples=400, deadline=None)
+    def run(parts):
+        assert all(t == t.strip() and t for t in html_text.extract("".join(parts)))
+
+    run()
+    assert html_text.extract("<b>x</i>" * 30_000)  # unclosed and unopened tags, in linear time
+
+
 def test_html_frame(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     got = html_text.extract_pages(spark.createDataFrame([(1, "u", "<p>a</p>", "t", "n"), (None, None, None, None, None), (1, "u", "<p>a</p>", "t", "n"), (2, "u", f"<p>{LONG}</p>", None, None)], schema))
