@@ -1,32 +1,37 @@
 """Operator 2: toxic spans by a linear-chain conditional random field.
 
-Labels exist for documents only, so tokens are labelled first: words and word stems that
-toxic rows use significantly more often form a lexicon, and its matches in toxic rows are
-the toxic tokens. A two-state CRF (lexicon entry per token, transitions) is fitted to
-these sequences. Scoring runs forward-backward over the whole text; runs of words outside
-the lexicon, which share one potential, are jumped by exact matrix powers. The marginals
-of the matches give the offending offsets and, through a logistic link, the document's score.
+A two-state CRF tags every token. A token's potential is a bias plus weights of its features
+and of its neighbours': the word, its prefixes and suffixes, its shape. Labels exist for
+documents only, so the tags of the sample are latent: a clean document has no toxic token, a
+toxic one has at least one, and forward-backward marginals are the expected tags, estimated
+anew in each round of the fit. An L1 penalty leaves few features with a weight. Scoring runs
+forward-backward over the whole text; runs of tokens without any weighted feature, which
+share one potential, are jumped by exact matrix powers. The marginals give the offending
+offsets and, through a logistic link, the document's score.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loam.llm.shared import settings, stage
 
-#: Labelled rows for the lexicon and the link, and of these for the field: the model's bounded sample.
-SAMPLE, FIELD_SAMPLE = 6000, 1500
-#: Least log-likelihood ratio of a lexicon entry, least toxic rows, and most entries.
-SIGNIFICANT, LEAST_ROWS, LEXICON = 20.0, 4, 400
-STEMS = (3, 4, 5, 6, 7, 8)
+#: The model's bounded sample: most labelled rows, most characters of one and of all together.
+SAMPLE, LONGEST, SAMPLE_CHARS = 4000, 8000, 4_000_000
+PREFIXES, SUFFIXES = (3, 4, 5, 6, 7, 8), (3, 4, 5)
+#: Penalty of a weight of the token's own features, and of its neighbours', by the root of the number of toxic documents.
+L1 = (0.008, 0.024)
+ROUNDS, BIAS = 60, -7.0
+#: Weights below this are left out of the model.
+LEAST = 0.02
 THRESHOLD = 0.3
 PIECE = 256
 _TOKEN = re.compile(r"[^\W\d_]+")
@@ -39,33 +44,39 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _features(word: str) -> list[str]:
-    return [word] + [f"{word[:n]}*" for n in STEMS if len(word) > n]
+    """The word, its affixes and its shape."""
+    low = word.lower()
+    shape = "lower" if word == low else "upper" if word == word.upper() and len(word) > 1 else "title" if word[1:] == low[1:] else "mixed"
+    own = [f"w:{low}", f"shape:{shape}", f"length:{min(len(low), 20) // 4}"]
+    own += [f"p:{low[:n]}" for n in PREFIXES if len(low) > n]
+    return own + [f"s:{low[-n:]}" for n in SUFFIXES if len(low) > n]
 
 
 @dataclass
 class Model:
-    """Lexicon (entry to number from 1), potentials of the field, and the link's weights."""
+    """Weights by feature (own, from the token before, from the token after), potentials, and the link's weights."""
 
-    lexicon: dict[str, int]
-    emit: np.ndarray  # log potential of "toxic" per entry; 0: outside the lexicon
+    weights: dict[str, tuple[float, float, float]]
+    emit: np.ndarray  # log potentials of "toxic"; the first one is that of tokens without weighted features
     move: np.ndarray  # 2 x 2 log potentials
     start: np.ndarray
     link: np.ndarray  # bias, weights of the document's aggregates
+    jumps: dict = field(default_factory=dict)
 
-    def entry(self, word: str) -> int:
-        """The strongest lexicon entry of a word, 0 if none."""
-        found = [self.lexicon[f] for f in _features(word.lower()) if f in self.lexicon]
-        return max(found, key=lambda k: self.emit[k]) if found else 0
+    def entry(self, word: str) -> tuple[float, float, float] | None:
+        """What a word adds to its own potential, to the next token's and to that of the one before; None if nothing."""
+        found = [self.weights[f] for f in _features(word) if f in self.weights]
+        return (sum(f[0] for f in found), sum(f[1] for f in found), sum(f[2] for f in found)) if found else None
 
 
 class _Entries(dict):
-    """Entry number by word as written; filled as words come, emptied when large."""
+    """What words add, by word as written; filled as words come, emptied when large."""
 
     def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> tuple[float, float, float] | None:
         found = self.model.entry(word)
         if len(self) >= _CACHE:
             self.clear()
@@ -73,46 +84,86 @@ class _Entries(dict):
         return found
 
 
-def marginals(model: Model, at: list[int], entries: list[int], total: int) -> np.ndarray:
-    """P(toxic) of the tokens ``at``, all other ``total`` tokens being outside the lexicon.
+def _jump(model: Model, n: int) -> tuple[float, float, float, float]:
+    """Product of the transitions over ``n`` tokens without weighted features, scaled."""
+    found = model.jumps.get(n)
+    if found is None:
+        step = np.exp(model.move) * np.array([1.0, np.exp(model.emit[0])])
+        values, vectors = np.linalg.eig(step)
+        power = (vectors * (values / np.abs(values).max()) ** n) @ np.linalg.inv(vectors) if n else np.eye(2)
+        power = np.maximum(np.real(power), 0.0)
+        found = tuple((power / power.max()).ravel().tolist())
+        if len(model.jumps) < _CACHE:
+            model.jumps[n] = found
+    return found
+
 
-    Forward-backward in the probability domain, rescaled at each match.
+def chain(model: Model, at: list[int], potentials: list[float], total: int) -> np.ndarray:
+    """P(toxic) of the tokens ``at`` with their log potentials; all other ``total`` tokens have no weighted feature.
+
+    Forward-backward in the probability domain, rescaled at each of these tokens.
     """
     if not at:
         return np.zeros(0)
-    step = np.exp(model.move)
-    plain = step * np.array([1.0, np.exp(model.emit[0])])  # one token outside the lexicon
-    values, vectors = np.linalg.eig(plain)
-    back = np.linalg.inv(vectors)
-    values = values / values.max()
-
-    def jump(n: int) -> np.ndarray:
-        return (vectors * values**n) @ back if n else np.eye(2)
-
-    first = np.exp(model.start)
-    forward, alpha = [], None
-    for k, (i, e) in enumerate(zip(at, entries, strict=True)):
-        seen = np.array([1.0, np.exp(model.emit[e])])
-        if k:
-            alpha = alpha @ jump(i - at[k - 1] - 1) @ step * seen
-        elif i:
-            alpha = (first * np.array([1.0, np.exp(model.emit[0])])) @ jump(i - 1) @ step * seen
+    (m00, m01), (m10, m11) = np.exp(model.move).tolist()
+    s0, s1 = np.exp(model.start).tolist()
+    plain = float(np.exp(model.emit[0]))
+    seen = np.exp(np.clip(potentials, -60, 60)).tolist()
+    forward, a0, a1 = [], 0.0, 0.0
+    for k, i in enumerate(at):
+        if not k and not i:
+            a0, a1 = s0, s1 * seen[0]
         else:
-            alpha = first * seen
-        alpha = alpha / alpha.sum()
-        forward.append(alpha)
-    beta = jump(total - at[-1] - 1) @ np.ones(2)
+            if k:
+                gap = i - at[k - 1] - 1
+            else:
+                a0, a1, gap = s0, s1 * plain, i - 1
+            if gap:
+                j00, j01, j10, j11 = _jump(model, gap)
+                a0, a1 = a0 * j00 + a1 * j10, a0 * j01 + a1 * j11
+            a0, a1 = a0 * m00 + a1 * m10, (a0 * m01 + a1 * m11) * seen[k]
+        whole = a0 + a1
+        a0, a1 = a0 / whole, a1 / whole
+        forward.append((a0, a1))
     out = np.zeros(len(at))
+    j00, j01, j10, j11 = _jump(model, total - at[-1] - 1)
+    b0, b1 = j00 + j01, j10 + j11
     for k in range(len(at) - 1, -1, -1):
-        both = forward[k] * beta
-        out[k] = both[1] / both.sum()
+        a0, a1 = forward[k]
+        out[k] = a1 * b1 / (a0 * b0 + a1 * b1)
         if k:
-            seen = np.array([1.0, np.exp(model.emit[entries[k]])])
-            beta = jump(at[k] - at[k - 1] - 1) @ step @ (seen * beta)
-            beta = beta / beta.sum()
+            b1 *= seen[k]
+            b0, b1 = m00 * b0 + m01 * b1, m10 * b0 + m11 * b1
+            gap = at[k] - at[k - 1] - 1
+            if gap:
+                j00, j01, j10, j11 = _jump(model, gap)
+                b0, b1 = j00 * b0 + j01 * b1, j10 * b0 + j11 * b1
+            whole = b0 + b1
+            b0, b1 = b0 / whole, b1 / whole
     return out
 
 
+def marginals(model: Model, at: list[int], entries: list[int], total: int) -> np.ndarray:
+    """``chain`` with potentials named by their number in ``model.emit``."""
+    return chain(model, at, [float(model.emit[e]) for e in entries], total)
+
+
+def read(model: Model, entries: _Entries, text: str) -> tuple[list[int], np.ndarray, int]:
+    """(places of tokens with a potential of their own, their P(toxic), number of all tokens)."""
+    found = [entries[w] for w in _TOKEN.findall(text)]
+    extra: dict[int, float] = {}
+    total = len(found)
+    for i, f in enumerate(found):
+        if f:
+            extra[i] = extra.get(i, 0.0) + f[0]
+            if f[1] and i + 1 < total:
+                extra[i + 1] = extra.get(i + 1, 0.0) + f[1]
+            if f[2] and i:
+                extra[i - 1] = extra.get(i - 1, 0.0) + f[2]
+    at, plain = sorted(extra), float(model.emit[0])
+    return at, chain(model, at, [plain + extra[i] for i in at], total), total
+
+
 def aggregates(probs: np.ndarray, total: int) -> np.ndarray:
     """A document's aggregates of its marginals: bias, largest, expected number, expected share."""
     expected = float(probs.sum())
@@ -123,51 +174,112 @@ def score(model: Model, probs: np.ndarray, total: int) -> float:
     return float(1 / (1 + np.exp(-np.clip(aggregates(probs, total) @ model.link, -30, 30))))
 
 
-def _fit_field(sequences: list[tuple[np.ndarray, np.ndarray]], size: int, rounds: int = 80) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximum likelihood with an L2 prior, by Adam, over sequences padded to one length."""
-    long = max(len(f) for f, _ in sequences)
-    n = len(sequences)
-    feats, tags, mask = np.zeros((long, n), np.int64), np.zeros((long, n), np.int64), np.zeros((long, n), bool)
-    for k, (f, y) in enumerate(sequences):
-        feats[: len(f), k], tags[: len(f), k], mask[: len(f), k] = f, y, True
-    emit, move, start = np.zeros(size), np.zeros((2, 2)), np.zeros(2)
-    seen_emit = np.bincount(feats[mask & (tags == 1)], minlength=size).astype(float)
-    pairs = mask[1:]
-    seen_move = np.bincount((tags[:-1] * 2 + tags[1:])[pairs], minlength=4).reshape(2, 2).astype(float)
-    seen_start = np.bincount(tags[0], minlength=2).astype(float)
-    theta = np.concatenate((emit, move.ravel(), start))
-    seen = np.concatenate((seen_emit, seen_move.ravel(), seen_start))
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for r in range(1, rounds + 1):
-        emit, move, start = theta[:size], theta[size : size + 4].reshape(2, 2), theta[-2:]
-        e = np.exp(emit[feats])
-        t = np.exp(move)
-        alpha = np.empty((long, 2, n))
-        alpha[0] = np.exp(start)[:, None] * np.stack((np.ones(n), e[0]))
-        alpha[0] /= alpha[0].sum(0)
-        for i in range(1, long):
-            new = np.stack((alpha[i - 1, 0] * t[0, 0] + alpha[i - 1, 1] * t[1, 0], (alpha[i - 1, 0] * t[0, 1] + alpha[i - 1, 1] * t[1, 1]) * e[i]))
-            new /= new.sum(0)
-            alpha[i] = np.where(mask[i], new, alpha[i - 1])
-        expect, moved = np.zeros(size), np.zeros((2, 2))
-        beta = np.ones((2, n))
-        for i in range(long - 1, -1, -1):
-            p = alpha[i] * beta
-            p = p[1] / p.sum(0)
-            expect += np.bincount(feats[i], np.where(mask[i], p, 0), minlength=size)
-            if i:
-                out = np.stack((beta[0], beta[1] * e[i]))
-                joint = alpha[i - 1][:, None] * t[:, :, None] * out[None]
-                joint /= joint.sum((0, 1))
-                moved += (joint * mask[i]).sum(2)
-                new = np.stack((t[0, 0] * out[0] + t[0, 1] * out[1], t[1, 0] * out[0] + t[1, 1] * out[1]))
-                beta = np.where(mask[i], new / new.sum(0), beta)
-        first = alpha[0] * beta
-        first = (first / first.sum(0)).sum(1)
-        grad = (seen - np.concatenate((expect, moved.ravel(), first))) - 0.5 * theta
-        m, v = 0.8 * m + 0.2 * grad, 0.99 * v + 0.01 * grad**2
-        theta = theta + 0.25 * (m / (1 - 0.8**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-9)
-    return theta[:size], theta[size : size + 4].reshape(2, 2), theta[-2:]
+class _Sample:
+    """Token types of the sample's documents in pieces side by side, and the types' features."""
+
+    def __init__(self, texts: list[str], labels: list[int]) -> None:
+        types: dict[str, int] = {}
+        docs = [[types.setdefault(w, len(types)) for w in _TOKEN.findall(t)] for t in texts]
+        features: dict[str, int] = {}
+        lists = [[features.setdefault(f, len(features)) for f in _features(w)] for w in types]
+        seen = np.zeros(len(features), np.int64)
+        for own in docs:  # documents that hold a feature
+            seen[list({f for t in set(own) for f in lists[t]})] += 1
+        # A feature of a single document says nothing about others.
+        number = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)
+        self.names = [f for f, n in zip(features, seen.tolist(), strict=True) if n > 1]
+        lists = [[int(number[f]) for f in own if number[f] >= 0] for own in lists]
+        self.flat = np.array([f for own in lists for f in own], np.int64)
+        self.ends = np.cumsum([len(own) for own in lists]) if lists else np.zeros(0, np.int64)
+        self.lens = np.array([len(own) for own in lists], np.int64)
+        pieces = [(k, own[at : at + PIECE], at) for k, own in enumerate(docs) for at in range(0, max(len(own), 1), PIECE) if own]
+        pieces.sort(key=lambda p: -len(p[1]))
+        self.labels, self.count = np.array(labels), len(types)
+        self.doc = np.array([k for k, _, _ in pieces], np.int64)
+        self.long = max((len(p) for _, p, _ in pieces), default=0)
+        # Type ``count`` stands for "no token".
+        self.tokens = np.full((self.long, len(pieces)), self.count, np.int64)
+        self.before, self.after = self.tokens.copy(), self.tokens.copy()
+        for n, (k, own, at) in enumerate(pieces):
+            self.tokens[: len(own), n] = own
+            self.before[: len(own), n] = [docs[k][at - 1] if at else self.count, *own[:-1]]
+            end = at + len(own)
+            self.after[: len(own), n] = [*own[1:], docs[k][end] if end < len(docs[k]) else self.count]
+        # Pieces are sorted by length, so those still running at a step are the first ones.
+        self.alive = (self.tokens < self.count).sum(1)
+
+    def by_type(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each type's features; 0 for "no token"."""
+        sums = np.concatenate(([0.0], np.cumsum(weights[self.flat])))
+        return np.append(sums[self.ends] - sums[self.ends - self.lens], 0.0)
+
+    def by_feature(self, types: np.ndarray, values: np.ndarray) -> np.ndarray:
+        per = np.bincount(types.ravel(), values.ravel(), minlength=self.count + 1)[: self.count]
+        return np.bincount(self.flat, np.repeat(per, self.lens), minlength=len(self.names))
+
+
+def _expect(sample: _Sample, emit: np.ndarray, start: float, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per token P(toxic), per piece the expected moves (0-1, 1-0, 1-1) and toxic starts, and log Z against "no toxic token"."""
+    long, n = emit.shape
+    e, (t01, t10, t11) = np.exp(np.clip(emit, -30, 30)), np.exp(move)
+    alpha, logs = np.zeros((long, 2, n)), np.zeros(n)
+    for i in range(long):
+        m = sample.alive[i]
+        if i:
+            a0, a1 = alpha[i - 1, :, :m]
+            n0, n1 = a0 + a1 * t10, (a0 * t01 + a1 * t11) * e[i, :m]
+        else:
+            n0, n1 = np.ones(m), np.exp(start) * e[0, :m]
+        whole = n0 + n1
+        alpha[i, 0, :m], alpha[i, 1, :m] = n0 / whole, n1 / whole
+        logs[:m] += np.log(whole)
+    tag, moved = np.zeros((long, n)), np.zeros((3, n))
+    b0, b1 = np.ones(n), np.ones(n)
+    for i in range(long - 1, -1, -1):
+        m = sample.alive[i]
+        a0, a1 = alpha[i, :, :m]
+        up = a1 * b1[:m]
+        tag[i, :m] = up / (a0 * b0[:m] + up)
+        if i:
+            c0, c1 = b0[:m], b1[:m] * e[i, :m]
+            p0, p1 = alpha[i - 1, :, :m]
+            parts = np.stack((p0 * t01 * c1, p1 * t10 * c0, p1 * t11 * c1))
+            moved[:, :m] += parts / (parts.sum(0) + p0 * c0)
+            n0, n1 = c0 + t01 * c1, t10 * c0 + t11 * c1
+            whole = n0 + n1
+            b0[:m], b1[:m] = n0 / whole, n1 / whole
+    return tag, moved, tag[0] if long else np.zeros(n), logs
+
+
+def _fit_field(sample: _Sample, rounds: int = ROUNDS) -> tuple[np.ndarray, float, float, np.ndarray]:
+    """Weights (own, before, after), bias, start and moves: proximal AdaGrad on the documents' likelihood.
+
+    A document is clean with probability 1 / Z, all paths being measured against the one
+    without a toxic token. A toxic document's expected features count by the odds of its
+    being clean: once its toxic tokens are found it asks for nothing more.
+    """
+    size = len(sample.names)
+    weights, other = np.zeros((3, size)), np.array([BIAS, -1.0, -1.0, -1.0, -1.0])  # bias, start, moves
+    power, power_other = np.full((3, size), 1e-2), np.full(5, 1e-2)
+    penalty = np.array([L1[0], L1[1], L1[1]])[:, None] * np.sqrt(sample.labels.sum())
+    kinds = (sample.tokens, sample.before, sample.after)
+    alive = sample.tokens < sample.count
+    for _ in range(rounds):
+        emit = other[0] + sum(sample.by_type(w)[k] for w, k in zip(weights, kinds, strict=True))
+        tag, moved, first, logs = _expect(sample, emit, other[1], other[2:])
+        logz = np.bincount(sample.doc, logs, minlength=len(sample.labels))
+        clean = np.exp(-np.clip(logz, 1e-9, 60))
+        factor = np.where(sample.labels == 1, np.minimum(clean / (1 - clean), 1e6), -1.0)[sample.doc]
+        weight = tag * factor * alive
+        grad = np.stack([sample.by_feature(k, weight) for k in kinds])
+        power += grad**2
+        rate = 0.5 / np.sqrt(power)
+        weights += rate * grad
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - rate * penalty, 0)
+        more = np.array([weight.sum(), (first * factor).sum(), *(moved * factor).sum(1)]) - 0.1 * (other - [BIAS, -1, -1, -1, -1])
+        power_other += more**2
+        other += 0.5 * more / np.sqrt(power_other)
+    return weights, other[0], other[1], other[2:]
 
 
 def _fit_link(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -180,73 +292,34 @@ def _fit_link(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a task's part of the sample that hold a feature, by label."""
-    counts: list[Counter] = [Counter(), Counter()]
-    for batch in batches:
-        for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-            words = {w.lower() for w in _TOKEN.findall(text or "")}
-            counts[label].update({f for w in words for f in _features(w)})
-    rows = list(counts[0].keys() | counts[1].keys())
-    for k in range(0, len(rows), 20_000):
-        some = rows[k : k + 20_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.string()), pa.array([counts[1][f] for f in some], pa.int64()), pa.array([counts[0][f] for f in some], pa.int64())], names=["feature", "a", "b"]
-        )
-
-
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Model | None:
     """Model from rows that aren't held out; None unless both labels occur.
 
-    At most ``sample`` labelled rows, chosen by a hash of doc_id, are used. Of labels that
-    disagree for a doc_id, toxic counts.
+    At most ``sample`` labelled doc_ids in the order of a hash are used, one row of each (the
+    one with the least text, unless it is longer than ``LONGEST``), and of these as many as
+    hold ``chars`` characters together. Of labels that disagree for a doc_id, toxic counts.
     """
-    spark = docs.sparkSession
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    chosen = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")
-    rows = stage(texts.repartition(8, "doc_id"), "labelled")  # the broadcast side has at most ``sample`` rows
-    sizes = dict(map(tuple, rows.groupBy("toxic").count().collect()))
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(*order).limit(sample)
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= LONGEST)  # broadcast: at most ``sample`` rows
+    single = stage(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "labelled")  # repeated doc_ids end here
+    # At most ``sample`` rows are left; their running size bounds what reaches the driver.
+    size = F.sum(F.length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = single.select("doc_id", "toxic", "text", size.alias("size")).where(F.col("size") <= chars).orderBy("size").select("toxic", "text").collect()
+    tags, read_ = [r.toxic for r in rows], [r.text for r in rows]
+    if len(set(tags)) < 2:
         return None
-    counted = rows.select("text", "toxic").mapInArrow(_count_features, "feature string, a long, b long").groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    share = (a + b) / (n1 + n0)
-    ratio = 2 * (part(a, share * n1) + part(b, share * n0) + part(n1 - a, (1 - share) * n1) + part(n0 - b, (1 - share) * n0))
-    strong = counted.where((a >= LEAST_ROWS) & (a * n0 > 6 * (b + 0.5) * n1)).withColumn("llr", ratio).where(F.col("llr") >= SIGNIFICANT)
-    entries = [r[0] for r in strong.orderBy(F.desc("llr"), F.length("feature"), "feature").limit(LEXICON).collect()]
-    if not entries:
+    held = _Sample(read_, tags)
+    if not held.long:
         return None
-    model = Model({f: k for k, f in enumerate(entries, 1)}, np.r_[0.0, np.arange(len(entries), 0, -1.0)], np.zeros((2, 2)), np.zeros(2), np.zeros(4))
-
-    def matched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _Entries(model)
-        for batch in batches:
-            total, at, own = [], [], []
-            for text in batch["text"].to_pylist():
-                ids = [found[w] for w in _TOKEN.findall(text)]
-                hits = [i for i, e in enumerate(ids) if e]
-                total.append(len(ids))
-                at.append(hits)
-                own.append([ids[i] for i in hits])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(total, pa.int64()), pa.array(at, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "toxic", "total", "at", "entries"])
-
-    got = rows.mapInArrow(matched, "doc_id long, toxic int, total long, at array<long>, entries array<long>").toPandas().sort_values(["doc_id", "total"])
-    got = got.iloc[np.argsort([hash((int(d), 7)) % 1_000_003 for d in got["doc_id"]], kind="stable")]
-    sequences = []
-    for toxic, total, at, own in got[["toxic", "total", "at", "entries"]].head(FIELD_SAMPLE).itertuples(index=False):
-        ids = np.zeros(int(total), np.int64)
-        ids[np.asarray(at, np.int64)] = own
-        tags = (ids > 0).astype(np.int64) * toxic
-        sequences += [(ids[k : k + PIECE], tags[k : k + PIECE]) for k in range(0, len(ids), PIECE)]
-    model.emit, model.move, model.start = _fit_field(sequences or [(np.zeros(1, np.int64),) * 2], len(entries) + 1)
-    x = np.array([aggregates(marginals(model, [int(i) for i in at], [int(e) for e in own], int(total)), int(total)) for total, at, own in got[["total", "at", "entries"]].itertuples(index=False)])
-    model.link = _fit_link(x, got["toxic"].to_numpy(float))
+    weights, bias, start, move = _fit_field(held)
+    strong = np.flatnonzero((np.abs(weights) > LEAST).any(0))
+    table = {held.names[k]: tuple(weights[:, k].tolist()) for k in strong.tolist()}
+    model = Model(table, np.array([bias]), np.array([[0.0, move[0]], [move[1], move[2]]]), np.array([0.0, start]), np.zeros(4))
+    entries = _Entries(model)
+    x = np.array([aggregates(probs, total) for _, probs, total in (read(model, entries, t) for t in read_)])
+    model.link = _fit_link(x, np.array(tags, float))
     return model
 
 
@@ -255,10 +328,7 @@ def tag(model: Model | None, text: str | None, entries: dict | None = None) -> t
     if model is None or not text:
         return (0.0 if model is None else score(model, np.zeros(0), 0)), [], []
     entries = _Entries(model) if entries is None else entries
-    words = _TOKEN.findall(text)
-    ids = [entries[w] for w in words]
-    at = [i for i, e in enumerate(ids) if e]
-    probs = marginals(model, at, [ids[i] for i in at], len(ids))
+    at, probs, total = read(model, entries, text)
     bad = {i for i, p in zip(at, probs.tolist(), strict=True) if p >= 0.5}
     starts, ends = [], []
     if bad:
@@ -271,14 +341,14 @@ def tag(model: Model | None, text: str | None, entries: dict | None = None) -> t
                     starts.append(m.start())
                     ends.append(m.end())
                 last = i
-    return score(model, probs, len(ids)), starts, ends
+    return score(model, probs, total), starts, ends
 
 
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, score, predicted, starts, ends: one row per row of ``docs``.
 
     Null and empty texts get the score of a text without matches. Without a model (no
-    labelled rows of both kinds, or no significant word) every score is 0. Rows that
+    labelled rows of both kinds) every score is 0. Rows that
     repeat are scored alike; empty tables give no rows; other columns are ignored.
     """
 

@@ -706,10 +706,50 @@ def test_search(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
-def test_toxicity_held_out(spark):
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_toxicity_held_out(spark, sf):
     """Held-out accuracy on the driver's labels: few clean documents are rejected."""
-    sf = "/root/testdata/sf0.1"
+    sf = f"/root/testdata/{sf}"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     found = [(r.predicted, labels[r.doc_id]) for r in queries.op2_crf_toxicity(spark, sf).where("held_out").collect() if r.doc_id in labels]
     caught = sum(p and y for p, y in found)
     assert caught / sum(y for _, y in found) > 0.9 and caught / sum(p for p, _ in found) > 0.95
+
+
+def test_field_expectations_like_enumeration():
+    """Expected tags, moves and log Z of the fit against every tag sequence."""
+    rng = np.random.default_rng(16)
+    sample = toxic_crf._Sample(["aa bb aa cc", "bb cc", "cc"], [1, 0, 0])
+    emit, start, move = rng.normal(size=sample.tokens.shape), 0.3, rng.normal(size=3)
+    tag, moved, first, logs = toxic_crf._expect(sample, emit, start, move)
+    for n in range(sample.tokens.shape[1]):
+        m = int((sample.tokens[:, n] < sample.count).sum())
+        weight = {}
+        for tags in itertools.product((0, 1), repeat=m):
+            s = tags[0] * start + sum(emit[i, n] for i in range(m) if tags[i])
+            weight[tags] = math.exp(s + sum({(0, 0): 0, (0, 1): move[0], (1, 0): move[1], (1, 1): move[2]}[p] for p in itertools.pairwise(tags)))
+        total = sum(weight.values())
+        assert np.allclose(logs[n], math.log(total))
+        assert np.allclose(tag[:m, n], [sum(w for t, w in weight.items() if t[i]) / total for i in range(m)])
+        for k, pair in enumerate(((0, 1), (1, 0), (1, 1))):
+            assert np.allclose(moved[k, n], sum(w * sum(p == pair for p in itertools.pairwise(t)) for t, w in weight.items()) / total)
+        assert np.allclose(first[n], sum(w for t, w in weight.items() if t[0]) / total)
+
+
+def test_neighbours_and_affixes_count():
+    model = toxic_crf.Model({"p:vil": (9.0, 0.0, 0.0), "w:very": (0.0, 4.0, 0.0), "s:hole": (5.0, 0.0, 0.0)}, np.array([-6.0]), np.zeros((2, 2)), np.zeros(2), np.zeros(4))
+    read = lambda t: dict(zip(*toxic_crf.read(model, toxic_crf._Entries(model), t)[:2], strict=True))
+    alone, after = read("a bighole here"), read("a very bighole here")
+    assert after[2] > alone[1] and read("vilest words")[0] > 0.9
+    text = "fine words " * 500 + "Vilely said"
+    score, starts, ends = toxic_crf.tag(model, text)
+    assert [text[a:b] for a, b in zip(starts, ends, strict=True)] == ["Vilely"]
+
+
+def test_repeated_labelled_rows_are_one(spark):
+    """A doc_id that very many rows share gives the sample one row."""
+    docs = [(k, f"plain text number w{k % 50} here and there" + (" vileword" if k % 4 == 0 else ""), *[None] * 10) for k in range(400)]
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(400)], "doc_id long, quality int, toxic int")
+    once = toxic_crf.learn(frame(spark, docs), labels)
+    often = toxic_crf.learn(frame(spark, docs + [docs[1]] * 3000), labels)
+    assert once.weights == often.weights and any(k.startswith("w:vileword") for k in once.weights)
