@@ -3,8 +3,9 @@
 A vector is the sum of one full-dimensional codeword from each codebook. Codebooks start
 as k-means of residuals and are refitted together by least squares; codes are found by a
 beam search that works on inner products with the codewords and their Gram matrix. Each
-row stores its codes and norms. A query's table of inner products with all codewords
-scores every row by look-ups; the best of each block of rows are reranked exactly.
+row stores its codes and norms. A query's table of inner products with all codewords scores
+every row by look-ups, from codes and norms alone; the best of all rows, a fixed number for
+each query, are reranked with their vectors.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ BOOKS, WORDS, BEAM, ROUNDS = 16, 64, 8, 2
 SAMPLE = 8192
 #: Rows and queries that meet in one task, and queries scored at once.
 ROWS, QUERIES, AT_ONCE = 16384, 4096, 64
-#: Rows of a block that are reranked for a query.
-RERANK = 512
+#: Rows that are reranked for a query, of however many.
+RERANK = 1024
 NEIGHBOURS = 20
 
 
@@ -155,49 +156,64 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     return stage(good.mapInArrow(run, schema.replace("array<float>", kind)), "index"), books
 
 
+def quota(rerank: int, blocks: int) -> int:
+    """Candidates of one block: rows are dealt to blocks at random, so hardly one of the best ``rerank`` is beyond it."""
+    mean = rerank / blocks
+    return min(rerank, int(np.ceil(mean + 6 * np.sqrt(mean) + 10)))
+
+
 def search(index: DataFrame, books: Codebooks | None, queries: Column, count: int = NEIGHBOURS, rerank: int = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score: the ``count`` largest inner products found for each query row.
 
-    Rows and queries are dealt into blocks; every pair of blocks is one task of bounded
-    size. Scores are exact double-precision inner products; ties go to the smaller vec_id.
+    Codes and queries are dealt into blocks; every pair of blocks is one task of bounded size
+    that sees no other vectors than the queries'. Then the ``rerank`` best guesses of each
+    query meet their vectors. Scores are exact double-precision inner products; ties go to
+    the smaller vec_id.
     """
-    out = "query_id long, vec_id long, score double"
     if books is None:
         return index.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n, q = index.count(), index.where(queries).count()
     blocks, groups = max(1, -(-n // ROWS)), max(1, -(-q // QUERIES))
+    per_block = quota(rerank, blocks)
     deal = lambda df, own, k, other, m: df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(k)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-    rows = deal(index, "block", blocks, "batch", groups)
+    gain = (F.col("norm") / F.greatest("norm_rebuilt", F.lit(1e-12))).cast("float")  # undoes the shrinking of a rebuilt vector
+    rows = deal(index.select("vec_id", "codes", gain.alias("gain")), "block", blocks, "batch", groups)
     asked = deal(index.where(queries).select("vec_id", "embedding"), "batch", groups, "block", blocks)
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, vecs, score = [], [], []
         if left.num_rows and right.num_rows:
             left, right = left.sort_by("vec_id"), right.sort_by("vec_id")
-            x, y = _matrix(left["embedding"]).astype(np.float64), _matrix(right["embedding"]).astype(np.float64)
-            own, wanted = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
+            y, own, wanted = _matrix(right["embedding"]).astype(np.float64), left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
             codes = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(len(own), -1).T.astype(np.intp)
-            # The stored norms undo the shrinking of a rebuilt vector.
-            gain = (left["norm"].to_numpy() / np.maximum(left["norm_rebuilt"].to_numpy(), 1e-12)).astype(np.float32)
+            scale = left["gain"].to_numpy()
             for at in range(0, len(wanted), AT_ONCE):
-                part = y[at : at + AT_ONCE]
-                tables = np.einsum("qd,bkd->bqk", part, books.words).astype(np.float32)
+                tables = np.einsum("qd,bkd->bqk", y[at : at + AT_ONCE], books.words).astype(np.float32)
                 guess = tables[0][:, codes[0]]
                 for b in range(1, len(codes)):
                     guess += tables[b][:, codes[b]]
-                guess *= gain
-                for k, vec in enumerate(part):
-                    chosen = top(guess[k], rerank + 1)
-                    chosen = np.sort(chosen[own[chosen] != wanted[at + k]])
-                    exact = x[chosen] @ vec
-                    best = np.lexsort((own[chosen], -exact))[:count]
-                    ids.append(np.full(len(best), wanted[at + k]))
-                    vecs.append(own[chosen][best])
-                    score.append(exact[best])
+                guess *= scale
+                for k in range(len(guess)):
+                    chosen = top(guess[k], per_block + 1)
+                    chosen = chosen[own[chosen] != wanted[at + k]]
+                    ids.append(np.full(len(chosen), wanted[at + k]))
+                    vecs.append(own[chosen])
+                    score.append(guess[k][chosen])
         join = lambda parts, t: pa.array(np.concatenate(parts) if parts else np.zeros(0), t)
-        return pa.table({"query_id": join(ids, pa.int64()), "vec_id": join(vecs, pa.int64()), "score": join(score, pa.float64())})
+        return pa.table({"query_id": join(ids, pa.int64()), "vec_id": join(vecs, pa.int64()), "guess": join(score, pa.float32())})
+
+    found = rows.groupBy("block", "batch").cogroup(asked.groupBy("block", "batch")).applyInArrow(meet, "query_id long, vec_id long, guess float")
+    best = Window.partitionBy("query_id").orderBy(F.desc("guess"), "vec_id")
+    chosen = stage(found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= rerank).select("query_id", "vec_id"), "candidates")
+
+    def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = _matrix(batch["embedding"]).astype(np.float64), _matrix(batch["asked"]).astype(np.float64)
+            score = (x * y).sum(1) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch["query_id"], batch["vec_id"], pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    near = asked.groupBy("block", "batch")
-    found = rows.groupBy("block", "batch").cogroup(near).applyInArrow(meet, out)
+    asking = index.where(queries).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("asked"))
+    both = chosen.join(index.select("vec_id", "embedding"), "vec_id").join(asking, "query_id").select("query_id", "vec_id", "embedding", "asked")
+    scored = both.mapInArrow(exact, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).select("query_id", "rank", "vec_id", "score")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).select("query_id", "rank", "vec_id", "score")

@@ -2,9 +2,11 @@
 
 A two-state CRF tags every token. A token's potential is a bias plus weights of its features
 and of its neighbours': the word, its prefixes and suffixes, its shape. Labels exist for
-documents only, so the tags of the sample are latent: a clean document has no toxic token, a
-toxic one has at least one, and forward-backward marginals are the expected tags, estimated
-anew in each round of the fit. An L1 penalty leaves few features with a weight. Scoring runs
+documents only, so tokens are labelled first: a clean document has no toxic token, in a toxic
+one the tokens are that have a feature which toxic documents use significantly more often.
+As the fit goes on, forward-backward marginals of the field, given that the document is
+toxic, are the expected tags, and toxic documents that have none yet raise the marginals of
+their likeliest tokens. An L1 penalty leaves few features with a weight. Scoring runs
 forward-backward over the whole text; runs of tokens without any weighted feature, which
 share one potential, are jumped by exact matrix powers. The marginals give the offending
 offsets and, through a logistic link, the document's score.
@@ -27,9 +29,15 @@ from loam.llm.shared import settings, stage
 #: The model's bounded sample: most labelled rows, most characters of one and of all together.
 SAMPLE, LONGEST, SAMPLE_CHARS = 4000, 8000, 4_000_000
 PREFIXES, SUFFIXES = (3, 4, 5, 6, 7, 8), (3, 4, 5)
-#: Penalty of a weight of the token's own features, and of its neighbours', by the root of the number of toxic documents.
-L1 = (0.008, 0.024)
-ROUNDS, BIAS = 60, -7.0
+#: Penalty of a weight of the token's own features, and of its neighbours', for each toxic document of the sample.
+L1 = (0.003, 0.009)
+ROUNDS, BIAS = 48, -6.0
+#: Rounds between two estimates of the tags, and how much likelier a token is toxic in a toxic document (log odds).
+AGAIN, GIVEN = 12, 2.0
+#: Most that a toxic document without toxic tokens asks for, by its marginals.
+MISSED = 30.0
+#: Log-likelihood ratios by documents that label a feature's tokens, alone or (the first two) together with that by occurrences.
+SIGNIFICANT = (8.0, 30.0, 20.0)
 #: Weights below this are left out of the model.
 LEAST = 0.02
 THRESHOLD = 0.3
@@ -174,6 +182,16 @@ def score(model: Model, probs: np.ndarray, total: int) -> float:
     return float(1 / (1 + np.exp(-np.clip(aggregates(probs, total) @ model.link, -30, 30))))
 
 
+def _ratio(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Log-likelihood ratio of seeing something ``a`` times among n1 and ``b`` among n0."""
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
+
+    share = (a + b) / max(n1 + n0, 1)
+    return 2 * (part(a, share * n1) + part(b, share * n0) + part(n1 - a, (1 - share) * n1) + part(n0 - b, (1 - share) * n0))
+
+
 class _Sample:
     """Token types of the sample's documents in pieces side by side, and the types' features."""
 
@@ -182,9 +200,18 @@ class _Sample:
         docs = [[types.setdefault(w, len(types)) for w in _TOKEN.findall(t)] for t in texts]
         features: dict[str, int] = {}
         lists = [[features.setdefault(f, len(features)) for f in _features(w)] for w in types]
-        seen = np.zeros(len(features), np.int64)
-        for own in docs:  # documents that hold a feature
-            seen[list({f for t in set(own) for f in lists[t]})] += 1
+        held, uses = np.zeros((2, len(features))), np.zeros((2, len(features)))
+        for own, label in zip(docs, labels, strict=True):  # documents that hold a feature, and its occurrences
+            held[label, list({f for t in set(own) for f in lists[t]})] += 1
+            for t in own:
+                uses[label, lists[t]] += 1
+        seen = held.sum(0)
+        n0, n1 = labels.count(0), labels.count(1)
+        tokens = [sum(len(own) for own, y in zip(docs, labels, strict=True) if y == label) for label in (0, 1)]
+        by_docs, by_uses = _ratio(held[1], held[0], n1, n0), _ratio(uses[1], uses[0], tokens[1], tokens[0])
+        alone, both, sure = SIGNIFICANT
+        telling = (held[1] * n0 > 6 * (held[0] + 0.5) * n1) & ((by_docs >= sure) | (by_docs >= alone) & (by_uses >= both))
+        self.seeds = np.array([bool(telling[own].any()) for own in lists] + [False])
         # A feature of a single document says nothing about others.
         number = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)
         self.names = [f for f, n in zip(features, seen.tolist(), strict=True) if n > 1]
@@ -252,31 +279,34 @@ def _expect(sample: _Sample, emit: np.ndarray, start: float, move: np.ndarray) -
 
 
 def _fit_field(sample: _Sample, rounds: int = ROUNDS) -> tuple[np.ndarray, float, float, np.ndarray]:
-    """Weights (own, before, after), bias, start and moves: proximal AdaGrad on the documents' likelihood.
-
-    A document is clean with probability 1 / Z, all paths being measured against the one
-    without a toxic token. A toxic document's expected features count by the odds of its
-    being clean: once its toxic tokens are found it asks for nothing more.
-    """
+    """Weights (own, before, after), bias, start and moves: proximal AdaGrad on the likelihood of the expected tags."""
     size = len(sample.names)
-    weights, other = np.zeros((3, size)), np.array([BIAS, -1.0, -1.0, -1.0, -1.0])  # bias, start, moves
+    weights, first_guess = np.zeros((3, size)), np.array([BIAS, -1.0, 0.0, 0.0, 0.0])  # bias, start, moves
+    other = first_guess.copy()
     power, power_other = np.full((3, size), 1e-2), np.full(5, 1e-2)
-    penalty = np.array([L1[0], L1[1], L1[1]])[:, None] * np.sqrt(sample.labels.sum())
+    penalty = np.array([L1[0], L1[1], L1[1]])[:, None] * sample.labels.sum()
     kinds = (sample.tokens, sample.before, sample.after)
     alive = sample.tokens < sample.count
-    for _ in range(rounds):
-        emit = other[0] + sum(sample.by_type(w)[k] for w, k in zip(weights, kinds, strict=True))
+    toxic = sample.labels[sample.doc] == 1
+    known = sample.seeds[sample.tokens] * toxic
+    wanted = known.astype(float)
+    for k in range(rounds):
+        emit = other[0] + sum(sample.by_type(w)[t] for w, t in zip(weights, kinds, strict=True))
+        if k and k % AGAIN == 0:
+            wanted = np.maximum(_expect(sample, emit + GIVEN, other[1], other[2:])[0] * toxic, 0.9 * known)
         tag, moved, first, logs = _expect(sample, emit, other[1], other[2:])
-        logz = np.bincount(sample.doc, logs, minlength=len(sample.labels))
-        clean = np.exp(-np.clip(logz, 1e-9, 60))
-        factor = np.where(sample.labels == 1, np.minimum(clean / (1 - clean), 1e6), -1.0)[sample.doc]
-        weight = tag * factor * alive
-        grad = np.stack([sample.by_feature(k, weight) for k in kinds])
+        # log Z is measured against "no toxic token": a toxic document that still looks clean asks for more of what is likeliest in it.
+        clean = np.exp(-np.clip(np.bincount(sample.doc, logs, minlength=len(sample.labels)), 1e-9, 60))
+        asks = np.where(sample.labels == 1, np.minimum(clean / (1 - clean), MISSED), 0.0)[sample.doc]
+        off = (wanted - tag + asks * tag) * alive
+        grad = np.stack([sample.by_feature(t, off) for t in kinds])
         power += grad**2
         rate = 0.5 / np.sqrt(power)
         weights += rate * grad
         weights = np.sign(weights) * np.maximum(np.abs(weights) - rate * penalty, 0)
-        more = np.array([weight.sum(), (first * factor).sum(), *(moved * factor).sum(1)]) - 0.1 * (other - [BIAS, -1, -1, -1, -1])
+        up, on = wanted[1:] * alive[1:], wanted[:-1] * alive[1:]
+        moves = np.array([(up * (1 - on)).sum(), (on * (alive[1:] - up)).sum(), (up * on).sum()])
+        more = np.concatenate(([off.sum(), (wanted[0] - first).sum()], moves - moved.sum(1))) - 0.1 * (other - first_guess)
         power_other += more**2
         other += 0.5 * more / np.sqrt(power_other)
     return weights, other[0], other[1], other[2:]

@@ -705,6 +705,26 @@ def test_search(spark):
         assert additive.search(index, books, F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/check_l"), reason="no test tables")
+def test_recall_on_a_large_table(spark):
+    """Against brute force on over 50,000 rows, of which at most 2 % are reranked for a query."""
+    table = spark.read.parquet("/root/testdata/check_l/embeddings.parquet")
+    index, books = additive.build(table)
+    n = index.count()
+    assert n >= 50_000 and additive.RERANK <= 0.02 * n + 1
+    found = additive.search(index, books, F.col("vec_id") % 2000 == 0).collect()
+    ids, vectors = zip(*((r.vec_id, r.embedding) for r in index.select("vec_id", "embedding").collect()), strict=True)
+    ids, x = np.array(ids), np.array(vectors, np.float64)
+    got, hit = defaultdict(set), 0
+    for r in found:
+        got[r.query_id].add(r.vec_id)
+    for q, near in got.items():
+        score = x @ x[ids == q][0]
+        score[ids == q] = -np.inf
+        hit += len(near & set(ids[np.lexsort((ids, -score))[:20]].tolist()))
+    assert len(got) >= 20 and hit / (20 * len(got)) >= 0.9
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
 @pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
 def test_toxicity_held_out(spark, sf):
