@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -59,3 +62,32 @@ def job_search(df: DataFrame, title: str | None, filters: list[Column], order: l
     for f in filters:
         df = df.where(f)
     return df.orderBy(*order).limit(n)
+
+
+def freshness(df: DataFrame, site: str, day: str, today: date, late: int = 1) -> DataFrame:
+    """MO-01: of each source its newest day, days with data, rows, days behind ``today`` and state."""
+    per_day = df.groupBy(site, day).agg(F.count(F.lit(1)).alias("n"))  # counts of days are exact and narrow
+    found = per_day.groupBy(site).agg(F.max(day).alias("newest"), F.count(F.lit(1)).alias("days"), F.sum("n").alias("rows"))
+    behind = F.date_diff(F.lit(today), "newest").cast("long")
+    return found.select(
+        F.col(site).alias("source_site"), F.col("newest").cast("string").alias("newest"), "days", "rows", behind.alias("days_behind"),
+        F.when(behind <= late, "fresh").otherwise("stale").alias("state"),
+    )
+
+
+def site_list(text: str | None) -> list[str]:
+    """PF-16: names of a comma-separated list, trimmed, without empty ones."""
+    return [name for part in (text or "").split(",") if (name := part.strip())]
+
+
+def ordered_union(*lists: Iterable[str]) -> list[str]:
+    """SO-05: all values once, in the order in which they first come."""
+    return list(dict.fromkeys(v for values in lists for v in values))
+
+
+def day_range(start: str, end: str) -> tuple[str, str]:
+    """PF-16: an inclusive range of ISO days; raises ValueError if it is none."""
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    if first > last:
+        raise ValueError(f"{start} is after {end}")
+    return first.isoformat(), last.isoformat()

@@ -97,12 +97,11 @@ def _kept(df: DataFrame) -> DataFrame:
 
 def review(names: DataFrame, found: DataFrame, canonical: DataFrame, name: str = "name", key: str = "key") -> DataFrame:
     """ER-06, SL-01: clusters of at least two names, numbered by size and smallest name, with a membership flag."""
-    from pyspark.sql.window import Window
+    from loam.operators.relational import surrogate_ids
 
     member = names.join(found, names[key] == found["node"]).select(name, key, "root")
     meta = member.groupBy("root").agg(F.count(F.lit(1)).alias("cluster_size"), F.min(name).alias("first")).where("cluster_size >= 2")
-    # One row per cluster: few compared with the names.
-    meta = meta.withColumn("cluster_id", F.row_number().over(Window.orderBy(F.desc("cluster_size"), "first")).cast("long"))
+    meta = surrogate_ids(meta, [F.desc("cluster_size"), F.asc("first")], "cluster_id")
     flag = canonical.select(F.col(canonical.columns[0]).alias(name)).distinct().withColumn("has_in_company_mapping", F.lit(1))
     out = member.join(meta, "root").join(flag, name, "left")
     return out.select("cluster_id", "cluster_size", name, F.coalesce("has_in_company_mapping", F.lit(0)).alias("has_in_company_mapping"), key).orderBy(

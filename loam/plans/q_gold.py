@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.operators import gold, reports, resolve, vectors
 from loam.plans.registry import query
 from loam.plans.tables import t
+from loam.session import work_dir
 from loam.sources.scan import calendar, inventory, silver_latest
 from loam.streaming import microbatch
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared checkpoint folder; a local one only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='loam-')}"
-    return f"{root.rstrip('/')}/loam-work/{uuid.uuid4().hex}"
-
-
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as adverts: several snapshots of each key, spread over days and files."""
     day = F.col("o_orderdate")
@@ -250,12 +242,13 @@ def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""SELECT source AS source_site, '2024-01-' || lpad(CAST(1 + doc_id % 3 AS VARCHAR), 2, '0') AS collection_date, count(*) AS rows, sum(n_chars) AS chars FROM documents WHERE source IS NOT NULL GROUP BY ALL""")
 def q_layer_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """SK-03, SC-02, SC-03, SC-10, SC-11: a partitioned layer written, rewritten and read back by its newest snapshots."""
+    """SK-03, SC-02, SC-03, SC-10, SC-11: a layer written twice and read back by its newest snapshots, whose days are split over files."""
     from loam.sources.sinks import to_silver
 
     root = f"{work_dir(spark)}/jobs"
     d = t(spark, sf, "documents").where("source IS NOT NULL").select("doc_id", "n_chars", F.col("source").alias("source_site"), F.lit("2024").alias("year"), F.lit("01").alias("month"), F.lpad((1 + F.col("doc_id") % 3).cast("string"), 2, "0").alias("day"))
-    d.repartition("source_site", "day").write.partitionBy("source_site", "year", "month", "day").parquet(root)
+    to_silver(d.where("doc_id % 2 = 0").withColumn("n_chars", F.lit(-1).cast("long")), root)
+    d.repartition(5).write.mode("append").partitionBy("source_site", "year", "month", "day").parquet(root)
     found = silver_latest(spark, root, d.schema)
     known = inventory(spark, root).select("source_site", "collection_date").distinct()
     day = F.concat_ws("-", "year", "month", "day").alias("collection_date")
@@ -263,3 +256,44 @@ def q_layer_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(known, ["source_site", "collection_date"], "left_semi")
 
 
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY ALL""")
+def q_stream_days(spark: SparkSession, sf: str) -> DataFrame:
+    """ST-02, ST-04: several micro-batches touch the same days; each rewrites its days from all of their landing rows."""
+    out = work_dir(spark)
+    e = t(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    e.repartition(4, "event_id").write.parquet(f"{out}/landing")
+    each = microbatch.rewrite_days(lambda d: d, lambda: spark.read.schema(e.schema).parquet(f"{out}/landing"), f"{out}/days", ["day"])
+    microbatch.run_now(microbatch.landing(spark, f"{out}/landing", e.schema, "parquet", files=1), each, f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/days").groupBy(F.col("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("""WITH m AS (SELECT c_nationkey AS root, c_name, c_custkey FROM customer), g AS (SELECT root, count(*) AS cluster_size, min(c_name) AS first FROM m GROUP BY root HAVING count(*) >= 2),
+n AS (SELECT root, cluster_size, row_number() OVER (ORDER BY cluster_size DESC, first) AS cluster_id FROM g)
+SELECT cluster_id, cluster_size, c_name AS name, CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS has_in_company_mapping, c_custkey AS key FROM m JOIN n USING (root)""")
+def q_review(spark: SparkSession, sf: str) -> DataFrame:
+    """ER-06, SL-01, A-02: clusters of customers by nation, numbered by size, with a membership flag."""
+    c = t(spark, sf, "customer")
+    found = c.select(F.col("c_custkey").alias("node"), F.col("c_nationkey").alias("root"))
+    names = c.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("key"))
+    return resolve.review(names, found, c.where("c_custkey % 10 = 0").select("c_name"))
+
+
+@query("""WITH d AS (SELECT event_type, max(CAST(ts AS DATE)) AS newest, count(DISTINCT CAST(ts AS DATE)) AS days, count(*) AS rows FROM events GROUP BY event_type)
+SELECT event_type AS source_site, CAST(newest AS VARCHAR) AS newest, days, rows, date_diff('day', newest, (SELECT max(newest) FROM d)) AS days_behind,
+CASE WHEN date_diff('day', newest, (SELECT max(newest) FROM d)) <= 1 THEN 'fresh' ELSE 'stale' END AS state FROM d""")
+def q_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """MO-01: newest day, days with data, rows and freshness by source."""
+    e = t(spark, sf, "events").select(F.col("event_type").alias("source_site"), F.to_date("ts").alias("day"))
+    newest = e.agg(F.max("day")).first()[0]
+    return reports.freshness(e, "source_site", "day", newest)
+
+
+@query("""SELECT DISTINCT source AS source_site, count(*) AS rows FROM documents WHERE source IN (SELECT source FROM documents WHERE source IS NOT NULL GROUP BY source ORDER BY source LIMIT 2) GROUP BY source""")
+def q_site_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """PF-16, SO-05: a comma-separated site list, made unique in order, selects rows."""
+    d = t(spark, sf, "documents").where("source IS NOT NULL")
+    first = [r[0] for r in d.select("source").distinct().orderBy("source").limit(2).collect()]
+    sites = reports.ordered_union(reports.site_list(f" {first[0]} ,,{first[-1]}"), first)
+    return d.where(F.col("source").isin(*sites)).groupBy(F.col("source").alias("source_site")).agg(F.count(F.lit(1)).alias("rows"))

@@ -96,10 +96,10 @@ def q_semi(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "customer").join(o, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey")
 
 
-@query("""SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+@query("""SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 250000)""")
 def q_anti(spark: SparkSession, sf: str) -> DataFrame:
     """J-07: rows that a delete would leave."""
-    return t(spark, sf, "customer").join(t(spark, sf, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
+    return t(spark, sf, "customer").join(t(spark, sf, "orders").where("o_totalprice > 250000"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
 @query("""SELECT year(o_orderdate) AS year, r_name, count(*) AS items, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue

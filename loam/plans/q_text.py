@@ -205,14 +205,22 @@ def q_links(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "pages").select("page_id", F.filter(job_links(F.col("html")), lambda x: x.startswith("/")).alias("links"))
 
 
-@query(r"""SELECT url AS job_url, 'itviec' AS source_site, CAST(NULL AS VARCHAR) AS job_title FROM pages""")
+@query("""SELECT 'https://x.example/c/' || c_custkey AS job_url, 'topcv' AS source_site, c_name AS job_title, c_mktsegment || ' VND' AS salary, c_nationkey || ' năm' AS experience_level,
+c_mktsegment AS job_type, 'Cấp ' || c_nationkey AS job_position FROM customer""")
 def q_html_fields(spark: SparkSession, sf: str) -> DataFrame:
-    """SC-15 to SC-17: raw rows of advert pages; these pages hold no field of the layout."""
+    """SC-15 to SC-17: raw rows of advert pages, one made of each customer."""
     from datetime import date
 
     from loam.sources.adverts import parse_adverts
 
-    return parse_adverts(t(spark, sf, "pages"), "itviec", date(2026, 1, 1)).select("job_url", "source_site", "job_title")
+    item = "box-job-information-general-info-list__item--content"
+    page = F.concat(
+        F.lit('<html><body><h1 class="box-header-job__title">'), "c_name", F.lit('</h1><script>window.qgTracking = {"salary_range": "'), "c_mktsegment", F.lit(' VND", "experience": "'),
+        F.col("c_nationkey").cast("string"), F.lit(f' năm"}}</script><div class="{item}-title">Loại hình làm việc</div><div class="{item}-desc">'), "c_mktsegment",
+        F.lit(f'</div><div class="{item}-title">Cấp bậc</div><div class="{item}-desc">Cấp '), F.col("c_nationkey").cast("string"), F.lit("</div></body></html>"),
+    )
+    pages = t(spark, sf, "customer").select(F.concat(F.lit("https://x.example/c/"), F.col("c_custkey").cast("string")).alias("url"), page.alias("html"))
+    return parse_adverts(pages, "topcv", date(2026, 1, 1)).select("job_url", "source_site", "job_title", "salary", "experience_level", "job_type", "job_position")
 
 
 @query(r"""SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), '') AS title, nullif(regexp_extract(html, 'track\((\d+)\)', 1), '') AS tracked FROM pages""")

@@ -187,8 +187,8 @@ LAYOUTS: dict[str, dict[str, tuple]] = {
         "location": (Script("work_location"), Element("span", (("class", "hight-light"), ("class", "city-name")))),
         "job_industry": (Script("job_category"),),
         "company_size": (Titled("Quy mô", "box-company-info-detail__list--item-title", "box-company-info-detail__list--item-desc"), After("Quy mô", css="company-title")),
-        "job_type": _topcv_label("Hình thức làm việc"),
-        "experience_level": _topcv_label("Kinh nghiệm"),
+        "job_type": _topcv_label("Loại hình làm việc"),
+        "experience_level": (Script("experience"),),
         "education_level": _topcv_label("Học vấn"),
         "job_position": _topcv_label("Cấp bậc"),
         "job_deadline": (Titled("Hạn ứng tuyển", "list-info__content__title", "list-info__content__desc"), Element("div", (), (("class", "job-detail__info--deadline-date"),))),
@@ -201,8 +201,8 @@ LAYOUTS: dict[str, dict[str, tuple]] = {
         "location": _brand_label("Địa điểm"),
         "job_industry": (Script("job_category"),),
         "company_size": _brand_label("Quy mô"),
-        "job_type": _brand_label("Hình thức làm việc"),
-        "experience_level": _brand_label("Kinh nghiệm"),
+        "job_type": _brand_label("Loại hình làm việc"),
+        "experience_level": (Script("experience"), *_brand_label("Kinh nghiệm")),
         "education_level": _brand_label("Học vấn"),
         "job_position": _brand_label("Cấp bậc"),
         "job_deadline": _brand_label("Hạn nộp hồ sơ"),
@@ -260,6 +260,9 @@ def parse_page(site: str, url: str | None, html: str | None, today: date) -> dic
             out["experience_level"] += " năm"
         held = next((n.own() for n in tree(html).walk() if n.tag == "span" and "Hết hạn trong" in n.own()), None)
         out["job_deadline"] = relative_day(held, today)
+    if brand and not out["job_deadline"]:
+        left = next((m for n in tree(html).walk() if n.tag == "span" and n.attrs.get("class") == "deadline" and (m := re.search(r"\d+", n.text() or ""))), None)
+        out["job_deadline"] = (today + timedelta(days=int(left[0]))).strftime("%d/%m/%Y") if left else None
     if site == "topcv" and out["location"]:
         out["location"] = out["location"].replace("Địa điểm:", "").replace("\xa0", "").strip() or None
     return out

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from loam.sources.schemas import raw_schema
 
+#: Names of the files that one write job makes.
+WRITE = r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
 KEY = r"source_site=([^/]+)/year=(\d{4})/month=(\d{2})/day=(\d{2})/"
 
 
@@ -42,14 +44,20 @@ def silver_all(spark: SparkSession, root: str) -> DataFrame:
 
 
 def silver_latest(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """SC-02, A-11: of each partition only the newest snapshot (ties: greater path).
+    """SC-02, A-11: of each partition only the newest snapshot (ties: greater name), with all of its files.
 
-    The listing comes from file metadata, one row per file; columns a snapshot lacks are null.
+    Files that one write made share the identifier in their names; a file of another make is
+    a snapshot of its own. The listing comes from file metadata, one row per file; columns a
+    snapshot lacks are null.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select("path", "modificationTime")
     part = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
-    newest = files.groupBy(part.alias("part")).agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
-    paths = [r["path"] for r in newest.select("path").collect()]  # one path per partition
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    job = F.regexp_extract(name, WRITE, 1)
+    files = files.select("path", "modificationTime", part.alias("part"), F.when(job != "", job).otherwise(name).alias("snapshot"))
+    per = files.groupBy("part", "snapshot").agg(F.max("modificationTime").alias("at"), F.collect_list("path").alias("paths"))
+    newest = per.groupBy("part").agg(F.max_by("paths", F.struct("at", "snapshot")).alias("paths"))
+    paths = [p for r in newest.collect() for p in r["paths"]]  # the files Spark is to list
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)

@@ -63,16 +63,35 @@ def _fs(spark: SparkSession, path: str) -> tuple:
 
 
 def swap_table(df: DataFrame, path: str) -> None:
-    """Write beside ``path``, then take its place; ``df`` may read the old version."""
-    new = f"{path.rstrip('/')}__new"
-    df.write.mode("overwrite").parquet(new)
-    fs, at = _fs(df.sparkSession, path)
-    fs.delete(at, True)
-    fs.rename(_fs(df.sparkSession, new)[1], at)
+    """Write beside ``path``, then take its place; ``df`` may read the old version.
+
+    The old version is moved aside until the new one stands, so a crash loses neither;
+    ``recover`` puts things right at the next write.
+    """
+    spark, base = df.sparkSession, path.rstrip("/")
+    df.write.mode("overwrite").parquet(f"{base}__new")
+    fs, at = _fs(spark, base)
+    old = _fs(spark, f"{base}__old")[1]
+    fs.delete(old, True)
+    if fs.exists(at):
+        fs.rename(at, old)
+    if not fs.rename(_fs(spark, f"{base}__new")[1], at):
+        raise OSError(f"cannot move the new version to {base}")
+    fs.delete(old, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring back the old version if a crash came between the two moves of ``swap_table``."""
+    base = path.rstrip("/")
+    fs, at = _fs(spark, base)
+    old = _fs(spark, f"{base}__old")[1]
+    if not fs.exists(at) and fs.exists(old):
+        fs.rename(old, at)
 
 
 def upsert_table(new: DataFrame, path: str, key: str) -> None:
-    """SK-06, SK-08: keyed overwrite of a Parquet table; readers see the old or the new version."""
+    """SK-06, SK-08: keyed overwrite of a Parquet table; a crash at any point loses no version."""
+    recover(new.sparkSession, path)
     fs, at = _fs(new.sparkSession, path)
     swap_table(upsert(new.sparkSession.read.parquet(path), new, key) if fs.exists(at) else new, path)
 

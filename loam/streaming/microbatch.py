@@ -27,11 +27,16 @@ def run_now(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoin
     query.awaitTermination()
 
 
-def rewrite_days(transform: Callable[[DataFrame], DataFrame], root: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """ST-02, ST-04: overwrite just the day partitions a batch touches, so reruns are idempotent."""
+def rewrite_days(transform: Callable[[DataFrame], DataFrame], source: Callable[[], DataFrame], root: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """ST-02, ST-04: rewrite just the day partitions a batch touches, from all rows that ``source`` has for them.
+
+    Rows of earlier batches stay, and reruns are idempotent. A day that loses all its rows
+    in ``transform`` keeps its former partition.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
-        transform(batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+        days = batch.select(*keys).distinct()
+        transform(source().join(days, keys, "left_semi")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
 
     return each
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loam.functions import fixed
-from loam.operators import gold, quality, relational, resolve, sites, vectors
+from loam.operators import gold, quality, relational, reports, resolve, sites, vectors
 from loam.sources import adverts, scan, schemas, sinks
 from loam.streaming import microbatch
 
@@ -132,11 +132,38 @@ def test_seeds(tmp_path):
 def test_stream_rewrites_days(spark, tmp_path, raw):
     root = f"file://{tmp_path}"
     day = raw.withColumns({"year": F.lit("2024"), "month": F.lit("05"), "day": F.lit("01")})
-    each = microbatch.rewrite_days(lambda d: d.dropna(subset=["job_title"]), f"{root}/out", ["year", "month", "day"])
-    for _ in range(2):
+    landed = lambda: spark.read.schema(day.schema).json(f"{root}/landing")
+    each = microbatch.rewrite_days(lambda d: d.dropna(subset=["job_title"]), landed, f"{root}/out", ["year", "month", "day"])
+    for k in range(1, 4):
         sinks.append_lines(day, f"{root}/landing")
         microbatch.run_now(microbatch.landing(spark, f"{root}/landing", day.schema), each, f"{root}/ck")
-    assert spark.read.parquet(f"{root}/out").count() == 1
+        assert spark.read.parquet(f"{root}/out").count() == k  # rows of earlier batches stay
+    each(landed(), 99)
+    assert spark.read.parquet(f"{root}/out").count() == 3
+
+
+def test_split_snapshots_stay_whole(spark, tmp_path):
+    root = f"file://{tmp_path}/layer"
+    rows = spark.range(4000).select("id", F.lit("s").alias("source_site"), F.lit("2024").alias("year"), F.lit("01").alias("month"), F.lit("02").alias("day"))
+    rows.limit(10).repartition(3).write.mode("append").partitionBy(*schemas.PARTITIONS).parquet(root)
+    rows.repartition(6).write.mode("append").partitionBy(*schemas.PARTITIONS).parquet(root)
+    assert scan.silver_latest(spark, root, rows.schema).count() == 4000
+
+
+def test_swap_survives_a_crash(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    sinks.upsert_table(spark.createDataFrame([(1, "a")], "k int, v string"), path, "k")
+    (tmp_path / "t").rename(tmp_path / "t__old")  # as if the process had ended between the two moves
+    sinks.upsert_table(spark.createDataFrame([(2, "b")], "k int, v string"), path, "k")
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_site_lists_and_ranges():
+    assert reports.site_list(" a ,,b,a ") == ["a", "b", "a"] and reports.site_list(None) == []
+    assert reports.ordered_union(["b", "a"], ["a", "c", "b"]) == ["b", "a", "c"]
+    assert reports.day_range("2024-01-02", "2024-01-02") == ("2024-01-02", "2024-01-02")
+    with pytest.raises(ValueError):
+        reports.day_range("2024-01-03", "2024-01-02")
 
 
 def test_advert_fields(spark):
