@@ -1,11 +1,12 @@
-"""Near duplicates by the exact Jaccard similarity of word shingles, for the pipeline.
-
-Texts that share 80 of 100 five-word shingles differ in up to 17 of 64 SimHash bits on the
-given tables, and a covering family of that radius has 2^18 - 1 masks. So candidates meet in
-bands of MinHash values instead: a pair at the threshold misses all ``BANDS`` bands with
-probability (1 - 0.8^7)^48, about 1 in 80,000, and more alike pairs more rarely. Candidates are
-joined into groups, and within a group every pair is measured on its whole shingle sets, so no
-link is below the threshold. Large groups are dealt in pairs of blocks.
+"""Operator 9 with an exact check: near duplicates by the Jaccard similarity of word shingles.
+
+Covering SimHash tables (``covering``) give the candidates that its radius guarantees. Texts
+that share 80 of 100 five-word shingles differ in up to 17 of 64 SimHash bits on the given
+tables, and a covering family of that radius has 2^18 - 1 masks; for those beyond radius 4,
+candidates also meet in bands of MinHash values: a pair at the threshold misses all ``BANDS``
+bands with probability (1 - 0.8^7)^48, about 1 in 80,000, and more alike pairs more rarely.
+Candidates are joined into groups, and within a group every pair is measured on its whole
+shingle sets, so no link is below the threshold. Large groups are dealt in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loam.llm.components import components
-from loam.llm.covering import _LOWER, _WORD, SEED
+from loam.llm.covering import _LOWER, _WORD, SEED, fingerprint, near_links
 from loam.llm.shared import located, settings, stage
 
 SHINGLE = 5
@@ -60,18 +61,20 @@ def bands(hashes: np.ndarray, seed: int = SEED) -> np.ndarray:
 
 
 def signatures(base: DataFrame) -> DataFrame:
-    """locator, doc_id, node (hash of the shingle set), bands of every row of ``base``: locator, doc_id, text."""
+    """locator, doc_id, node (hash of the shingle set), fp (SimHash), bands of every row of ``base``: locator, doc_id, text."""
     import xxhash
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in batch["text"].to_pylist()]
+            texts = batch["text"].to_pylist()
+            sets = [shingles(t) for t in texts]
+            fps = np.array([fingerprint(t, SHINGLE) for t in texts], np.uint64).view(np.int64)
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch["locator"], batch["doc_id"], pa.array(nodes), keys], names=["locator", "doc_id", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([batch["locator"], batch["doc_id"], pa.array(nodes), pa.array(fps), keys], names=["locator", "doc_id", "node", "fp", "bands"])
 
     with settings(base.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
-        return stage(base.select("locator", "doc_id", "text").mapInArrow(run, "locator string, doc_id long, node long, bands array<long>"), "signatures")
+        return stage(base.select("locator", "doc_id", "text").mapInArrow(run, "locator string, doc_id long, node long, fp long, bands array<long>"), "signatures")
 
 
 def spanning(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
@@ -118,7 +121,12 @@ def similar_links(base: DataFrame, nodes: DataFrame, block: int = BLOCK) -> Data
     banded = nodes.select("node", F.posexplode("bands").alias("t", "key"))
     shared = banded.groupBy("t", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = banded.join(shared, ["t", "key"]).where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    groups = stage(components(stage(met, "met")), "groups")
+    # Texts with one fingerprint, and those whose fingerprints operator 9 links.
+    prints = stage(nodes.groupBy("fp").agg(F.min("node").alias("least")), "fps")
+    alike = nodes.join(prints, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    named = [prints.select(F.col("fp").alias(k), F.col("least").alias(f"n{k}")) for k in ("a", "b")]
+    close = near_links(prints.select("fp")).join(named[0], "a").join(named[1], "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    groups = stage(components(stage(met.unionByName(alike).unionByName(close), "met")), "groups")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,6 +154,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     base = located(docs, "doc_id", "text")
     prints = signatures(base)
-    nodes = stage(prints.groupBy("node").agg(F.min("locator").alias("locator"), F.first("bands").alias("bands")), "nodes")
+    nodes = stage(prints.groupBy("node").agg(F.min("locator").alias("locator"), F.min("fp").alias("fp"), F.first("bands").alias("bands")), "nodes")
     roots = components(stage(similar_links(base, nodes), "links"))
     return prints.select("locator", "doc_id", "node").join(roots, "node", "left").select("locator", "doc_id", F.coalesce("root", "node").alias("root"))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loam.session import shared_root
+
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,26 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_LOCAL: dict[str, str] = {}
-
-
-def _root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, the warehouse, or a private folder if all of Spark is this process."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    sc = spark.sparkContext
-    if sc.master == "local" or sc.master.startswith("local["):
-        if sc.applicationId not in _LOCAL:
-            _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="loam-")
-            atexit.register(shutil.rmtree, _LOCAL[sc.applicationId], ignore_errors=True)
-        return f"file://{_LOCAL[sc.applicationId]}"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder that all executors and the driver share; it goes when Spark ends."""
-    own = f"{_root(spark)}/loam-{spark.sparkContext.applicationId}"
+    own = f"{shared_root(spark)}/loam-{spark.sparkContext.applicationId}"
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return f"{own}/{uuid.uuid4().hex}"

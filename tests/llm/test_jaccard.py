@@ -72,7 +72,7 @@ def test_blocks_lose_no_link(spark):
     words = [f"w{k}" for k in rng.integers(0, 5000, 200)]
     texts = [edited(words, set(rng.choice(200, int(rng.integers(1, 9)), replace=False).tolist())) for _ in range(60)]
     base = located(frame(spark, rows(texts)), "doc_id", "text")
-    nodes = jaccard.signatures(base).select("node", "locator", "bands")
+    nodes = jaccard.signatures(base).select("node", "locator", "fp", "bands")
     found = [components(stage(jaccard.similar_links(base, nodes, block))).collect() for block in (7, 1000)]
     assert sorted(map(tuple, found[0])) == sorted(map(tuple, found[1])) and found[0]
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline as cp
 from loam.llm import toxic_crf
 from loam.llm.shared import stage
-from tests.llm.test_operators_llm import brute_components, naive_fingerprint, squeezed
+from tests.llm.test_jaccard import brute_kept
+from tests.llm.test_operators_llm import squeezed
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -38,7 +39,7 @@ def test_stages(spark):
 
     three = stage(steps["simhash near-dedup"](spark, two, SF))
     data = two.collect()
-    want = set(brute_components([naive_fingerprint(r.text) for r in data], [r.doc_id for r in data]))
+    want = set(brute_kept([(r.doc_id, r.text) for r in data]))  # five words, similarity 0.8 or more
     assert sorted(r.doc_id for r in three.collect()) == sorted(want)
 
     four = stage(steps["mixing"](spark, three, SF))
