@@ -44,7 +44,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of texts with similarity 0.8 or more over five-word shingles the smallest doc_id stays.
 
-    The radius of operator 9's query (4 bits) links almost none of them; see ``loam.llm.jaccard``.
+    Candidates come from operator 9's covering tables and, beyond their radius, from MinHash bands; every
+    link is checked exactly (``loam.llm.jaccard``).
     """
     return _only(docs, covering.representatives(jaccard.near_duplicates(docs)).select("locator"))
 
