@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import additive, covering, html_text, line_windows, mixcoder, mixing, packing, slots, stream_dedup, toxic_crf
+from loam.llm import additive, covering, fim, html_text, line_windows, mixcoder, mixing, packing, slots, stream_dedup, toxic_crf
 from loam.llm.shared import table
 
 
@@ -97,5 +97,31 @@ SELECT d.doc_id, CAST(len(lines) AS INTEGER) AS n_lines, CAST(coalesce(n, 0) AS
 FROM d LEFT JOIN rest USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_additive_ann, op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op6_html_text, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows)}
-ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL}
+
+def op13_unit_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over all documents; output and rebuilt text as their SHA-256."""
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    sha = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+                  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+c AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM c),
+p AS (SELECT *, coalesce(list_aggregate(u[1:a], 'string_agg', ''), '') AS p, coalesce(list_aggregate(u[a + 1:b], 'string_agg', ''), '') AS m,
+             coalesce(list_aggregate(u[b + 1:n], 'string_agg', ''), '') AS s FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+QUERIES = {f.__name__: f for f in (op1_additive_ann, op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op6_html_text, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows, op13_unit_fim)}
+ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL, "op13_unit_fim": OP13_SQL}

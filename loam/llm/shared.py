@@ -50,6 +50,27 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+#: A row of a table: its number in its file, and the file.
+ROW = ["row_no", "row_file"]
+
+
+def numbered(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs`` plus ``ROW``, two integers that are unique and stable.
+
+    A frame that isn't a plain Parquet scan is written to the shared folder first.
+    """
+    def pick(df: DataFrame) -> DataFrame:
+        meta = df.metadataColumn("_metadata")
+        return df.select(*[df[c] for c in columns], meta["row_index"].alias(ROW[0]), F.xxhash64(meta["file_path"]).alias(ROW[1]))
+
+    try:
+        found = pick(docs)
+        found.schema  # noqa: B018 - resolves the hidden column or raises
+        return found
+    except AnalysisException:
+        return pick(stage(docs.select(*columns), "numbered"))
+
+
 def located(docs: DataFrame, *columns: str, name: str = "locator") -> DataFrame:
     """``columns`` of ``docs`` plus a locator: file and row number, unique and stable.
 
