@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import additive, covering, fim, html_text, line_windows, mixcoder, mixing, packing, slots, stream_dedup, toxic_crf
+from loam.llm import additive, covering, fim, html_text, line_windows, mixcoder, mixing, packing, slots, stream_dedup, tiered, toxic_crf
 from loam.llm.shared import table
 
 
@@ -98,6 +98,27 @@ FROM d LEFT JOIN rest USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 
+def op11_tiered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: the 10 best of all documents for each benchmark item."""
+    return tiered.search(tiered.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+docs AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM docs),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, total GROUP BY term, nd),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l)))) AS BIGINT) AS score
+           FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN docs USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op13_unit_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 13 over all documents; output and rebuilt text as their SHA-256."""
     out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
@@ -123,5 +144,5 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM p
 """
 
-QUERIES = {f.__name__: f for f in (op1_additive_ann, op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op6_html_text, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows, op13_unit_fim)}
-ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL, "op13_unit_fim": OP13_SQL}
+QUERIES = {f.__name__: f for f in (op1_additive_ann, op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op6_html_text, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows, op11_tiered_search, op13_unit_fim)}
+ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL, "op11_tiered_search": OP11_SQL, "op13_unit_fim": OP13_SQL}
