@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import additive, covering, fim, html_text, line_windows, mixcoder, mixing, packing, slots, stream_dedup, tiered, toxic_crf
+from loam.llm import additive, covering, fim, html_text, line_windows, mixcoder, mixing, packing, radix_windows, slots, stream_dedup, tiered, toxic_crf
 from loam.llm.shared import table
 
 
@@ -119,6 +119,12 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r
 """
 
 
+def op12_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over all documents: bytes of repeated 100-byte strings removed."""
+    out = radix_windows.window_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_unit_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 13 over all documents; output and rebuilt text as their SHA-256."""
     out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
@@ -144,5 +150,5 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM p
 """
 
-QUERIES = {f.__name__: f for f in (op1_additive_ann, op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op6_html_text, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows, op11_tiered_search, op13_unit_fim)}
+QUERIES = {f.__name__: f for f in (op1_additive_ann, op2_crf_toxicity, op3_swap_packing, op4_stateful_dedup, op5_pivotal_mixing, op6_html_text, op7_mix_coder, op8_virtual_slots, op9_covering_simhash, op10_line_windows, op11_tiered_search, op12_radix_windows, op13_unit_fim)}
 ORACLE = {"op4_stateful_dedup": OP4_SQL, "op10_line_windows": OP10_SQL, "op11_tiered_search": OP11_SQL, "op13_unit_fim": OP13_SQL}
