@@ -2,20 +2,20 @@
 
 Of all suffixes only those at synchronising positions are looked at: for each window of
 ``DEPTH`` bytes the place of its least hashed 8-byte word, a function of the window's bytes
-alone. Equal windows thus hold the same suffix at the same offset, and a window read from
-there (and then its left part) is compared digit by digit, most significant first:
+alone. Equal windows thus hold the same suffix at the same offset, and a window is read from
+there, its left part last, and compared digit by digit, most significant first:
 
 1. the first ``DIGIT`` bytes of the suffixes; groups of one leave. A bit table of bounded
    size tells the tasks which suffixes may be left (it may keep too many, never too few).
 2. the stretch of text whose windows share the suffix: copies fall into one group, of which
    the first stays as a representative, and all windows of the others are repeats.
 3. where several stretches share the first digit, the remaining digits of each window of
-   their representatives; the order ends at ``DEPTH``, and the groups that are left are
-   exactly the repeated windows.
+   their representatives, in words of 8 bytes; the order ends at ``DEPTH``, and the groups
+   that are left are exactly the repeated windows. The stretches of one first digit meet in
+   one task, up to ``GROUP`` of them. Beyond that the digit is hot: its windows are grouped by
+   a digest of all their digits, and a group is reduced to its first before the shuffle.
 
-A pass groups by a digest of the digits so far instead of ordering their values: only
-equality matters in the end, so no range of values can be hot, and each group is reduced to
-its first member before and after the shuffle, however many members it has.
+Passes over tasks group by digests of 128 bits, so no range of values can be hot either.
 """
 
 from __future__ import annotations
@@ -30,11 +30,15 @@ from pyspark.sql import functions as F
 
 from loam.llm.shared import ROW, numbered, stage
 
-DEPTH, DIGIT = 100, 40
+DEPTH, DIGIT = 100, 24
 #: Text handled at once by a task, in bytes (a longer document is handled alone).
 CHUNK = 4 << 20
 #: Bits of the table of suffixes that may repeat, at most; 16 per suffix below that.
 TABLE_BITS = 1 << 28
+#: Distinct stretches that share a first digit and are compared in one task, at most.
+GROUP = 4096
+#: Stretches that a task compares at once, beside those of its last digit.
+SOME = 1 << 14
 _WORD_BITS = 14  # words of 64 bits in a row of the table, as a power of two
 
 _U = np.uint64
@@ -137,6 +141,79 @@ def _place(start: str) -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW, F.col(start).alias("start"))
 
 
+def _place_key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_placed(*(batch.column(c).to_numpy() for c in (*ROW, "start"))).view(np.int64))], ["key"])
+
+
+def _placed(row_no: np.ndarray, row_file: np.ndarray, start: np.ndarray) -> np.ndarray:
+    return _mixed(_mixed(row_file.view(_U), row_no.view(_U), _C[2]), start.astype(np.int64).view(_U), _C[3])
+
+
+class _Windows:
+    """All windows of some stretches, in the order of the stretches."""
+
+    def __init__(self, content: pa.Array, depth: int) -> None:
+        self.words = _words(np.frombuffer(b"".join(content.to_pylist()) + bytes(8), np.uint8))
+        length = pc.binary_length(content).to_numpy().astype(np.int64)
+        n = length - depth + 1
+        self.row = np.repeat(np.arange(len(n)), n)
+        self.inner = np.arange(len(self.row)) - np.repeat(np.cumsum(n) - n, n)
+        self.at = (np.cumsum(length) - length)[self.row] + self.inner
+
+
+def radix_groups(words: np.ndarray, at: np.ndarray, offset: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, group of each) that are equal to another one of their ``group``, by digits from ``offset`` on.
+
+    Windows keep their order within a group. A pass sorts the groups whose digits differ, and
+    groups of one leave after each pass.
+    """
+    places = np.minimum(np.arange(-(-depth // 8)) * 8, depth - 8)
+    index = np.argsort(group, kind="stable")
+    group = group[index]
+
+    def parted(index: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begins = np.flatnonzero(new)
+        size = np.diff(np.append(begins, len(index)))
+        keep = np.repeat(size > 1, size)
+        return index[keep], np.repeat(np.arange((size > 1).sum()), size[size > 1])
+
+    index, group = parted(index, np.append(True, group[1:] != group[:-1])[: len(index)])
+    for k in range(len(places)):
+        if not len(index):
+            break
+        digit = words[at[index] + places[(offset[index] // 8 + k) % len(places)]]
+        new = group[1:] != group[:-1]
+        split = ~new & (digit[1:] != digit[:-1])
+        if not split.any():
+            continue
+        mixed = np.zeros(group[-1] + 1, bool)
+        mixed[group[1:][split]] = True
+        rows = np.flatnonzero(mixed[group])
+        order = rows[np.lexsort((digit[rows], group[rows]))]
+        index[rows], digit[rows] = index[order], digit[order]
+        index, group = parted(index, np.append(True, new | (digit[1:] != digit[:-1])))
+    return index, group
+
+
+def _later(table: pa.Table, depth: int) -> pa.RecordBatch:
+    """Runs of windows that occur in an earlier stretch of the same first digit; stretches are in order."""
+    windows = _Windows(table["content"].combine_chunks(), depth)
+    keys = table["key"].to_numpy()
+    code = np.cumsum(np.append(False, keys[1:] != keys[:-1]))
+    offset = table["offset"].to_numpy()[windows.row] - windows.inner
+    index, group = radix_groups(windows.words, windows.at, offset, code[windows.row] * (depth + 1) + offset, depth)
+    index = np.sort(index[np.append(False, group[1:] == group[:-1])[: len(index)]])
+    row, inner = windows.row[index], windows.inner[index]
+    new = np.append(True, (row[1:] != row[:-1]) | (inner[1:] != inner[:-1] + 1))[: len(index)]
+    last = np.append(new[1:], True)[: len(index)]
+    start = table["start"].to_numpy()
+    rows = pa.array(row[new])
+    return pa.RecordBatch.from_arrays(
+        [*[table[c].combine_chunks().take(rows) for c in ROW], *[pa.array(a.astype(np.int32)) for a in (start[row[new]] + inner[new], start[row[last]] + inner[last] + depth)]], [*ROW, "start", "stop"]
+    )
+
+
 def repeats(base: DataFrame, depth: int = DEPTH, digit: int = DIGIT) -> DataFrame:
     """row_no, row_file, start, stop: stretches of windows of ``depth`` bytes that also start earlier.
 
@@ -164,54 +241,70 @@ def repeats(base: DataFrame, depth: int = DEPTH, digit: int = DIGIT) -> DataFram
                 length = high - low + depth
                 c1, c2 = (_digest(words, low, length, s, c) ^ (place - low).astype(_U) * _C[1] for s, c in ((2, _C[2]), (3, _C[3])))
                 doc = np.searchsorted(offsets, low, "right") - 1
-                starts = low - offsets[doc]
-                raw = data.tobytes()
-                content = pa.array([raw[a : a + n] for a, n in zip(low.tolist(), length.tolist(), strict=True)], pa.binary())
-                taken = pa.array(doc + row)
-                columns = [batch.column(c).take(taken) for c in ("doc_id", *ROW)]
-                numbers = [pa.array(a.astype(np.int64) if a.dtype != _U else a.view(np.int64)) for a in (key, c1, c2, starts, starts + length)]
-                yield pa.RecordBatch.from_arrays([*columns, *numbers, content], ["doc_id", *ROW, "key", "c1", "c2", "start", "stop", "content"])
+                start = low - offsets[doc]
+                columns = [batch.column(c).take(pa.array(doc + row)) for c in ("doc_id", *ROW)]
+                numbers = [pa.array(a.view(np.int64)) for a in (key, c1, c2)] + [pa.array(a.astype(np.int32)) for a in (start, start + length)]
+                yield pa.RecordBatch.from_arrays([*columns, *numbers], ["doc_id", *ROW, "key", "c1", "c2", "start", "stop"])
 
-    held = stage(base.mapInArrow(stretches, "doc_id long, row_no long, row_file long, key long, c1 long, c2 long, start long, stop long, content binary"), "stretches")
+    held = stage(base.mapInArrow(stretches, "doc_id long, row_no long, row_file long, key long, c1 long, c2 long, start int, stop int"), "stretches")
 
     # Second pass: copies of a stretch meet in one group; its first member stands for it.
     firsts = stage(held.groupBy("key", "c1", "c2").agg(F.min(_place("start")).alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
-    branching = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1").select("key")
     copies = firsts.where("n > 1").select("c1", "c2", "first")
     whole = held.join(copies, ["c1", "c2"]).where(_place("start") > F.col("first")).select(*ROW, "start", "stop")
 
     # Third pass: the windows of stretches that share their first digit with others.
-    chosen = firsts.join(branching, "key", "left_semi").select(F.col("c1").alias("key"), F.col("first.row_no").alias("row_no"), F.col("first.row_file").alias("row_file"), F.col("first.start").alias("start"))
-    chosen = stage(chosen, "chosen")
-    marked = bit_table(chosen.select("key"))
+    ways = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1")
+    chosen = stage(firsts.join(ways, "key").select("key", (F.col("ways") > GROUP).alias("hot"), "first.doc_id", *[F.col(f"first.{c}").alias(c) for c in (*ROW, "start")]), "chosen")
+    marked = bit_table(chosen.select(*ROW, "start").mapInArrow(_place_key, "key long"))
 
-    def maybe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_there(marked, batch.column("c1").to_numpy().view(_U))))
-
-    spread = held.select("c1", "doc_id", *ROW, "start", "content")
-    spread = spread.mapInArrow(maybe, spread.schema).join(chosen.drop("key"), [*ROW, "start"])
+            for row, data, offsets in _chunks(batch):
+                place, low, high = _suffixes(data, offsets, depth, digit)
+                doc = np.searchsorted(offsets, low, "right") - 1
+                start = low - offsets[doc]
+                numbers = [batch.column(c).to_numpy()[doc + row] for c in ROW]
+                left = _there(marked, _placed(*numbers, start))
+                raw, a, b = data.tobytes(), low[left].tolist(), (high[left] + depth).tolist()
+                content = pa.array([raw[i:j] for i, j in zip(a, b, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[pa.array(c[left]) for c in numbers], pa.array(start[left].astype(np.int32)), pa.array((place - low)[left].astype(np.int32)), content], [*ROW, "start", "offset", "content"])
+
+    texts = base.select(*ROW, "text").mapInArrow(contents, "row_no long, row_file long, start int, offset int, content binary")
+    met = stage(chosen.join(texts, [*ROW, "start"]), "contents")
+    order = ["key", F.col("doc_id").isNull(), "doc_id", *ROW, "start"]
+
+    def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            keys = table["key"].to_numpy()
+            done = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) >= SOME else 0
+            at = 0
+            while at < done:  # whole digits at a time
+                stop = int(np.searchsorted(keys, keys[min(at + SOME, done) - 1], "right"))
+                yield _later(table.slice(at, stop - at), depth)
+                at = stop
+            rest = table.slice(done)
+        if rest is not None and len(rest):
+            yield _later(rest, depth)
+
+    cold = met.where("NOT hot").select("key", "doc_id", *ROW, "start", "offset", "content").repartition("key").sortWithinPartitions(*order)
+    cold = cold.select("key", *ROW, "start", "offset", "content").mapInArrow(compared, "row_no long, row_file long, start int, stop int")
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, len(batch), 1 << 13):
-                part = batch.slice(k, 1 << 13)
-                content = part.column("content")
-                raw = b"".join(content.to_pylist())
-                data = np.frombuffer(raw + bytes(8), np.uint8)
-                length = pc.binary_length(content).to_numpy().astype(np.int64)
-                n = length - depth + 1
-                row = np.repeat(np.arange(len(n)), n)
-                inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                at = (np.cumsum(length) - length)[row] + inner
-                w = [pa.array(_digest(_words(data), at, depth, s, c).view(np.int64)) for s, c in ((4, _C[2]), (5, _C[3]))]
-                taken = pa.array(row)
-                yield pa.RecordBatch.from_arrays([*w, *[part.column(c).take(taken) for c in ("doc_id", *ROW)], pa.array(part.column("start").to_numpy()[row] + inner)], ["w1", "w2", "doc_id", *ROW, "start"])
-
-    last = stage(spread.select("doc_id", *ROW, "start", "content").mapInArrow(windows, "w1 long, w2 long, doc_id long, row_no long, row_file long, start long"), "windows")
-    equal = last.groupBy("w1", "w2").agg(F.min(_place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = last.join(equal, ["w1", "w2"]).where(_place("start") > F.col("first")).select(*ROW, "start", (F.col("start") + depth).alias("stop"))
-    return whole.unionByName(later)
+            for k in range(0, len(batch), SOME):
+                part = batch.slice(k, SOME)
+                all_of = _Windows(part.column("content"), depth)
+                w = [pa.array(_digest(all_of.words, all_of.at, depth, s, c).view(np.int64)) for s, c in ((4, _C[2]), (5, _C[3]))]
+                start = part.column("start").to_numpy()[all_of.row] + all_of.inner
+                yield pa.RecordBatch.from_arrays([*w, *[part.column(c).take(pa.array(all_of.row)) for c in ("doc_id", *ROW)], pa.array(start.astype(np.int32))], ["w1", "w2", "doc_id", *ROW, "start"])
+
+    hot = stage(met.where("hot").select("doc_id", *ROW, "start", "content").mapInArrow(windows, "w1 long, w2 long, doc_id long, row_no long, row_file long, start int"), "hot")
+    equal = hot.groupBy("w1", "w2").agg(F.min(_place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = hot.join(equal, ["w1", "w2"]).where(_place("start") > F.col("first")).select(*ROW, "start", (F.col("start") + depth).alias("stop"))
+    return whole.unionByName(cold).unionByName(later)
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

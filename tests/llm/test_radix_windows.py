@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,31 @@ def test_chunks_and_small_tables(spark, monkeypatch):
     assert run(spark, docs) == brute(docs, 100)
 
 
+@pytest.mark.parametrize("group", [1, 3])
+def test_hot_digits(spark, monkeypatch, group):
+    """Digits beyond the bound of a task's group go the distributed way, with the same result."""
+    docs = corpus(5)
+    monkeypatch.setattr(radix_windows, "GROUP", group)
+    monkeypatch.setattr(radix_windows, "SOME", 5)
+    assert run(spark, docs) == brute(docs, 100)
+
+
+def test_radix_groups():
+    rng = np.random.default_rng(3)
+    raw = rng.integers(97, 99, 4000, dtype=np.uint8)
+    words, at = radix_windows._words(np.append(raw, np.zeros(8, np.uint8))), np.arange(3900)
+    for depth in (9, 13, 16):
+        group = at % 3
+        index, found = radix_windows.radix_groups(words, at, at * 0 + 5, group, depth)
+        seen = {}
+        for k in at.tolist():
+            seen.setdefault((k % 3, raw[k : k + depth].tobytes()), []).append(k)
+        got = {}
+        for k, g in zip(index.tolist(), found.tolist(), strict=True):
+            got.setdefault(g, []).append(k)
+        assert sorted(got.values()) == sorted(v for v in seen.values() if len(v) > 1)
+
+
 def test_query_equals_brute_force_on_all_documents(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
