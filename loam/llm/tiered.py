@@ -32,7 +32,7 @@ from loam.llm.shared import ROW, numbered, shared_dir, stage
 
 TOP = 10
 #: A block of the index: at most so many documents and, but for a single longer text, bytes.
-BLOCK_DOCS, BLOCK_BYTES = 4096, 4 << 20
+BLOCK_DOCS, BLOCK_BYTES = 4096, 2 << 20
 #: Parts of a term's postings in a block that end the first and second tier, and their least lengths.
 TIERS = ((16, 4), (4, 16))
 #: Items go in blocks whose texts have at most so many bytes; a block is what tasks are sent.
@@ -94,8 +94,12 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs = terms = 0
     for batch in batches:
         data, offsets = _bytes_of(batch.column(0))
-        per = np.diff(np.searchsorted(_runs(data, offsets)[1], offsets))
-        docs, terms = docs + int((per > 0).sum()), terms + int(per.sum())
+        at = 0
+        while at < len(batch):  # whole documents, a block's bytes at a time
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, "right")) - 1)
+            some = offsets[at : stop + 1] - offsets[at]
+            per = np.diff(np.searchsorted(_runs(data[offsets[at] : offsets[stop]], some)[1], some))
+            docs, terms, at = docs + int((per > 0).sum()), terms + int(per.sum()), stop
     yield pa.RecordBatch.from_arrays([pa.array([docs], pa.int64()), pa.array([terms], pa.int64())], ["docs", "terms"])
 
 
@@ -189,6 +193,12 @@ def build(docs: DataFrame) -> Index:
     return Index(path, spark, n_docs, n_terms)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Blocks one at a time; a batch holds many."""
+    for k in range(len(batch)):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 class Tiers:
     """A block's postings of the terms that are asked for."""
 
@@ -249,7 +259,7 @@ def _search_block(index: Index, items: list[tuple[int, int | None, set[bytes]]],
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(words), np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 code = pc.index_in(pa.array(words, pa.binary()), value_set=pa.array(row["terms"].split(b" "), pa.binary()))
                 code = code.fill_null(-1).to_numpy()
                 total[code >= 0] += np.frombuffer(row["df"], "<u4")[code[code >= 0]]
@@ -267,7 +277,7 @@ def _search_block(index: Index, items: list[tuple[int, int | None, set[bytes]]],
     def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = {number: [] for number, *_ in asked}
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 tiers = Tiers(row, words, 1)
                 for number, _, codes, weights in asked:
                     sums = tiers.settle(codes, weights, 0)[1]
@@ -285,7 +295,7 @@ def _search_block(index: Index, items: list[tuple[int, int | None, set[bytes]]],
         """Parts of the index in which some item lacks proof after the first tier."""
         found = set()
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 if row["part"] not in found:
                     tiers = Tiers(row, words, 1)
                     if any(tiers.settle(codes, weights, max(1, bars.get(number, 0)))[0] > 1 for number, _, codes, weights in asked):
@@ -298,7 +308,7 @@ def _search_block(index: Index, items: list[tuple[int, int | None, set[bytes]]],
     def deeper(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = {number: [] for number, *_ in asked}
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 tiers, ids = Tiers(row, words, 3), row["ids"]
                 for number, _, codes, weights in asked:
                     held = best[number]
