@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loam.functions.text import trim_ws
+from loam.functions.text import nfc, trim_ws
+from loam.session import work_dir
 
 
 def drop_incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,19 +40,29 @@ def non_empty(df: DataFrame, name: str) -> Column:
     return F.col(name).isNotNull() & ~F.col(name).isin("", "[]", "null")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while f"__{name}" in have:
+        name += "_"
+    return f"__{name}"
+
+
 def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column]) -> DataFrame:
     """W-01, A-09, A-10: one row per key, the first in ``order``; null keys form one group.
 
     Every column of ``order`` is weighed; ties beyond it are arbitrary, so give a total order.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+    rank = unused(df, "rank")
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
 
 
 def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """W-04: the first ``n`` rows of each group."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= n).drop("__rank")
+    rank = unused(df, "rank")
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n).drop(rank)
 
 
 def surrogate_ids(df: DataFrame, order: list[Column], name: str = "job_id") -> DataFrame:
@@ -60,27 +71,25 @@ def surrogate_ids(df: DataFrame, order: list[Column], name: str = "job_id") -> D
     Rows are range-sorted, numbered within each partition, and shifted by the sizes of the
     partitions before: one count per partition reaches the driver.
     """
+    part, at, base = (unused(df, c) for c in ("part", "at", "base"))
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = ordered.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    numbered = ordered.withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     # Counting and joining must see the same partitions, so the sorted rows are kept.
-    numbered = numbered.checkpoint() if _durable(df.sparkSession) else numbered.persist()
-    sizes = sorted(tuple(r) for r in numbered.groupBy("__p").count().collect())
+    numbered = stored(numbered)
+    sizes = sorted(tuple(r) for r in numbered.groupBy(part).count().collect())
     before, total = [], 0
-    for part, n in sizes:
-        before.append((part, total))
+    for p, n in sizes:
+        before.append((p, total))
         total += n
-    starts = F.broadcast(df.sparkSession.createDataFrame(before, "__p int, __base long"))
-    return numbered.join(starts, "__p").select((F.col("__base") + F.col("__i") + 1).alias(name), *df.columns)
+    starts = F.broadcast(df.sparkSession.createDataFrame(before, f"{part} int, {base} long"))
+    return numbered.join(starts, part).select((F.col(base) + F.col(at) + 1).alias(name), *df.columns)
 
 
-def _durable(spark: SparkSession) -> bool:
-    """Whether a folder for checkpoints is named; the context is told once."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        return False
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root)
-    return True
+def stored(df: DataFrame) -> DataFrame:
+    """Written to the folder that all executors share and read back: a durable cut of the lineage."""
+    path = work_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -113,6 +122,19 @@ def company_seed(rows: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return list(out.items())
 
 
+def company_seed_rows(seed: DataFrame, variant: str = "variant_name", canonical: str = "canonical_name") -> DataFrame:
+    """C-04 as a frame, for seeds of any size: (variant, canonical), one row per variant.
+
+    Names are composed, trimmed and upper-case. A variant's own rows come before its use as
+    a canonical name, and of several canonical names the smallest counts.
+    """
+    norm = lambda c: F.upper(trim_ws(nfc(F.col(c))))
+    rows = seed.select(norm(variant).alias(variant), norm(canonical).alias(canonical))
+    own = unused(rows, "own")
+    both = rows.withColumn(own, F.lit(0)).unionByName(rows.select(F.col(canonical).alias(variant), canonical, F.lit(1).alias(own)))
+    return keep_first(both.where(F.col(variant).isNotNull()), [variant], [F.asc(own), F.asc(canonical)]).drop(own)
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """SO-03, SO-04: rows of all frames; columns united, missing ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -121,4 +143,5 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 def without_older(df: DataFrame, key: str, ordinal: str) -> DataFrame:
     """J-06, W-03: of rows with the same key the one with the largest ordinal stays; null keys all stay."""
     w = Window.partitionBy(key).orderBy(F.desc(ordinal))
-    return df.withColumn("__rank", F.row_number().over(w)).where(f"__rank = 1 OR {key} IS NULL").drop("__rank")
+    rank = unused(df, "rank")
+    return df.withColumn(rank, F.row_number().over(w)).where((F.col(rank) == 1) | F.col(key).isNull()).drop(rank)

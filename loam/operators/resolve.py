@@ -5,10 +5,11 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import DoubleType
 
 from loam.functions import fixed
 from loam.functions.text import drop_words, replace_words
+from loam.operators.relational import stored, surrogate_ids
 
 
 def matching_key(name: Column) -> Column:
@@ -49,61 +50,166 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(scores)
 
 
-@F.pandas_udf(IntegerType())
-def _score(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([int(token_set_ratio(x, y) + 0.5) for x, y in zip(a, b, strict=True)], dtype="int32")
+@F.pandas_udf(DoubleType())
+def _shared_order(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else _indel(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+#: What separates tokens: the white space of Unicode and the four ASCII separators.
+_BREAKS = "(?U)[\\s\\x1C-\\x1F]+"
+
+
+def _token_keys(names: DataFrame, key: str) -> DataFrame:
+    """k, n (its length), tokens (sorted set), size (length of the tokens joined), grams (tagged pairs of characters).
+
+    The padded pairs of characters of the joined tokens are those of each token, whatever
+    their order; a repeated pair carries its number, so sets stand for multisets.
+    """
+    keys = names.select(F.col(key).alias("k")).where("k IS NOT NULL AND k <> ''").distinct()
+    tokens = F.array_sort(F.array_distinct(F.filter(F.split("k", _BREAKS), lambda x: x != "")))
+    pairs = lambda x: F.transform(F.sequence(F.lit(1), F.length(x) + 1), lambda i: F.substring(F.concat(F.lit(" "), x, F.lit(" ")), i, F.lit(2)))
+    return (
+        keys.select("k", F.length("k").alias("n"), tokens.alias("tokens")).where(F.size("tokens") > 0)
+        .withColumn("size", F.length(F.array_join("tokens", " ")))
+        .withColumn("pairs", F.array_sort(F.flatten(F.transform("tokens", pairs))))
+        .withColumn("grams", F.transform("pairs", lambda g, i: F.concat(g, (i + 1 - F.array_position("pairs", g)).cast("string"))))
+        .drop("pairs")
+    )
+
+
+def _overlap(a: Column, b: Column, e: float) -> Column:
+    """How many pairs of characters keys of joined lengths ``a`` and ``b`` share at least, if they are within ``e``.
+
+    An even number of insertions and deletions lies between lengths whose sum is even, and an
+    odd number else; each takes away one and a half pairs on average.
+    """
+    both = (a + b).cast("int")
+    most = F.floor(both * e + 1e-9).cast("int")
+    return F.floor((both + 2 - 3 * (most - F.pmod(most - both, F.lit(2)))) / 2).cast("int")
+
+
+def _rows(keys: DataFrame, share: float, e: float) -> DataFrame:
+    """k, n, size, kind, element, at, chosen: each key's tokens and its rarest pairs of characters.
+
+    Elements are ordered by the number of keys that hold them. A token is chosen unless the
+    tokens before it make up more than a side may lack; of the pairs only those are rows that
+    one of every shared set of the least size must be among.
+    """
+    tagged = F.concat(F.transform("tokens", lambda x: F.concat(F.lit("t"), x)), F.transform("grams", lambda x: F.concat(F.lit("g"), x)))
+    each = keys.select("k", F.explode(tagged).alias("element"))
+    often = each.groupBy("element").agg(F.count(F.lit(1)).alias("often"))
+    lists = each.join(often, "element").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("all"))
+    of = lambda kind: F.transform(F.filter("all", lambda x: F.substring(x["element"], 1, 1) == kind), lambda x: x["element"])
+    both = lists.join(keys.select("k", "n", "size"), "k").select("k", "n", "size", of("t").alias("tokens"), of("g").alias("grams"))
+    before = lambda i: F.aggregate(F.slice("tokens", F.lit(1), i), F.lit(0), lambda s, x: s + F.length(x))
+    tokens = F.transform("tokens", lambda x, i: F.struct(x.alias("element"), i.alias("at"), (before(i) <= (1 - share) * F.col("size") + 1).alias("chosen")))
+    # The least overlap with any partner, by the lengths that one may have.
+    partners = F.sequence(F.ceil(F.col("size") * share - 1e-9).cast("int"), F.floor(F.col("size") / share + 1e-9).cast("int"))
+    least = F.array_min(F.transform(partners, lambda m: _overlap(F.col("size"), m, e)))
+    rare = F.slice("grams", F.lit(1), F.greatest(F.size("grams") - least + 1, F.lit(1)).cast("int"))
+    grams = F.transform(rare, lambda x, i: F.struct(x.alias("element"), i.alias("at"), F.lit(True).alias("chosen")))
+    return both.select("k", "n", "size", F.explode(F.concat(tokens, grams)).alias("x")).select("k", "n", "size", "x.*")
+
+
+def fuzzy_candidates(keys: DataFrame, score: float, ratio: float) -> DataFrame:
+    """(a, b), a < b: no pair within the guard that scores ``score`` or more is missing.
+
+    With e = 1 - score / 100, a pair scores by one of two ways. Either the common tokens make
+    up a share of at least (1 - e) / (1 + e) of one side: then, of any of its tokens that make
+    up more than the rest, one is common. Or the joined tokens are within e of each other in
+    insertions and deletions; each of those changes at most two pairs of characters, so both
+    sides share at least so many of them (``_overlap``), and thus one among the rarest few.
+    """
+    e = 1 - score / 100
+    share = (1 - e) / (1 + e)
+    rows = stored(_rows(keys, share, e))
+    l, r = rows.where("chosen").alias("l"), rows.alias("r")
+    guard = F.expr(f"l.element = r.element AND least(l.n, r.n) >= {ratio} * greatest(l.n, r.n)")
+    # By the first shared pair's place, what is left on either side must suffice.
+    place = F.expr("1 + least(l.size - l.at, r.size - r.at)") >= _overlap(F.col("l.size"), F.col("r.size"), e)
+    near = F.expr(f"l.element LIKE 'g%' AND l.k < r.k AND least(l.size, r.size) >= {share} * greatest(l.size, r.size) - 1e-9")
+    met = guard & (F.expr("l.element LIKE 't%' AND l.k <> r.k") | (near & place))
+    return l.join(r, met).select(F.least("l.k", "r.k").alias("a"), F.greatest("l.k", "r.k").alias("b")).distinct()
 
 
 def fuzzy_pairs(names: DataFrame, key: str = "key", score: int = fixed.FUZZY_SCORE, ratio: float = fixed.LENGTH_RATIO) -> DataFrame:
-    """J-08, ER-04: (a, b, score) for pairs of distinct keys, a < b.
+    """J-08, ER-04: (a, b, score) for pairs of distinct keys, a < b, by the similarity of their token sets.
 
-    The length guard is a band: keys are bucketed by the logarithm of their length to the
-    base 1/ratio, and only equal and neighbouring buckets meet. No pair within the guard is
-    lost.
+    Candidates share a rare token or a rare pair of characters (``fuzzy_candidates``); the
+    score of common tokens alone is an expression, and only pairs that share enough pairs of
+    characters are measured in Python. Scores are rounded half up, so the least raw score is
+    half a point lower.
     """
-    import math
+    least = score - 0.5
+    keys = stored(_token_keys(names, key))
+    side = lambda c: keys.select(F.col("k").alias(c), F.struct("tokens", "grams", "size").alias(f"{c}_"))
+    found = fuzzy_candidates(keys, least, ratio).join(side("a"), "a").join(side("b"), "b")
+    common = F.array_intersect("a_.tokens", "b_.tokens")
+    length = F.length(F.array_join("common", " "))
+    inside = (F.size("common") == F.size("a_.tokens")) | (F.size("common") == F.size("b_.tokens"))
+    by_tokens = F.when(F.size("common") == 0, 0.0).when(inside, 100.0).otherwise(200.0 * length / (length + F.least("a_.size", "b_.size")))
+    enough = F.size(F.array_intersect("a_.grams", "b_.grams")) >= _overlap(F.col("a_.size"), F.col("b_.size"), 1 - least / 100)
+    ahead = lambda c: F.concat_ws(" ", F.array_join("common", " "), F.array_join(F.array_except(f"{c}_.tokens", "common"), " "))
+    weighed = found.select("a", "b", "a_", "b_", common.alias("common")).select(
+        "a", "b", by_tokens.alias("by_tokens"), enough.alias("enough"), F.ltrim(ahead("a")).alias("left"), F.ltrim(ahead("b")).alias("right")
+    )
+    # Pairs that can't reach the score by either way go before anything reaches Python.
+    left = weighed.where(f"enough OR by_tokens >= {least}")
+    open_ = F.col("enough") & (F.col("by_tokens") < 100)
+    measured = _shared_order(F.when(open_, F.col("left")), F.when(open_, F.col("right")))
+    scored = left.select("a", "b", F.floor(F.greatest("by_tokens", F.coalesce(measured, F.lit(0.0))) + 0.5).cast("int").alias("score"))
+    return scored.where(F.col("score") >= score)
 
+
+def edit_pairs(names: DataFrame, distance: int, ratio: float = fixed.LENGTH_RATIO, key: str = "key") -> DataFrame:
+    """J-08 with edit distance: (a, b, distance) for pairs of distinct keys, a < b, at most ``distance`` apart.
+
+    An edit changes at most two of a key's padded pairs of characters, so of the rarest
+    2 * distance + 1 of each side one is shared; keys with no more pairs than that, which need
+    not share any, meet by length, and there are only so many keys of so few characters.
+    """
     keys = names.select(F.col(key).alias("k")).where("k IS NOT NULL AND k <> ''").distinct().withColumn("n", F.length("k"))
-    bucket = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / ratio)).cast("int")
-    left = keys.withColumn("bucket", bucket)
-    right = left.withColumn("bucket", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)))
-    pairs = (
-        left.alias("l").join(right.alias("r"), "bucket").where("l.k < r.k")
-        .where(F.least("l.n", "r.n") >= ratio * F.greatest("l.n", "r.n")).select(F.col("l.k").alias("a"), F.col("r.k").alias("b"))
-    )
-    return pairs.withColumn("score", _score("a", "b")).where(F.col("score") >= score)
+    pairs = F.transform(F.sequence(F.lit(1), F.col("n") + 1), lambda i: F.substring(F.concat(F.lit("\u0001"), "k", F.lit("\u0001")), i, F.lit(2)))
+    keys = keys.withColumn("pairs", F.array_sort(pairs))
+    keys = stored(keys.withColumn("grams", F.transform("pairs", lambda g, i: F.concat(g, (i + 1 - F.array_position("pairs", g)).cast("string")))).drop("pairs"))
+    each = keys.select("k", F.explode("grams").alias("element"))
+    often = each.groupBy("element").agg(F.count(F.lit(1)).alias("often"))
+    lists = each.join(often, "element").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("all")).join(keys.select("k", "n"), "k")
+    rare = F.transform(F.slice("all", 1, 2 * distance + 1), lambda x: x["element"])
+    short = F.col("n") + 1 <= 2 * distance
+    # A short key also stands under each length that it may be changed to.
+    lengths = F.transform(F.sequence(F.col("n") - distance, F.col("n") + distance), lambda i: F.concat(F.lit("\u0002"), i.cast("string")))
+    own = F.array(F.concat(F.lit("\u0002"), F.col("n").cast("string")))
+    rows = stored(lists.select("k", "n", F.explode(F.concat(rare, F.when(short, lengths).otherwise(F.when(F.col("n") + 1 <= 3 * distance, own).otherwise(F.array().cast("array<string>"))))).alias("element")))
+    l, r = rows.alias("l"), rows.alias("r")
+    met = l.join(r, F.expr(f"l.element = r.element AND l.k < r.k AND abs(l.n - r.n) <= {distance} AND least(l.n, r.n) >= {ratio} * greatest(l.n, r.n)"))
+    found = met.select(F.col("l.k").alias("a"), F.col("r.k").alias("b")).distinct()
+    return found.withColumn("distance", F.levenshtein("a", "b", distance)).where("distance >= 0")
 
 
 def clusters(links: DataFrame, keep: str = "path") -> DataFrame:
     """ER-05: (node, root): the smallest key that a chain of links reaches; min-label rounds with path halving."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = _kept(both)
-    labels = _kept(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
+    both = stored(both)
+    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
         hooked = labels.join(near, labels["node"] == near["a"]).select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         hop = hooked.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        after = _kept(hooked.join(hop, "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root")))
+        after = stored(hooked.join(hop, "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root")))
         if after.where("root <> old").isEmpty():
             return after.select("node", "root")
         labels = after.select("node", "root")
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    from loam.operators.relational import _durable
-
-    return df.checkpoint() if _durable(df.sparkSession) else df.persist()
-
-
 def review(names: DataFrame, found: DataFrame, canonical: DataFrame, name: str = "name", key: str = "key") -> DataFrame:
-    """ER-06, SL-01: clusters of at least two names, numbered by size and smallest name, with a membership flag."""
-    from loam.operators.relational import surrogate_ids
+    """ER-06, SL-01: clusters of at least two names, numbered by size and smallest name, with a membership flag.
 
+    The numbers carry the order; a reader who wants sorted rows sorts what it shows.
+    """
     member = names.join(found, names[key] == found["node"]).select(name, key, "root")
     meta = member.groupBy("root").agg(F.count(F.lit(1)).alias("cluster_size"), F.min(name).alias("first")).where("cluster_size >= 2")
     meta = surrogate_ids(meta, [F.desc("cluster_size"), F.asc("first")], "cluster_id")
     flag = canonical.select(F.col(canonical.columns[0]).alias(name)).distinct().withColumn("has_in_company_mapping", F.lit(1))
     out = member.join(meta, "root").join(flag, name, "left")
-    return out.select("cluster_id", "cluster_size", name, F.coalesce("has_in_company_mapping", F.lit(0)).alias("has_in_company_mapping"), key).orderBy(
-        F.desc("cluster_size"), "cluster_id", F.desc("has_in_company_mapping"), key
-    )
+    return out.select("cluster_id", "cluster_size", name, F.coalesce("has_in_company_mapping", F.lit(0)).alias("has_in_company_mapping"), key)
