@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loam.functions import fixed
-from loam.functions.rules import KeywordSet, Rules, any_match, first_match, ordered_flags
+from loam.functions.rules import KeywordSet, Rules, any_match, bound, first_match, ordered_flags
 from loam.functions.text import clean_text, deadline, extract, plain_lower, squeeze, strip_accents, titlecase, trim_ws
 
 _FIRST, _SECOND = "(\\d+\\.?\\d*)", "\\d+\\.?\\d*\\D+(\\d+\\.?\\d*)"
@@ -90,32 +90,54 @@ def keyword_lists(c: Column, taxonomies: dict[str, Rules | None], noise: tuple[s
     return {name: KeywordSet.build(ruled or []).extract(text) for name, ruled in taxonomies.items()}
 
 
-def salary(c: Column) -> tuple[Column, Column]:
-    """C-13: (least, most) per month in VND."""
-    p = fixed.SALARY
-    text = F.lower(c.cast("string"))
-    flag = {k: _has(text, v) for k, v in p.items()}
-    dash, digit = text.contains("-"), text.rlike("\\d")
-    shown = (
-        F.when(flag["decimal"], F.replace(text, F.lit(","), F.lit(".")))
-        .when(flag["usd"], F.replace(text, F.lit(","), F.lit("")))
-        .otherwise(F.regexp_replace(text, "[,.]", ""))
-    )
-    per = F.when(flag["day"], 30.0).when(flag["week"], 4.0).when(flag["year"], 0.083).otherwise(1.0)
-    unit = (
-        F.when(flag["usd"], F.when(flag["usd_k"], 1000.0 * fixed.USD_TO_VND).otherwise(fixed.USD_TO_VND))
-        .when(flag["thousand"], 1e3).when(flag["million"], 1e6).when(flag["billion"], 1e9).otherwise(1.0)
-    )
-    one = extract(shown, _FIRST).try_cast("double")
-    two = extract(shown, _SECOND).try_cast("double")
+#: Factors of a salary: the first row all of whose words occur in the text counts.
+_PERIODS = ((("day",), 30.0), (("week",), 4.0), (("year",), 0.083))
+_UNITS = (
+    (("usd", "usd_k"), 1000.0 * fixed.USD_TO_VND),
+    (("usd",), fixed.USD_TO_VND),
+    (("thousand",), 1e3),
+    (("million",), 1e6),
+    (("billion",), 1e9),
+)
 
-    def scaled(base: Column, seen: Column) -> Column:
-        by = F.when(~flag["unit"] & (seen < 1000), 1e6).otherwise(unit)
-        return F.when(digit, base * per * by)
 
-    least = F.when(~(flag["upto"] & ~flag["from"]), one)
-    most = F.when(flag["from"] & ~dash, F.lit(None).cast("double")).when(dash, two).otherwise(one)
-    return scaled(least, one), scaled(most, F.when(dash, two).otherwise(one))
+def _factor(words: Column, table: tuple) -> Column:
+    out = F.lit(1.0)
+    for needed, by in reversed(table):
+        out = F.when(F.forall(F.array(*map(F.lit, needed)), lambda w: F.array_contains(words, w)), by).otherwise(out)
+    return out
+
+
+def salary(c: Column) -> tuple[Column, Column]:
+    """C-13: (least, most) per month in VND.
+
+    Bound in three steps, so that each pattern is tested once: the text, the words of the
+    unit rules it has, then its numbers.
+    """
+    def words_of(text: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(_has(text, pattern), F.lit(name)) for name, pattern in fixed.SALARY.items()]))
+
+    def values(x: Column) -> Column:
+        text, words = x["text"], x["words"]
+        has = lambda word: F.array_contains(words, word)
+        shown = (
+            F.when(has("decimal"), F.replace(text, F.lit(","), F.lit("."))).when(has("usd"), F.replace(text, F.lit(","), F.lit("")))
+            .otherwise(F.regexp_replace(text, "[,.]", ""))
+        )
+        numbers = F.struct(extract(shown, _FIRST).try_cast("double").alias("one"), extract(shown, _SECOND).try_cast("double").alias("two"))
+        return bound(F.struct(text.alias("text"), words.alias("words"), numbers.alias("numbers")), ends)
+
+    def ends(x: Column) -> Column:
+        text, words, one, two = x["text"], x["words"], x["numbers"]["one"], x["numbers"]["two"]
+        has = lambda word: F.array_contains(words, word)
+        dash, per = text.contains("-"), _factor(words, _PERIODS)
+        scaled = lambda base, seen: F.when(text.rlike("\\d"), base * per * F.when(~has("unit") & (seen < 1000), 1e6).otherwise(_factor(words, _UNITS)))
+        least = F.when(~(has("upto") & ~has("from")), one)
+        most = F.when(has("from") & ~dash, F.lit(None).cast("double")).when(dash, two).otherwise(one)
+        return F.struct(scaled(least, one).alias("least"), scaled(most, F.when(dash, two).otherwise(one)).alias("most"))
+
+    both = bound(F.lower(c.cast("string")), lambda text: bound(F.struct(text.alias("text"), words_of(text).alias("words")), values))
+    return both["least"], both["most"]
 
 
 def experience(c: Column) -> tuple[Column, Column]:
