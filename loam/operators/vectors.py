@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loam.functions import fixed
 from loam.functions.text import clean_scalar, labelled_list, uuid5_url
-from loam.operators.relational import keep_first, nonblank
+from loam.operators.relational import keep_first, nonblank, unused
 
 DOCUMENT_CHARS = 6000
 _SKILLS = [c for c, _ in fixed.REQUIREMENT_TYPES if c.startswith("require_")]
@@ -87,8 +88,8 @@ def points(df: DataFrame, key: str = "unique_url", vector: str = "vector") -> Da
     return df.select(uuid5_url(F.col(key)).alias("id"), normalised(F.col(vector)).alias("vector"), F.to_json(F.struct(*payload)).alias("payload"))
 
 
-def unexpired(df: DataFrame, today: Column, days: int = 30, site_days: dict[str, int] | None = None) -> DataFrame:
-    """VX-06, D-08: points older than their cut-off, by either date, go; some sites have a stricter one.
+def expired(today: Column, days: int = 30, site_days: dict[str, int] | None = None) -> Column:
+    """VX-06, D-08: whether a point is older than its cut-off, by either date; some sites have a stricter one.
 
     Missing dates never expire a point. A strict site of N days keeps today and N - 1 before it.
     """
@@ -97,22 +98,37 @@ def unexpired(df: DataFrame, today: Column, days: int = 30, site_days: dict[str,
 
     gone = old(F.date_sub(today, days))
     for site, n in (site_days or {"vietnamworks": 3}).items():
-        gone = gone | ((F.col("source_site") == site) & old(F.date_sub(today, n - 1)))
-    return df.where(~gone)
+        gone = gone | (F.coalesce(F.col("source_site") == site, F.lit(False)) & old(F.date_sub(today, n - 1)))
+    return gone
+
+
+def unexpired(df: DataFrame, today: Column, days: int = 30, site_days: dict[str, int] | None = None) -> DataFrame:
+    """VX-06: the points that haven't expired."""
+    return df.where(~expired(today, days, site_days))
 
 
-def search(df: DataFrame, query: list[float], n: int, vector: str = "vector", id_col: str = "id", strict: Column | None = None, enough: int = 10, fallback: int = 100) -> DataFrame:
-    """VX-08, SL-05: the ``n`` most similar by cosine; without enough strict hits ``fallback`` of all rows.
+def search(
+    df: DataFrame, query: list[float], n: int, vector: str = "vector", id_col: str = "id", strict: Column | None = None, enough: int = 10, fallback: int = 100, must: Column | None = None
+) -> DataFrame:
+    """VX-08, SL-05: the ``n`` most similar by cosine of the rows for which ``must`` holds.
 
-    One scan and a top-n (no sort of all rows); the query is a literal.
+    With ``strict``, its rows; where fewer than ``enough`` of them are found, ``fallback`` of all.
+    One scan: each task keeps its best strict rows and its best rows of all, both bounded,
+    and what is left is chosen from these few. The query is a literal.
     """
     q = F.array(*[F.lit(float(x)) for x in query])
-    scored = df.withColumn("score", dot(F.col(vector), q) / F.nullif(norm(F.col(vector)) * norm(q), F.lit(0.0)))
-    order = [F.desc_nulls_last("score"), F.asc(id_col)]
+    score, at, side, hits = (unused(df, c) for c in ("score", "at", "side", "hits"))
+    rows = df if must is None else df.where(must)
+    scored = rows.withColumn(score, dot(F.col(vector), q) / F.nullif(norm(F.col(vector)) * norm(q), F.lit(0.0)))
+    order = [F.desc_nulls_last(score), F.asc(id_col)]
     if strict is None:
-        return scored.orderBy(*order).limit(n)
-    best = scored.where(strict).orderBy(*order).limit(n)
-    return best if best.count() >= enough else scored.orderBy(*order).limit(fallback)
+        return scored.orderBy(*order).limit(n).withColumnRenamed(score, "score")
+    # A strict row stands on both sides; the limit of the window is applied in each task first.
+    sides = F.when(F.coalesce(strict, F.lit(False)), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    ranked = scored.withColumn(side, F.explode(sides)).withColumn(at, F.row_number().over(Window.partitionBy(side).orderBy(*order)))
+    few = ranked.where(F.col(at) <= max(n, fallback, enough)).withColumn(hits, F.sum(F.col(side).cast("int")).over(Window.partitionBy()))
+    chosen = few.where(F.when(F.col(hits) >= enough, F.col(side) & (F.col(at) <= n)).otherwise(~F.col(side) & (F.col(at) <= fallback)))
+    return chosen.orderBy(*order).drop(at, side, hits).withColumnRenamed(score, "score")
 
 
 def skill_overlap(wanted: dict[str, Column]) -> Column:

@@ -10,7 +10,7 @@ import sys
 from datetime import date, timedelta
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from loam.operators.relational import company_seed, keep_first, nonblank
 from loam.operators.sites import SITES, Seeds, clean_site
 from loam.sources import scan, sinks
 from loam.sources.schemas import PARTITIONS, SILVER, raw_schema
+from loam.sources.versions import KeyedTable
 
 SEEDS = Path(__file__).resolve().parent.parent / "seeds"
 #: Taxonomy file of each list column; a file that is missing gives empty lists.
@@ -63,9 +64,11 @@ def silver(spark: SparkSession, root: str, site: str, start: str, end: str, seed
     if raw is None:
         return 0
     out = clean_site(raw.withColumn("source_site", F.lit(site)), SITES[site], seeds or load_seeds(spark))
-    if save:
-        sinks.to_silver(out, f"{root}/silver/jobs")
-    return out.count()
+    if not save:
+        return out.count()
+    seen = Observation("silver rows")
+    sinks.to_silver(out.observe(seen, F.count(F.lit(1)).alias("n")), f"{root}/silver/jobs")
+    return seen.get["n"]
 
 
 def build_gold(spark: SparkSession, root: str, database: str = "gold", today: date | None = None) -> dict[str, int]:
@@ -87,6 +90,7 @@ def build_gold(spark: SparkSession, root: str, database: str = "gold", today: da
 
 
 def _snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """Newest snapshots of all sites; listed once, however many sites follow."""
     schema = T.StructType([*SILVER.fields, *[T.StructField(c, T.StringType()) for c in PARTITIONS]])
     rows = scan.silver_latest(spark, f"{root}/silver/jobs", schema)
     return rows.withColumn("silver_date", F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")]))
@@ -105,13 +109,16 @@ def ready_jobs(latest: DataFrame) -> DataFrame:
 
 def serve(spark: SparkSession, root: str, sites: list[str]) -> dict[str, str]:
     """Keyed upsert of the serving table, site by site; failures by site."""
-    return sinks.per_site(sites, lambda site: sinks.upsert_table(ready_jobs(_snapshots(spark, root).where(F.col("source_site") == site)), f"{root}/serving/ready_jobs", "unique_url"))
+    latest = _snapshots(spark, root)
+    return sinks.per_site(sites, lambda site: sinks.upsert_table(ready_jobs(latest.where(F.col("source_site") == site)), f"{root}/serving/ready_jobs", "unique_url"))
 
 
 def index(spark: SparkSession, root: str, sites: list[str], model, today: date) -> dict[str, str]:
     """Vector points of the newest jobs, upserted by id; expired points go."""
+    latest = _snapshots(spark, root)
+
     def one(site: str) -> None:
-        jobs = vectors.latest_jobs(_snapshots(spark, root).where(F.col("source_site") == site))
+        jobs = vectors.latest_jobs(latest.where(F.col("source_site") == site))
         jobs = jobs.withColumn("job_title", F.coalesce("clean_job_title", "job_title"))
         skills = [c for c, _ in fixed.REQUIREMENT_TYPES]
         keep = jobs.select("unique_url", "job_title", "source_site", "silver_date", F.to_date(F.lit(f"{today}")).alias("indexed_at"), *skills, vectors.document_text(jobs).alias("body"))
@@ -120,7 +127,9 @@ def index(spark: SparkSession, root: str, sites: list[str], model, today: date)
         sinks.upsert_table(made.withColumn("p", dates).select("id", "vector", "payload", "p.source_site", "p.silver_date", "p.indexed_at"), f"{root}/vectors", "id")
 
     failed = sinks.per_site(sites, one)
-    sinks.swap_table(vectors.unexpired(spark.read.parquet(f"{root}/vectors"), F.to_date(F.lit(f"{today}"))), f"{root}/vectors")
+    points = KeyedTable(spark, f"{root}/vectors", "id")
+    points.delete(vectors.expired(F.to_date(F.lit(f"{today}"))))
+    points.vacuum(2)
     return failed
 
 

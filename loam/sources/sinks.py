@@ -1,15 +1,17 @@
-"""Sinks: landing and layer writes, full refresh, keyed upsert, dashboards."""
+"""Sinks: landing and layer writes, full refresh, keyed upsert, migrations, sheets."""
 
 from __future__ import annotations
 
-import html
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.operators.relational import upsert
+from loam.functions.text import trim_ws
+from loam.operators.relational import keep_first, unused
 from loam.sources.schemas import PARTITIONS
+from loam.sources.sheets import sheet, write_sheet
+from loam.sources.versions import KeyedTable, Published
 
 
 def append_lines(df: DataFrame, path: str) -> None:
@@ -39,61 +41,33 @@ def dump(df: DataFrame, path: str | None) -> int:
     return df.sparkSession.read.parquet(path).count()
 
 
+def published(spark: SparkSession, database: str = "gold") -> Published:
+    """The versions of a database's tables."""
+    return Published(spark, f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/versions")
+
+
 def full_refresh(spark: SparkSession, tables: list[tuple[str, DataFrame]], database: str = "gold") -> dict[str, int]:
-    """SK-05, A-07: build every table aside, then swap all; counts of the new tables.
+    """SK-05, A-07: build every table, then switch to all of them by one manifest; their row counts.
 
-    Nothing is replaced unless every build succeeds. The swap itself is a few metadata
-    operations, not one transaction: a crash in between leaves old and new tables side by
-    side, and running again completes it.
+    If a build fails, nothing changes. The catalog has a view for each table, which follows
+    the switch; who needs all tables from one version reads ``published``. The version before
+    is kept for readers that have begun.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, df in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}__new")
-        df.write.mode("overwrite").saveAsTable(f"{database}.{name}__new")
+    home = published(spark, database)
+    counts = home.publish(tables)
+    there = {x.name: x.tableType for x in spark.catalog.listTables(database)}
     for name, _ in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.sql(f"ALTER TABLE {database}.{name}__new RENAME TO {database}.{name}")
-    return {name: spark.table(f"{database}.{name}").count() for name, _ in tables}
-
-
-def _fs(spark: SparkSession, path: str) -> tuple:
-    """(file system, path object) of Hadoop, so that any store works."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
-
+        if there.get(name.lower(), "VIEW") != "VIEW":
+            spark.sql(f"DROP TABLE {database}.{name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{home.path(name)}`")
+    home.vacuum(2)
+    return counts
 
-def swap_table(df: DataFrame, path: str) -> None:
-    """Write beside ``path``, then take its place; ``df`` may read the old version.
 
-    The old version is moved aside until the new one stands, so a crash loses neither;
-    ``recover`` puts things right at the next write.
-    """
-    spark, base = df.sparkSession, path.rstrip("/")
-    df.write.mode("overwrite").parquet(f"{base}__new")
-    fs, at = _fs(spark, base)
-    old = _fs(spark, f"{base}__old")[1]
-    fs.delete(old, True)
-    if fs.exists(at):
-        fs.rename(at, old)
-    if not fs.rename(_fs(spark, f"{base}__new")[1], at):
-        raise OSError(f"cannot move the new version to {base}")
-    fs.delete(old, True)
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Bring back the old version if a crash came between the two moves of ``swap_table``."""
-    base = path.rstrip("/")
-    fs, at = _fs(spark, base)
-    old = _fs(spark, f"{base}__old")[1]
-    if not fs.exists(at) and fs.exists(old):
-        fs.rename(old, at)
-
-
-def upsert_table(new: DataFrame, path: str, key: str) -> None:
-    """SK-06, SK-08: keyed overwrite of a Parquet table; a crash at any point loses no version."""
-    recover(new.sparkSession, path)
-    fs, at = _fs(new.sparkSession, path)
-    swap_table(upsert(new.sparkSession.read.parquet(path), new, key) if fs.exists(at) else new, path)
+def upsert_table(new: DataFrame, path: str, key: str) -> int:
+    """SK-06, SK-08: keyed upsert of a versioned table; rows of one key count once, whichever it is."""
+    return KeyedTable(new.sparkSession, path, key).upsert(new.dropDuplicates([key]))
 
 
 def upsert_external(df: DataFrame, send: Callable[[list[tuple]], None], batch: int = 100) -> None:
@@ -131,9 +105,35 @@ def add_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df
 
 
+def widen(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """SK-07: columns take another type; values that don't fit are null."""
+    return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in columns.items() if name in df.columns})
+
+
+def backfill_key(df: DataFrame, key: str, made: Column, newest: list[Column]) -> DataFrame:
+    """SK-07: a key for rows that lack one, then one row per key.
+
+    A row that had its key wins over those that get it; among equals the first by ``newest``.
+    Rows for which no key can be made go.
+    """
+    had = unused(df, "had")
+    keyed = df.withColumn(had, F.col(key).isNotNull()).withColumn(key, F.coalesce(F.col(key), made))
+    keyed = keyed.where(F.coalesce(trim_ws(F.col(key).cast("string")), F.lit("")) != "")
+    return keep_first(keyed, [key], [F.desc(had), *newest]).drop(had)
+
+
+def migrate(table: KeyedTable, steps: list[tuple[str, Callable[[DataFrame], DataFrame]]]) -> list[str]:
+    """SK-07: apply the named steps that the table hasn't had yet, in order; the names applied.
+
+    The names are part of the version that a step makes, so after a crash a step is either
+    done and known, or neither.
+    """
+    return [name for name, step in steps if table.migrate(name, step)]
+
+
 def replace_sheet(df: DataFrame, path: str) -> None:
-    """SK-10, SK-13: one CSV with header, null as empty text."""
-    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """SK-10, SK-13: one sheet with header, null as empty text."""
+    write_sheet(df, path)
 
 
 def taxonomy_tables(spark: SparkSession, paths: list[str], database: str = "gold") -> list[str]:
@@ -143,17 +143,6 @@ def taxonomy_tables(spark: SparkSession, paths: list[str], database: str = "gold
     for path in sorted(paths):
         stem = path.rsplit("/", 1)[-1].removesuffix(".csv")
         if stem.endswith("_taxonomy"):
-            spark.read.option("header", True).csv(path).write.mode("overwrite").saveAsTable(f"{database}.dim_{stem}")
+            sheet(spark, path).write.mode("overwrite").saveAsTable(f"{database}.dim_{stem}")
             done.append(f"dim_{stem}")
     return done
-
-
-def html_table(df: DataFrame, title: str, n: int = 500) -> str:
-    """SK-12, F-28: at most ``n`` rows as an escaped HTML table; list cells joined by ", "."""
-
-    def cell(v: object) -> str:
-        return html.escape("" if v is None else ", ".join(map(str, v)) if isinstance(v, list) else str(v))
-
-    head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-    body = "".join("<tr>" + "".join(f"<td>{cell(v)}</td>" for v in r) + "</tr>" for r in df.limit(n).collect())
-    return f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>{body}</table>"

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loam.sources.sinks import upsert_table
+from loam.operators.relational import stored
+from loam.sources.versions import KeyedTable, file_system
 
 
 def landing(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", files: int = 1000, clean: bool = False, archive: str | None = None) -> DataFrame:
@@ -30,13 +31,50 @@ def run_now(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoin
 def rewrite_days(transform: Callable[[DataFrame], DataFrame], source: Callable[[], DataFrame], root: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """ST-02, ST-04: rewrite just the day partitions a batch touches, from all rows that ``source`` has for them.
 
-    Rows of earlier batches stay, and reruns are idempotent. A day that loses all its rows
-    in ``transform`` keeps its former partition.
+    Rows of earlier batches stay, and reruns are idempotent. A day that loses all its rows in
+    ``transform`` is removed. ``source`` is read whole; see ``rewrite_indexed_days``.
     """
 
     def each(batch: DataFrame, _: int) -> None:
-        days = batch.select(*keys).distinct()
-        transform(source().join(days, keys, "left_semi")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+        days = stored(batch.select(*keys).distinct())
+        _write_days(transform(source().join(days, keys, "left_semi")), days, root, keys)
+
+    return each
+
+
+def _write_days(rows: DataFrame, days: DataFrame, root: str, keys: list[str]) -> None:
+    """Replace the partitions of ``rows``, and remove those of ``days`` that have no row left."""
+    spark = rows.sparkSession
+    rows = stored(rows)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+    for day in days.join(rows.select(*keys).distinct(), keys, "left_anti").collect():
+        fs, at = file_system(spark, "/".join([root.rstrip("/"), *[f"{k}={day[k]}" for k in keys]]))
+        fs.delete(at, True)
+
+
+def with_files(stream: DataFrame, name: str = "landing_file") -> DataFrame:
+    """The stream's rows with the file each came from."""
+    return stream.select("*", F.col("_metadata.file_path").alias(name))
+
+
+def rewrite_indexed_days(
+    transform: Callable[[DataFrame], DataFrame], source: Callable[[list[str]], DataFrame], root: str, keys: list[str], index: str, file: str = "landing_file"
+) -> Callable[[DataFrame, int], None]:
+    """ST-02, ST-04 with a day index: a batch reads only the landing files that hold rows of its days.
+
+    ``index``, a folder beside the stream's checkpoint, keeps (day, file) for each batch under
+    the batch's number, so a batch that runs again replaces its own entries. ``source`` reads a
+    list of files, as many as the touched days have. A day that loses all its rows is removed.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.select(*keys, file).distinct().write.mode("overwrite").parquet(f"{index}/batch={number}")
+        days = stored(batch.select(*keys).distinct())
+        known = spark.read.schema(batch.select(*keys, file).schema).parquet(f"{index}/batch=*")
+        files = sorted(r[0] for r in known.join(days, keys, "left_semi").select(file).distinct().collect())
+        if files:
+            _write_days(transform(source(files).join(days, keys, "left_semi")), days, root, keys)
 
     return each
 
@@ -46,13 +84,16 @@ def seen_once(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def upserts(path: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """ST-05: keyed upsert of each batch; of a batch's rows with the same key the last by ``order``."""
+def upserts(path: str, key: str, order: str, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """ST-05: keyed upsert of each batch; of a batch's rows with the same key the last by ``order``.
 
-    def each(batch: DataFrame, _: int) -> None:
-        from loam.operators.relational import keep_first
+    Only the buckets a batch touches are rewritten; the version before stays for its readers.
+    """
 
-        upsert_table(keep_first(batch, [key], [F.desc(order)]), path, key)
+    def each(batch: DataFrame, _: int) -> None:
+        table = KeyedTable(batch.sparkSession, path, key, buckets)
+        table.upsert(batch, [F.desc(order)])
+        table.vacuum(2)
 
     return each
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loam.operators.vectors import hashing_embedder
 from loam.plans import medallion
 from loam.sources.schemas import raw_schema
+from loam.sources.versions import KeyedTable
 
 
 def test_end_to_end(spark, tmp_path):
@@ -39,9 +40,9 @@ def test_end_to_end(spark, tmp_path):
         spark.sql("DROP DATABASE IF EXISTS gold_test CASCADE")
     assert medallion.serve(spark, root, ["topcv", "itviec"]) == {}
     assert medallion.serve(spark, root, ["topcv"]) == {}
-    ready = spark.read.parquet(f"{root}/serving/ready_jobs")
+    ready = KeyedTable(spark, f"{root}/serving/ready_jobs", "unique_url").read()
     assert ready.count() == 32 and ready.where(F.col("scraped_at") != F.to_date(F.lit("2026-01-02"))).isEmpty()
     assert medallion.index(spark, root, ["topcv"], hashing_embedder(16), dt.date(2026, 1, 3)) == {}
-    assert spark.read.parquet(f"{root}/vectors").count() == 32
+    assert KeyedTable(spark, f"{root}/vectors", "id").read().count() == 32
     assert medallion.index(spark, root, ["topcv"], hashing_embedder(16), dt.date(2026, 3, 3)) == {}
-    assert spark.read.parquet(f"{root}/vectors").count() == 0
+    assert KeyedTable(spark, f"{root}/vectors", "id").read().count() == 0
