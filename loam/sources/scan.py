@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import io
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loam.sources.schemas import raw_schema
+from loam.sources.sheets import cells, sheet, tidy_sheet
 
 #: Names of the files that one write job makes.
 WRITE = r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
@@ -47,17 +46,18 @@ def silver_latest(spark: SparkSession, root: str, schema: T.StructType) -> DataF
     """SC-02, A-11: of each partition only the newest snapshot (ties: greater name), with all of its files.
 
     Files that one write made share the identifier in their names; a file of another make is
-    a snapshot of its own. The listing comes from file metadata, one row per file; columns a
-    snapshot lacks are null.
+    a snapshot of its own. The listing comes from file metadata; the driver gets a pattern per
+    partition, not a path per file, and older snapshots are never read. Columns a snapshot
+    lacks are null.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select("path", "modificationTime")
     part = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
     name = F.regexp_extract("path", "([^/]+)$", 1)
     job = F.regexp_extract(name, WRITE, 1)
-    files = files.select("path", "modificationTime", part.alias("part"), F.when(job != "", job).otherwise(name).alias("snapshot"))
-    per = files.groupBy("part", "snapshot").agg(F.max("modificationTime").alias("at"), F.collect_list("path").alias("paths"))
-    newest = per.groupBy("part").agg(F.max_by("paths", F.struct("at", "snapshot")).alias("paths"))
-    paths = [p for r in newest.collect() for p in r["paths"]]  # the files Spark is to list
+    files = files.select("modificationTime", part.alias("part"), F.when(job != "", F.concat(F.lit("part-*-"), job, F.lit("*"))).otherwise(name).alias("snapshot"))
+    per = files.groupBy("part", "snapshot").agg(F.max("modificationTime").alias("at"))
+    newest = per.groupBy("part").agg(F.max_by("snapshot", F.struct("at", "snapshot")).alias("snapshot"))
+    paths = sorted(f"{r['part']}/{r['snapshot']}" for r in newest.collect())
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)
@@ -68,33 +68,39 @@ def columns_of(df: DataFrame) -> set[str]:
     return set(df.columns)
 
 
-def tidy_sheet(rows: list[list[str | None]]) -> tuple[list[str], list[list[str]]]:
-    """SC-06: header without BOM and blanks at its end, blank rows dropped, short rows padded."""
-    if not rows:
-        return [], []
-    header = [(h or "").replace("\ufeff", "").strip() for h in rows[0]]
-    while header and not header[-1]:
-        header.pop()
-    body = [[(v or "") for v in r] for r in rows[1:]]
-    return header, [(r + [""] * len(header))[: len(header)] for r in body if any(v.strip() for v in r)]
+@lru_cache(maxsize=64)
+def _packaged(path: str) -> tuple[tuple[tuple[str, str], ...], ...]:
+    """Rows of a seed that comes with this package, a file of the driver's own; read once per process."""
+    with open(path, "rb") as f:
+        header, body = tidy_sheet(cells(f.read()))
+    return tuple(tuple(zip(header, r, strict=True)) for r in body)
 
 
-@lru_cache(maxsize=64)
-def seed_rows(path: str, fallback: str | None = None) -> tuple[tuple[tuple[str, str], ...], ...]:
-    """SC-05, SC-07: rows of a small CSV seed, read once per process; ``fallback`` if the first is missing."""
+_SHEETS: dict[tuple[str, str], list[dict[str, str]]] = {}
+
+
+def seed(path: str, fallback: str | None = None, spark: SparkSession | None = None) -> list[dict[str, str]]:
+    """SC-05, SC-07: rows of a small seed as dictionaries.
+
+    With ``spark``, the sheet at ``path`` on any store, read once per application; if there is
+    none, and without ``spark``, a file that comes with the package.
+    """
+    if spark is not None:
+        key = (spark.sparkContext.applicationId, path)
+        if key not in _SHEETS:
+            try:
+                _SHEETS[key] = [r.asDict() for r in sheet(spark, path).collect()]
+            except FileNotFoundError:
+                if fallback is None:
+                    raise
+                return [dict(r) for r in _packaged(fallback)]
+        return [dict(r) for r in _SHEETS[key]]
     try:
-        text = open(path, encoding="utf-8-sig").read()
+        return [dict(r) for r in _packaged(path)]
     except OSError:
         if fallback is None:
             raise
-        text = open(fallback, encoding="utf-8-sig").read()
-    header, body = tidy_sheet(list(csv.reader(io.StringIO(text))))
-    return tuple(tuple(zip(header, r, strict=True)) for r in body)
-
-
-def seed(path: str, fallback: str | None = None) -> list[dict[str, str]]:
-    """Seed rows as dictionaries."""
-    return [dict(r) for r in seed_rows(path, fallback)]
+        return [dict(r) for r in _packaged(fallback)]
 
 
 def inferred_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -122,9 +128,9 @@ def line_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.groupBy("key").agg(F.count_if(F.trim("value") != "").alias("records"))
 
 
-def review_table(spark: SparkSession, path: str, n: int = 500) -> DataFrame:
-    """SC-13, SL-04: the first rows of a review CSV; bytes that aren't UTF-8 are replaced."""
-    return spark.read.option("header", True).option("encoding", "UTF-8").csv(path).limit(n)
+def review_table(spark: SparkSession, path: str, n: int = 500, fallback: str | None = None) -> DataFrame:
+    """SC-13, SL-04: the first rows of a review sheet, else of ``fallback``; bytes that aren't UTF-8 are replaced."""
+    return sheet(spark, path, fallback).limit(n)
 
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
@@ -132,6 +138,12 @@ def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)))).alias("full_date"))
 
 
+def calendar_of(df: DataFrame, column: str) -> DataFrame:
+    """SC-14: full_date, a row per day from the least to the greatest date of a table; none for an empty one."""
+    ends = df.agg(F.min(F.to_date(column)).alias("first"), F.max(F.to_date(column)).alias("last"))
+    return ends.select(F.explode(F.sequence("first", "last")).alias("full_date"))
+
+
 def provinces(spark: SparkSession, path: str) -> DataFrame:
     """The geographic dimension."""
     rows = [(r["province_name"], float(r["latitude"]), float(r["longitude"])) for r in seed(path)]

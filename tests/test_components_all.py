@@ -19,5 +19,5 @@ def test_components_take_all_orders(spark, tmp_path):
     for k in keys:
         a, b = find(k), find(k + 7 * (1 + k % 3))
         root[max(a, b)] = min(a, b)
-    got = registry.QUERIES["q_components_all"](spark, str(tmp_path))
+    got = registry.QUERIES["q_components"](spark, str(tmp_path))
     assert sorted((r.node, r.root) for r in got.select("node", "root").collect()) == sorted((x, find(x)) for x in root)
