@@ -23,4 +23,4 @@ def query(sql: str | None = None) -> Callable:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from loam.plans import q_gold, q_relational, q_text  # noqa: F401
+    from loam.plans import q_gold, q_relational, q_sources, q_text  # noqa: F401
