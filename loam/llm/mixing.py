@@ -3,19 +3,28 @@
 Each document of a source is to be taken target / source_size times on average. Whole
 copies are certain; the fractions are rounded dependently: two fractional probabilities
 meet, mass moves at random from one to the other until one is 0 or 1, the other goes on.
-There is one draw, so every document is taken with exactly its probability. Only documents
-of nearly one size meet (buckets hold one class of sizes, in order of size), so mass moves
-between alike numbers of words and the total hardly drifts. Every bucket leaves at most one
-fraction; the fractions of a source are combined level by level, neighbours in size first.
+Documents meet in buckets of one class of sizes, from long to short; every bucket leaves at
+most one fraction, and the fractions of a source and class are combined level by level in a
+reduction tree, whose last one is drawn.
+
+Classes are drawn from the longest documents down. What the draw of a class has taken too
+much or too little, in words, is zero on average and moves onto the fractions of the shorter
+documents of its source, each in proportion to its room (its distance from 0 or 1, whichever
+is nearer). So each document keeps its probability, and a source misses its target by about
+its shortest documents instead of its longest. Where shorter documents have no room for all
+of it, the rest is carried on to the next class and may stay. A source of no more rows than a
+bucket has goes through its classes in one task, a larger one class by class over all tasks.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loam.llm.shared import WORD, located, stage
 
@@ -23,12 +32,12 @@ SEED = 20
 #: Documents of one bucket: bounds what one task holds.
 BUCKET = 2_000
 FAN = 64
-#: Size classes per doubling of the size.
-CLASSES = 4
+#: Sizes of one class differ by up to this factor.
+STEP = 2
 CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 _EPS = 1e-9
-_ROW = "locator string, doc_id long, source string, size long, source_size long, target double, rank long, key long, p double, bucket long, copies int"
+_ROW = "locator string, doc_id long, source string, size long, source_size long, target double, rank long, key long, cls int, due double, p double, bucket long, copies int"
 
 
 def targets(sources: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -90,17 +99,28 @@ def pivot(p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return np.asarray(vals)
 
 
+def _draw(seed: int, cls: int, rank: int) -> float:
+    """A uniform number for the last fraction of a source's class.
+
+    Uniform for each source by itself, spread evenly over the sources, so that their misses
+    cancel in the whole mix.
+    """
+    first = np.random.default_rng([seed, cls]).random()
+    return (first + rank * math.sqrt(4 * cls + 2)) % 1.0  # never a whole root
+
+
 def _level(final: bool, seed: int, depth: int):
     """Round one bucket; what stays fractional keeps ``copies`` null, or is drawn at the end."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id", "key", "locator"], kind="stable", na_position="last").reset_index(drop=True)
+        # From long to short: what stays open is one of the shortest.
+        pdf = pdf.sort_values(["size", "doc_id", "key", "locator"], ascending=[False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
         whole = np.floor(pdf["p"].to_numpy() + _EPS)
-        rng = np.random.default_rng([seed, depth, int(key[0]), int(key[1])])
+        rng = np.random.default_rng([seed, int(pdf["cls"].iloc[0]), depth, int(key[0]), int(key[1])])
         frac = pivot(np.clip(pdf["p"].to_numpy() - whole, 0, 1), rng)
         open_ = (frac > _EPS) & (frac < 1 - _EPS)
         if final:
-            frac = np.where(open_, (rng.random() < frac).astype(float), frac)
+            frac = np.where(open_, (_draw(seed, int(pdf["cls"].iloc[0]), int(key[0])) < frac).astype(float), frac)
             open_ = np.zeros(len(frac), bool)
         pdf["p"] = whole + frac
         pdf["copies"] = pd.Series(np.rint(whole + frac), dtype="Int32").mask(open_)
@@ -110,28 +130,69 @@ def _level(final: bool, seed: int, depth: int):
     return run
 
 
+def _whole_source(seed: int):
+    """All classes of a source that fits into one bucket, one after the other."""
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        order = ["cls", "size", "doc_id", "key", "locator"]
+        pdf = pdf.sort_values(order, ascending=[False, False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
+        p, size, cls = pdf["p"].to_numpy().copy(), pdf["size"].to_numpy(), pdf["cls"].to_numpy()
+        rng, missed = np.random.default_rng([seed, int(key[0])]), 0.0
+        ends = [*np.flatnonzero(np.diff(cls)) + 1, len(cls)]
+        for start, end in zip([0, *ends[:-1]], ends, strict=True):
+            part = slice(start, end)
+            whole = np.floor(p[part] + _EPS)
+            frac = pivot(np.clip(p[part] - whole, 0, 1), rng)
+            open_ = (frac > _EPS) & (frac < 1 - _EPS)
+            copies = whole + np.rint(np.where(open_, _draw(seed, int(cls[start]), int(key[0])) < frac, frac))
+            missed += float(((p[part] - copies) * size[part]).sum())
+            p[part] = copies
+            rest = np.maximum(p[end:] - np.floor(p[end:] + _EPS), 0)
+            room = np.minimum(rest, 1 - rest)
+            words = float((room * size[end:]).sum())
+            if words > 0:
+                move = min(1.0, max(-1.0, missed / words))
+                p[end:] += move * room
+                missed -= move * words
+        pdf["copies"] = pd.Series(np.rint(p), dtype="Int32")
+        return pdf
+
+    return run
+
+
 def _buckets(sized: DataFrame, bucket: int) -> DataFrame:
-    """``sized`` plus bucket: documents of one source and size class, about ``bucket`` each, numbered by size.
+    """``sized`` plus cls, its class of sizes, and bucket: of one source and class, about ``bucket`` rows each.
 
     Which bucket a row falls in depends on its doc_id and text alone, so that the mix doesn't
     depend on files. Only rows repeated more than ``bucket`` times are dealt by their locator.
     """
-    cls = F.when(F.col("size") > 0, 1 + F.floor(F.log2("size") * CLASSES)).otherwise(0).cast("int")
-    sized = sized.withColumn("cls", cls)
-    per = sized.groupBy("source", "cls").agg(F.ceil(F.count(F.lit(1)) / F.lit(bucket)).alias("of"))
-    # A source has few classes (CLASSES for each doubling), however many rows.
-    first = F.coalesce(F.sum("of").over(Window.partitionBy("source").orderBy("cls").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per = per.select(F.col("source").alias("s"), F.col("cls").alias("c"), "of", first.alias("first"))
+    sized = sized.withColumn("cls", F.when(F.col("size") > 0, 1 + F.floor(F.log2("size") / math.log2(STEP) + 1e-9)).otherwise(0).cast("int"))
+    per = sized.groupBy(F.col("source").alias("s"), F.col("cls").alias("c")).agg(F.ceil(F.count(F.lit(1)) / F.lit(bucket)).alias("of"))
     hot = sized.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket).select(F.col("key").alias("k"), F.lit(True).alias("hot"))
-    dealt = F.when(F.col("hot"), F.xxhash64("key", "locator")).otherwise(F.col("key"))
+    where = F.when(F.col("hot"), F.xxhash64("key", "locator")).otherwise(F.col("key"))
     return (
         sized.join(per, F.col("source").eqNullSafe(F.col("s")) & (F.col("cls") == F.col("c")))
         .join(hot, F.col("key") == F.col("k"), "left")
-        .withColumn("bucket", F.col("first") + F.pmod(dealt, "of"))
-        .drop("s", "c", "k", "hot", "cls", "first", "of")
+        .withColumn("bucket", F.pmod(where, "of"))
+        .drop("s", "c", "k", "hot", "of")
     )
 
 
+def _room(p: Column) -> Column:
+    """How far a probability is from the nearer whole number of copies."""
+    frac = F.greatest(p - F.floor(p + _EPS), F.lit(0.0))
+    return F.least(frac, 1 - frac)
+
+
+def _moved(rows: DataFrame, moves: DataFrame | None) -> DataFrame:
+    """``rows`` with the moves of their source applied, in order, to p; a move is a part of the room."""
+    if moves is None:
+        return rows
+    joined = rows.join(moves.select("rank", "moves"), "rank", "left")
+    p = F.aggregate(F.coalesce("moves", F.array().cast("array<double>")), F.col("p"), lambda p, t: p + t * _room(p))
+    return joined.withColumn("p", p).drop("moves")
+
+
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
     """locator, doc_id, source, size, source_size, target, copies, taken: one row per row.
 
@@ -144,20 +205,39 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, seed: int =
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     key = F.xxhash64("doc_id", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")), F.lit(seed))
     sized = stage(base.select("locator", "doc_id", "source", size.alias("size"), key.alias("key")), "sized")
-    due = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).withColumnRenamed("source", "s")
-    dealt = _buckets(sized, bucket).join(due, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    totals = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")), "totals")
+    due = targets(totals.select("source", "source_size"), weights, cap).withColumnRenamed("source", "s")
+    due = due.join(totals.select(F.col("source").alias("t"), "rows"), F.col("s").eqNullSafe(F.col("t"))).drop("t")
     p = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(0.0)
     names = [c.split()[0] for c in _ROW.split(", ")]
-    todo = stage(dealt.withColumn("p", p).withColumn("copies", F.lit(None).cast("int")).select(*names), "dealt")
-    most = (todo.agg(F.max("bucket")).first()[0] or 0) + 1
-    depth, parts = 0, []
-    while True:
-        final = most <= 1
-        level = stage(todo.groupBy("rank", "bucket").applyInPandas(_level(final, seed, depth), _ROW), f"level{depth}")
-        parts.append(level.where("copies IS NOT NULL"))
-        if final:
-            break
-        todo, most, depth = level.where("copies IS NULL"), -(-most // FAN), depth + 1
+    dealt = _buckets(sized, bucket).join(due, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    dealt = stage(dealt.withColumn("p", p).withColumn("due", F.lit(0.0)).withColumn("copies", F.lit(None).cast("int")).select(*names, (F.col("rows") <= bucket).alias("fits")), "dealt")
+    small, dealt = dealt.where("fits").select(*names), dealt.where("NOT fits").select(*names)
+    # A class for each power of STEP: a handful of rows, whatever the number of sources.
+    most = {r["cls"]: r["of"] for r in dealt.groupBy("cls").agg((F.max("bucket") + 1).alias("of")).collect()}
+    parts, moves = [stage(small.groupBy("rank").applyInPandas(_whole_source(seed), _ROW), "small")], None
+    for cls in sorted(most, reverse=True):
+        todo = _moved(dealt.where(F.col("cls") == cls), moves).withColumn("due", F.col("p") * F.col("size")).select(*names)
+        depth, width, mine = 0, most[cls], []
+        while True:
+            level = stage(todo.groupBy("rank", "bucket").applyInPandas(_level(width <= 1, seed, depth), _ROW), f"class{cls}level{depth}")
+            mine.append(level.where("copies IS NOT NULL"))
+            if width <= 1:
+                break
+            todo, width, depth = level.where("copies IS NULL"), -(-width // FAN), depth + 1
+        parts += mine
+        if cls > min(most):  # what was missed moves to shorter documents
+            missed = reduce(DataFrame.unionAll, mine).groupBy("rank").agg(F.sum(F.col("due") - F.col("copies") * F.col("size")).alias("missed"))
+            room = _moved(dealt.where(F.col("cls") < cls), moves).groupBy("rank").agg(F.sum(_room(F.col("p")) * F.col("size")).alias("room"))
+            both = room.join(missed, "rank", "left")
+            if moves is not None:
+                both = both.join(moves, "rank", "left")
+            else:
+                both = both.withColumns({"moves": F.array().cast("array<double>"), "rest": F.lit(0.0)})
+            words = F.coalesce("missed", F.lit(0.0)) + F.coalesce("rest", F.lit(0.0))
+            move = F.when(F.col("room") > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), words / F.col("room")))).otherwise(0.0)
+            both = both.select("rank", F.coalesce("moves", F.array().cast("array<double>")).alias("moves"), words.alias("words"), move.alias("move"), "room")
+            moves = stage(both.select("rank", F.concat("moves", F.array("move")).alias("moves"), (F.col("words") - F.col("move") * F.col("room")).alias("rest")), f"moves{cls}")
     rounded = parts[0]
     for part in parts[1:]:
         rounded = rounded.unionByName(part)

@@ -272,6 +272,15 @@ def test_every_document_is_taken_with_its_probability(spark):
     assert abs(got["taken"].sum() / got["size"].sum() - 1) < 0.05
 
 
+@pytest.mark.parametrize("sf, most, mean, bucket", [("0.01", 0.05, 0.01, 2000), ("0.01", 0.05, 0.01, 20), ("0.1", 0.01, 0.001, 2000)])
+def test_taken_words_come_near_every_target(spark, sf, most, mean, bucket):
+    """Sources of 50 documents (sf0.01) can't all come as near as those of 500, whatever is drawn."""
+    got = mixing.mix(bucket=bucket, docs=spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet"))
+    per = got.groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("n"))
+    off = {r.source: (round(r.taken / r.target - 1, 4), r.n) for r in per.collect() if r.target}
+    assert len(off) > 5 and max(abs(x) for x, _ in off.values()) <= most and sum(abs(x) for x, _ in off.values()) <= mean * len(off), off
+
+
 def test_rows_that_repeat_do_not_share_a_bucket(spark):
     sized = spark.range(4000).select(F.col("id").cast("string").alias("locator"), F.lit("s").alias("source"), F.lit(5).cast("long").alias("size"), F.lit(99).cast("long").alias("key"))
     per = [r[1] for r in mixing._buckets(sized, 100).groupBy("bucket").count().collect()]
