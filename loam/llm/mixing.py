@@ -184,15 +184,6 @@ def _room(p: Column) -> Column:
     return F.least(frac, 1 - frac)
 
 
-def _moved(rows: DataFrame, moves: DataFrame | None) -> DataFrame:
-    """``rows`` with the moves of their source applied, in order, to p; a move is a part of the room."""
-    if moves is None:
-        return rows
-    joined = rows.join(moves.select("rank", "moves"), "rank", "left")
-    p = F.aggregate(F.coalesce("moves", F.array().cast("array<double>")), F.col("p"), lambda p, t: p + t * _room(p))
-    return joined.withColumn("p", p).drop("moves")
-
-
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
     """locator, doc_id, source, size, source_size, target, copies, taken: one row per row.
 
@@ -209,15 +200,20 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, seed: int =
     due = targets(totals.select("source", "source_size"), weights, cap).withColumnRenamed("source", "s")
     due = due.join(totals.select(F.col("source").alias("t"), "rows"), F.col("s").eqNullSafe(F.col("t"))).drop("t")
     p = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(0.0)
+    due = stage(due.withColumn("p", p), "due")
     names = [c.split()[0] for c in _ROW.split(", ")]
     dealt = _buckets(sized, bucket).join(due, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    dealt = stage(dealt.withColumn("p", p).withColumn("due", F.lit(0.0)).withColumn("copies", F.lit(None).cast("int")).select(*names, (F.col("rows") <= bucket).alias("fits")), "dealt")
+    dealt = dealt.withColumn("due", F.lit(0.0)).withColumn("copies", F.lit(None).cast("int"))
+    dealt = stage(dealt.select(*names, (F.col("rows") <= bucket).alias("fits")), "dealt")
     small, dealt = dealt.where("fits").select(*names), dealt.where("NOT fits").select(*names)
     # A class for each power of STEP: a handful of rows, whatever the number of sources.
     most = {r["cls"]: r["of"] for r in dealt.groupBy("cls").agg((F.max("bucket") + 1).alias("of")).collect()}
-    parts, moves = [stage(small.groupBy("rank").applyInPandas(_whole_source(seed), _ROW), "small")], None
+    words = stage(dealt.groupBy("rank", "cls").agg(F.sum("size").alias("words")), "words")
+    parts = [stage(small.groupBy("rank").applyInPandas(_whole_source(seed), _ROW), "small")]
+    # All documents of a source that are still to be drawn have one probability.
+    state = due.where(F.col("rows") > bucket).select("rank", "p", F.lit(0.0).alias("rest"))
     for cls in sorted(most, reverse=True):
-        todo = _moved(dealt.where(F.col("cls") == cls), moves).withColumn("due", F.col("p") * F.col("size")).select(*names)
+        todo = dealt.where(F.col("cls") == cls).drop("p").join(state.select("rank", "p"), "rank").withColumn("due", F.col("p") * F.col("size")).select(*names)
         depth, width, mine = 0, most[cls], []
         while True:
             level = stage(todo.groupBy("rank", "bucket").applyInPandas(_level(width <= 1, seed, depth), _ROW), f"class{cls}level{depth}")
@@ -228,16 +224,13 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, seed: int =
         parts += mine
         if cls > min(most):  # what was missed moves to shorter documents
             missed = reduce(DataFrame.unionAll, mine).groupBy("rank").agg(F.sum(F.col("due") - F.col("copies") * F.col("size")).alias("missed"))
-            room = _moved(dealt.where(F.col("cls") < cls), moves).groupBy("rank").agg(F.sum(_room(F.col("p")) * F.col("size")).alias("room"))
-            both = room.join(missed, "rank", "left")
-            if moves is not None:
-                both = both.join(moves, "rank", "left")
-            else:
-                both = both.withColumns({"moves": F.array().cast("array<double>"), "rest": F.lit(0.0)})
-            words = F.coalesce("missed", F.lit(0.0)) + F.coalesce("rest", F.lit(0.0))
-            move = F.when(F.col("room") > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), words / F.col("room")))).otherwise(0.0)
-            both = both.select("rank", F.coalesce("moves", F.array().cast("array<double>")).alias("moves"), words.alias("words"), move.alias("move"), "room")
-            moves = stage(both.select("rank", F.concat("moves", F.array("move")).alias("moves"), (F.col("words") - F.col("move") * F.col("room")).alias("rest")), f"moves{cls}")
+            shorter = words.where(F.col("cls") < cls).groupBy("rank").agg(F.sum("words").alias("words"))
+            both = state.join(shorter, "rank", "left").join(missed, "rank", "left")
+            room, lack = _room(F.col("p")) * F.coalesce("words", F.lit(0)), F.col("rest") + F.coalesce("missed", F.lit(0.0))
+            both = both.select("rank", "p", room.alias("room"), lack.alias("lack"))
+            move = F.when(F.col("room") > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("lack") / F.col("room")))).otherwise(0.0)
+            both = both.withColumn("move", move)
+            state = stage(both.select("rank", (F.col("p") + F.col("move") * _room(F.col("p"))).alias("p"), (F.col("lack") - F.col("move") * F.col("room")).alias("rest")), f"state{cls}")
     rounded = parts[0]
     for part in parts[1:]:
         rounded = rounded.unionByName(part)
