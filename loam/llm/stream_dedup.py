@@ -84,11 +84,26 @@ def latest(spark: SparkSession, state_dir: str, kind: str = "binary") -> DataFra
     return changes.select("digest", F.col("keeper.doc_id").alias("keep_id"), F.col("keeper.locator").alias("keep_locator"), "group_size")
 
 
+def _path(spark: SparkSession, path: str) -> tuple:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _path(spark, path)
+    return fs.exists(where)
+
+
+def _move(spark: SparkSession, path: str, to: str) -> None:
+    fs, target = _path(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_path(spark, path)[1], target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet folder, or no rows where there is none yet."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
 
 #: A join with few rows on one side: a Bloom filter of their keys keeps the other side's texts from the shuffle.
@@ -98,7 +113,7 @@ _BLOOM = {
 }
 
 
-def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] | None = None, state_dir: str | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] | None = None, state_dir: str | None = None, call: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, locator, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if identical after ``normalised``. Of equal texts the row with the
@@ -110,12 +125,19 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] | None = Non
     With ``state_dir`` the state is kept: ``docs`` are then new rows, and keepers and group
     sizes count the rows of all calls so far. A new row with a smaller doc_id than an earlier
     keeper takes its place. The same ``digest`` must be used in all calls.
+
+    ``call`` names a call on a kept state: one that died, wherever it was, is run again under
+    its name and counts its rows once. Without a name each call is a new one. A call that has
+    once been logged keeps the rows it had then.
     """
     spark = docs.sparkSession
-    folder, call = state_dir or shared_dir(spark), uuid.uuid4().hex
+    folder, call = state_dir or shared_dir(spark), call or uuid.uuid4().hex
+    logged = _exists(spark, f"{folder}/log/call={call}")
     if state_dir:
-        # Later calls compare with these texts, whatever becomes of the input.
-        docs.select("doc_id", "text").write.parquet(f"{folder}/content/call={call}")
+        # Later calls compare with these texts, whatever becomes of the input. The log names
+        # their files, so they are written anew only as long as the call isn't in the log.
+        if not logged:
+            docs.select("doc_id", "text").write.mode("overwrite").parquet(f"{folder}/content/call={call}")
         docs = spark.read.schema("doc_id long, text string").parquet(f"{folder}/content/call={call}")
         before = stage(latest(spark, folder).select("digest", F.col("keep_locator").alias("old_locator")), "before")
     base = located(docs, "doc_id", "text")
@@ -123,9 +145,13 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] | None = Non
     # With the default digest a second copy of it in the log would only cost bytes.
     key = digest(text).cast("binary") if digest else F.unhex(sha256(text))
     other = sha256(text) if digest else F.lit(None).cast("string")
-    narrow = base.select("doc_id", key.alias("digest"), other.alias("text_sha256"), "locator", F.lit(call).alias("call"))
-    narrow.write.mode("append").parquet(f"{folder}/log")
-    log = spark.read.schema(narrow.schema).parquet(f"{folder}/log")
+    narrow = base.select("doc_id", key.alias("digest"), other.alias("text_sha256"), "locator")
+    if not logged:
+        # Written aside and moved as a whole: the stream sees all files of a call or none, and
+        # each file once.
+        narrow.write.mode("overwrite").parquet(f"{folder}/pending/call={call}")
+        _move(spark, f"{folder}/pending/call={call}", f"{folder}/log/call={call}")
+    log = spark.read.schema(narrow.withColumn("call", F.lit("")).schema).parquet(f"{folder}/log")
     state = update_state(spark, f"{folder}/log", log, folder)
     own = log.where(F.col("call") == call).drop("call") if state_dir else log.drop("call")
     seen = own.join(state, "digest")
