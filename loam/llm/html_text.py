@@ -6,7 +6,10 @@ two-means clustering of the smoothed ratios gives a threshold, and the lines abo
 the content regions. A region is the element that holds chosen lines: an article or main
 element, else the innermost section; its other lines, headings and short ones, come along.
 Elements that say what they are (menus, footers, adverts, forms ...) have ratio 0 and are no
-content. If a page has article elements, lines outside them need far higher ratios.
+content; but a name or form around nearly all of the page's text says nothing, nor do the
+names of ``html`` and ``body``. Short lines between chosen ones stay. Reader comments that no
+element marks begin at a heading that says so and end with the element around it. If a page
+has article elements, lines outside them need far higher ratios.
 """
 
 from __future__ import annotations
@@ -46,15 +49,23 @@ PLAIN = frozenset(
 )
 HEADS = frozenset(("header", "topbar", "toolbar"))
 CONTENT = frozenset(("article", "main"))
-SECTIONS = frozenset("article main section div td body html center dd details".split())
+SECTIONS = frozenset("article main section div td body html center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: How much less a line outside article elements weighs, if the page has any.
 OUTSIDE = 16
 #: Least share of a section's text that lies in chosen lines, for the section to be a region.
 SHARE = 0.3
+#: Clusters whose means, as roots of ratios, are nearer than this are one.
+APART = 0.5
 #: So many lines of links only, one after the other, are a menu.
 MENU = 3
+#: So many times the text left without it, and a named element or form is the page itself.
+WHOLE = 4
+#: Elements around a line that are remembered.
+AROUND = 64
 _MARK = re.compile(r"[A-Za-z]+|[0-9]+")
+#: Whole lines that open the readers' part.
+_READERS = re.compile(r"(?:(?:\d+|no|one)\s+(?:reader\s+)?(?:comments?|responses?|replies|reply)(?:\s+(?:to|on)\s.*)?|(?:reader\s+)?(?:comments|responses)\s*(?:\(\d+\))?|leave\s+a\s+(?:reply|comment))\s*:?", re.IGNORECASE)
 
 
 def _marks(attrs: list) -> tuple[bool, bool, bool]:
@@ -78,7 +89,8 @@ class _Line:
     text: str
     tags: int
     linked: int  # characters inside links
-    silent: bool
+    hushes: tuple[int, ...]  # elements around it that say they are no content; negative: for sure
+    inside: tuple[int, ...]  # all elements around it, by number
     soft: bool
     article: int  # number of the outermost article element, 0: none
     section: int  # number of the innermost section
@@ -90,22 +102,24 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        # Open elements: name, silent here, soft here, article here, section here.
-        self.open: list[tuple[str, bool, bool, int, int]] = []
+        # Open elements: name, hushes here, soft here, article here, section here, number.
+        self.open: list[tuple[str, tuple[int, ...], bool, int, int, int]] = []
         self.names: Counter = Counter()
         self.lines: list[_Line] = []
         self.text: list[str] = []
-        self.tags = self.linked = self.articles = self.sections = 0
+        self.tags = self.linked = self.articles = self.sections = self.elements = 0
         self.heading = False
 
-    def _now(self) -> tuple[bool, bool, int, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0, 0)
+    def _now(self) -> tuple[tuple[int, ...], bool, int, int]:
+        return self.open[-1][1:5] if self.open else ((), False, 0, 0)
 
     def cut(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            silent, soft, article, section = self._now()
-            self.lines.append(_Line(text, self.tags, self.linked, silent, soft, article, section, self.heading))
+            hushes, soft, article, section = self._now()
+            # Only blocks near the line matter: the readers' part ends with one of the elements around its heading.
+            inside = tuple(e[5] for e in self.open[-AROUND:])
+            self.lines.append(_Line(text, self.tags, self.linked, hushes, inside, soft, article, section, self.heading))
         self.text.clear()
         self.tags = self.linked = 0
         self.heading = False
@@ -116,11 +130,12 @@ class _Lines(HTMLParser):
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        silent, soft, article, section = self._now()
-        hard, maybe, head = _marks(attrs)
+        hushes, soft, article, section = self._now()
+        hard, maybe, head = _marks(attrs) if tag not in ("html", "body") else (False, False, False)
         content = tag in CONTENT and not hard and not article
-        hush = not content and (tag in SILENT or hard or ((tag in HEADS or head) and not article))
-        if tag in BLOCKS or hush != silent and (hush or maybe):
+        sure = not content and (tag in UNREAD or tag in SILENT and tag != "form")
+        hush = sure or not content and (tag == "form" or hard or ((tag in HEADS or head) and not article))
+        if tag in BLOCKS or hush != bool(hushes) and (hush or maybe):
             self.cut()
         elif tag in ("br", "td", "th"):
             self.text.append(" ")
@@ -129,17 +144,20 @@ class _Lines(HTMLParser):
             return
         if tag in ("p", "li") and self.open and self.open[-1][0] == tag:
             self._pop(len(self.open) - 1)
-            silent, soft, article, section = self._now()
+            hushes, soft, article, section = self._now()
+        self.elements += 1
         if content:
             # A marked article is never inside boilerplate that someone forgot to close.
             self.articles += 1
-            silent, soft, article = False, False, self.articles
+            hushes, soft, article = (), False, self.articles
+        if hush and len(hushes) < AROUND:
+            hushes = (*hushes, -self.elements if sure else self.elements)
         if tag in SECTIONS:
             self.sections += 1
             section = self.sections
         if tag in HEADINGS:
             self.heading = True
-        self.open.append((tag, silent or hush, soft or maybe, article, section))
+        self.open.append((tag, hushes, soft or maybe, article, section, self.elements))
         self.names[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
@@ -147,7 +165,7 @@ class _Lines(HTMLParser):
         if self.names[tag] > 0:
             while self.open[at][0] != tag:
                 at -= 1
-            outer = self.open[at - 1][1:3] if at else (False, False)
+            outer = self.open[at - 1][1:3] if at else ((), False)
             if tag in BLOCKS or self._now()[:2] != outer:
                 self.cut()
             self.tags += 1
@@ -204,6 +222,35 @@ def _menus(lines: list[_Line], chosen: np.ndarray) -> np.ndarray:
     return out
 
 
+def _silent(lines: list[_Line]) -> np.ndarray:
+    """Lines in elements that are no content, but for elements that are the page itself."""
+    size = Counter()
+    for line in lines:
+        for h in line.hushes:
+            size[h] += len(line.text)
+    heard = sum(len(x.text) for x in lines if not x.hushes)
+    whole = set()
+    # From the largest: what one element gives free counts as left for those inside it.
+    for h, n in sorted(size.items(), key=lambda i: (-i[1], i[0])):
+        if h > 0 and n > WHOLE * heard:
+            whole.add(h)
+            heard += sum(len(x.text) for x in lines if h in x.hushes and whole.issuperset(x.hushes))
+    return np.array([not whole.issuperset(x.hushes) for x in lines], bool)
+
+
+def _readers(lines: list[_Line]) -> np.ndarray:
+    """Lines from a heading of reader comments to the end of the element around it."""
+    out, around, article = np.zeros(len(lines), bool), None, 0
+    for k, line in enumerate(lines):
+        if around is not None and (around not in line.inside or line.article != article):
+            around = None
+        if around is None and k and line.article and _READERS.fullmatch(line.text):
+            # The heading's own element and the one around it.
+            around, article = (line.inside[-2] if len(line.inside) > 1 else None), line.article
+        out[k] = around is not None
+    return out
+
+
 def extract(html: str | None) -> list[str]:
     """Blocks of the main text, in page order."""
     parser = _Lines()
@@ -211,7 +258,8 @@ def extract(html: str | None) -> list[str]:
     parser.close()
     parser.cut()
     lines = parser.lines
-    silent = np.array([x.silent for x in lines], bool)
+    silent = _silent(lines)
+    silent |= _readers(lines)
     if silent.all():
         return []
     article, section = np.array([x.article for x in lines]), np.array([x.section for x in lines])
@@ -223,6 +271,9 @@ def extract(html: str | None) -> list[str]:
     level = np.sqrt(level)
     heard = level[~silent]
     border = threshold(heard) if heard.max() > heard.min() else heard.max()
+    low, high = heard[heard < border], heard[heard >= border]
+    if len(low) and low.mean() > APART * high.mean():
+        border = heard.min()
     chosen = (level >= border) & ~silent & (ratio > 0)
     # Regions: article elements with chosen lines, and sections with a fair share of their text in such lines.
     region, size = np.where(article > 0, -article, section), np.array([len(x.text) for x in lines])
@@ -231,6 +282,12 @@ def extract(html: str | None) -> list[str]:
     keep = (share[at] >= np.where(article > 0, 1e-9, SHARE)) & ~silent
     soft = np.array([x.soft for x in lines], bool)
     keep &= (chosen | ~soft) & ~_menus(lines, chosen)
+    # Short lines between chosen ones, not links, are part of the text around them.
+    ends = np.flatnonzero(keep)
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        between = lines[a + 1 : b]
+        if between and article[a] == article[b] and all(not silent[a + 1 + j] and not x.soft and x.article == article[a] and 2 * x.linked < len(x.text) for j, x in enumerate(between)):
+            keep[a + 1 : b] = True
     for k in range(len(lines) - 2, -1, -1):  # headings right in front of a region
         if not keep[k] and lines[k].heading and not silent[k] and not soft[k] and keep[k + 1]:
             keep[k] = (article[k] > 0) == (article[k + 1] > 0)
@@ -240,7 +297,9 @@ def extract(html: str | None) -> list[str]:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of ``pages``.
 
-    Null and empty pages, and pages without content, have an empty text. Rows that repeat
+    Null and empty pages, and pages without content, have an empty text. Elements named as
+    boilerplate, and forms, are silent unless without them hardly any text is left; menus, page
+    footers, asides, dialogs and what isn't shown always are. Rows that repeat
     are extracted alike; empty tables give no rows; other columns are ignored.
     """
 
