@@ -6,7 +6,16 @@ tables, and a covering family of that radius has 2^18 - 1 masks; for those beyon
 candidates also meet in bands of MinHash values: a pair at the threshold misses all ``BANDS``
 bands with probability (1 - 0.8^7)^48, about 1 in 80,000, and more alike pairs more rarely.
 Candidates are joined into groups, and within a group every pair is measured on its whole
-shingle sets, so no link is below the threshold. Large groups are dealt in pairs of blocks.
+shingle sets, so no link is below the threshold.
+
+A large group is dealt into blocks, whose pairs a task measures. What is linked in a block
+goes on as one leader with a radius, the greatest distance of a text it stands for; the
+leaders meet in blocks again, level by level, as long as they become fewer. Jaccard distance
+obeys the triangle inequality, so leaders further apart than their radii allow stand for no
+similar pair; where they might, and no chain of links has joined both sides in the end, the texts
+behind them are measured. Sets of a group of copies or pages of one template thus move
+once, and once per level for the few leaders. Leaders that no longer become fewer are
+compared in pairs of blocks, as are the texts of doubtful pairs.
 """
 
 from __future__ import annotations
@@ -77,13 +86,20 @@ def signatures(base: DataFrame) -> DataFrame:
         return stage(base.select("locator", "doc_id", "text").mapInArrow(run, "locator string, doc_id long, node long, fp long, bands array<long>"), "signatures")
 
 
-def spanning(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
-    """Links of a forest with the components that all similar pairs give; where there are two sides, of pairs across them."""
-    flat = np.unique(np.concatenate(sets), return_inverse=True)[1] if sets else np.zeros(0, np.int64)
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+#: What a task says: links, leaders that go on, and leaders behind which there may be more links.
+LINK, LEADER, MAYBE = 0, 1, 2
+_SAID = "kind int, root long, a long, b long, radius double"
+#: Distance up to which texts are similar; radii are compared with a little slack, links as whole numbers.
+_NEAR, _SLACK = 1 - SIMILAR[0] / SIMILAR[1], 1e-9
+
+
+def _measured(nodes: np.ndarray, sets: list[np.ndarray], radius: np.ndarray, side: np.ndarray | None) -> tuple[list, list, np.ndarray, np.ndarray]:
+    """(links, doubtful pairs, component of each, distances to the component's first), of pairs across sides if there are two."""
+    n = len(sets)
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1] if n else np.zeros(0, np.int64)
+    sizes = np.fromiter(map(len, sets), np.int64, n)
     ends = np.cumsum(sizes)
-    across = len(sets) > 0 and side.min() != side.max()
-    parent = list(range(len(sets)))
+    parent = list(range(n))
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -91,29 +107,115 @@ def spanning(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
             x = parent[x]
         return x
 
-    out = []
+    links, doubtful, apart = [], [], np.zeros((n, n), np.float32)
     mark = np.zeros(int(flat.max()) + 1 if len(flat) else 0, bool)
-    for i in range(len(sets)):
-        if across and side[i] != side.min():
-            continue
+    for i in range(n):
         own = flat[ends[i] - sizes[i] : ends[i]]
         mark[own] = True
         sums = np.concatenate(([0], np.cumsum(mark[flat])))
         mark[own] = False
         both = sums[ends] - sums[ends - sizes]
-        alike = both * SIMILAR[1] >= (sizes + sizes[i] - both) * SIMILAR[0]
-        for j in np.flatnonzero(alike & ((side != side[i]) if across else (np.arange(len(sets)) > i))).tolist():
+        union = sizes + sizes[i] - both
+        alike = both * SIMILAR[1] >= union * SIMILAR[0]
+        apart[i] = 1 - both / np.maximum(union, 1)
+        wanted = np.arange(n) > i
+        if side is not None:
+            wanted &= side != side[i]
+        for j in np.flatnonzero(alike & wanted).tolist():
             x, y = find(i), find(j)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                out.append((i, j))
-    return out
+                links.append((nodes[i], nodes[j]))
+        if radius.any():
+            reach = apart[i] - radius - radius[i] <= _NEAR + 1e-6
+            doubtful += [(i, j) for j in np.flatnonzero(reach & ~alike & wanted & ((radius > 0) | (radius[i] > 0))).tolist()]
+    comp = np.array([find(k) for k in range(n)], np.int64)
+    doubtful = [(nodes[i], nodes[j]) for i, j in doubtful if comp[i] != comp[j]]
+    return links, doubtful, comp, apart[comp, np.arange(n)].astype(np.float64) if n else np.zeros(0)
+
+
+def _said(root: int, links: list, doubtful: list, leaders: list) -> pd.DataFrame:
+    rows = [(LINK, root, a, b, 0.0) for a, b in links] + [(MAYBE, root, a, b, 0.0) for a, b in doubtful] + [(LEADER, root, a, a, r) for a, r in leaders]
+    out = pd.DataFrame(rows, columns=["kind", "root", "a", "b", "radius"])
+    return out.astype({"kind": np.int32, "root": np.int64, "a": np.int64, "b": np.int64, "radius": np.float64})
+
+
+def _block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links within a block, and a leader of each of its components."""
+    pdf = pdf.sort_values("node")
+    nodes, radius = pdf["node"].to_numpy(np.int64), pdf["radius"].to_numpy(np.float64)
+    links, doubtful, comp, far = _measured(nodes, [np.frombuffer(s, np.uint64) for s in pdf["hashes"]], radius, None)
+    leaders = []
+    for c in np.unique(comp).tolist():
+        mine = comp == c
+        grown = float((far + radius)[mine].max())
+        leaders.append((nodes[c], min(1.0, grown + (_SLACK if mine.sum() > 1 else 0.0))))
+    return _said(int(pdf["root"].iloc[0]), links, doubtful, leaders)
+
+
+def _across(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links within a block, or between two."""
+    nodes, side = pdf["node"].to_numpy(np.int64), pdf["own"].to_numpy()
+    links, doubtful, _, _ = _measured(nodes, [np.frombuffer(s, np.uint64) for s in pdf["hashes"]], pdf["radius"].to_numpy(np.float64), side if side.min() != side.max() else None)
+    return _said(int(pdf["root"].iloc[0]), links, doubtful, [])
+
+
+def _pairs_of_blocks(rows: DataFrame, sized: DataFrame) -> DataFrame:
+    """``rows`` (root, node, hashes, radius) once for each pair of blocks of their root; blocks by ``sized`` (root, blocks)."""
+    return (
+        rows.join(sized, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("root", "node", "hashes", "radius", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .groupBy("root", "i", "j").applyInPandas(_across, _SAID)
+    )
 
 
-def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
-    nodes = pdf["node"].to_numpy(np.int64)
-    pairs = np.array(spanning([np.frombuffer(s, np.uint64) for s in pdf["hashes"]], pdf["own"].to_numpy()), np.int64).reshape(-1, 2)
-    return pd.DataFrame({"a": nodes[pairs[:, 0]], "b": nodes[pairs[:, 1]]})
+def _doubts(maybe: DataFrame, links: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Links between the texts of components that doubtful leaders belong to and no link has joined."""
+    roots = stage(components(links), "joined")
+    rooted = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    sides = maybe.select("a", "b").join(rooted("a"), "a", "left").join(rooted("b"), "b", "left").select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
+    sides = stage(sides.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "doubts")
+    of = sets.select("node", "hashes").join(roots, "node", "left").select("node", "hashes", F.coalesce("root", "node").alias("comp"))
+    sized = of.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    sized = stage(sized, "sizes")
+    widths = lambda c: sized.select(F.col("comp").alias(c), F.col("blocks").alias(f"n{c}"))
+    pairs = sides.join(widths("x"), "x").join(widths("y"), "y")
+    mine, other = "own", "other"
+
+    def dealt(c: str, d: str, number: int) -> DataFrame:
+        rows = of.join(pairs, of["comp"] == pairs[c]).withColumn(mine, F.pmod(F.xxhash64("node"), F.col(f"n{c}")).cast("int"))
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n{d}") - 1)))
+        i, j = (mine, other) if c == "x" else (other, mine)
+        return rows.select("x", "y", F.col(i).alias("i"), F.col(j).alias("j"), "node", "hashes", F.lit(0.0).alias("radius"), F.lit(number).alias("own"), F.col("x").alias("root"))
+
+    return dealt("x", "y", 0).unionByName(dealt("y", "x", 1)).groupBy("x", "y", "i", "j").applyInPandas(_across, _SAID)
+
+
+def linked(sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that give the components of all similar pairs of one root; ``sets``: root, node, hashes."""
+    pick = lambda df, kind: df.where(F.col("kind") == kind).select("a", "b")
+    now, said, before = sets.withColumn("radius", F.lit(0.0)), [], None
+    while True:
+        sized = stage(now.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n")), "sizes")
+        many = sized.where("blocks > 1").agg(F.sum("n")).first()[0] or 0
+        if before is not None and 2 * many > before:
+            said.append(stage(_pairs_of_blocks(now, sized.select("root", "blocks")), "across"))
+            break
+        dealt = now.join(sized.select("root", "blocks"), "root").withColumn("own", F.pmod(F.xxhash64("node", F.lit(len(said))), F.col("blocks")).cast("int"))
+        level = stage(dealt.groupBy("root", "own").applyInPandas(_block, _SAID), f"level{len(said)}")
+        said.append(level)
+        if not many:
+            break
+        left = level.where(F.col("kind") == LEADER).join(sized.where("blocks > 1").select("root"), "root", "left_semi")
+        now, before = stage(left.select("root", F.col("a").alias("node"), "radius").join(sets.select("node", "hashes"), "node").select("root", "node", "hashes", "radius"), "leaders"), many
+    links, maybe = said[0], said[0]
+    for s in said[1:]:
+        links = maybe = links.unionByName(s)
+    links, maybe = stage(pick(links, LINK), "linked"), pick(maybe, MAYBE)
+    if maybe.isEmpty():
+        return links
+    return links.unionByName(pick(_doubts(maybe, links, sets, block), LINK)).distinct()
 
 
 def similar_links(base: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -137,13 +239,7 @@ def similar_links(base: DataFrame, nodes: DataFrame, block: int = BLOCK) -> Data
     with settings(base.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
         texts = base.select("locator", "text").join(where, "locator").select("node", "root", "text")
         sets = stage(texts.mapInArrow(run, "node long, root long, hashes binary"), "sets")
-    sized = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    dealt = (
-        sets.join(sized, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("root", "node", "hashes", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    )
-    return dealt.groupBy("root", "i", "j").applyInPandas(_verify, "a long, b long").distinct()
+    return linked(sets, block)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

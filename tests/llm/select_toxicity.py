@@ -1,0 +1,55 @@
+"""Chooses operator 2's settings by cross-validation among the rows that aren't held out.
+
+    python tests/llm/select_toxicity.py /root/testdata/sf0.1
+
+Rows whose crc32 mod 4 is 2 are never read. The others make three folds by that remainder;
+each setting is fitted on two and measured on the third: log loss, and recall and precision at
+the threshold.
+"""
+
+import sys
+import zlib
+
+import numpy as np
+import pyarrow.parquet as pq
+
+from loam.llm import toxic_crf
+
+#: Penalty factor, rounds.
+SETTINGS = [(1.0, 48), (0.5, 48), (2.0, 48), (1.0, 24)]
+
+
+def rows(sf_dir):
+    labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf_dir}/labels.parquet").to_pylist() if r["toxic"] in (0, 1)}
+    out = {}
+    for r in pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id", "text"]).to_pylist():
+        fold = zlib.crc32(str(r["doc_id"]).encode()) % 4
+        if r["doc_id"] in labels and fold != 2 and r["text"]:
+            out[r["doc_id"]] = (fold, r["text"], labels[r["doc_id"]])
+    return list(out.values())
+
+
+def measure(data, factor, rounds, fold, most):
+    train = [(t, y) for f, t, y in data if f != fold and len(t) <= toxic_crf.LONGEST][:most]
+    test = [(t, y) for f, t, y in data if f == fold][: 2 * most]
+    before = toxic_crf.L1
+    toxic_crf.L1 = tuple(factor * x for x in before)
+    try:
+        model = toxic_crf.fit([t for t, _ in train], [y for _, y in train], rounds)
+    finally:
+        toxic_crf.L1 = before
+    p = np.clip([toxic_crf.tag(model, t)[0] for t, _ in test], 1e-6, 1 - 1e-6)
+    y = np.array([y for _, y in test])
+    hit = (p >= toxic_crf.THRESHOLD) & (y == 1)
+    return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)), hit.sum() / max(1, y.sum()), hit.sum() / max(1, (p >= toxic_crf.THRESHOLD).sum())
+
+
+def main(sf_dir, most=1200):
+    data = rows(sf_dir)
+    for factor, rounds in SETTINGS:
+        got = np.array([measure(data, factor, rounds, fold, most) for fold in (0, 1, 3)]).mean(0)
+        print(f"penalty x {factor}, {rounds} rounds: log loss {got[0]:.4f}, recall {got[1]:.3f}, precision {got[2]:.3f}", flush=True)
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])
