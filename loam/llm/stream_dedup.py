@@ -57,7 +57,9 @@ def update_state(spark: SparkSession, log_path: str, log: DataFrame, state_dir:
     conf = {
         "spark__sql__streaming__stateStore__providerClass": ROCKSDB,
         "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
-        "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "256",
+        "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "128",
+        # A store takes memory for its writes by an eighth of this at once, and an executor has many stores.
+        "spark__sql__streaming__stateStore__rocksdb__writeBufferSizeMB": "2",
         # A committed store is closed: its local files go, the checkpoint keeps the state.
         "spark__sql__streaming__stateStore__unloadOnCommit": "true",
     }
