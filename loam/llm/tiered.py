@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loam.llm.shared import ROW, numbered, shared_dir, stage
+from loam.llm.shared import ROW, numbered, settings, shared_dir, stage
 
 TOP = 10
 #: A block of the index: at most so many documents and, but for a single longer text, bytes.
@@ -38,6 +38,8 @@ TIERS = ((16, 4), (4, 16))
 #: Items go in blocks whose texts have at most so many bytes; a block is what tasks are sent.
 ITEM_BYTES = 1 << 20
 PARTS = 64
+#: Rows that are handed to Python at once: documents, and blocks.
+DOCS_AT_ONCE, BLOCKS_AT_ONCE = "1000", "8"
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
@@ -156,7 +158,8 @@ def build(docs: DataFrame) -> Index:
     """
     spark = docs.sparkSession
     base = numbered(docs, "doc_id", "text")
-    total = base.select("text").mapInArrow(_count, "docs long, terms long").agg(F.sum("docs"), F.sum("terms")).first()
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=DOCS_AT_ONCE):
+        total = base.select("text").mapInArrow(_count, "docs long, terms long").agg(F.sum("docs"), F.sum("terms")).first()
     n_docs, n_terms = total[0] or 0, total[1] or 0
     arrow = pa.schema([("part", pa.int32()), *[(c, pa.list_(pa.int64())) for c in ("ids", *ROW)], *[(c, pa.binary()) for c in ("terms", "df", *_TIER_COLUMNS)]])
 
@@ -189,7 +192,8 @@ def build(docs: DataFrame) -> Index:
 
     path = f"{shared_dir(spark)}/tiers"
     # Small row groups: a reader holds one of them, not all blocks of a file.
-    base.mapInArrow(blocks, INDEX).write.option("parquet.block.size", 16 << 20).partitionBy("part").parquet(path)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=DOCS_AT_ONCE):
+        base.mapInArrow(blocks, INDEX).write.option("parquet.block.size", 16 << 20).partitionBy("part").parquet(path)
     return Index(path, spark, n_docs, n_terms)
 
 
@@ -335,9 +339,10 @@ def search(index: Index, items: DataFrame, top: int = TOP) -> DataFrame:
     document give no row; items that repeat are ranked each on its own. Other columns are
     ignored, empty tables give no rows.
     """
-    found = [f for f in (_search_block(index, block, top) for block in _items(items)) if f is not None]
+    with settings(index.spark, spark__sql__execution__arrow__maxRecordsPerBatch=BLOCKS_AT_ONCE):
+        found = [stage(f, "found") for f in (_search_block(index, block, top) for block in _items(items)) if f is not None]
     if not found:
         return index.spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "row_file", "row_no")
-    ranked = stage(reduce(DataFrame.unionAll, found), "found").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    ranked = reduce(DataFrame.unionAll, found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
