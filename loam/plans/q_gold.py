@@ -183,11 +183,14 @@ def q_latest_points(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.latest_jobs(e).select("user_id", "event_id")
 
 
-@query()
+@query("""WITH b AS (SELECT 'https://x.example/b/' || item_id AS unique_url, text FROM benchmark), h AS (SELECT *, sha1(from_hex('6ba7b8119dad11d180b400c04fd430c8') || encode(unique_url)) AS h FROM b)
+SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS id,
+64 AS dims, CAST(to_json({'unique_url': unique_url, 'text': text}) AS VARCHAR) AS payload, 1.0 AS length FROM h""")
 def q_embed_points(spark: SparkSession, sf: str) -> DataFrame:
     """VX-03, VX-04, VX-05: batches through a pluggable model to unit vectors with ids and payloads."""
     b = t(spark, sf, "benchmark").select(F.concat(F.lit("https://x.example/b/"), F.col("item_id").cast("string")).alias("unique_url"), "text")
-    return vectors.points(vectors.embed(b, "text", vectors.hashing_embedder(64))).select("id", F.size("vector").alias("dims"), "payload")
+    made = vectors.points(vectors.embed(b, "text", vectors.hashing_embedder(64)))
+    return made.select("id", F.size("vector").alias("dims"), "payload", F.round(vectors.norm(F.col("vector")), 9).alias("length"))
 
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:

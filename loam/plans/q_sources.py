@@ -313,6 +313,32 @@ def q_latest_lines(spark: SparkSession, sf: str) -> DataFrame:
     return scan.latest_lines(spark, names, T.StructType([T.StructField("job_url", T.StringType()), T.StructField("job_title", T.StringType())]))
 
 
+@query("""SELECT 'counted' AS kind, count(*) AS n FROM customer UNION ALL SELECT 'written', count(*) FROM customer""")
+def q_dump(spark: SparkSession, sf: str) -> DataFrame:
+    """SK-04: a dry run that counts, and a dump that is read back."""
+    c, path = t(spark, sf, "customer"), work_dir(spark)
+    counted, written = sinks.dump(c, None), sinks.dump(c, path)
+    back = spark.read.parquet(path).agg(F.lit("written").alias("kind"), F.count(F.lit(1)).alias("n")).where(F.col("n") == written)
+    return spark.range(1).select(F.lit("counted").alias("kind"), F.lit(counted).cast("long").alias("n")).unionByName(back)
+
+
+@query("""SELECT r_name AS site, count(*) AS customers, 1 AS failed FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA' GROUP BY ALL""")
+def q_per_site(spark: SparkSession, sf: str) -> DataFrame:
+    """VX-07, SK-06: keyed rows of each site go to one table; a site that fails leaves the others whole and is named."""
+    n, r = t(spark, sf, "nation"), t(spark, sf, "region")
+    c = t(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", F.col("r_name").alias("site"))
+    path = work_dir(spark)
+
+    def step(site: str) -> None:
+        rows = c.where(F.col("site") == site)
+        if site == "ASIA":
+            rows = rows.withColumn("c_custkey", F.raise_error(F.lit("no rows")).cast(c.schema["c_custkey"].dataType))
+        sinks.upsert_table(rows, path, "c_custkey")
+
+    failed = sinks.per_site(sorted(x["r_name"] for x in r.select("r_name").collect()), step)
+    return KeyedTable(spark, path, "c_custkey").read().groupBy("site").agg(F.count(F.lit(1)).alias("customers"), F.lit(len(failed)).alias("failed"))
+
+
 _LCS = """list_reduce(list_prepend({{'v': (1::HUGEINT << length({a})) - 1, 'm': 0::HUGEINT}}, [{{'v': 0::HUGEINT, 'm': coalesce(list_sum([CASE WHEN {a}[i] = ch THEN 1::HUGEINT << (i - 1) ELSE 0::HUGEINT END FOR i IN range(1, length({a}) + 1)]), 0)::HUGEINT}} FOR ch IN string_split({b}, '')]),
     lambda s, x: {{'v': ((s.v + (s.v & x.m)) | (s.v - (s.v & x.m))) & ((1::HUGEINT << length({a})) - 1), 'm': x.m}}).v"""
 

@@ -69,9 +69,12 @@ def q_multi_label(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "documents").select("doc_id", any_match(text.plain_lower(F.coalesce("text", F.lit(""))), rules).alias("labels"))
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id, """ + _PLAIN + r""" AS x FROM documents),
+f AS (SELECT doc_id, list_concat(list_transform(regexp_extract_all(x, '\b(?:of the|the|ing|and|idiot|moron|le)\b|\bc\+\+\B'), lambda w: CASE WHEN w IN ('the', 'ing', 'and') THEN 'common' WHEN w = 'of the' THEN 'phrase' WHEN w IN ('idiot', 'moron') THEN 'insult' ELSE 'code' END),
+CASE WHEN regexp_matches(x, 'e[nr]{2}s') THEN ['pattern'] ELSE [] END) AS l FROM d)
+SELECT doc_id, list_filter(l, lambda v, i: list_position(l, v) = i) AS skills FROM f""")
 def q_hybrid_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    """X-01, C-11, C-12: literals in text order, then patterns; tested against a trie in Python."""
+    """X-01, C-11, C-12: literals in text order, then patterns; also tested against a trie in Python."""
     return t(spark, sf, "documents").select("doc_id", KeywordSet.build(SKILLS).extract(text.plain_lower(F.col("text"))).alias("skills"))
 
 
