@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.operators import gold, reports, resolve, vectors
+from loam.plans.q_sources import FUZZY_SQL
 from loam.plans.registry import query
 from loam.plans.tables import t
 from loam.session import work_dir
@@ -116,9 +117,10 @@ def q_edit_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.edit_pairs(t(spark, sf, "part").select(F.col("p_name").alias("key")), 3, 0.6)
 
 
-@query()
+@query("""WITH k AS (SELECT DISTINCT p_name || ' ' || p_brand AS k FROM part),
+""" + FUZZY_SQL)
 def q_fuzzy_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """ER-04: token-set similarity; tested against all pairs in Python."""
+    """J-08, ER-04: token-set similarity; also tested against all pairs in Python."""
     return resolve.fuzzy_pairs(t(spark, sf, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("key")))
 
 

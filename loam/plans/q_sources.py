@@ -343,15 +343,19 @@ _LCS = """list_reduce(list_prepend({{'v': (1::HUGEINT << length({a})) - 1, 'm':
     lambda s, x: {{'v': ((s.v + (s.v & x.m)) | (s.v - (s.v & x.m))) & ((1::HUGEINT << length({a})) - 1), 'm': x.m}}).v"""
 
 
-@query("""WITH k AS (SELECT DISTINCT n_name || ' ' || s_name AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0 UNION SELECT DISTINCT s_name || ' ' || n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 1),
-s AS (SELECT k, length(k) AS n, list_sort(list_distinct(list_filter(string_split(k, ' '), lambda x: x <> ''))) AS t FROM k),
+#: Token-set similarity of the names in ``k``, all pairs measured.
+FUZZY_SQL = """s AS (SELECT k, length(k) AS n, list_sort(list_distinct(list_filter(string_split(k, ' '), lambda x: x <> ''))) AS t FROM k),
 p AS (SELECT a.k AS a, b.k AS b, list_sort(list_intersect(a.t, b.t)) AS c, list_sort(list_filter(a.t, lambda x: NOT list_contains(b.t, x))) AS x, list_sort(list_filter(b.t, lambda x: NOT list_contains(a.t, x))) AS y
       FROM s AS a JOIN s AS b ON a.k < b.k WHERE least(a.n, b.n) >= 0.6 * greatest(a.n, b.n)),
 j AS (SELECT a, b, array_to_string(c, ' ') AS c, len(c) AS nc, len(x) AS nx, len(y) AS ny, array_to_string(list_concat(c, x), ' ') AS l, array_to_string(list_concat(c, y), ' ') AS r FROM p),
 m AS (SELECT *, length(l) - bit_count(""" + _LCS.format(a="l", b="r") + """) AS lcs FROM j WHERE NOT (nc > 0 AND (nx = 0 OR ny = 0))),
 f AS (SELECT a, b, CAST(floor(greatest(200.0 * lcs / (length(l) + length(r)), CASE WHEN nc > 0 THEN 200.0 * length(c) / (length(c) + least(length(l), length(r))) ELSE 0 END) + 0.5) AS INTEGER) AS score FROM m
       UNION ALL SELECT a, b, 100 FROM j WHERE nc > 0 AND (nx = 0 OR ny = 0))
-SELECT a, b, score FROM f WHERE score >= 90""")
+SELECT a, b, score FROM f WHERE score >= 90"""
+
+
+@query("""WITH k AS (SELECT DISTINCT n_name || ' ' || s_name AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0 UNION SELECT DISTINCT s_name || ' ' || n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 1),
+""" + FUZZY_SQL)
 def q_fuzzy_suppliers(spark: SparkSession, sf: str) -> DataFrame:
     """J-08, ER-04: names of suppliers with their nations, in either order, linked by their token sets."""
     s = t(spark, sf, "supplier").join(t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
