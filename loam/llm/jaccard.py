@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from loam.llm.components import components
 from loam.llm.covering import _LOWER, _WORD, SEED, fingerprint, near_links
-from loam.llm.shared import located, settings, stage
+from loam.llm.shared import located, settings, stage, tidy
 
 SHINGLE = 5
 #: Least similarity, as a fraction: shared shingles to all shingles of both texts.
@@ -81,6 +81,7 @@ def signatures(base: DataFrame) -> DataFrame:
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch["locator"], batch["doc_id"], pa.array(nodes), pa.array(fps), keys], names=["locator", "doc_id", "node", "fp", "bands"])
+        tidy()
 
     with settings(base.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
         return stage(base.select("locator", "doc_id", "text").mapInArrow(run, "locator string, doc_id long, node long, fp long, bands array<long>"), "signatures")
@@ -234,6 +235,7 @@ def similar_links(base: DataFrame, nodes: DataFrame, block: int = BLOCK) -> Data
         for batch in batches:
             sets = pa.array([shingles(t).tobytes() for t in batch["text"].to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch["node"], batch["root"], sets], names=["node", "root", "hashes"])
+        tidy()
 
     where = groups.join(nodes.select("node", "locator"), "node").select("node", "root", "locator")
     with settings(base.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
