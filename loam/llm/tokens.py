@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Entries of a worker's cache of pieces; bounds its memory, not what is encoded.
-CACHE = 500_000
+CACHE = 200_000
 #: Text handled at once, in bytes.
 CHUNK = 8 << 20
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
