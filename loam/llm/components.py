@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.shared import stage
+from loam.llm.shared import grown, stage
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -19,16 +19,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     both = stage(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
     labels = stage(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        hooked = labels.join(near, labels["node"] == near["u"], "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
+        near = both.join(grown(labels.withColumnRenamed("node", "v")), "v").groupBy("u").agg(F.min("label").alias("near"))
+        hooked = labels.join(grown(near), labels["node"] == near["u"], "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
         # A label that sees a smaller one hands it to all that carry the label.
         parent = hooked.groupBy("label").agg(F.min("next").alias("to"))
         moved = stage(
-            hooked.join(parent, "label").select("node", "label", F.least("next", "to").alias("next")), "hooked"
+            hooked.join(grown(parent), "label").select("node", "label", F.least("next", "to").alias("next")), "hooked"
         )
         jump = moved.select(F.col("node").alias("n"), F.col("next").alias("further"))
         after = stage(
-            moved.join(jump, moved["next"] == jump["n"], "left").select("node", F.col("label").alias("old"), F.least("next", F.coalesce("further", "next")).alias("label")), "labels"
+            moved.join(grown(jump), moved["next"] == jump["n"], "left").select("node", F.col("label").alias("old"), F.least("next", F.coalesce("further", "next")).alias("label")), "labels"
         )
         changed = after.where("label <> old").limit(1).count()
         labels = after.select("node", "label")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loam.llm.components import components
-from loam.llm.shared import located, settings, stage
+from loam.llm.shared import grown, located, settings, stage
 
 RADIUS = 4
 SHINGLE = 4
@@ -111,7 +111,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK, seed: i
     tabled = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.t", "k.key")
     # Most buckets hold one fingerprint; those end here.
     shared = tabled.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = tabled.join(shared, ["t", "key"])
+    met = tabled.join(grown(shared), ["t", "key"])
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("fp", "t"), F.col("blocks")).cast("int")
     dealt = (
@@ -136,11 +136,11 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     links = stage(near_links(nodes.select("fp"), radius), "links")
     roots = components(links)
     rooted = stage(
-        nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")), "rooted"
+        nodes.join(grown(roots), nodes["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")), "rooted"
     )
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "root", "component_id")
-    return prints.join(named, "fp")
+    named = rooted.join(grown(least), "root").select("fp", "root", "component_id")
+    return prints.join(grown(named), "fp")
 
 
 def representatives(found: DataFrame) -> DataFrame:
