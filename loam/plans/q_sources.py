@@ -62,6 +62,10 @@ def q_taxonomy_tables(spark: SparkSession, sf: str) -> DataFrame:
     return relational.union_all([spark.table(f"{database}.{d}").select(F.lit(d).alias("dim"), "key", "label") for d in made])
 
 
+#: Keys that a made sheet spans, so that a sheet stays small however many parts there are.
+SHEET_KEYS = 1 << 16
+
+
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_brand END AS brand, CASE WHEN p_partkey % 5 = 0 THEN chr(65533) || 'x' ELSE 'a, "b"' || chr(10) || 'c' END AS note
 FROM part WHERE p_partkey % 11 <> 0""")
 def q_sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,24 +75,13 @@ def q_sheet(spark: SparkSession, sf: str) -> DataFrame:
     note = F.when(F.col("p_partkey") % 5 == 0, F.unhex(F.lit("FF78"))).otherwise(F.encode(F.lit('"a, ""b""\nc"'), "UTF-8"))
     start = F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name", F.when(F.col("p_partkey") % 7 != 0, F.col("p_brand")).otherwise(""))
     row = F.when(F.col("p_partkey") % 11 == 0, F.encode(F.lit(" ,,"), "UTF-8")).otherwise(F.concat(F.encode(F.concat(start, F.lit(",")), "UTF-8"), note, F.encode(F.lit(",,"), "UTF-8")))
-    # One sheet for each brand, put together from its rows.
-    body = p.select("p_brand", row.alias("row")).groupBy("p_brand").agg(F.collect_list("row").alias("rows"))
-    head = F.encode(F.lit("\ufeff id ,name, brand,note,,\n"), "UTF-8")
-    whole = F.aggregate("rows", head, lambda s, x: F.concat(s, x, F.encode(F.lit("\r\n"), "UTF-8")))
-    files = body.select("p_brand", F.base64(whole).alias("content"))
-    files.write.partitionBy("p_brand").text(f"{root}/encoded")
-    # The text sink can't hold bytes that aren't UTF-8, so files are made by the store itself.
-    from loam.sources.versions import file_system
-
-    fs, base = file_system(spark, f"{root}/sheets")
-    fs.mkdirs(base)
-    for r in files.toLocalIterator():
-        import base64
-
-        out = fs.create(file_system(spark, f"{root}/sheets/{r['p_brand'].replace('#', '_')}.csv")[1], True)
-        out.write(bytearray(base64.b64decode(r["content"])))
-        out.close()
-    return sheets.sheet(spark, f"{root}/none", f"{root}/sheets/*.csv").select("id", "name", "brand", "note")
+    # A sheet for each brand and range of keys, its header first; the text sink writes the bytes of a string as they are.
+    sheet = [F.col("p_brand"), F.floor(F.col("p_partkey") / SHEET_KEYS).alias("keys")]
+    head = p.select(*sheet).distinct().select("p_brand", "keys", F.lit(0).alias("place"), F.encode(F.lit("\ufeff id ,name, brand,note,,"), "UTF-8").alias("row"))
+    body = p.select(*sheet, F.lit(1).alias("place"), F.concat(row, F.encode(F.lit("\r"), "UTF-8")).alias("row"))
+    lines = head.unionByName(body).repartition("p_brand", "keys").sortWithinPartitions("p_brand", "keys", "place")
+    lines.select("p_brand", "keys", F.col("row").cast("string").alias("value")).write.partitionBy("p_brand", "keys").option("lineSep", "\n").text(f"{root}/sheets")
+    return sheets.sheet(spark, f"{root}/none", f"{root}/sheets").select("id", "name", "brand", "note")
 
 
 @query("""WITH seed AS (SELECT DISTINCT upper(trim(n_name)) AS variant, upper(trim(r_name)) AS canonical FROM nation JOIN region ON n_regionkey = r_regionkey),
