@@ -40,6 +40,8 @@ ITEM_BYTES = 1 << 20
 PARTS = 64
 #: Rows that are handed to Python at once: documents, and blocks.
 DOCS_AT_ONCE, BLOCKS_AT_ONCE = "1000", "8"
+#: Blocks in a row group of a file; by its bytes alone a writer first looks after 100 of them.
+GROUP_BLOCKS = 8
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
@@ -193,7 +195,7 @@ def build(docs: DataFrame) -> Index:
     path = f"{shared_dir(spark)}/tiers"
     # Small row groups: a reader holds one of them, not all blocks of a file.
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=DOCS_AT_ONCE):
-        base.mapInArrow(blocks, INDEX).write.option("parquet.block.size", 16 << 20).partitionBy("part").parquet(path)
+        base.mapInArrow(blocks, INDEX).write.option("parquet.block.size", 16 << 20).option("parquet.block.row.count.limit", GROUP_BLOCKS).partitionBy("part").parquet(path)
     return Index(path, spark, n_docs, n_terms)
 
 
