@@ -92,6 +92,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that grows with the input: shuffled, never sent through the driver."""
+    return df.hint("merge")
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """J-11, SK-06: rows of ``new`` replace those of ``old`` with the same key."""
     return old.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)

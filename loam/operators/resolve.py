@@ -9,7 +9,7 @@ from pyspark.sql.types import DoubleType
 
 from loam.functions import fixed
 from loam.functions.text import drop_words, replace_words
-from loam.operators.relational import stored, surrogate_ids
+from loam.operators.relational import grown, stored, surrogate_ids
 
 
 def matching_key(name: Column) -> Column:
@@ -193,10 +193,10 @@ def clusters(links: DataFrame, keep: str = "path") -> DataFrame:
     both = stored(both)
     labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        hooked = labels.join(near, labels["node"] == near["a"]).select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        near = both.join(grown(labels.withColumnRenamed("node", "b")), "b").groupBy("a").agg(F.min("root").alias("near"))
+        hooked = labels.join(grown(near), labels["node"] == near["a"]).select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         hop = hooked.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        after = stored(hooked.join(hop, "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root")))
+        after = stored(hooked.join(grown(hop), "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root")))
         if after.where("root <> old").isEmpty():
             return after.select("node", "root")
         labels = after.select("node", "root")

@@ -38,3 +38,10 @@ def test_simhash_joins_are_shuffled(spark, plans):
     plans.append(plan(found))
     assert {r.doc_id: r.component_id for r in found.collect()}[1] == 0
     assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_cluster_joins_are_shuffled(spark, plans):
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y")], "a string, b string")
+    found = resolve.clusters(links)
+    assert sorted((r.node, r.root) for r in found.collect()) == [("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")]
+    assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
