@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from loam.llm import covering, jaccard, mixing, packing, stream_dedup, toxic_crf
 from loam.llm.queries import BYTE_BPE
-from loam.llm.shared import located, stage, table
+from loam.llm.shared import grown, located, stage, table
 
 
 def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose locator is among ``chosen``."""
     columns = docs.columns
     name = _unused(columns)
-    return located(docs, *columns, name=name).join(chosen.withColumnRenamed("locator", name), name, "left_semi").select(*columns)
+    return located(docs, *columns, name=name).join(grown(chosen.withColumnRenamed("locator", name)), name, "left_semi").select(*columns)
 
 
 def _unused(columns: list[str]) -> str:
@@ -55,7 +55,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     name = _unused(columns)
     copies = mixing.mix(docs).where("copies > 0").select(F.col("locator").alias(name), F.array_repeat(F.lit(0), F.col("copies")).alias(f"{name}copies"))
-    rows = located(docs, *columns, name=name).join(copies, name)
+    rows = located(docs, *columns, name=name).join(grown(copies), name)
     return rows.select(*columns, F.explode(f"{name}copies").alias(f"{name}copy")).select(*columns)
 
 

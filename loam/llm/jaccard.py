@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from loam.llm.components import components
 from loam.llm.covering import _LOWER, _WORD, SEED, fingerprint, near_links
-from loam.llm.shared import located, settings, stage, tidy
+from loam.llm.shared import grown, located, settings, stage, tidy
 
 SHINGLE = 5
 #: Least similarity, as a fraction: shared shingles to all shingles of both texts.
@@ -161,10 +161,15 @@ def _across(pdf: pd.DataFrame) -> pd.DataFrame:
     return _said(int(pdf["root"].iloc[0]), links, doubtful, [])
 
 
+def _with_blocks(rows: DataFrame, sized: DataFrame) -> DataFrame:
+    """``rows`` plus blocks; only roots of more than one block are joined, so that the sets aren't shuffled by their root."""
+    return rows.join(sized.where("blocks > 1").select("root", "blocks"), "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+
+
 def _pairs_of_blocks(rows: DataFrame, sized: DataFrame) -> DataFrame:
     """``rows`` (root, node, hashes, radius) once for each pair of blocks of their root; blocks by ``sized`` (root, blocks)."""
     return (
-        rows.join(sized, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        _with_blocks(rows, sized).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("root", "node", "hashes", "radius", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
         .groupBy("root", "i", "j").applyInPandas(_across, _SAID)
@@ -175,17 +180,17 @@ def _doubts(maybe: DataFrame, links: DataFrame, sets: DataFrame, block: int) ->
     """Links between the texts of components that doubtful leaders belong to and no link has joined."""
     roots = stage(components(links), "joined")
     rooted = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    sides = maybe.select("a", "b").join(rooted("a"), "a", "left").join(rooted("b"), "b", "left").select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
+    sides = maybe.select("a", "b").join(grown(rooted("a")), "a", "left").join(grown(rooted("b")), "b", "left").select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
     sides = stage(sides.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "doubts")
-    of = sets.select("node", "hashes").join(roots, "node", "left").select("node", "hashes", F.coalesce("root", "node").alias("comp"))
+    of = sets.select("node", "hashes").join(grown(roots), "node", "left").select("node", "hashes", F.coalesce("root", "node").alias("comp"))
     sized = of.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
     sized = stage(sized, "sizes")
     widths = lambda c: sized.select(F.col("comp").alias(c), F.col("blocks").alias(f"n{c}"))
-    pairs = sides.join(widths("x"), "x").join(widths("y"), "y")
+    pairs = sides.join(grown(widths("x")), "x").join(grown(widths("y")), "y")
     mine, other = "own", "other"
 
     def dealt(c: str, d: str, number: int) -> DataFrame:
-        rows = of.join(pairs, of["comp"] == pairs[c]).withColumn(mine, F.pmod(F.xxhash64("node"), F.col(f"n{c}")).cast("int"))
+        rows = of.join(grown(pairs), of["comp"] == pairs[c]).withColumn(mine, F.pmod(F.xxhash64("node"), F.col(f"n{c}")).cast("int"))
         rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n{d}") - 1)))
         i, j = (mine, other) if c == "x" else (other, mine)
         return rows.select("x", "y", F.col(i).alias("i"), F.col(j).alias("j"), "node", "hashes", F.lit(0.0).alias("radius"), F.lit(number).alias("own"), F.col("x").alias("root"))
@@ -203,13 +208,13 @@ def linked(sets: DataFrame, block: int = BLOCK) -> DataFrame:
         if before is not None and 2 * many > before:
             said.append(stage(_pairs_of_blocks(now, sized.select("root", "blocks")), "across"))
             break
-        dealt = now.join(sized.select("root", "blocks"), "root").withColumn("own", F.pmod(F.xxhash64("node", F.lit(len(said))), F.col("blocks")).cast("int"))
+        dealt = _with_blocks(now, sized).withColumn("own", F.pmod(F.xxhash64("node", F.lit(len(said))), F.col("blocks")).cast("int"))
         level = stage(dealt.groupBy("root", "own").applyInPandas(_block, _SAID), f"level{len(said)}")
         said.append(level)
         if not many:
             break
         left = level.where(F.col("kind") == LEADER).join(sized.where("blocks > 1").select("root"), "root", "left_semi")
-        now, before = stage(left.select("root", F.col("a").alias("node"), "radius").join(sets.select("node", "hashes"), "node").select("root", "node", "hashes", "radius"), "leaders"), many
+        now, before = stage(left.select("root", F.col("a").alias("node"), "radius").join(grown(sets.select("node", "hashes")), "node").select("root", "node", "hashes", "radius"), "leaders"), many
     links, maybe = said[0], said[0]
     for s in said[1:]:
         links = maybe = links.unionByName(s)
@@ -223,12 +228,12 @@ def similar_links(base: DataFrame, nodes: DataFrame, block: int = BLOCK) -> Data
     """(a, b): links between nodes that give the components of all similar pairs among the candidates."""
     banded = nodes.select("node", F.posexplode("bands").alias("t", "key"))
     shared = banded.groupBy("t", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = banded.join(shared, ["t", "key"]).where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    met = banded.join(grown(shared), ["t", "key"]).where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     # Texts with one fingerprint, and those whose fingerprints operator 9 links.
     prints = stage(nodes.groupBy("fp").agg(F.min("node").alias("least")), "fps")
-    alike = nodes.join(prints, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    alike = nodes.join(grown(prints), "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
     named = [prints.select(F.col("fp").alias(k), F.col("least").alias(f"n{k}")) for k in ("a", "b")]
-    close = near_links(prints.select("fp")).join(named[0], "a").join(named[1], "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    close = near_links(prints.select("fp")).join(grown(named[0]), "a").join(grown(named[1]), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
     groups = stage(components(stage(met.unionByName(alike).unionByName(close), "met")), "groups")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,9 +242,9 @@ def similar_links(base: DataFrame, nodes: DataFrame, block: int = BLOCK) -> Data
             yield pa.RecordBatch.from_arrays([batch["node"], batch["root"], sets], names=["node", "root", "hashes"])
         tidy()
 
-    where = groups.join(nodes.select("node", "locator"), "node").select("node", "root", "locator")
+    where = groups.join(grown(nodes.select("node", "locator")), "node").select("node", "root", "locator")
     with settings(base.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
-        texts = base.select("locator", "text").join(where, "locator").select("node", "root", "text")
+        texts = base.select("locator", "text").join(grown(where), "locator").select("node", "root", "text")
         sets = stage(texts.mapInArrow(run, "node long, root long, hashes binary"), "sets")
     return linked(sets, block)
 
@@ -254,4 +259,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prints = signatures(base)
     nodes = stage(prints.groupBy("node").agg(F.min("locator").alias("locator"), F.min("fp").alias("fp"), F.first("bands").alias("bands")), "nodes")
     roots = components(stage(similar_links(base, nodes), "links"))
-    return prints.select("locator", "doc_id", "node").join(roots, "node", "left").select("locator", "doc_id", F.coalesce("root", "node").alias("root"))
+    return prints.select("locator", "doc_id", "node").join(grown(roots), "node", "left").select("locator", "doc_id", F.coalesce("root", "node").alias("root"))

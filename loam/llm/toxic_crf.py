@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loam.llm.shared import settings, stage
+from loam.llm.shared import settings, stage, tidy
 
 #: The model's bounded sample: most labelled rows, most characters of one and of all together.
 SAMPLE, LONGEST, SAMPLE_CHARS = 4000, 8000, 4_000_000
@@ -350,6 +350,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int =
     entries = _Entries(model)
     x = np.array([aggregates(probs, total) for _, probs, total in (read(model, entries, t) for t in read_)])
     model.link = _fit_link(x, np.array(tags, float))
+    del held, entries, rows, read_
+    tidy()  # this is the driver's Python, which stays for what follows
     return model
 
 

@@ -45,3 +45,12 @@ def test_cluster_joins_are_shuffled(spark, plans):
     found = resolve.clusters(links)
     assert sorted((r.node, r.root) for r in found.collect()) == [("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")]
     assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_jaccard_joins_are_shuffled(spark, plans):
+    found = jaccard.near_duplicates(docs(spark))
+    plans.append(plan(found))
+    root = {r.doc_id: r.root for r in found.collect()}
+    assert root[0] == root[1] == root[2] != root[3]
+    # Only the few roots of more than one block may be broadcast.
+    assert any("Join" in p for p in plans) and not any("BroadcastHashJoin" in p and "blocks" not in p for p in plans)
