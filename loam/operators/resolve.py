@@ -2,37 +2,24 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from loam.functions import fixed
 from loam.functions.text import drop_words, replace_words
+from loam.operators import fuzzy
 from loam.operators.relational import grown, stored, surrogate_ids
 
+#: Keys of a block; two blocks meet in one group.
+BLOCK = 1024
+
 
 def matching_key(name: Column) -> Column:
     """ER-02, ER-03: brand rewrites, then sector words stripped; the name itself if nothing is left."""
     return drop_words(replace_words(name, fixed.BRANDS), fixed.SECTOR_WORDS)
 
 
-def _indel(a: str, b: str) -> float:
-    """Normalised insertion-deletion similarity, 0 to 100."""
-    if not a and not b:
-        return 100.0
-    # Longest common subsequence, all of ``a`` at once as bits of one integer.
-    where: dict[str, int] = {}
-    for k, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << k
-    full = (1 << len(a)) - 1
-    state = full
-    for c in b:
-        met = state & where.get(c, 0)
-        state = (state + met) | (state - met)
-    return 200.0 * (~state & full).bit_count() / (len(a) + len(b))
-
-
 def token_set_ratio(a: str, b: str) -> float:
     """ER-04: similarity of token sets, 0 to 100."""
     x, y = set(a.split()), set(b.split())
@@ -44,17 +31,12 @@ def token_set_ratio(a: str, b: str) -> float:
     common = " ".join(sorted(both))
     left = " ".join(filter(None, (common, " ".join(sorted(only_a)))))
     right = " ".join(filter(None, (common, " ".join(sorted(only_b)))))
-    scores = [_indel(left, right)]
+    scores = [fuzzy.indel(left, right)]
     if common:
-        scores += [_indel(common, left), _indel(common, right)]
+        scores += [fuzzy.indel(common, left), fuzzy.indel(common, right)]
     return max(scores)
 
 
-@F.pandas_udf(DoubleType())
-def _shared_order(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None else _indel(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
 #: What separates tokens: the white space of Unicode and the four ASCII separators.
 _BREAKS = "(?U)[\\s\\x1C-\\x1F]+"
 
@@ -88,77 +70,75 @@ def _overlap(a: Column, b: Column, e: float) -> Column:
     return F.floor((both + 2 - 3 * (most - F.pmod(most - both, F.lit(2)))) / 2).cast("int")
 
 
-def _rows(keys: DataFrame, share: float, e: float) -> DataFrame:
-    """k, n, size, kind, element, at, chosen: each key's tokens and its rarest pairs of characters.
+def _listed(keys: DataFrame, share: float, e: float) -> DataFrame:
+    """k, n, size, tokens (sorted), picked (a flag for each), rare: each key's tokens and its rarest pairs of characters.
 
-    Elements are ordered by the number of keys that hold them. A token is chosen unless the
-    tokens before it make up more than a side may lack; of the pairs only those are rows that
+    Elements are ordered by the number of keys that hold them. A token is picked unless the
+    tokens before it make up more than a side may lack; of the pairs only those are listed that
     one of every shared set of the least size must be among.
     """
     tagged = F.concat(F.transform("tokens", lambda x: F.concat(F.lit("t"), x)), F.transform("grams", lambda x: F.concat(F.lit("g"), x)))
     each = keys.select("k", F.explode(tagged).alias("element"))
     often = each.groupBy("element").agg(F.count(F.lit(1)).alias("often"))
-    lists = each.join(often, "element").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("all"))
-    of = lambda kind: F.transform(F.filter("all", lambda x: F.substring(x["element"], 1, 1) == kind), lambda x: x["element"])
-    both = lists.join(keys.select("k", "n", "size"), "k").select("k", "n", "size", of("t").alias("tokens"), of("g").alias("grams"))
-    before = lambda i: F.aggregate(F.slice("tokens", F.lit(1), i), F.lit(0), lambda s, x: s + F.length(x))
-    tokens = F.transform("tokens", lambda x, i: F.struct(x.alias("element"), i.alias("at"), (before(i) <= (1 - share) * F.col("size") + 1).alias("chosen")))
-    # The least overlap with any partner, by the lengths that one may have.
-    partners = F.sequence(F.ceil(F.col("size") * share - 1e-9).cast("int"), F.floor(F.col("size") / share + 1e-9).cast("int"))
-    least = F.array_min(F.transform(partners, lambda m: _overlap(F.col("size"), m, e)))
-    rare = F.slice("grams", F.lit(1), F.greatest(F.size("grams") - least + 1, F.lit(1)).cast("int"))
-    grams = F.transform(rare, lambda x, i: F.struct(x.alias("element"), i.alias("at"), F.lit(True).alias("chosen")))
-    return both.select("k", "n", "size", F.explode(F.concat(tokens, grams)).alias("x")).select("k", "n", "size", "x.*")
-
-
-def fuzzy_candidates(keys: DataFrame, score: float, ratio: float) -> DataFrame:
-    """(a, b), a < b: no pair within the guard that scores ``score`` or more is missing.
+    lists = each.join(grown(often), "element").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("all"))
+    of = lambda kind: F.transform(F.filter("all", lambda x: F.substring(x["element"], 1, 1) == kind), lambda x: F.substr(x["element"], F.lit(2)))
+    # The least overlap with any partner, by the lengths that there are.
+    sizes = keys.select("size").distinct()
+    others = sizes.select(F.col("size").alias("other"))
+    near = sizes.join(others, F.expr(f"least(size, other) >= {share} * greatest(size, other) - 1e-9"))
+    least = near.groupBy("size").agg(F.min(_overlap(F.col("size"), F.col("other"), e)).alias("least"))
+    both = keys.select("k", "n", "size", "tokens").join(grown(lists.select("k", of("t").alias("rarest"), of("g").alias("grams"))), "k").join(least, "size")
+    before = lambda i: F.aggregate(F.slice("rarest", F.lit(1), i), F.lit(0), lambda s, x: s + F.length(x))
+    chosen = F.filter("rarest", lambda x, i: before(i) <= (1 - share) * F.col("size") + 1)
+    both = both.withColumn("chosen", chosen).withColumn("rare", F.slice("grams", F.lit(1), F.greatest(F.size("grams") - F.col("least") + 1, F.lit(1)).cast("int")))
+    return both.select("k", "n", "size", "tokens", F.transform("tokens", lambda x: F.array_contains("chosen", x)).alias("picked"), "rare")
+
+
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` once for each of their elements that others hold and each pair of its blocks.
+
+    ``kind`` and ``element`` name what is shared, ``at`` is its place in tokens or rare,
+    (deal, i, j) the group, ``own`` the row's block. Elements of one block share groups.
+    """
+    as_element = lambda kind: lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("element"), i.alias("at"))
+    held = rows.withColumn("x", F.explode(F.concat(F.transform("tokens", as_element("t")), F.transform("rare", as_element("g"))))).select(*rows.columns, "x.*")
+    ready = F.max((F.col("kind") == "g") | F.element_at("picked", F.col("at") + 1))
+    sized = held.groupBy("kind", "element").agg(F.count(F.lit(1)).alias("many"), ready.alias("ready")).where("many > 1 AND ready")
+    sized = stored(sized.select("kind", "element", "many", F.ceil(F.col("many") / F.lit(block)).cast("int").alias("blocks")))
+    one = F.col("blocks") == 1
+    small, pairs = sized.agg(F.coalesce(F.sum(F.when(one, F.col("many"))), F.lit(0)), F.coalesce(F.sum(F.when(~one, F.col("blocks") * (F.col("blocks") + 1) / 2)), F.lit(0))).first()
+    deals = -(-int(small) // block) + 1
+    dealt = held.join(grown(sized), ["kind", "element"]).withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    deal = F.when(one, F.pmod(F.xxhash64("kind", "element"), F.lit(deals)).cast("string")).otherwise(F.concat("kind", "element"))
+    dealt = dealt.withColumn("deal", deal).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("many", "blocks", "other")
+    # A named count of tasks: they are long by their pairs, not by the bytes that Spark judges them by.
+    tasks = min(deals + int(pairs), 4 * max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return dealt.repartition(tasks, "deal", "i", "j")
+
+
+def fuzzy_pairs(names: DataFrame, key: str = "key", score: int = fixed.FUZZY_SCORE, ratio: float = fixed.LENGTH_RATIO, block: int = BLOCK) -> DataFrame:
+    """J-08, ER-04: (a, b, score) for pairs of distinct keys, a < b, by the similarity of their token sets.
 
     With e = 1 - score / 100, a pair scores by one of two ways. Either the common tokens make
     up a share of at least (1 - e) / (1 + e) of one side: then, of any of its tokens that make
     up more than the rest, one is common. Or the joined tokens are within e of each other in
     insertions and deletions; each of those changes at most two pairs of characters, so both
     sides share at least so many of them (``_overlap``), and thus one among the rarest few.
+
+    Keys meet in blocks by what they share and are weighed there (``fuzzy.pairs_of_block``), each pair at
+    the first thing it shares, so that no pair is shuffled. Scores are rounded half up, so the
+    least raw score is half a point lower.
     """
-    e = 1 - score / 100
+    least = score - 0.5
+    e = 1 - least / 100
     share = (1 - e) / (1 + e)
-    rows = stored(_rows(keys, share, e))
-    l, r = rows.where("chosen").alias("l"), rows.alias("r")
-    guard = F.expr(f"l.element = r.element AND least(l.n, r.n) >= {ratio} * greatest(l.n, r.n)")
-    # By the first shared pair's place, what is left on either side must suffice.
-    place = F.expr("1 + least(l.size - l.at, r.size - r.at)") >= _overlap(F.col("l.size"), F.col("r.size"), e)
-    near = F.expr(f"l.element LIKE 'g%' AND l.k < r.k AND least(l.size, r.size) >= {share} * greatest(l.size, r.size) - 1e-9")
-    met = guard & (F.expr("l.element LIKE 't%' AND l.k <> r.k") | (near & place))
-    return l.join(r, met).select(F.least("l.k", "r.k").alias("a"), F.greatest("l.k", "r.k").alias("b")).distinct()
+    dealt = _dealt(stored(_listed(stored(_token_keys(names, key)), share, e)), block)
 
+    def run(table: pa.Table) -> pa.Table:
+        return fuzzy.pairs_of_block(table, score, e, ratio)
 
-def fuzzy_pairs(names: DataFrame, key: str = "key", score: int = fixed.FUZZY_SCORE, ratio: float = fixed.LENGTH_RATIO) -> DataFrame:
-    """J-08, ER-04: (a, b, score) for pairs of distinct keys, a < b, by the similarity of their token sets.
-
-    Candidates share a rare token or a rare pair of characters (``fuzzy_candidates``); the
-    score of common tokens alone is an expression, and only pairs that share enough pairs of
-    characters are measured in Python. Scores are rounded half up, so the least raw score is
-    half a point lower.
-    """
-    least = score - 0.5
-    keys = stored(_token_keys(names, key))
-    side = lambda c: keys.select(F.col("k").alias(c), F.struct("tokens", "grams", "size").alias(f"{c}_"))
-    found = fuzzy_candidates(keys, least, ratio).join(side("a"), "a").join(side("b"), "b")
-    common = F.array_intersect("a_.tokens", "b_.tokens")
-    length = F.length(F.array_join("common", " "))
-    inside = (F.size("common") == F.size("a_.tokens")) | (F.size("common") == F.size("b_.tokens"))
-    by_tokens = F.when(F.size("common") == 0, 0.0).when(inside, 100.0).otherwise(200.0 * length / (length + F.least("a_.size", "b_.size")))
-    enough = F.size(F.array_intersect("a_.grams", "b_.grams")) >= _overlap(F.col("a_.size"), F.col("b_.size"), 1 - least / 100)
-    ahead = lambda c: F.concat_ws(" ", F.array_join("common", " "), F.array_join(F.array_except(f"{c}_.tokens", "common"), " "))
-    weighed = found.select("a", "b", "a_", "b_", common.alias("common")).select(
-        "a", "b", by_tokens.alias("by_tokens"), enough.alias("enough"), F.ltrim(ahead("a")).alias("left"), F.ltrim(ahead("b")).alias("right")
-    )
-    # Pairs that can't reach the score by either way go before anything reaches Python.
-    left = weighed.where(f"enough OR by_tokens >= {least}")
-    open_ = F.col("enough") & (F.col("by_tokens") < 100)
-    measured = _shared_order(F.when(open_, F.col("left")), F.when(open_, F.col("right")))
-    scored = left.select("a", "b", F.floor(F.greatest("by_tokens", F.coalesce(measured, F.lit(0.0))) + 0.5).cast("int").alias("score"))
-    return scored.where(F.col("score") >= score)
+    return dealt.groupBy("deal", "i", "j").applyInArrow(run, "a string, b string, score int")
 
 
 def edit_pairs(names: DataFrame, distance: int, ratio: float = fixed.LENGTH_RATIO, key: str = "key") -> DataFrame:
