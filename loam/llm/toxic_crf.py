@@ -14,6 +14,7 @@ offsets and, through a logistic link, the document's score.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -322,22 +323,8 @@ def _fit_link(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Model | None:
-    """Model from rows that aren't held out; None unless both labels occur.
-
-    At most ``sample`` labelled doc_ids in the order of a hash are used, one row of each (the
-    one with the least text, unless it is longer than ``LONGEST``), and of these as many as
-    hold ``chars`` characters together. Of labels that disagree for a doc_id, toxic counts.
-    """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(*order).limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= LONGEST)  # broadcast: at most ``sample`` rows
-    single = stage(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "labelled")  # repeated doc_ids end here
-    # At most ``sample`` rows are left; their running size bounds what reaches the driver.
-    size = F.sum(F.length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    rows = single.select("doc_id", "toxic", "text", size.alias("size")).where(F.col("size") <= chars).orderBy("size").select("toxic", "text").collect()
-    tags, read_ = [r.toxic for r in rows], [r.text for r in rows]
+def fitted(read_: list[str], tags: list[int]) -> Model | None:
+    """The model of the sample's texts and labels."""
     if len(set(tags)) < 2:
         return None
     held = _Sample(read_, tags)
@@ -350,11 +337,41 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int =
     entries = _Entries(model)
     x = np.array([aggregates(probs, total) for _, probs, total in (read(model, entries, t) for t in read_)])
     model.link = _fit_link(x, np.array(tags, float))
-    del held, entries, rows, read_
-    tidy()  # this is the driver's Python, which stays for what follows
     return model
 
 
+def _fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model, pickled, if there is one."""
+    tags, texts = [], []
+    for batch in batches:
+        tags += batch["toxic"].to_pylist()
+        texts += batch["text"].to_pylist()
+    model = fitted(texts, tags)
+    del tags, texts
+    tidy()
+    if model is not None:
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Model | None:
+    """Model from rows that aren't held out; None unless both labels occur.
+
+    At most ``sample`` labelled doc_ids in the order of a hash are used, one row of each (the
+    one with the least text, unless it is longer than ``LONGEST``), and of these as many as
+    hold ``chars`` characters together. Of labels that disagree for a doc_id, toxic counts.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(*order).limit(sample)
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= LONGEST)  # broadcast: at most ``sample`` rows
+    single = stage(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "labelled")  # repeated doc_ids end here
+    # At most ``sample`` rows are left; their running size bounds what one task fits. Only the model reaches the driver.
+    size = F.sum(F.length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = single.select("doc_id", "toxic", "text", size.alias("size")).where(F.col("size") <= chars)
+    found = rows.coalesce(1).sortWithinPartitions("size").select("toxic", "text").mapInArrow(_fit, "model binary").collect()
+    return pickle.loads(found[0].model) if found else None
+
+
 def tag(model: Model | None, text: str | None, entries: dict | None = None) -> tuple[float, list[int], list[int]]:
     """(score, starts, ends): offsets in code points of runs of tokens with marginal 0.5 or more."""
     if model is None or not text:
