@@ -183,19 +183,31 @@ def _doubts(maybe: DataFrame, links: DataFrame, sets: DataFrame, block: int) ->
     sides = maybe.select("a", "b").join(grown(rooted("a")), "a", "left").join(grown(rooted("b")), "b", "left").select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
     sides = stage(sides.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "doubts")
     of = sets.select("node", "hashes").join(grown(roots), "node", "left").select("node", "hashes", F.coalesce("root", "node").alias("comp"))
-    sized = of.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    sized = stage(sized, "sizes")
-    widths = lambda c: sized.select(F.col("comp").alias(c), F.col("blocks").alias(f"n{c}"))
-    pairs = sides.join(grown(widths("x")), "x").join(grown(widths("y")), "y")
-    mine, other = "own", "other"
+    return _doubt_rows(sides, of, block).groupBy("root", "i", "j").applyInPandas(_across, _SAID)
 
-    def dealt(c: str, d: str, number: int) -> DataFrame:
-        rows = of.join(grown(pairs), of["comp"] == pairs[c]).withColumn(mine, F.pmod(F.xxhash64("node"), F.col(f"n{c}")).cast("int"))
-        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n{d}") - 1)))
-        i, j = (mine, other) if c == "x" else (other, mine)
-        return rows.select("x", "y", F.col(i).alias("i"), F.col(j).alias("j"), "node", "hashes", F.lit(0.0).alias("radius"), F.lit(number).alias("own"), F.col("x").alias("root"))
 
-    return dealt("x", "y", 0).unionByName(dealt("y", "x", 1)).groupBy("x", "y", "i", "j").applyInPandas(_across, _SAID)
+def _doubt_rows(sides: DataFrame, of: DataFrame, block: int) -> DataFrame:
+    """Texts (``of``: node, hashes, comp) dealt into (root, i, j), so that those of each pair of components in ``sides`` (x, y) meet.
+
+    The larger of the two is the root. All that is in doubt about a root meets it together, in blocks:
+    its texts are sent once for each block of theirs, not for each pair.
+    """
+    sized = stage(of.groupBy("comp").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    widths = lambda c: sized.select(F.col("comp").alias(c), F.col("n").alias(f"n{c}"))
+    both = sides.join(grown(widths("x")), "x").join(grown(widths("y")), "y")
+    ahead = (F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    pick = lambda yes, no, name: F.when(ahead, F.col(yes)).otherwise(F.col(no)).alias(name)
+    both = stage(both.select(pick("x", "y", "root"), pick("y", "x", "comp"), pick("nx", "ny", "most"), pick("ny", "nx", "n")), "sides")
+    many = lambda c: F.ceil(c / F.lit(block)).cast("int")
+    roots = stage(both.groupBy("root").agg(many(F.first("most")).alias("own_blocks"), many(F.sum("n")).alias("other_blocks")), "roots")
+    met = both.select("root", "comp").join(grown(roots), "root")
+
+    def dealt(rows: DataFrame, own: str, own_blocks: str, other: str, other_blocks: str, number: int) -> DataFrame:
+        rows = rows.withColumn(own, F.pmod(F.xxhash64("node"), F.col(own_blocks)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)))
+        return rows.select("root", "i", "j", "node", "hashes", F.lit(0.0).alias("radius"), F.lit(number).alias("own"))
+
+    whole = dealt(of.withColumnRenamed("comp", "root").join(grown(roots), "root"), "i", "own_blocks", "j", "other_blocks", 0)
+    return whole.unionByName(dealt(of.join(grown(met), "comp"), "j", "other_blocks", "i", "own_blocks", 1))
 
 
 def linked(sets: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -228,7 +240,9 @@ def similar_links(base: DataFrame, nodes: DataFrame, block: int = BLOCK) -> Data
     """(a, b): links between nodes that give the components of all similar pairs among the candidates."""
     banded = nodes.select("node", F.posexplode("bands").alias("t", "key"))
     shared = banded.groupBy("t", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = banded.join(grown(shared), ["t", "key"]).where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    # A node's least ones are linked through the least of them: near copies share those, so that a large group makes few links.
+    own = banded.join(grown(shared), ["t", "key"]).groupBy("node").agg(F.collect_set("least").alias("leasts")).withColumn("a", F.array_min("leasts"))
+    met = own.select("a", F.explode(F.array_append("leasts", F.col("node"))).alias("b")).where("a <> b").distinct()
     # Texts with one fingerprint, and those whose fingerprints operator 9 links.
     prints = stage(nodes.groupBy("fp").agg(F.min("node").alias("least")), "fps")
     alike = nodes.join(grown(prints), "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
