@@ -1,15 +1,15 @@
 """Operator 7: token ids in a compressed binary format.
 
 Ids are coded in blocks. Each block starts from a fresh model and holds nothing of any
-other: the decoder numbers the block's ids by first appearance, and three orders predict
-the next number. Order 2 (a checked hash table by the last two numbers) and order 1 (a table
+other: it begins with its distinct ids, ascending, and their counts, in bits of bounded
+length with unary rests. The numbers of these ids are the symbols, and three orders predict
+the next one. Order 2 (a checked hash table by the last two numbers) and order 1 (a table
 by the last one) each propose a candidate with an adaptive confidence; the probability that
 a candidate comes next is a logistic mix, with weights learned online, of both confidences
 and of the candidate's order-0 frequency. If neither comes, order 0 codes the number from
-adaptive counts of the whole block so far, with a share for ids not seen yet by the rule of
-Good and Turing; a new id is written by adaptive bit length and its remaining bits. All of
-it drives one 64-bit range coder with carries. The arithmetic is integer arithmetic and
-exact float products, so that machines agree.
+the occurrences that were still to come at the last refresh, so that no id needs an escape
+and none that is used up takes room. All of it drives one 64-bit range coder with carries.
+The arithmetic is integer arithmetic and exact float products, so that machines agree.
 
 Blocks are coded side by side as lanes of NumPy arrays. Each is checksummed: a damaged block
 is found and the others can still be read. A segment is: header, documents (id, flag,
@@ -31,26 +31,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.shared import located, settings, shared_dir, stage
+from loam.llm.shared import located, settings, shared_dir, stage, tidy
 from loam.llm.tokens import encoder, gathered
 
-MAGIC, VERSION = b"LMIX", 2
+MAGIC, VERSION = b"LMIX", 3
 END_ID = 1
 #: Ids of a block (16,383 at most), and blocks coded side by side (and so ids of a segment).
-BLOCK, LANES = 4096, 3072
+BLOCK, LANES = 4096, 4096
 _HEAD = struct.Struct("<4sHHIIIQ")  # magic, version, flags, documents, blocks, block size, local start
 _NUMBER = 0x3FFF  # a table entry: check (7 bits), confidence (10), candidate number (14; 0: none)
 _CHECK = 0x7F000000
-_SLOTS2, _SLOTS1 = 4096, 1024  # of the tables of order 2 and order 1
-_BITS = 16  # of the order-0 total
-_LEAST_NEW = 640  # share of unseen ids: enough for all steps between two refreshes to be new ids
+_SLOT_BITS = 11  # of the table of order 2; that of order 1 has a slot for each number
+_REFRESH = 1024  # steps between two sets of order-0 intervals
+_TOGETHER = 128  # blocks whose tables are packed at once
 _FRESH, _WEAK = 320, 160  # confidence of a new entry; below this it is replaced
 _RATE = 13
 _MOST = 1 << 17  # of a weight
 U = np.uint64
 _WORD, _HALF = U(32), U(16)
 _FULL = U(1 << 32)
-_STEP = 32  # numbers between two marks of the decoder's coarse search
+_HASH_A, _HASH_B = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
+#: Sections of the ids in a block's table of counts, closer together where ids are more frequent.
+_EDGES = np.array([0, 512, 1024, 2048, 4096, 8192, 16384, 65536])
+_SECTION = np.repeat(np.arange(len(_EDGES) - 1), np.diff(_EDGES))
 
 
 def _tables() -> tuple[np.ndarray, ...]:
@@ -58,6 +61,7 @@ def _tables() -> tuple[np.ndarray, ...]:
     conf = np.arange(1024)
     share = (conf + 0.5) / 1024
     logit = np.clip(np.rint(256 * np.log(share / (1 - share))), -2047, 2047).astype(np.int32)
+    logit[0] = 0  # no entry
     squash = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 24, 3840).astype(np.int32)
     missed = conf - (conf >> 1)
     after = np.concatenate((np.where(missed >= _WEAK, missed, 0), conf + ((1023 - conf) >> 2))).astype(np.int32)
@@ -65,175 +69,228 @@ def _tables() -> tuple[np.ndarray, ...]:
 
 
 _LOGIT, _SQUASH, _LOG, _AFTER = _tables()
-#: Weights at the start (unit 2^14): confidence of order 2, of order 1 in the same candidate, order 0, bias.
-_START = (15000, 8000, 2500, 0)
-
-
-def _due(size: int) -> set[int]:
-    """Steps in front of which order 0 takes in the counts so far: every step at first, at most 128 apart."""
-    out, at = set(), 0
-    while at < size:
-        out.add(at)
-        at += min(max(1, at >> 3), 128)
-    return out
+#: Weights at the start (unit 2^14): confidence of order 2, of order 1 in the same candidate, order 0; and the bias, with the middle of ``_SQUASH``.
+_START, _BIAS = (15000, 8000, 2500), 2048
+
+
+def _runs(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, .. below each length, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+def _gap_bits(held: np.ndarray) -> np.ndarray:
+    """Fixed bits of a gap between ids, by block and section, for the numbers of ids held there."""
+    mean = (np.diff(_EDGES) * 9 >> 4) // np.maximum(held, 1)
+    return np.frexp(mean.astype(np.float64))[1].astype(np.int64)
+
+
+class _Counts:
+    """The ids of each block, ascending, with their counts; ``numbers`` start from 1 in each block."""
+
+    def __init__(self, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.sizes, self.ids, self.counts = sizes, ids, counts
+        self.starts = np.cumsum(sizes) - sizes
+
+    @classmethod
+    def of(cls, blocks: np.ndarray) -> tuple[_Counts, np.ndarray]:
+        """The table of the blocks' ids, and the number of each id."""
+        out, number = np.empty(blocks.shape, np.uint16), np.empty(1 << 16, np.uint16)
+        up, ids, counts = np.arange(1, blocks.shape[1] + 1, dtype=np.uint16), [], []
+        for row, block in zip(out, blocks, strict=True):
+            count = np.bincount(block)
+            own = count.astype(bool).nonzero()[0]
+            number[own] = up[: len(own)]
+            number.take(block, out=row, mode="clip")
+            ids.append(own)
+            counts.append(count[own])
+        return cls(np.array([len(own) for own in ids]), np.concatenate(ids), np.concatenate(counts)), out
+
+    def part(self, a: int, b: int) -> _Counts:
+        """The table of blocks a to b."""
+        own = slice(self.starts[a], self.starts[b - 1] + self.sizes[b - 1])
+        return _Counts(self.sizes[a:b], self.ids[own], self.counts[own])
+
+    def packed(self) -> list[np.ndarray]:
+        """Words of each block: their number, ids held by section with the bits of their counts, fixed bits, unary rests."""
+        lanes, parts = len(self.sizes), len(_EDGES) - 1
+        block = np.repeat(np.arange(lanes), self.sizes)
+        section = _SECTION.take(self.ids)
+        group = block * parts + section
+        held = np.bincount(group, minlength=lanes * parts)
+        total = np.bincount(group, self.counts - 1, minlength=lanes * parts).astype(np.int64)
+        kg = _gap_bits(held.reshape(lanes, parts)).ravel()
+        kc = np.minimum(np.frexp((total * 11 >> 4) // np.maximum(held, 1))[1], 3).astype(np.int64)
+        opens = np.append(True, group[1:] != group[:-1])
+        gap = self.ids - np.where(opens, _EDGES[section], np.append(0, self.ids[:-1] + 1))
+        place = np.arange(len(block)) + self.starts[block]  # a block's gaps, then its counts
+        value, fixed = np.empty((2, 2 * len(block)), np.int64)
+        value[place], fixed[place] = gap, kg[group]
+        place += self.sizes[block]
+        value[place], fixed[place] = self.counts - 1, kc[group]
+        block = np.repeat(np.arange(lanes), 2 * self.sizes)
+        rest = (value >> fixed) + 1
+        low, unary = np.bincount(block, fixed, lanes).astype(np.int64), np.bincount(block, rest, lanes).astype(np.int64)
+        words = (16 * (parts + 1) + low + unary + 31) // 32
+        base = 32 * (np.cumsum(words) - words)
+        bits = np.zeros(32 * int(words.sum()), np.uint8)
+        heads = np.concatenate((words[:, None], (held | kc << 14).reshape(lanes, parts)), axis=1).astype(">u2")
+        bits[(base[:, None] + np.arange(16 * (parts + 1))).ravel()] = np.unpackbits(heads.view(np.uint8))
+        base += 16 * (parts + 1)
+        place = np.cumsum(fixed) - fixed + (base - np.cumsum(low) + low)[block]
+        some = np.flatnonzero(fixed)
+        j = 0
+        while len(some):
+            bits[place[some] + j] = value[some] >> j & 1
+            j += 1
+            some = some[fixed[some] > j]
+        bits[np.cumsum(rest) - 1 + (base + low - np.cumsum(unary) + unary)[block]] = 1
+        found = np.packbits(bits).view(">u4").astype(np.uint32)
+        return np.split(found, np.cumsum(words)[:-1])
+
+    @classmethod
+    def unpacked(cls, words: list[np.ndarray]) -> tuple[_Counts, np.ndarray]:
+        """The table at the start of each block's words, and the words it takes."""
+        lanes, parts = len(words), len(_EDGES) - 1
+        taken = np.array([int(w[0]) >> 16 for w in words], np.int64)
+        bits = np.unpackbits(np.concatenate([w[:n] for w, n in zip(words, taken.tolist(), strict=True)]).astype(">u4").view(np.uint8))
+        base = 32 * (np.cumsum(taken) - taken)
+        heads = np.packbits(bits[base[:, None] + np.arange(16, 16 * (parts + 1))], axis=1).view(">u2").astype(np.int64)
+        held = heads & _NUMBER
+        sizes = held.sum(1)
+        per = np.concatenate((held, held), axis=1)
+        fixed = np.repeat(np.concatenate((_gap_bits(held), heads >> 14), axis=1).ravel(), per.ravel())
+        block = np.repeat(np.arange(lanes), 2 * sizes)
+        low = np.bincount(block, fixed, lanes).astype(np.int64)
+        base += 16 * (parts + 1)
+        place = np.cumsum(fixed) - fixed + (base - np.cumsum(low) + low)[block]
+        value = np.zeros(len(block), np.int64)
+        some = np.flatnonzero(fixed)
+        j = 0
+        while len(some):
+            value[some] |= bits[place[some] + j].astype(np.int64) << j
+            j += 1
+            some = some[fixed[some] > j]
+        inside = np.zeros(len(bits) + 1, np.int8)
+        inside[base - 16 * (parts + 1)] -= 1
+        inside[base + low] += 1
+        inside[0] += 1
+        marks = np.flatnonzero(bits & (np.cumsum(inside[:-1], dtype=np.int8) > 0).view(np.uint8))
+        rest = np.diff(marks, prepend=-1)
+        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        rest[first] = marks[first] - (base + low)[block[first]] + 1
+        value += (rest - 1) << fixed
+        gaps = _runs(2 * sizes) < sizes[block]
+        gap, counts = value[gaps], value[~gaps] + 1
+        lengths = held.ravel()
+        opens = np.cumsum(lengths) - lengths
+        sums = np.append(0, np.cumsum(gap + 1))
+        ids = sums[1:] - 1 + np.repeat(np.tile(_EDGES[:-1], lanes) - sums[opens], lengths)
+        return cls(sizes, ids, counts), taken
 
 
 class _Model:
     """The adaptive state of all lanes; coder and decoder step it alike, lane by lane."""
 
-    def __init__(self, lanes: int, size: int, inverse: bool) -> None:
-        lane = np.arange(lanes, dtype=np.int64)
-        self.lanes, self.lane, self.inverse, self.due = lanes, lane, inverse, _due(size)
-        self.table = np.zeros(lanes * (_SLOTS2 + _SLOTS1), np.int32)  # order 2, then order 1
-        self.base2, self.base1 = lane * _SLOTS2, lane * _SLOTS1 + lanes * _SLOTS2
-        self.count, self.cum = np.zeros((lanes, 1), np.int32), np.zeros((lanes, 2), np.int32)
-        self._grow(256)
-        self.coarse = np.zeros((1, lanes), np.int32)
-        self.known = np.zeros(lanes, np.int64)  # numbers given so far
-        self.weights = [np.full(lanes, w, np.int32) for w in _START]
-        self.lengths = np.repeat(np.arange(18, dtype=np.int32)[:, None], lanes, axis=1)  # cumulative counts of bit lengths
-        self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.index = np.empty((2, lanes), np.int64)
-        self.step = 0
-
-    def _grow(self, cap: int) -> None:
-        """Room for ``cap`` numbers. Number n has the interval [cum[n], cum[n + 1]); the one after the last stands for unseen ids."""
-        count, cum = np.zeros((self.lanes, cap + 4), np.int32), np.full((self.lanes, cap + 4), 1 << _BITS, np.int32)
-        count[:, : self.count.shape[1]] = self.count
-        cum[:, : self.cum.shape[1]] = self.cum
-        self.count, self.cum, self.cap = count, cum, cap
-        self.flat_count, self.flat_cum = count.ravel(), cum.ravel()
-        self.row = self.lane * (cap + 4)
-
-    def _refresh(self) -> None:
-        """Order-0 intervals from the counts; weights back into their bounds."""
-        for w in self.weights:
-            np.clip(w, -_MOST, _MOST, out=w)
-        most = int(self.known.max())
-        if not most:
-            return
-        counts = self.count[:, 1 : most + 1]
-        new = np.clip(((counts == 1).sum(1, dtype=np.int32) << _BITS) // self.step, _LEAST_NEW, 1 << (_BITS - 1))
-        known = self.known.astype(np.int32)
-        width = counts * (((((1 << _BITS) - new - known) << 12) // self.step)[:, None])  # a count is at most the steps: no overflow
-        width >>= 12
-        width += counts > 0
-        np.cumsum(width, axis=1, out=self.cum[:, 2 : most + 2])
-        np.putmask(self.cum[:, : most + 2], np.arange(most + 2, dtype=np.int32) > (known + 1)[:, None], 1 << _BITS)
-        if self.inverse:
-            self.coarse = np.ascontiguousarray(self.cum[:, 1 : most + 2 : _STEP].T)
-
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The number whose interval holds the value; one above the last known for an unseen id."""
-        found = (self.coarse <= value).sum(0, dtype=np.int16).astype(np.int64)
-        found -= 1
-        found *= _STEP
-        found += 1 + self.row
-        step = _STEP >> 1
-        while step:
-            found += step * (self.flat_cum.take(found + step, mode="clip") <= value)
-            step >>= 1
-        last = self.row + self.known + 1
-        found = np.where(self.flat_cum.take(last) <= value, last, found)
-        more = (self.flat_cum.take(found + 1) <= value).nonzero()[0]
-        while len(more):  # numbers given since the marks were set
-            found[more] += 1
-            more = more[self.flat_cum[found[more] + 1] <= value[more]]
-        return found - self.row
+    def __init__(self, counts: _Counts, size: int) -> None:
+        lanes = len(counts.sizes)
+        self.lanes, self.size, self.stride = lanes, size, int(counts.sizes.max()) + 1
+        self.row = np.arange(lanes, dtype=np.int64) * self.stride
+        self.left = np.zeros(lanes * self.stride, np.int32)  # occurrences still to come, by number
+        self.left[np.repeat(self.row + 1, counts.sizes) + _runs(counts.sizes)] = counts.counts
+        self.table = np.zeros((lanes << _SLOT_BITS) + len(self.left), np.int32)  # order 2, then order 1
+        self.base2, self.base1 = (np.arange(lanes, dtype=np.int64) << _SLOT_BITS).view(U), self.row + (lanes << _SLOT_BITS)
+        self.weights = np.repeat(np.array(_START, np.int32)[:, None], lanes, axis=1)
+        self.bias = np.full(lanes, _BIAS, np.int32)
+        self.a, self.hashed = np.zeros(lanes, np.int64), np.zeros(lanes, U)
+        self.index, self.x, self.y = np.empty((2, lanes), np.int64), np.empty((3, lanes), np.int32), np.empty((3, lanes), np.int32)
+        self.h = np.empty(lanes, U)
+
+    def refresh(self, done: np.ndarray, step: int, inverse: bool) -> None:
+        """Order-0 intervals from the occurrences still to come after the numbers ``done``; weights back into their bounds."""
+        np.clip(self.weights, -_MOST, _MOST, out=self.weights)
+        np.clip(self.bias, -_MOST, _MOST, out=self.bias)
+        if len(done):
+            self.left -= np.bincount((done + self.row).ravel(), minlength=len(self.left)).astype(np.int32)
+        ends = np.cumsum(self.left.reshape(self.lanes, self.stride), axis=1, dtype=np.int32).ravel()
+        self.total = self.size - step
+        ends -= self.left
+        ends <<= 16
+        ends |= self.left
+        self.span = ends  # start and length of an interval
+        self.log_total = _LOG[self.total]
+        if inverse:  # the number at each place of the intervals
+            self.slots = np.repeat(np.tile(np.arange(self.stride, dtype=np.uint16), self.lanes), self.left)
+            self.slot_row = np.arange(self.lanes, dtype=np.int64) * self.total
 
     def predict(self) -> None:
         """A candidate per lane and its probability (12 bits; 16 bits in ``wide``, 0 without a candidate)."""
-        if self.step in self.due:
-            self._refresh()
-        h = self.a * 0x9E3779B1
-        h += self.b * 0x85EBCA77
-        np.add((h >> 9) & (_SLOTS2 - 1), self.base2, out=self.index[0])
-        np.add(self.a & (_SLOTS1 - 1), self.base1, out=self.index[1])
-        self.check = (h & _CHECK).astype(np.int32)
-        entry = self.table.take(self.index)
+        h, index = self.h, self.index
+        np.multiply(self.a.view(U), _HASH_A, out=h)
+        h += self.hashed
+        np.right_shift(h, U(64 - _SLOT_BITS), out=index[0].view(U))
+        index[0].view(U)[:] += self.base2
+        np.add(self.a, self.base1, out=index[1])
+        h >>= U(20)
+        self.check = h.astype(np.int32)
+        self.check &= _CHECK
+        entry = self.table.take(index)
         entry[0] ^= self.check
         entry[0] *= entry[0] <= 0xFFFFFF
         self.cands = cands = entry & _NUMBER
-        self.conf = conf = entry >> 14
-        use2 = cands[0] > 0
-        self.cand = cand = np.where(use2, cands[0], cands[1])
-        self.has = cand > 0
-        logit = _LOGIT.take(conf)
-        self.x2 = logit[0] * use2
-        self.x1 = logit[1] * (cands[1] == cand)
-        self.x0 = _LOG.take(self.flat_count.take(self.row + cand))
-        self.x0 -= _LOG[min(self.step, len(_LOG) - 1)]
-        w2, w1, w0, bias = self.weights
-        z = w2 * self.x2
-        z += w1 * self.x1
-        z += w0 * self.x0
+        entry >>= 14
+        self.conf = entry
+        self.cand = cand = np.where(cands[0] > 0, cands[0], cands[1])
+        left = self.span.take(self.row + cand)
+        left &= 0xFFFF
+        x = self.x
+        _LOGIT.take(entry, out=x[:2], mode="clip")
+        x[1] *= cands[1] == cand
+        _LOG.take(left, out=x[2], mode="clip")
+        x[2] -= self.log_total
+        z = np.add.reduce(np.multiply(self.weights, x, out=self.y), axis=0, dtype=np.int32)
         z >>= 14
-        z += bias
-        z += 2048
+        z += self.bias
         self.p = _SQUASH.take(z, mode="clip")
-        self.wide = ((self.p << 4) * self.has).astype(U)
-
-    def literal(self, new: np.ndarray, width: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Unit of the bit lengths' interval, where ``length`` starts in it, and the width of one id of that length."""
-        start, stop = self.lengths[length, new].astype(U), self.lengths[length + 1, new].astype(U)
-        unit = width // self.lengths[17, new].astype(U)
-        return unit, start, (unit * (stop - start)) >> np.maximum(length - 1, 0).astype(U)
-
-    def met(self, new: np.ndarray, length: np.ndarray) -> None:
-        self.lengths[:, new] += (np.arange(18)[:, None] > length) * np.int32(2)
-
-    def update(self, s: np.ndarray, hit: np.ndarray, new: np.ndarray) -> None:
-        """Take in the numbers ``s``; ``new`` are the lanes where they are new."""
-        err = (hit.astype(np.int32) << 12) - self.p
-        err *= self.has
-        w2, w1, w0, bias = self.weights
-        w2 += (self.x2 * err) >> _RATE
-        w1 += (self.x1 * err) >> _RATE
-        w0 += (self.x0 * err) >> _RATE
-        bias += err >> 9
-        s32 = s.astype(np.int32)
-        after = _AFTER.take(self.conf + ((self.cands == s32) * np.int32(1024)))
-        entry = np.where(after > 0, after + self.cands, s32 + np.int32(_FRESH << 14))
+        self.p *= left > 0
+        self.wide = (self.p << 4).astype(U)
+
+    def update(self, s: np.ndarray, s64: np.ndarray, hit: np.ndarray) -> None:
+        """Take in the numbers ``s``."""
+        err = hit.astype(np.int32)
+        err <<= 12
+        err -= self.p
+        x = self.x
+        x *= err
+        x >>= _RATE
+        self.weights += x
+        err >>= 9
+        self.bias += err
+        state = self.conf
+        state += (self.cands == s) * np.int32(1024)
+        entry = _AFTER.take(state, mode="clip")
+        weak = entry == 0
+        entry += self.cands
+        np.copyto(entry, s + np.int32(_FRESH << 14), where=weak)
         entry[0] ^= self.check
         self.table[self.index] = entry
-        if len(new):
-            known = self.known[new] + 1
-            self.known[new] = known
-            if int(known.max()) >= self.cap:
-                self._grow(self.cap * 2)
-            at = self.row[new] + known
-            start = self.flat_cum[at]
-            left = (1 << _BITS) - start
-            self.flat_cum[at + 1] = start + np.where(left >= 64, left >> 5, 1)
-        self.flat_count[self.row + s] += 1
-        self.b, self.a = self.a, s
-        self.step += 1
-
-
-def _numbers(blocks: np.ndarray) -> np.ndarray:
-    """Per block each id's number, from 1, by first appearance."""
-    out, place = np.empty(blocks.shape, np.uint16), np.arange(blocks.shape[1])
-    first = np.empty(1 << 16, np.int64)
-    for ids, row in zip(blocks, out, strict=True):
-        first[ids[::-1]] = place[::-1]
-        at = first[ids]
-        row[:] = np.cumsum(at == place).take(at)
-    return out
+        np.multiply(self.a.view(U), _HASH_B, out=self.hashed)
+        self.a = s64
 
 
 class _Writer:
     """Range coders of all lanes."""
 
     def __init__(self, lanes: int, size: int) -> None:
-        self.stride = size // 2 + 600
+        self.stride = size // 2 + 2 * _REFRESH + 100
         self.words = np.zeros(lanes * self.stride, np.uint32)
         self.start = np.arange(lanes, dtype=np.int64) * self.stride
         self.pos = self.start + 1  # a first word takes a carry out of the second
         self.low, self.width = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
 
     def room(self) -> None:
-        """Room for 128 more ids, which take two words each at most, and for the last words."""
-        if int((self.pos - self.start).max()) + 300 > self.stride:
+        """Room for the ids up to the next refresh, which take a word each at most, and for the last words."""
+        if int((self.pos - self.start).max()) + _REFRESH + 100 > self.stride:
             lanes = len(self.pos)
             words = np.zeros((lanes, 2 * self.stride), np.uint32)
             words[:, : self.stride] = self.words.reshape(lanes, -1)
@@ -248,7 +305,8 @@ class _Writer:
 
     def put(self, moved: np.ndarray, width: np.ndarray) -> None:
         """Narrow every lane to ``[low + moved, + width)``."""
-        low = self.low + moved
+        low = self.low
+        low += moved
         over = (low < moved).nonzero()[0]
         if len(over):
             self._carry(self.pos[over] - 1)
@@ -258,19 +316,7 @@ class _Writer:
         self.pos[small] = where + 1
         low[small] = out << _WORD
         width[small] <<= _WORD
-        self.low, self.width = low, width
-
-    def put_some(self, lanes: np.ndarray, moved: np.ndarray, width: np.ndarray) -> None:
-        """The same in some lanes."""
-        low = self.low[lanes] + moved
-        self._carry(self.pos[lanes[low < moved]] - 1)
-        small = (width < _FULL).nonzero()[0]
-        where = self.pos[lanes[small]]
-        self.words[where] = low[small] >> _WORD
-        self.pos[lanes[small]] = where + 1
-        low[small] <<= _WORD
-        width[small] <<= _WORD
-        self.low[lanes], self.width[lanes] = low, width
+        self.width = width
 
     def done(self) -> list[np.ndarray]:
         for shift in (32, 0):
@@ -279,95 +325,86 @@ class _Writer:
         return [self.words[a:b] for a, b in zip(self.start.tolist(), self.pos.tolist(), strict=True)]
 
 
-def _bit_length(ids: np.ndarray) -> np.ndarray:
-    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)
-
-
 def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
     """Words (uint32) of each row of ``ids`` (blocks x block size, below 65536)."""
     lanes, size = ids.shape
-    model, out = _Model(lanes, size, False), _Writer(lanes, size)
-    columns, values = np.ascontiguousarray(_numbers(ids).T), np.ascontiguousarray(ids.T)
+    counts, numbers = _Counts.of(ids)
+    model, out = _Model(counts, size), _Writer(lanes, size)
+    columns = np.ascontiguousarray(numbers.T)
     for t, column in enumerate(columns):
-        if t % 128 == 0:
+        if t % _REFRESH == 0:
             out.room()
-        s = column.astype(np.int64)
+            model.refresh(columns[max(t - _REFRESH, 0) : t], t, False)
+            total = U(model.total)
+        s, s64 = column.astype(np.int32), column.astype(np.int64)
         model.predict()
         hit = s == model.cand
-        x = (out.width >> _HALF) * model.wide
-        unit = (out.width - x) >> U(_BITS)
-        at = model.row + s
-        start = model.flat_cum.take(at)
-        freq = model.flat_cum.take(at + 1) - start
-        out.put(np.where(hit, U(0), x + unit * start.astype(U)), np.where(hit, x, unit * freq.astype(U)))
-        new = (s > model.known).nonzero()[0]
-        if len(new):
-            literal = values[t, new].astype(np.int64)
-            length = _bit_length(literal)
-            unit, start, fine = model.literal(new, out.width[new], length)
-            out.put_some(new, unit * start + fine * (literal - ((1 << length) >> 1)).astype(U), fine)
-            model.met(new, length)
-        model.update(s, hit, new)
-    return out.done()
+        x = out.width >> _HALF
+        x *= model.wide
+        unit = out.width - x
+        unit //= total
+        span = model.span.take(model.row + s64)
+        moved = (span >> 16).astype(U)
+        moved *= unit
+        moved += x
+        moved *= ~hit
+        span &= 0xFFFF
+        unit *= span.astype(U)
+        out.put(moved, np.where(hit, x, unit))
+        model.update(s, s64, hit)
+    heads = [w for k in range(0, lanes, _TOGETHER) for w in counts.part(k, min(k + _TOGETHER, lanes)).packed()]
+    return [np.concatenate(pair) for pair in zip(heads, out.done(), strict=True)]
 
 
 def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
     """The rows that ``encode_blocks`` was given."""
     lanes = len(words)
-    model = _Model(lanes, size, True)
-    longest = max(len(w) for w in words) + 8
+    read = [_Counts.unpacked(words[k : k + _TOGETHER]) for k in range(0, lanes, _TOGETHER)]
+    counts = _Counts(*(np.concatenate([getattr(c, of) for c, _ in read]) for of in ("sizes", "ids", "counts")))
+    taken = np.concatenate([n for _, n in read])
+    model = _Model(counts, size)
+    longest = int(max(len(w) - n for w, n in zip(words, taken.tolist(), strict=True))) + 8
     held = np.zeros((lanes, longest), np.uint32)
-    for k, w in enumerate(words):
-        held[k, : len(w)] = w
-    flat, pos = held.ravel().astype(U), np.arange(lanes, dtype=np.int64) * longest + 3
+    for k, (w, n) in enumerate(zip(words, taken.tolist(), strict=True)):
+        held[k, : len(w) - n] = w[n:]
+    flat, pos = held.ravel(), np.arange(lanes, dtype=np.int64) * longest + 3
     last = np.arange(1, lanes + 1, dtype=np.int64) * longest - 1  # damaged words can't lead out of their lane
-    code = (flat[pos - 2] << _WORD) | flat[pos - 1]
+    code = (flat[pos - 2].astype(U) << _WORD) | flat[pos - 1]
     width = np.full(lanes, (1 << 64) - 1, U)
-    names = np.zeros((lanes, 512), np.uint16)
-    flat_names, name_row = names.ravel(), model.lane * names.shape[1]
     out = np.empty((size, lanes), np.uint16)
-
-    def refill(small: np.ndarray) -> None:
-        where = pos[small]
-        code[small] = (code[small] << _WORD) | flat[where]
-        pos[small] = np.minimum(where + 1, last[small])
-        width[small] <<= _WORD
-
     for t in range(size):
+        if t % _REFRESH == 0:
+            model.refresh(out[max(t - _REFRESH, 0) : t], t, True)
+            total = U(model.total)
         model.predict()
-        x = (width >> _HALF) * model.wide
+        x = width >> _HALF
+        x *= model.wide
         hit = code < x
-        unit = (width - x) >> U(_BITS)
+        width -= x
+        width //= total
         after = code - x
-        value = np.minimum(after // unit, U((1 << _BITS) - 1)).astype(np.int32)
-        value[hit] = 0
-        found = model.find(value)
-        at = model.row + found
-        start = model.flat_cum.take(at)
-        freq = model.flat_cum.take(at + 1) - start
-        s = np.where(hit, model.cand, found)
-        code = np.where(hit, code, after - unit * start.astype(U))
-        width = np.where(hit, x, unit * freq.astype(U))
-        refill((width < _FULL).nonzero()[0])
-        new = (s > model.known).nonzero()[0]
-        if len(new):
-            total = model.lengths[17, new].astype(U)
-            value = np.minimum(code[new] // (width[new] // total), total - U(1)).astype(np.int32)
-            length = (model.lengths[1:17].take(new, axis=1) <= value).sum(0)
-            unit, start, fine = model.literal(new, width[new], length)
-            mine = code[new] - unit * start
-            low = np.minimum(mine // fine, (U(1) << np.maximum(length - 1, 0).astype(U)) - U(1))
-            code[new], width[new] = mine - fine * low, fine
-            refill(new[fine < _FULL])
-            model.met(new, length)
-            at = model.known[new] + 1
-            if int(at.max()) >= names.shape[1]:
-                names = np.concatenate((names, np.zeros_like(names)), axis=1)
-                flat_names, name_row = names.ravel(), model.lane * names.shape[1]
-            flat_names[name_row[new] + at] = low.astype(np.int64) + ((1 << length) >> 1)
-        model.update(s, hit, new)
-        flat_names.take(name_row + s, out=out[t], mode="clip")
-    return out.T
+        value = after // width
+        np.minimum(value, total - U(1), out=value)
+        value = value.view(np.int64)
+        value += model.slot_row
+        found = model.slots.take(value).astype(np.int64)
+        span = model.span.take(model.row + found)
+        after -= (span >> 16).astype(U) * width
+        span &= 0xFFFF
+        width *= span.astype(U)
+        s64 = np.where(hit, model.cand, found)
+        code = np.where(hit, code, after)
+        width = np.where(hit, x, width)
+        small = (width < _FULL).nonzero()[0]
+        where = pos[small]
+        code[small] = (code[small] << _WORD) | flat[where]
+        pos[small] = np.minimum(where + 1, last[small])
+        width[small] <<= _WORD
+        model.update(s64.astype(np.int32), s64, hit)
+        out[t] = s64
+    numbers = np.ascontiguousarray(out.T)
+    rows = [counts.ids[a : a + n].astype(np.uint16).take(row - np.uint16(1), mode="clip") for a, n, row in zip(counts.starts.tolist(), counts.sizes.tolist(), numbers, strict=True)]
+    return np.stack(rows)
 
 
 def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, local_start: int, block: int = BLOCK, lanes: int = LANES) -> bytes:
@@ -452,6 +489,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLO
         def flush() -> pa.RecordBatch:
             nonlocal seq, start, names, counts, streams, held, at, file
             ids, streams = np.concatenate(streams), []
+            tidy()
             data = pack_segment(names, counts, ids, start, block, lanes)
             file = file or store.open_output_stream(name)
             file.write(data)
@@ -461,7 +499,9 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLO
 
         for table in gathered(batches):
             ids, offsets = enc.encode(table["text"])
-            stream = np.insert(ids, offsets[1:], np.uint32(end_id)).astype("<u4")
+            stream = np.insert(ids, offsets[1:], np.uint32(end_id))
+            if not len(stream) or int(stream.max()) <= 0xFFFF:  # larger ids are refused when they are packed
+                stream = stream.astype("<u2")
             sizes = np.diff(offsets) + 1
             own, done = table["doc_id"].to_pylist(), 0
             for k, n in enumerate(sizes.tolist()):

@@ -3,7 +3,9 @@
 A text is cut where no token can cross (in front of a space that follows a character
 other than white space). Pieces are dictionary-encoded in Arrow, each distinct piece is
 encoded once by the ``tokenizers`` library, and the ids are gathered back in Arrow. Texts
-whose white space doesn't allow this are cut by a slower, equally exact pattern.
+whose white space doesn't allow this are cut by a slower, equally exact pattern. Where the
+tokenizer drops white space, the distinct pieces are cut into words together and the library
+encodes all words it hasn't seen at once; the end of a word shows in its last id.
 """
 
 from __future__ import annotations
@@ -25,7 +27,13 @@ _RUNS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _INNER = r"[\t-\r \x{85}\p{Z}] ([\t-\r \x{85}\p{Z}]|$)"
 _LETTER = "A-Za-zÀ-ÖØ-öø-įĲ-ɏ"
 _PLAIN = re.compile(f"[\\n\\t -~{_LETTER}]*\\Z")
+#: What the pattern for single pieces would not take (RE2 syntax).
+_ODD = f"[^\\n\\t -~{_LETTER}]|<\\|"
 _CONTRACTION = "'s|'t|'re|'ve|'m|'ll|'d"
+#: The words of many pieces, each of which ends in a null character, and these ends.
+_WORDS = re.compile(f"{_CONTRACTION}|[{_LETTER}]+|[0-9]|\0|[^\\s{_LETTER}0-9\0]+")
+#: Words given to the library at once.
+_TOGETHER = 2000
 #: The tokenizers' own split patterns, narrowed to the characters of ``_PLAIN``.
 _SPLITS = {
     True: re.compile(f"{_CONTRACTION}| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s{_LETTER}0-9]+|\\s+(?!\\S)|\\s+"),
@@ -33,6 +41,12 @@ _SPLITS = {
 }
 
 
+def _joined(array: pa.Array, end: str) -> str:
+    """The strings of an array in one, each followed by ``end``."""
+    large = pa.large_string()
+    return pc.binary_join_element_wise(array.cast(large), pa.scalar("", large), pa.scalar(end, large)).buffers()[2].to_pybytes().decode()
+
+
 def gathered(batches: Iterable[pa.RecordBatch], size: int = CHUNK) -> Iterator[pa.Table]:
     """Record batches put together to about ``size`` bytes."""
     held, held_bytes = [], 0
@@ -54,7 +68,7 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.lib = Tokenizer.from_file(path)
         self.model = self.lib.model
@@ -69,6 +83,13 @@ class Encoder:
             text = chr(c)
             shown |= dict(zip(text.encode().decode("latin-1"), level.pre_tokenize_str(text)[0][0], strict=True))
         self.shown = str.maketrans(shown)
+        self.last = np.zeros(self.lib.get_vocab_size(), bool)  # ids that end a word
+        if self.words:
+            #: The same model for words that are already cut, lower-case and shown as bytes.
+            self.bare = Tokenizer(self.model)
+            self.bare.pre_tokenizer = CharDelimiterSplit(" ")
+            self.shown_words = {k: v for k, v in self.shown.items() if k != ord(" ")}
+            self.last[[i for t, i in self.lib.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
         self.cap = cache
         self.pieces: dict[bytes, bytes] = {}
         self.tokens: dict[str, bytes] = {}
@@ -101,6 +122,48 @@ class Encoder:
                     self.pieces[keys[k]] = ids
         return found
 
+    def _fresh(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the lower-case words, which the tokenizer doesn't cut; many are encoded together."""
+        out = []
+        for at in range(0, len(words), _TOGETHER):
+            some = words[at : at + _TOGETHER]
+            shown = " ".join(some).encode().decode("latin-1").translate(self.shown_words)
+            ids = np.array(self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):  # a word's last id doesn't show
+                out += map(self._token, some)
+                continue
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)]  # noqa: B905 - one shorter by intent
+        return out
+
+    def _word_pieces(self, array: pa.Array) -> pa.Array:
+        """Ids of each piece of a large_string array, for tokenizers that drop white space."""
+        if not len(array):
+            return pa.array([], pa.large_binary())
+        odd = pc.match_substring_regex(array, _ODD)
+        slow = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
+        found = _WORDS.findall(_joined(pc.if_else(odd, "", array) if slow else array, "\0").lower())
+        coded = pc.dictionary_encode(pa.array(found, pa.large_string()))
+        words = _joined(coded.dictionary, "\n").split("\n")[:-1]
+        codes = coded.indices.to_numpy().astype(np.int64)
+        end = words.index("\0")
+        table = list(map(self.tokens.get, words))
+        table[end] = b""
+        missing = [k for k, ids in enumerate(table) if ids is None]
+        for k, ids in zip(missing, self._fresh([words[k] for k in missing]), strict=True):
+            table[k] = ids
+            if len(self.tokens) < 2 * self.cap:  # there is no cache of pieces
+                self.tokens[words[k]] = ids
+        taken = pa.array(table, pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8)
+        offsets = np.concatenate((ends[:1], ends[1:][codes == end]))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(array), [None, pa.py_buffer(offsets), taken.buffers()[2]])
+        if slow:
+            rest = pa.array([self._encode(array[k].as_py()) for k in slow], pa.large_binary())
+            pieces = pc.replace_with_mask(pieces, odd, rest)
+        return pieces
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids as little-endian uint32, offsets of each text in them); null is empty."""
         texts = pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, "")
@@ -131,13 +194,16 @@ class Encoder:
         coded = pc.dictionary_encode(lists.flatten())
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         starts = starts - starts[0]
-        table = self._pieces(coded.dictionary)
-        n = len(table)
-        if self.spaced:
+        if self.words:
+            table = self._word_pieces(coded.dictionary)
+        else:
+            table = self._pieces(coded.dictionary)
+            n = len(table)
             firsts = lists.flatten().take(pa.array(starts[:-1])).to_pylist()
             table += [odd[k] if k in odd else self._encode(p) for k, p in enumerate(firsts)]
             codes[starts[:-1]] = n + np.arange(len(firsts))
-        taken = pa.array(table, pa.large_binary()).take(pa.array(codes))
+            table = pa.array(table, pa.large_binary())
+        taken = table.take(pa.array(codes))
         ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8)
         ids = np.frombuffer(taken.buffers()[2], "<u4", int(ends[-1] - ends[0]) // 4, int(ends[0])) if len(taken) and ends[-1] > ends[0] else np.zeros(0, "<u4")
         return ids, (ends[starts] - ends[0]) // 4
