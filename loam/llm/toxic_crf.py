@@ -7,17 +7,20 @@ one the tokens are that have a feature which toxic documents use significantly m
 As the fit goes on, forward-backward marginals of the field, given that the document is
 toxic, are the expected tags, and toxic documents that have none yet raise the marginals of
 their likeliest tokens. An L1 penalty leaves few features with a weight. Scoring runs
-forward-backward over the whole text; runs of tokens without any weighted feature, which
-share one potential, are jumped by exact matrix powers. The marginals give the offending
-offsets and, through a logistic link, the document's score.
+forward-backward over the whole texts of many documents side by side: texts are cut into
+pieces, products of the moves over a piece carry exactly what comes before and after it.
+The marginals give the offending offsets and, through a logistic link, the document's score.
 """
 
 from __future__ import annotations
 
 import pickle
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain as chained
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,8 @@ THRESHOLD = 0.3
 PIECE = 256
 _TOKEN = re.compile(r"[^\W\d_]+")
 _CACHE = 200_000
+#: Characters of texts read side by side (or one longer text), and tokens of a piece.
+_CHARS, _STRETCH = 2_000_000, 64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -52,11 +57,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
+def _shape(word: str, low: str) -> str:
+    return "lower" if word == low else "upper" if word == word.upper() and len(word) > 1 else "title" if word[1:] == low[1:] else "mixed"
+
+
 def _features(word: str) -> list[str]:
     """The word, its affixes and its shape."""
     low = word.lower()
-    shape = "lower" if word == low else "upper" if word == word.upper() and len(word) > 1 else "title" if word[1:] == low[1:] else "mixed"
-    own = [f"w:{low}", f"shape:{shape}", f"length:{min(len(low), 20) // 4}"]
+    own = [f"w:{low}", f"shape:{_shape(word, low)}", f"length:{min(len(low), 20) // 4}"]
     own += [f"p:{low[:n]}" for n in PREFIXES if len(low) > n]
     return own + [f"s:{low[-n:]}" for n in SUFFIXES if len(low) > n]
 
@@ -70,107 +78,163 @@ class Model:
     move: np.ndarray  # 2 x 2 log potentials
     start: np.ndarray
     link: np.ndarray  # bias, weights of the document's aggregates
-    jumps: dict = field(default_factory=dict)
-
-    def entry(self, word: str) -> tuple[float, float, float] | None:
-        """What a word adds to its own potential, to the next token's and to that of the one before; None if nothing."""
-        found = [self.weights[f] for f in _features(word) if f in self.weights]
-        return (sum(f[0] for f in found), sum(f[1] for f in found), sum(f[2] for f in found)) if found else None
 
 
 class _Entries(dict):
-    """What words add, by word as written; filled as words come, emptied when large."""
+    """What words add, by word as written: to their own potential, to the next token's, to that of the one before; None if nothing.
+
+    Filled as words come, emptied when large. The weights of ``_features`` are looked up by kind.
+    """
 
     def __init__(self, model: Model) -> None:
         super().__init__()
-        self.model = model
+        kinds = {"w": {}, "shape": {}, "length": {}, "p": {}, "s": {}}
+        for feature, weights in model.weights.items():
+            kind, _, name = feature.partition(":")
+            kinds[kind][name] = weights
+        self.words, self.shapes, lengths, self.prefixes, self.suffixes = kinds.values()
+        self.lengths = [lengths.get(str(min(n, 20) // 4)) for n in range(21)]
 
     def __missing__(self, word: str) -> tuple[float, float, float] | None:
-        found = self.model.entry(word)
+        low = word.lower()
+        size, prefix, suffix = len(low), self.prefixes.get, self.suffixes.get
+        found = [self.words.get(low), self.shapes.get(_shape(word, low)), self.lengths[min(size, 20)]]
+        found += [prefix(low[:n]) for n in PREFIXES if size > n]
+        found += [suffix(low[-n:]) for n in SUFFIXES if size > n]
+        own, before, after, some = 0.0, 0.0, 0.0, False
+        for weights in found:
+            if weights is not None:
+                own, before, after, some = own + weights[0], before + weights[1], after + weights[2], True
         if len(self) >= _CACHE:
             self.clear()
-        self[word] = found
-        return found
-
+        self[word] = entry = (own, before, after) if some else None
+        return entry
 
-def _jump(model: Model, n: int) -> tuple[float, float, float, float]:
-    """Product of the transitions over ``n`` tokens without weighted features, scaled."""
-    found = model.jumps.get(n)
-    if found is None:
-        step = np.exp(model.move) * np.array([1.0, np.exp(model.emit[0])])
-        values, vectors = np.linalg.eig(step)
-        power = (vectors * (values / np.abs(values).max()) ** n) @ np.linalg.inv(vectors) if n else np.eye(2)
-        power = np.maximum(np.real(power), 0.0)
-        found = tuple((power / power.max()).ravel().tolist())
-        if len(model.jumps) < _CACHE:
-            model.jumps[n] = found
-    return found
 
+def chains(model: Model, potentials: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """P(toxic) of all tokens of documents, one after the other, from the tokens' log potentials.
 
-def chain(model: Model, at: list[int], potentials: list[float], total: int) -> np.ndarray:
-    """P(toxic) of the tokens ``at`` with their log potentials; all other ``total`` tokens have no weighted feature.
-
-    Forward-backward in the probability domain, rescaled at each of these tokens.
+    Forward-backward on odds, pieces of ``_STRETCH`` tokens side by side. A piece's product of
+    moves gives the odds at which the next one starts, so that the result is that of the whole text.
     """
-    if not at:
+    if not len(potentials):
         return np.zeros(0)
     (m00, m01), (m10, m11) = np.exp(model.move).tolist()
     s0, s1 = np.exp(model.start).tolist()
-    plain = float(np.exp(model.emit[0]))
-    seen = np.exp(np.clip(potentials, -60, 60)).tolist()
-    forward, a0, a1 = [], 0.0, 0.0
-    for k, i in enumerate(at):
-        if not k and not i:
-            a0, a1 = s0, s1 * seen[0]
-        else:
-            if k:
-                gap = i - at[k - 1] - 1
-            else:
-                a0, a1, gap = s0, s1 * plain, i - 1
-            if gap:
-                j00, j01, j10, j11 = _jump(model, gap)
-                a0, a1 = a0 * j00 + a1 * j10, a0 * j01 + a1 * j11
-            a0, a1 = a0 * m00 + a1 * m10, (a0 * m01 + a1 * m11) * seen[k]
-        whole = a0 + a1
-        a0, a1 = a0 / whole, a1 / whole
-        forward.append((a0, a1))
-    out = np.zeros(len(at))
-    j00, j01, j10, j11 = _jump(model, total - at[-1] - 1)
-    b0, b1 = j00 + j01, j10 + j11
-    for k in range(len(at) - 1, -1, -1):
-        a0, a1 = forward[k]
-        out[k] = a1 * b1 / (a0 * b0 + a1 * b1)
-        if k:
-            b1 *= seen[k]
-            b0, b1 = m00 * b0 + m01 * b1, m10 * b0 + m11 * b1
-            gap = at[k] - at[k - 1] - 1
-            if gap:
-                j00, j01, j10, j11 = _jump(model, gap)
-                b0, b1 = j00 * b0 + j01 * b1, j10 * b0 + j11 * b1
-            whole = b0 + b1
-            b0, b1 = b0 / whole, b1 / whole
+    lengths = lengths[lengths > 0]
+    pieces = -(-lengths // _STRETCH)
+    total, opens = int(pieces.sum()), np.cumsum(pieces) - pieces
+    nth = np.arange(total) - np.repeat(opens, pieces)
+    sizes = np.minimum(np.repeat(lengths, pieces) - nth * _STRETCH, _STRETCH)
+    starts = np.cumsum(sizes) - sizes
+    # Longest pieces first, so that those still running at a step are the first ones.
+    order = np.argsort(-sizes, kind="stable")
+    column = np.empty(total, np.int64)
+    column[order] = np.arange(total)
+    sizes, starts, nth = sizes[order], starts[order], nth[order]
+    long = int(sizes[0])
+    alive = (sizes > np.arange(long)[:, None]).sum(1).tolist()
+    places = np.minimum(starts + np.arange(long)[:, None], len(potentials) - 1)
+    e = np.exp(np.clip(potentials, -60, 60))[places]
+    # Products of the moves into a piece's tokens; into a document's first one it is the start, whatever came before.
+    first = nth == 0
+    t00, t01 = np.where(first, s0, m00), np.where(first, s1, m01) * e[0]
+    t10, t11 = np.where(first, s0, m10), np.where(first, s1, m11) * e[0]
+    for i in range(1, long):
+        m, up = alive[i], e[i, : alive[i]]
+        for low, high in ((t00, t01), (t10, t11)):
+            a, b = low[:m], high[:m]
+            low[:m], high[:m] = a * m00 + b * m10, (a * m01 + b * m11) * up
+        if i % 4 == 0:
+            whole = t00[:m] + t01[:m] + t10[:m] + t11[:m]
+            for t in (t00, t01, t10, t11):
+                t[:m] /= whole
+    # Odds in front of each piece's first token, and behind its last one; pieces of the same ordinal at once.
+    into, behind = np.zeros(total), np.ones(total)
+    many = int(pieces.max())
+    rank = np.argsort(-pieces, kind="stable")
+    firsts, running = opens[rank], (pieces > np.arange(many)[:, None]).sum(1).tolist()
+    for k in range(1, many):
+        at = column[firsts[: running[k]] + k - 1]
+        r = into[at]
+        odds = (t01[at] + r * t11[at]) / (t00[at] + r * t10[at])
+        into[column[firsts[: running[k]] + k]] = odds
+    for k in range(many - 1, 0, -1):
+        at = column[firsts[: running[k]] + k]
+        q = behind[at]
+        behind[column[firsts[: running[k]] + k - 1]] = (t10[at] + t11[at] * q) / (t00[at] + t01[at] * q)
+    forward = np.empty((long, total))
+    forward[0] = np.where(first, s1 / s0, (m01 + into * m11) / (m00 + into * m10)) * e[0]
+    for i in range(1, long):
+        m = alive[i]
+        r = forward[i - 1, :m]
+        forward[i, :m] = (m01 + r * m11) / (m00 + r * m10) * e[i, :m]
+    out = np.empty(len(potentials))
+    for i in range(long - 1, -1, -1):
+        m = alive[i]
+        q = behind[:m]
+        odds = forward[i, :m] * q
+        out[starts[:m] + i] = odds / (1 + odds)
+        if i:
+            up = e[i, :m] * q
+            behind[:m] = (m10 + m11 * up) / (m00 + m01 * up)
     return out
 
 
+def chain(model: Model, at: list[int], potentials: list[float], total: int) -> np.ndarray:
+    """P(toxic) of the tokens ``at`` with their log potentials; all other ``total`` tokens have no weighted feature."""
+    dense = np.full(total, float(model.emit[0]))
+    dense[at] = potentials
+    return chains(model, dense, np.array([total]))[at]
+
+
 def marginals(model: Model, at: list[int], entries: list[int], total: int) -> np.ndarray:
     """``chain`` with potentials named by their number in ``model.emit``."""
     return chain(model, at, [float(model.emit[e]) for e in entries], total)
 
 
+def reads(model: Model, entries: _Entries, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Per text (places of tokens with a potential of their own, their P(toxic), number of all tokens)."""
+    words = [_TOKEN.findall(t) for t in texts]
+    lengths = np.array([len(w) for w in words], np.int64)
+    types = defaultdict(count().__next__)
+    codes = np.fromiter(map(types.__getitem__, chained.from_iterable(words)), np.int64, int(lengths.sum()))
+    del words
+    found = [entries[w] for w in types]
+    own = np.array([f or (0.0, 0.0, 0.0) for f in found], float).reshape(-1, 3)[codes]
+    special = np.array([f is not None for f in found], bool)[codes]
+    ends = np.cumsum(lengths)
+    inner = np.ones(len(codes) + 1, bool)  # whether a token follows one of the same text
+    inner[ends] = inner[0] = False
+    inner = inner[1:-1]
+    potentials = own[:, 0] + float(model.emit[0])
+    potentials[1:] += own[:-1, 1] * inner
+    potentials[:-1] += own[1:, 2] * inner
+    special[1:] |= (own[:-1, 1] != 0) & inner
+    special[:-1] |= (own[1:, 2] != 0) & inner
+    probs = chains(model, potentials, lengths)
+    for end, n in zip(ends.tolist(), lengths.tolist(), strict=True):
+        at = np.flatnonzero(special[end - n : end])
+        yield at, probs[end - n : end][at], n
+
+
 def read(model: Model, entries: _Entries, text: str) -> tuple[list[int], np.ndarray, int]:
-    """(places of tokens with a potential of their own, their P(toxic), number of all tokens)."""
-    found = [entries[w] for w in _TOKEN.findall(text)]
-    extra: dict[int, float] = {}
-    total = len(found)
-    for i, f in enumerate(found):
-        if f:
-            extra[i] = extra.get(i, 0.0) + f[0]
-            if f[1] and i + 1 < total:
-                extra[i + 1] = extra.get(i + 1, 0.0) + f[1]
-            if f[2] and i:
-                extra[i - 1] = extra.get(i - 1, 0.0) + f[2]
-    at, plain = sorted(extra), float(model.emit[0])
-    return at, chain(model, at, [plain + extra[i] for i in at], total), total
+    """``reads`` of one text."""
+    at, probs, total = next(reads(model, entries, [text]))
+    return at.tolist(), probs, total
+
+
+def _together(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in lists of about ``_CHARS`` characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= _CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def aggregates(probs: np.ndarray, total: int) -> np.ndarray:
@@ -335,7 +399,7 @@ def fitted(read_: list[str], tags: list[int]) -> Model | None:
     table = {held.names[k]: tuple(weights[:, k].tolist()) for k in strong.tolist()}
     model = Model(table, np.array([bias]), np.array([[0.0, move[0]], [move[1], move[2]]]), np.array([0.0, start]), np.zeros(4))
     entries = _Entries(model)
-    x = np.array([aggregates(probs, total) for _, probs, total in (read(model, entries, t) for t in read_)])
+    x = np.array([aggregates(probs, total) for some in _together(read_) for _, probs, total in reads(model, entries, some)])
     model.link = _fit_link(x, np.array(tags, float))
     return model
 
@@ -372,16 +436,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int =
     return pickle.loads(found[0].model) if found else None
 
 
-def tag(model: Model | None, text: str | None, entries: dict | None = None) -> tuple[float, list[int], list[int]]:
-    """(score, starts, ends): offsets in code points of runs of tokens with marginal 0.5 or more."""
-    if model is None or not text:
-        return (0.0 if model is None else score(model, np.zeros(0), 0)), [], []
-    entries = _Entries(model) if entries is None else entries
-    at, probs, total = read(model, entries, text)
-    bad = {i for i, p in zip(at, probs.tolist(), strict=True) if p >= 0.5}
-    starts, ends = [], []
+def _spans(text: str, bad: set[int]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs of the tokens ``bad``."""
+    starts, ends, last = [], [], -2
     if bad:
-        last = -2
         for i, m in enumerate(_TOKEN.finditer(text)):
             if i in bad:
                 if last == i - 1:
@@ -390,7 +448,24 @@ def tag(model: Model | None, text: str | None, entries: dict | None = None) -> t
                     starts.append(m.start())
                     ends.append(m.end())
                 last = i
-    return score(model, probs, total), starts, ends
+    return starts, ends
+
+
+def tags(model: Model | None, texts: Iterable[str | None], entries: _Entries | None = None) -> Iterator[tuple[float, list[int], list[int]]]:
+    """Per text (score, starts, ends): offsets in code points of runs of tokens with marginal 0.5 or more; null is empty."""
+    if model is None:
+        for _ in texts:
+            yield 0.0, [], []
+        return
+    entries = _Entries(model) if entries is None else entries
+    for some in _together(t or "" for t in texts):
+        for text, (at, probs, total) in zip(some, reads(model, entries, some), strict=True):
+            yield score(model, probs, total), *_spans(text, set(at[probs >= 0.5].tolist()))
+
+
+def tag(model: Model | None, text: str | None, entries: _Entries | None = None) -> tuple[float, list[int], list[int]]:
+    """``tags`` of one text."""
+    return next(tags(model, [text], entries))
 
 
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -402,9 +477,9 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = _Entries(model)
+        entries = _Entries(model) if model else None
         for batch in batches:
-            found = [tag(model, t, entries) for t in batch["text"].to_pylist()]
+            found = list(tags(model, batch["text"].to_pylist(), entries))
             spans = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], spans), pa.array([f[2] for f in found], spans)], names=["doc_id", "score", "starts", "ends"]
@@ -419,10 +494,10 @@ def without_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
     """Rows of ``docs``, whole and in all columns, whose score stays below ``THRESHOLD``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = _Entries(model)
+        entries = _Entries(model) if model else None
         at = names.index("text")
         for batch in batches:
-            keep = [tag(model, t, entries)[0] < THRESHOLD for t in batch.column(at).to_pylist()]
+            keep = [found[0] < THRESHOLD for found in tags(model, batch.column(at).to_pylist(), entries)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     names = docs.columns
