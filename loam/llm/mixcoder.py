@@ -44,6 +44,7 @@ _CHECK = 0x7F000000
 _SLOT_BITS = 11  # of the table of order 2; that of order 1 has a slot for each number
 _REFRESH = 1024  # steps between two sets of order-0 intervals
 _TOGETHER = 128  # blocks whose tables are packed at once
+_STRIP = 32  # rows of a transpose written at once
 _FRESH, _WEAK = 320, 160  # confidence of a new entry; below this it is replaced
 _RATE = 13
 _MOST = 1 << 17  # of a weight
@@ -79,6 +80,14 @@ def _runs(lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
+def _turned(rows: np.ndarray) -> np.ndarray:
+    """The transpose in memory order, written by strips that stay in the cache."""
+    out = np.empty(rows.shape[::-1], rows.dtype)
+    for k in range(0, len(rows), _STRIP):
+        out[:, k : k + _STRIP] = rows[k : k + _STRIP].T
+    return out
+
+
 def _gap_bits(held: np.ndarray) -> np.ndarray:
     """Fixed bits of a gap between ids, by block and section, for the numbers of ids held there."""
     mean = (np.diff(_EDGES) * 9 >> 4) // np.maximum(held, 1)
@@ -96,15 +105,22 @@ class _Counts:
     def of(cls, blocks: np.ndarray) -> tuple[_Counts, np.ndarray]:
         """The table of the blocks' ids, and the number of each id."""
         out, number = np.empty(blocks.shape, np.uint16), np.empty(1 << 16, np.uint16)
-        up, ids, counts = np.arange(1, blocks.shape[1] + 1, dtype=np.uint16), [], []
-        for row, block in zip(out, blocks, strict=True):
-            count = np.bincount(block)
-            own = count.astype(bool).nonzero()[0]
-            number[own] = up[: len(own)]
-            number.take(block, out=row, mode="clip")
-            ids.append(own)
-            counts.append(count[own])
-        return cls(np.array([len(own) for own in ids]), np.concatenate(ids), np.concatenate(counts)), out
+        up, sizes, ids, counts = np.arange(1, blocks.shape[1] + 1, dtype=np.uint16), [], [], []
+        for k in range(0, len(blocks), _TOGETHER):
+            some = blocks[k : k + _TOGETHER]
+            ordered = np.sort(some, axis=1)
+            first = np.ones(ordered.shape, bool)
+            np.not_equal(ordered[:, 1:], ordered[:, :-1], out=first[:, 1:])
+            at = first.ravel().nonzero()[0]
+            own, start = ordered.ravel().take(at), 0
+            sizes.append(np.add.reduce(first, axis=1, dtype=np.int64))
+            ids.append(own.astype(np.int64))
+            counts.append(np.diff(at, append=first.size))
+            for row, block, n in zip(out[k : k + _TOGETHER], some, sizes[-1].tolist(), strict=True):
+                number[own[start : start + n]] = up[:n]
+                number.take(block, out=row, mode="clip")
+                start += n
+        return cls(*map(np.concatenate, (sizes, ids, counts))), out
 
     def part(self, a: int, b: int) -> _Counts:
         """The table of blocks a to b."""
@@ -171,14 +187,11 @@ class _Counts:
             value[some] |= bits[place[some] + j].astype(np.int64) << j
             j += 1
             some = some[fixed[some] > j]
-        inside = np.zeros(len(bits) + 1, np.int8)
-        inside[base - 16 * (parts + 1)] -= 1
-        inside[base + low] += 1
-        inside[0] += 1
-        marks = np.flatnonzero(bits & (np.cumsum(inside[:-1], dtype=np.int8) > 0).view(np.uint8))
+        opens, ends = base + low, 32 * np.cumsum(taken)
+        marks = np.flatnonzero(np.concatenate([bits[a:b] for a, b in zip(opens.tolist(), ends.tolist(), strict=True)]))
         rest = np.diff(marks, prepend=-1)
-        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-        rest[first] = marks[first] - (base + low)[block[first]] + 1
+        first = np.cumsum(2 * sizes) - 2 * sizes  # the zeros in front of it belong to the block before
+        rest[first] = marks[first] - (np.cumsum(ends - opens) - (ends - opens)) + 1
         value += (rest - 1) << fixed
         gaps = _runs(2 * sizes) < sizes[block]
         gap, counts = value[gaps], value[~gaps] + 1
@@ -198,8 +211,10 @@ class _Model:
         self.row = np.arange(lanes, dtype=np.int64) * self.stride
         self.left = np.zeros(lanes * self.stride, np.int32)  # occurrences still to come, by number
         self.left[np.repeat(self.row + 1, counts.sizes) + _runs(counts.sizes)] = counts.counts
-        self.table = np.zeros((lanes << _SLOT_BITS) + len(self.left), np.int32)  # order 2, then order 1
-        self.base2, self.base1 = (np.arange(lanes, dtype=np.int64) << _SLOT_BITS).view(U), self.row + (lanes << _SLOT_BITS)
+        # Order 2, then by number its entry of order 1 and its interval of order 0, start and length: who codes a number needs its entry next.
+        self.table = np.zeros((lanes << _SLOT_BITS) + 2 * len(self.left), np.int32)
+        self.base2, self.base1 = (np.arange(lanes, dtype=np.int64) << _SLOT_BITS).view(U), 2 * self.row + (lanes << _SLOT_BITS)
+        self.base0, self.spans = self.base1 + 1, self.table[(lanes << _SLOT_BITS) + 1 :: 2]
         self.weights = np.repeat(np.array(_START, np.int32)[:, None], lanes, axis=1)
         self.bias = np.full(lanes, _BIAS, np.int32)
         self.a, self.hashed = np.zeros(lanes, np.int64), np.zeros(lanes, U)
@@ -207,21 +222,30 @@ class _Model:
         self.h = np.empty(lanes, U)
 
     def refresh(self, done: np.ndarray, step: int, inverse: bool) -> None:
-        """Order-0 intervals from the occurrences still to come after the numbers ``done``; weights back into their bounds."""
+        """Order-0 intervals from the occurrences still to come after the numbers ``done`` (by lane); weights back into their bounds."""
         np.clip(self.weights, -_MOST, _MOST, out=self.weights)
         np.clip(self.bias, -_MOST, _MOST, out=self.bias)
-        if len(done):
-            self.left -= np.bincount((done + self.row).ravel(), minlength=len(self.left)).astype(np.int32)
-        ends = np.cumsum(self.left.reshape(self.lanes, self.stride), axis=1, dtype=np.int32).ravel()
         self.total = self.size - step
-        ends -= self.left
-        ends <<= 16
-        ends |= self.left
-        self.span = ends  # start and length of an interval
         self.log_total = _LOG[self.total]
         if inverse:  # the number at each place of the intervals
-            self.slots = np.repeat(np.tile(np.arange(self.stride, dtype=np.uint16), self.lanes), self.left)
+            self.slots = np.empty(self.lanes * self.total, np.uint16)
             self.slot_row = np.arange(self.lanes, dtype=np.int64) * self.total
+            numbers = np.tile(np.arange(self.stride, dtype=np.uint16), min(_STRIP, self.lanes))
+        for k in range(0, self.lanes, _STRIP):
+            own = slice(k * self.stride, min(k + _STRIP, self.lanes) * self.stride)
+            left, some = self.left[own], done[k : k + _STRIP]
+            if step:
+                left -= np.bincount((some + self.row[: len(some), None]).ravel(), minlength=len(left)).astype(np.int32)
+            ends = np.cumsum(left.reshape(-1, self.stride), axis=1, dtype=np.int32).ravel()
+            ends -= left
+            ends <<= 16
+            np.bitwise_or(ends, left, out=self.spans[own])
+            if inverse:
+                self.slots[k * self.total : (k + _STRIP) * self.total] = np.repeat(numbers[: len(left)], left)
+
+    def span(self, numbers: np.ndarray) -> np.ndarray:
+        """Start (16 bits) and length (16 bits) of the order-0 intervals of one number per lane."""
+        return self.table.take((numbers << 1) + self.base0)
 
     def predict(self) -> None:
         """A candidate per lane and its probability (12 bits; 16 bits in ``wide``, 0 without a candidate)."""
@@ -230,7 +254,8 @@ class _Model:
         h += self.hashed
         np.right_shift(h, U(64 - _SLOT_BITS), out=index[0].view(U))
         index[0].view(U)[:] += self.base2
-        np.add(self.a, self.base1, out=index[1])
+        np.add(self.a, self.a, out=index[1])
+        index[1] += self.base1
         h >>= U(20)
         self.check = h.astype(np.int32)
         self.check &= _CHECK
@@ -240,8 +265,10 @@ class _Model:
         self.cands = cands = entry & _NUMBER
         entry >>= 14
         self.conf = entry
-        self.cand = cand = np.where(cands[0] > 0, cands[0], cands[1])
-        left = self.span.take(self.row + cand)
+        # Products with truth values: a choice by a mask takes several times as long.
+        self.cand = cand = cands[1] * (cands[0] == 0)
+        cand += cands[0]
+        left = self.span(cand)
         left &= 0xFFFF
         x = self.x
         _LOGIT.take(entry, out=x[:2], mode="clip")
@@ -266,12 +293,13 @@ class _Model:
         self.weights += x
         err >>= 9
         self.bias += err
-        state = self.conf
-        state += (self.cands == s) * np.int32(1024)
+        state, other = self.conf, s - self.cands
+        state += (other == 0) * np.int32(1024)
         entry = _AFTER.take(state, mode="clip")
-        weak = entry == 0
+        other += np.int32(_FRESH << 14)
+        other *= entry == 0
         entry += self.cands
-        np.copyto(entry, s + np.int32(_FRESH << 14), where=weak)
+        entry += other
         entry[0] ^= self.check
         self.table[self.index] = entry
         np.multiply(self.a.view(U), _HASH_B, out=self.hashed)
@@ -330,11 +358,11 @@ def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
     lanes, size = ids.shape
     counts, numbers = _Counts.of(ids)
     model, out = _Model(counts, size), _Writer(lanes, size)
-    columns = np.ascontiguousarray(numbers.T)
+    columns = _turned(numbers)
     for t, column in enumerate(columns):
         if t % _REFRESH == 0:
             out.room()
-            model.refresh(columns[max(t - _REFRESH, 0) : t], t, False)
+            model.refresh(numbers[:, max(t - _REFRESH, 0) : t], t, False)
             total = U(model.total)
         s, s64 = column.astype(np.int32), column.astype(np.int64)
         model.predict()
@@ -343,14 +371,17 @@ def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
         x *= model.wide
         unit = out.width - x
         unit //= total
-        span = model.span.take(model.row + s64)
+        span = model.span(s64)
         moved = (span >> 16).astype(U)
         moved *= unit
         moved += x
         moved *= ~hit
         span &= 0xFFFF
         unit *= span.astype(U)
-        out.put(moved, np.where(hit, x, unit))
+        x -= unit
+        x *= hit
+        x += unit
+        out.put(moved, x)
         model.update(s, s64, hit)
     heads = [w for k in range(0, lanes, _TOGETHER) for w in counts.part(k, min(k + _TOGETHER, lanes)).packed()]
     return [np.concatenate(pair) for pair in zip(heads, out.done(), strict=True)]
@@ -371,10 +402,12 @@ def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
     last = np.arange(1, lanes + 1, dtype=np.int64) * longest - 1  # damaged words can't lead out of their lane
     code = (flat[pos - 2].astype(U) << _WORD) | flat[pos - 1]
     width = np.full(lanes, (1 << 64) - 1, U)
-    out = np.empty((size, lanes), np.uint16)
+    numbers, out = np.empty((lanes, size), np.uint16), np.empty((min(_REFRESH, size), lanes), np.uint16)
     for t in range(size):
         if t % _REFRESH == 0:
-            model.refresh(out[max(t - _REFRESH, 0) : t], t, True)
+            done = numbers[:, max(t - _REFRESH, 0) : t]
+            done[:] = _turned(out)[:, : done.shape[1]]
+            model.refresh(done, t, True)
             total = U(model.total)
         model.predict()
         x = width >> _HALF
@@ -382,27 +415,33 @@ def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
         hit = code < x
         width -= x
         width //= total
-        after = code - x
-        value = after // width
+        value = code - x
+        value //= width
         np.minimum(value, total - U(1), out=value)
         value = value.view(np.int64)
         value += model.slot_row
-        found = model.slots.take(value).astype(np.int64)
-        span = model.span.take(model.row + found)
-        after -= (span >> 16).astype(U) * width
+        s64 = model.slots.take(value).astype(np.int64)
+        span = model.span(s64)
+        moved = (span >> 16).astype(U)
+        moved *= width
+        moved += x
+        moved *= ~hit
+        code -= moved
         span &= 0xFFFF
         width *= span.astype(U)
-        s64 = np.where(hit, model.cand, found)
-        code = np.where(hit, code, after)
-        width = np.where(hit, x, width)
+        x -= width
+        x *= hit
+        width += x
+        s64 += (model.cand - s64) * hit
         small = (width < _FULL).nonzero()[0]
         where = pos[small]
         code[small] = (code[small] << _WORD) | flat[where]
         pos[small] = np.minimum(where + 1, last[small])
         width[small] <<= _WORD
         model.update(s64.astype(np.int32), s64, hit)
-        out[t] = s64
-    numbers = np.ascontiguousarray(out.T)
+        out[t % _REFRESH] = s64
+    done = numbers[:, (size - 1) // _REFRESH * _REFRESH :]
+    done[:] = _turned(out)[:, : done.shape[1]]
     rows = [counts.ids[a : a + n].astype(np.uint16).take(row - np.uint16(1), mode="clip") for a, n, row in zip(counts.starts.tolist(), counts.sizes.tolist(), numbers, strict=True)]
     return np.stack(rows)
 

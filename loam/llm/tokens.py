@@ -4,13 +4,15 @@ A text is cut where no token can cross (in front of a space that follows a chara
 other than white space). Pieces are dictionary-encoded in Arrow, each distinct piece is
 encoded once by the ``tokenizers`` library, and the ids are gathered back in Arrow. Texts
 whose white space doesn't allow this are cut by a slower, equally exact pattern. Where the
-tokenizer drops white space, the distinct pieces are cut into words together and the library
-encodes all words it hasn't seen at once; the end of a word shows in its last id.
+tokenizer drops white space, the distinct pieces are cut into words together, by the kinds of
+their bytes, and the library encodes all words it hasn't seen at once; the end of a word shows
+in its last id. Known words and their ids are Arrow arrays: no word becomes a Python object.
 """
 
 from __future__ import annotations
 
 import re
+from codecs import charmap_decode
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,10 +32,13 @@ _PLAIN = re.compile(f"[\\n\\t -~{_LETTER}]*\\Z")
 #: What the pattern for single pieces would not take (RE2 syntax).
 _ODD = f"[^\\n\\t -~{_LETTER}]|<\\|"
 _CONTRACTION = "'s|'t|'re|'ve|'m|'ll|'d"
-#: The words of many pieces, each of which ends in a null character, and these ends.
-_WORDS = re.compile(f"{_CONTRACTION}|[{_LETTER}]+|[0-9]|\0|[^\\s{_LETTER}0-9\0]+")
+#: Kinds of bytes: letters (all of other alphabets that ``_ODD`` lets through), signs, then those that stand alone.
+_SIGN, _ALONE, _END = 1, 2, 3
+_KIND = bytes(_END if b == 0 else 0 if b >= 128 or chr(b).isalpha() else _ALONE if chr(b) in "\t\n 0123456789" else _SIGN for b in range(256))
+#: What is neither word nor sign: the end of a piece and white space, which have no ids.
+_BLANKS = ("\0", "\t", "\n", " ")
 #: Words given to the library at once.
-_TOGETHER = 2000
+_TOGETHER = 8000
 #: The tokenizers' own split patterns, narrowed to the characters of ``_PLAIN``.
 _SPLITS = {
     True: re.compile(f"{_CONTRACTION}| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s{_LETTER}0-9]+|\\s+(?!\\S)|\\s+"),
@@ -47,6 +52,23 @@ def _joined(array: pa.Array, end: str) -> str:
     return pc.binary_join_element_wise(array.cast(large), pa.scalar("", large), pa.scalar(end, large)).buffers()[2].to_pybytes().decode()
 
 
+def _cut(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of plain lower-case pieces begin, each of which ends in a null character; which of them are these ends."""
+    kind, byte = np.frombuffer(raw.translate(_KIND), np.uint8), np.frombuffer(raw, np.uint8)
+    begins = kind >= _ALONE
+    begins[1:] |= kind[1:] != kind[:-1]
+    begins[:1] = True
+    quote = np.flatnonzero((byte == ord("'")) & begins)  # contractions: a quote alone and one or two letters
+    one, two = byte[quote + 1], byte[np.minimum(quote + 2, len(byte) - 1)]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = np.isin(one * np.uint16(256) + two, [int.from_bytes(x) for x in (b"re", b"ve", b"ll")])
+    begins[quote[short | long] + 1] = False
+    begins[quote[short] + 2] = True
+    begins[quote[long] + 3] = True
+    starts = np.flatnonzero(begins)
+    return starts, kind[starts] == _END
+
+
 def gathered(batches: Iterable[pa.RecordBatch], size: int = CHUNK) -> Iterator[pa.Table]:
     """Record batches put together to about ``size`` bytes."""
     held, held_bytes = [], 0
@@ -64,10 +86,12 @@ class Encoder:
     """Ids of whole texts; one per worker. ``add_special_tokens`` is off throughout."""
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
         from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.lib = Tokenizer.from_file(path)
@@ -85,11 +109,14 @@ class Encoder:
         self.shown = str.maketrans(shown)
         self.last = np.zeros(self.lib.get_vocab_size(), bool)  # ids that end a word
         if self.words:
-            #: The same model for words that are already cut, lower-case and shown as bytes.
-            self.bare = Tokenizer(self.model)
+            #: The same model for words that are already cut, lower-case and shown as bytes. Each comes once, so the library keeps none.
+            own = json.loads(self.lib.to_str())["model"]
+            merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in own.pop("merges")]
+            self.bare = Tokenizer(BPE(merges=merges, cache_capacity=0, **{k: v for k, v in own.items() if k != "type" and v is not None}))
             self.bare.pre_tokenizer = CharDelimiterSplit(" ")
-            self.shown_words = {k: v for k, v in self.shown.items() if k != ord(" ")}
+            self.shown_words = "".join(self.shown.get(b, chr(b)) if b != ord(" ") else " " for b in range(256))
             self.last[[i for t, i in self.lib.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
+            self.known, self.known_ids = pa.array(_BLANKS, pa.large_string()), pa.array([b""] * len(_BLANKS), pa.large_binary())
         self.cap = cache
         self.pieces: dict[bytes, bytes] = {}
         self.tokens: dict[str, bytes] = {}
@@ -122,20 +149,21 @@ class Encoder:
                     self.pieces[keys[k]] = ids
         return found
 
-    def _fresh(self, words: list[str]) -> list[bytes]:
+    def _fresh(self, words: pa.Array) -> pa.Array:
         """Ids of each of the lower-case words, which the tokenizer doesn't cut; many are encoded together."""
-        out = []
+        parts, sizes = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
         for at in range(0, len(words), _TOGETHER):
-            some = words[at : at + _TOGETHER]
-            shown = " ".join(some).encode().decode("latin-1").translate(self.shown_words)
+            some = words.slice(at, _TOGETHER)
+            shown, _ = charmap_decode(_joined(some, " ")[:-1].encode(), "strict", self.shown_words)
             ids = np.array(self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(some):  # a word's last id doesn't show
-                out += map(self._token, some)
-                continue
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
-            out += [raw[i:j] for i, j in zip([0, *ends], ends)]  # noqa: B905 - one shorter by intent
-        return out
+                each = list(map(self._token, some.to_pylist()))
+                ids, ends = np.frombuffer(b"".join(each), "<u4"), np.cumsum([len(e) // 4 for e in each])
+            parts.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        ends, ids = np.cumsum(np.concatenate(sizes)) * 4, np.concatenate(parts)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
 
     def _word_pieces(self, array: pa.Array) -> pa.Array:
         """Ids of each piece of a large_string array, for tokenizers that drop white space."""
@@ -143,21 +171,23 @@ class Encoder:
             return pa.array([], pa.large_binary())
         odd = pc.match_substring_regex(array, _ODD)
         slow = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
-        found = _WORDS.findall(_joined(pc.if_else(odd, "", array) if slow else array, "\0").lower())
-        coded = pc.dictionary_encode(pa.array(found, pa.large_string()))
-        words = _joined(coded.dictionary, "\n").split("\n")[:-1]
-        codes = coded.indices.to_numpy().astype(np.int64)
-        end = words.index("\0")
-        table = list(map(self.tokens.get, words))
-        table[end] = b""
-        missing = [k for k, ids in enumerate(table) if ids is None]
-        for k, ids in zip(missing, self._fresh([words[k] for k in missing]), strict=True):
-            table[k] = ids
-            if len(self.tokens) < 2 * self.cap:  # there is no cache of pieces
-                self.tokens[words[k]] = ids
-        taken = pa.array(table, pa.large_binary()).take(pa.array(codes))
+        raw = _joined(pc.if_else(odd, "", array) if slow else array, "\0").lower().encode()
+        starts, is_end = _cut(raw)
+        coded = pc.dictionary_encode(pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)))
+        place = pc.index_in(coded.dictionary, value_set=self.known)
+        missing = pc.is_null(place)
+        place = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        words, n = coded.dictionary.filter(missing), len(self.known)
+        fresh = self._fresh(words)
+        place[missing.to_numpy(zero_copy_only=False)] = np.arange(n, n + len(words))
+        table = pa.concat_arrays([self.known_ids, fresh])
+        room = 2 * self.cap - n  # there is no cache of pieces
+        if room > 0 and len(words):
+            self.known = pa.concat_arrays([self.known, words.slice(0, room)])
+            self.known_ids = table.slice(0, len(self.known))
+        taken = table.take(pa.array(place.take(coded.indices.to_numpy())))
         ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8)
-        offsets = np.concatenate((ends[:1], ends[1:][codes == end]))
+        offsets = np.concatenate((ends[:1], ends[1:][is_end]))
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(array), [None, pa.py_buffer(offsets), taken.buffers()[2]])
         if slow:
             rest = pa.array([self._encode(array[k].as_py()) for k in slow], pa.large_binary())
@@ -171,7 +201,8 @@ class Encoder:
         lengths = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         while start < len(texts):
             before = lengths[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(lengths, before + CHUNK, "right")))
+            much = CHUNK if lengths[-1] - before > 3 * CHUNK // 2 else 2 * CHUNK  # no small rest
+            stop = max(start + 1, int(np.searchsorted(lengths, before + much, "right")))
             ids, offsets = self._some(texts.slice(start, stop - start))
             parts.append(ids)
             ends.append(offsets[1:] + base)
