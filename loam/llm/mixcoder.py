@@ -50,7 +50,7 @@ _RATE = 13
 _MOST = 1 << 17  # of a weight
 U = np.uint64
 _WORD, _HALF = U(32), U(16)
-_FULL = U(1 << 32)
+_FULL, _ONE = U(1 << 32), U(1)
 _HASH_A, _HASH_B = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 #: Sections of the ids in a block's table of counts, closer together where ids are more frequent.
 _EDGES = np.array([0, 512, 1024, 2048, 4096, 8192, 16384, 65536])
@@ -70,6 +70,7 @@ def _tables() -> tuple[np.ndarray, ...]:
 
 
 _LOGIT, _SQUASH, _LOG, _AFTER = _tables()
+_LOG_SHORT = _LOG.astype(np.int16)
 #: Weights at the start (unit 2^14): confidence of order 2, of order 1 in the same candidate, order 0; and the bias, with the middle of ``_SQUASH``.
 _START, _BIAS = (15000, 8000, 2500), 2048
 
@@ -146,7 +147,7 @@ class _Counts:
         value[place], fixed[place] = self.counts - 1, kc[group]
         block = np.repeat(np.arange(lanes), 2 * self.sizes)
         rest = (value >> fixed) + 1
-        low, unary = np.bincount(block, fixed, lanes).astype(np.int64), np.bincount(block, rest, lanes).astype(np.int64)
+        low, unary = np.add.reduceat(fixed, 2 * self.starts), np.add.reduceat(rest, 2 * self.starts)
         words = (16 * (parts + 1) + low + unary + 31) // 32
         base = 32 * (np.cumsum(words) - words)
         bits = np.zeros(32 * int(words.sum()), np.uint8)
@@ -154,12 +155,13 @@ class _Counts:
         bits[(base[:, None] + np.arange(16 * (parts + 1))).ravel()] = np.unpackbits(heads.view(np.uint8))
         base += 16 * (parts + 1)
         place = np.cumsum(fixed) - fixed + (base - np.cumsum(low) + low)[block]
-        some = np.flatnonzero(fixed)
-        j = 0
-        while len(some):
-            bits[place[some] + j] = value[some] >> j & 1
-            j += 1
-            some = some[fixed[some] > j]
+        more = fixed > 0
+        at, some, still = place[more], value[more], fixed[more]
+        while len(at):
+            bits[at] = some & 1
+            still -= 1
+            more = still > 0
+            at, some, still = at[more] + 1, some[more] >> 1, still[more]
         bits[np.cumsum(rest) - 1 + (base + low - np.cumsum(unary) + unary)[block]] = 1
         found = np.packbits(bits).view(">u4").astype(np.uint32)
         return np.split(found, np.cumsum(words)[:-1])
@@ -177,7 +179,7 @@ class _Counts:
         per = np.concatenate((held, held), axis=1)
         fixed = np.repeat(np.concatenate((_gap_bits(held), heads >> 14), axis=1).ravel(), per.ravel())
         block = np.repeat(np.arange(lanes), 2 * sizes)
-        low = np.bincount(block, fixed, lanes).astype(np.int64)
+        low = np.add.reduceat(fixed, 2 * np.cumsum(sizes) - 2 * sizes)
         base += 16 * (parts + 1)
         place = np.cumsum(fixed) - fixed + (base - np.cumsum(low) + low)[block]
         value = np.zeros(len(block), np.int64)
@@ -215,6 +217,7 @@ class _Model:
         self.table = np.zeros((lanes << _SLOT_BITS) + 2 * len(self.left), np.int32)
         self.base2, self.base1 = (np.arange(lanes, dtype=np.int64) << _SLOT_BITS).view(U), 2 * self.row + (lanes << _SLOT_BITS)
         self.base0, self.spans = self.base1 + 1, self.table[(lanes << _SLOT_BITS) + 1 :: 2]
+        self.logs = np.empty(len(self.left), np.int16)  # of the occurrences still to come, small enough to stay in the cache
         self.weights = np.repeat(np.array(_START, np.int32)[:, None], lanes, axis=1)
         self.bias = np.full(lanes, _BIAS, np.int32)
         self.a, self.hashed = np.zeros(lanes, np.int64), np.zeros(lanes, U)
@@ -240,12 +243,15 @@ class _Model:
             ends -= left
             ends <<= 16
             np.bitwise_or(ends, left, out=self.spans[own])
+            _LOG_SHORT.take(left, out=self.logs[own], mode="clip")
             if inverse:
                 self.slots[k * self.total : (k + _STRIP) * self.total] = np.repeat(numbers[: len(left)], left)
 
     def span(self, numbers: np.ndarray) -> np.ndarray:
         """Start (16 bits) and length (16 bits) of the order-0 intervals of one number per lane."""
-        return self.table.take((numbers << 1) + self.base0)
+        where = numbers << 1
+        where += self.base0
+        return self.table.take(where, mode="clip")
 
     def predict(self) -> None:
         """A candidate per lane and its probability (12 bits; 16 bits in ``wide``, 0 without a candidate)."""
@@ -259,7 +265,7 @@ class _Model:
         h >>= U(20)
         self.check = h.astype(np.int32)
         self.check &= _CHECK
-        entry = self.table.take(index)
+        entry = self.table.take(index, mode="clip")
         entry[0] ^= self.check
         entry[0] *= entry[0] <= 0xFFFFFF
         self.cands = cands = entry & _NUMBER
@@ -268,18 +274,19 @@ class _Model:
         # Products with truth values: a choice by a mask takes several times as long.
         self.cand = cand = cands[1] * (cands[0] == 0)
         cand += cands[0]
-        left = self.span(cand)
-        left &= 0xFFFF
+        self.cand64 = cand.astype(np.int64)
+        log = self.logs.take(self.cand64 + self.row, mode="clip")
         x = self.x
         _LOGIT.take(entry, out=x[:2], mode="clip")
         x[1] *= cands[1] == cand
-        _LOG.take(left, out=x[2], mode="clip")
-        x[2] -= self.log_total
-        z = np.add.reduce(np.multiply(self.weights, x, out=self.y), axis=0, dtype=np.int32)
+        np.subtract(log, self.log_total, out=x[2])
+        y = np.multiply(self.weights, x, out=self.y)
+        z = y[0] + y[1]
+        z += y[2]
         z >>= 14
         z += self.bias
         self.p = _SQUASH.take(z, mode="clip")
-        self.p *= left > 0
+        self.p *= log >= 0  # else none is to come
         self.wide = (self.p << 4).astype(U)
 
     def update(self, s: np.ndarray, s64: np.ndarray, hit: np.ndarray) -> None:
@@ -310,7 +317,7 @@ class _Writer:
     """Range coders of all lanes."""
 
     def __init__(self, lanes: int, size: int) -> None:
-        self.stride = size // 2 + 2 * _REFRESH + 100
+        self.stride = size // 4 + _REFRESH + 200
         self.words = np.zeros(lanes * self.stride, np.uint32)
         self.start = np.arange(lanes, dtype=np.int64) * self.stride
         self.pos = self.start + 1  # a first word takes a carry out of the second
@@ -367,6 +374,8 @@ def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
         s, s64 = column.astype(np.int32), column.astype(np.int64)
         model.predict()
         hit = s == model.cand
+        missed = hit.astype(U)
+        missed -= _ONE  # all bits, or none after a hit
         x = out.width >> _HALF
         x *= model.wide
         unit = out.width - x
@@ -375,11 +384,11 @@ def encode_blocks(ids: np.ndarray) -> list[np.ndarray]:
         moved = (span >> 16).astype(U)
         moved *= unit
         moved += x
-        moved *= ~hit
+        moved &= missed
         span &= 0xFFFF
         unit *= span.astype(U)
-        x -= unit
-        x *= hit
+        unit -= x
+        unit &= missed
         x += unit
         out.put(moved, x)
         model.update(s, s64, hit)
@@ -413,6 +422,8 @@ def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
         x = width >> _HALF
         x *= model.wide
         hit = code < x
+        missed = hit.astype(U)
+        missed -= _ONE
         width -= x
         width //= total
         value = code - x
@@ -420,19 +431,21 @@ def decode_blocks(words: list[np.ndarray], size: int) -> np.ndarray:
         np.minimum(value, total - U(1), out=value)
         value = value.view(np.int64)
         value += model.slot_row
-        s64 = model.slots.take(value).astype(np.int64)
+        s64 = model.slots.take(value, mode="clip").astype(np.int64)
         span = model.span(s64)
         moved = (span >> 16).astype(U)
         moved *= width
         moved += x
-        moved *= ~hit
+        moved &= missed
         code -= moved
         span &= 0xFFFF
         width *= span.astype(U)
-        x -= width
-        x *= hit
+        width -= x
+        width &= missed
         width += x
-        s64 += (model.cand - s64) * hit
+        s64 -= model.cand64
+        s64 &= missed.view(np.int64)
+        s64 += model.cand64
         small = (width < _FULL).nonzero()[0]
         where = pos[small]
         code[small] = (code[small] << _WORD) | flat[where]
@@ -524,6 +537,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLO
         store.create_dir(root)
         name = f"{root}/part-{part:05d}-{uuid.uuid4().hex}.lmix"
         seq, start, names, counts, streams, held, at, file = 0, 0, [], [], [], 0, 0, None
+        end = np.array([end_id], "<u2" if end_id <= 0xFFFF else "<u4")
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, start, names, counts, streams, held, at, file
@@ -538,16 +552,15 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLO
 
         for table in gathered(batches):
             ids, offsets = enc.encode(table["text"])
-            stream = np.insert(ids, offsets[1:], np.uint32(end_id))
-            if not len(stream) or int(stream.max()) <= 0xFFFF:  # larger ids are refused when they are packed
-                stream = stream.astype("<u2")
-            sizes = np.diff(offsets) + 1
+            if not len(ids) or int(ids.max()) <= 0xFFFF:  # larger ids are refused when they are packed
+                ids = ids.astype("<u2")
             own, done = table["doc_id"].to_pylist(), 0
-            for k, n in enumerate(sizes.tolist()):
+            for k, stop in enumerate(offsets[1:].tolist()):
+                n = stop - done + 1
                 names.append(own[k])
                 counts.append(n)
-                streams.append(stream[done : done + n])
-                done, held = done + n, held + n
+                streams += (ids[done:stop], end)
+                done, held = stop, held + n
                 if held >= block * lanes:
                     yield flush()
         if names:
