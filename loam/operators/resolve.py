@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from loam.operators.relational import grown, stored, surrogate_ids
 
 #: Keys of a block; two blocks meet in one group.
 BLOCK = 1024
+#: Where all names of one pattern meet: about so many blocks, at most so many times as large, and how many such pairs are as much work as one by an element.
+BLOCKS, WIDER, CHEAPER = 16, 8, 8
 
 
 def matching_key(name: Column) -> Column:
@@ -41,13 +45,18 @@ def token_set_ratio(a: str, b: str) -> float:
 _BREAKS = "(?U)[\\s\\x1C-\\x1F]+"
 
 
+def _slots(df: DataFrame) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _token_keys(names: DataFrame, key: str) -> DataFrame:
     """k, n (its length), tokens (sorted set), size (length of the tokens joined), grams (tagged pairs of characters).
 
     The padded pairs of characters of the joined tokens are those of each token, whatever
     their order; a repeated pair carries its number, so sets stand for multisets.
     """
-    keys = names.select(F.col(key).alias("k")).where("k IS NOT NULL AND k <> ''").distinct()
+    # A named count of tasks: names are few bytes, which one task would get, and much work.
+    keys = names.select(F.col(key).alias("k")).where("k IS NOT NULL AND k <> ''").repartition(_slots(names), "k").distinct()
     tokens = F.array_sort(F.array_distinct(F.filter(F.split("k", _BREAKS), lambda x: x != "")))
     pairs = lambda x: F.transform(F.sequence(F.lit(1), F.length(x) + 1), lambda i: F.substring(F.concat(F.lit(" "), x, F.lit(" ")), i, F.lit(2)))
     return (
@@ -94,26 +103,55 @@ def _listed(keys: DataFrame, share: float, e: float) -> DataFrame:
     return both.select("k", "n", "size", "tokens", F.transform("tokens", lambda x: F.array_contains("chosen", x)).alias("picked"), "rare")
 
 
+def _everyone(held: DataFrame, often: DataFrame) -> tuple[DataFrame | None, int]:
+    """Keys that hold one of the elements in ``often``, and their number, if all of their pairs are less work than those of the elements."""
+    pairs = float(often.agg(F.coalesce(F.sum(F.col("many").cast("double") * F.col("many")), F.lit(0.0))).first()[0])
+    if not pairs:
+        return None, 0
+    keys = stored(held.select("k", "kind", "element").join(grown(often.select("kind", "element")), ["kind", "element"]).select("k").distinct())
+    many = keys.count()
+    return (keys, many) if float(many) * many <= CHEAPER * pairs else (None, 0)
+
+
 def _dealt(rows: DataFrame, block: int) -> DataFrame:
     """``rows`` once for each of their elements that others hold and each pair of its blocks.
 
     ``kind`` and ``element`` name what is shared, ``at`` is its place in tokens or rare,
     (deal, i, j) the group, ``own`` the row's block. Elements of one block share groups.
+
+    Names of one pattern hold the same few pairs of characters, and would meet by each of them.
+    Where that is more work than to let all such names meet once, they do (kind "a"), in larger
+    blocks; ``all`` marks them, and those pairs of characters are dealt only where a name too long for that holds them.
     """
     as_element = lambda kind: lambda x, i: F.struct(F.lit(kind).alias("kind"), x.alias("element"), i.alias("at"))
-    held = rows.withColumn("x", F.explode(F.concat(F.transform("tokens", as_element("t")), F.transform("rare", as_element("g"))))).select(*rows.columns, "x.*")
+    held = rows.withColumn("x", F.explode(F.concat(F.transform("tokens", as_element("t")), F.transform("rare", as_element("g"))))).select("k", "size", "picked", "x.*")
+    long = F.col("size") >= fuzzy.MOST
     ready = F.max((F.col("kind") == "g") | F.element_at("picked", F.col("at") + 1))
-    sized = held.groupBy("kind", "element").agg(F.count(F.lit(1)).alias("many"), ready.alias("ready")).where("many > 1 AND ready")
-    sized = stored(sized.select("kind", "element", "many", F.ceil(F.col("many") / F.lit(block)).cast("int").alias("blocks")))
+    sized = held.groupBy("kind", "element").agg(F.count(F.lit(1)).alias("many"), ready.alias("ready"), F.max(long).alias("long")).where("many > 1 AND ready")
+    sized = stored(sized.select("kind", "element", "many", "long", F.ceil(F.col("many") / F.lit(block)).cast("int").alias("blocks")))
+    often = (F.col("kind") == "g") & (F.col("blocks") > 1)
+    met, many = _everyone(held.where(~long), sized.where(often))
+    if met is None:
+        rows = rows.withColumn("all", F.lit(False))
+    else:
+        sized = sized.where(~often | F.col("long"))
+        rows = stored(rows.join(grown(met.withColumn("all", F.lit(True))), "k", "left").withColumn("all", F.coalesce("all", F.lit(False))))
     one = F.col("blocks") == 1
     small, pairs = sized.agg(F.coalesce(F.sum(F.when(one, F.col("many"))), F.lit(0)), F.coalesce(F.sum(F.when(~one, F.col("blocks") * (F.col("blocks") + 1) / 2)), F.lit(0))).first()
     deals = -(-int(small) // block) + 1
-    dealt = held.join(grown(sized), ["kind", "element"]).withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    dealt = held.drop("size", "picked").join(grown(sized.drop("long")), ["kind", "element"]).join(grown(rows), "k").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     deal = F.when(one, F.pmod(F.xxhash64("kind", "element"), F.lit(deals)).cast("string")).otherwise(F.concat("kind", "element"))
-    dealt = dealt.withColumn("deal", deal).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("deal", deal)
+    if met is not None:
+        blocks = -(-many // max(block, min(WIDER * block, many // BLOCKS)))
+        pairs += blocks * (blocks + 1) // 2
+        wide = rows.where("all").withColumn("rare", F.array().cast("array<string>")).withColumn("own", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int"))
+        wide = wide.select("*", F.lit("a").alias("kind"), F.lit("").alias("element"), F.lit(0).alias("at"), F.lit(many).cast("long").alias("many"), F.lit(blocks).alias("blocks"), F.lit("a").alias("deal"))
+        dealt = dealt.unionByName(wide)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("many", "blocks", "other")
     # A named count of tasks: they are long by their pairs, not by the bytes that Spark judges them by.
-    tasks = min(deals + int(pairs), 4 * max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = min(deals + int(pairs), 4 * _slots(rows))
     return dealt.repartition(tasks, "deal", "i", "j")
 
 
@@ -135,8 +173,9 @@ def fuzzy_pairs(names: DataFrame, key: str = "key", score: int = fixed.FUZZY_SCO
     share = (1 - e) / (1 + e)
     dealt = _dealt(stored(_listed(stored(_token_keys(names, key)), share, e)), block)
 
-    def run(table: pa.Table) -> pa.Table:
-        return fuzzy.pairs_of_block(table, score, e, ratio)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Pairs leave as they are found: a group may have a great many.
+        yield from fuzzy.pairs_of_block(pa.Table.from_batches(list(batches)), score, e, ratio)
 
     return dealt.groupBy("deal", "i", "j").applyInArrow(run, "a string, b string, score int")
 
